@@ -49,6 +49,17 @@ class _FS:
             return []
         return [s.getPath().getName() for s in self.fs.listStatus(p)]
 
+    def glob_names(self, pattern: str, level: int) -> list[str]:
+        """Names of the path component ``level`` folders up of every match of ``pattern``."""
+        found = self.fs.globStatus(self.path(pattern))
+        out = []
+        for st in (found or []):
+            p = st.getPath()
+            for _ in range(level):
+                p = p.getParent()
+            out.append(p.getName())
+        return out
+
     def read_text(self, rel: str) -> str:
         stream = self.fs.open(self.path(rel))
         try:
@@ -118,13 +129,14 @@ class TableStore:
 
     # ------------------------------------------------------------------ write
     def commit(self, df: DataFrame, watermark: Mapping | None = None, touched: list | None = None,
-               replace_all: bool = False, extra: Mapping | None = None, files_per_shard: int | None = None,
+               replace_all: bool = False, extra: Mapping | None = None, cluster_by: list[str] | None = None,
                expected_version: int | None = None) -> int:
         """Write ``df`` as the new content of the shards it holds (or of ``touched``), then commit.
 
         ``replace_all`` drops shards absent from ``df`` (truncate-and-load, deletes that empty a
-        shard). Rows are spread over tasks by a hash of all columns, never by shard alone, so a
-        dominant shard is written by many tasks.
+        shard). The rows are rebalanced on the shard column (AQE): small shards are coalesced
+        into one file each and a dominant shard is split into advisory-size pieces, never funnelled
+        into one task; files are sorted by ``cluster_by`` so keyset filters can skip row groups.
         """
         st = self.state()
         base = st["version"] if expected_version is None else expected_version
@@ -135,14 +147,14 @@ class TableStore:
             df = df.withColumn(SHARD, F.lit(0).cast("long"))
         if touched is None:
             touched = [r[SHARD] for r in df.select(SHARD).distinct().collect()]  # one row per shard
-        n_tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        out = df.repartition(files_per_shard or n_tasks, *[F.col(c) for c in df.columns if c != SHARD]) \
-            if len(df.columns) > 1 else df
+        cluster = [c for c in (cluster_by or []) if c in df.columns and c != SHARD]
+        out = df.hint("rebalance", SHARD).sortWithinPartitions(SHARD, *cluster)
         (out.withColumn("ver", F.lit(new_v)).write.mode("append")
          .partitionBy(SHARD, "ver").parquet(self.root))
         shards = {} if replace_all else dict(st["shards"])
+        written = {n.split("=", 1)[1] for n in self._fs.glob_names(f"{SHARD}=*/ver={new_v}", 1)}
         for p in touched:
-            if self._fs.exists(f"{SHARD}={p}/ver={new_v}"):
+            if str(p) in written:
                 shards[str(p)] = new_v
             else:
                 shards.pop(str(p), None)     # a touched shard that ended up empty

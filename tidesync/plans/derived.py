@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.rules import ts_literal, unsigned_to_bytes
+from ..functions.rules import ts_literal, unsigned_to_bytes  # noqa: F401  (ts_literal re-exported)
 from ..operators.retention import ledger_pack
 
 # Fixed parameters of the checks (dates inside the driver tables' ranges).

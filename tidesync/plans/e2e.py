@@ -75,3 +75,23 @@ def q_stream_sync(spark, sf):
     stream_sync(spark, f"{root}/in", events.schema, store, f"{root}/_ckpt", keys=["event_id"], id_col="event_id",
                 partition_size=1000, order=["ts"], max_files_per_trigger=1)
     return store.read()
+
+
+def production_task(etl_type: int = 2, housekeeping: int = 1) -> SyncTask:
+    """The production shape of a table-sync task: 10,000 rows x 1,500 loops, 1e9 ids per shard."""
+    task = orders_task(etl_type, batch_size=10_000, loops=1_500, housekeeping=housekeeping)
+    task.partition_size = 1_000_000_000
+    return task
+
+
+@register("sync_run_production", f"""
+SELECT {_ORD5}, o_orderkey // 1000000000 + 1 AS partition_num FROM orders""")
+def q_sync_run_production(spark, sf):
+    """Initial load of the orders before 2000, then an incremental run that adds the rest."""
+    orders = D.table(spark, sf, "orders")
+    root = scratch_path(spark, "sync_prod")
+    store, log, ledger = (TableStore(spark, f"{root}/{n}") for n in ("data", "log", "ledger"))
+    run_task(spark, production_task(), orders.filter(F.col("o_orderdate") < D.ts_literal("2000-01-01 00:00:00")),
+             store, log, ledger, as_of="2001-08-10 00:00:00")
+    run_task(spark, production_task(), orders, store, log, ledger, as_of="2001-08-11 00:00:00")
+    return store.read()

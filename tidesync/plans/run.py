@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.cleaning import table_sync_clean
 from ..operators.extract import increment
 from ..operators.load import append, split_rejects, upsert
-from ..operators.profile import next_watermark, shard_log_merge, shard_log_rows, shard_profile
+from ..operators.profile import shard_log_merge, shard_log_rows, shard_profile
 from ..operators.retention import (expiry_gate, ledger_id_count, ledger_mark, ledger_pack, ledger_purge,
                                    ledger_window, retention_delete)
 from ..schema import LEDGER_SCHEMA, SHARD_LOG_SCHEMA, SyncTask, validate_task
@@ -42,6 +42,20 @@ def _watermark_of(task: SyncTask, store: TableStore) -> SyncTask:
     return task
 
 
+def _summary(inc: DataFrame, task: SyncTask) -> DataFrame:
+    ok = F.col(SHARD).isNotNull()
+    aggs = [F.count_if(ok).alias("n"), F.count_if(~ok).alias("n_bad"),
+            F.collect_set(F.col(SHARD)).alias("shards")]
+    if task.etl_type == 1:
+        aggs += [F.max(F.when(ok, F.col(task.id_field_name))).alias("last_id"),
+                 F.lit(None).cast("timestamp_ntz").alias("last_ts")]
+    elif task.etl_type in (2, 3):
+        last = F.max(F.when(ok, F.struct(F.col(task.timestamp_field_name).alias("t"),
+                                         F.col(task.id_field_name).alias("i"))))
+        aggs += [last["i"].alias("last_id"), last["t"].alias("last_ts")]
+    return inc.agg(*aggs)
+
+
 def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: TableStore,
              log_store: TableStore | None = None, ledger_store: TableStore | None = None,
              as_of: datetime | str | None = None, reject_store: TableStore | None = None) -> RunResult:
@@ -56,20 +70,23 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
     # the watermark and the ledger, and the source may change while the run goes on
     inc = inc.checkpoint(eager=True)
     good, bad = split_rejects(inc)
-    n_bad = bad.count()
+    # one pass over the increment for its counts, the next watermark and the touched shards
+    # (the shard set is bounded by the number of shards, not by the rows)
+    summary = _summary(inc, task).first()
+    n, n_bad = summary["n"], summary["n_bad"]
     if reject_store is not None and n_bad:
-        reject_store.commit(bad.withColumn(SHARD, F.lit(-1).cast("long")))
-    n = good.count()
+        reject_store.commit(bad.withColumn(SHARD, F.lit(-1).cast("long")), touched=[-1])
     if n == 0:
         return RunResult(0, n_bad, [], None, store.watermark())
-
-    wm_row = next_watermark(good, task.etl_type, task.id_field_name, task.timestamp_field_name, as_of).first()
-    watermark = {"last_id": wm_row["last_id"],
-                 "last_timestamp": None if wm_row["last_timestamp"] is None else str(wm_row["last_timestamp"])}
-    shards = sorted(r[SHARD] for r in good.select(SHARD).distinct().collect())  # one row per shard
+    if task.etl_type == 4:
+        watermark = {"last_id": None, "last_timestamp": str(as_of)}
+    else:
+        watermark = {"last_id": summary["last_id"],
+                     "last_timestamp": None if summary["last_ts"] is None else str(summary["last_ts"])}
+    shards = sorted(summary["shards"])
 
     if task.etl_type == 4:
-        version = store.commit(good, watermark=watermark, replace_all=True)
+        version = store.commit(good, watermark=watermark, replace_all=True, cluster_by=task.keys)
     else:
         if store.version() == 0:
             new_part = good
@@ -80,7 +97,7 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
                 new_part = upsert(old, good, [SHARD, *task.keys], order=order, changes_rows=n)
             else:
                 new_part = append(old, good)
-        version = store.commit(new_part, watermark=watermark, touched=shards)
+        version = store.commit(new_part, watermark=watermark, touched=shards, cluster_by=task.keys)
 
     if log_store is not None and task.etl_type in (1, 2, 3):
         prof = shard_profile(good, task.id_field_name, task.timestamp_field_name, task.event_date_field_name)
@@ -88,7 +105,7 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
                               task.timestamp_field_name, task.event_date_field_name, task.fields, as_of)
         old_log = log_store.read(SHARD_LOG_SCHEMA) if log_store.version() else None
         merged = shard_log_merge(old_log, rows) if old_log is not None else rows
-        log_store.commit(merged.withColumn(SHARD, F.lit(0).cast("long")), replace_all=True)
+        log_store.commit(merged.withColumn(SHARD, F.lit(0).cast("long")), replace_all=True, touched=[0])
 
     if ledger_store is not None and task.if_need_house_keeping == 1 and task.keys:
         entries = ledger_pack(good, task.keys[0], as_of, task.source_db, task.source_table,
@@ -96,7 +113,7 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
         if ledger_store.version():
             entries = ledger_store.read(LEDGER_SCHEMA).drop(SHARD).join(
                 entries.select("house_keeping_id"), "house_keeping_id", "left_anti").unionByName(entries)
-        ledger_store.commit(entries.withColumn(SHARD, F.lit(0).cast("long")), replace_all=True)
+        ledger_store.commit(entries.withColumn(SHARD, F.lit(0).cast("long")), replace_all=True, touched=[0])
 
     return RunResult(n, n_bad, shards, version, watermark)
 
@@ -111,7 +128,7 @@ def house_keeping(spark: SparkSession, task: SyncTask, source_store: TableStore,
     deletable = deletable.checkpoint(eager=True)
     n_ids = ledger_id_count(deletable)
     if n_ids == 0:
-        ledger_store.commit(ledger.withColumn(SHARD, F.lit(0).cast("long")), replace_all=True)
+        ledger_store.commit(ledger.withColumn(SHARD, F.lit(0).cast("long")), replace_all=True, touched=[0])
         return {"entries": 0, "ids": 0}
     src = source_store.read()
     key = task.keys[0]
@@ -120,8 +137,8 @@ def house_keeping(spark: SparkSession, task: SyncTask, source_store: TableStore,
     touched = sorted(r[SHARD] for r in src.join(F.broadcast(ids) if n_ids <= 5_000_000 else ids, key, "left_semi")
                      .select(SHARD).distinct().collect())
     kept = retention_delete(src.filter(F.col(SHARD).isin(touched)), deletable, key, ids_rows=n_ids)
-    source_store.commit(kept, touched=touched)
+    source_store.commit(kept, touched=touched, cluster_by=[key])
     # mark only after the delete is committed
     marked = ledger_mark(ledger, deletable)
-    ledger_store.commit(marked.withColumn(SHARD, F.lit(0).cast("long")), replace_all=True)
+    ledger_store.commit(marked.withColumn(SHARD, F.lit(0).cast("long")), replace_all=True, touched=[0])
     return {"entries": deletable.count(), "ids": n_ids, "shards": touched}

@@ -26,6 +26,7 @@ def build_session(master: str = "local[*]", app: str = "tidesync", shuffle_parti
     """Session for tests and the bench. On a cluster the caller's session is used as is."""
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "8g"))
     for k, v in {**SESSION_CONF, **(extra or {})}.items():
