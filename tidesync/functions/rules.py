@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 def bytes_to_unsigned(c: Column | str) -> Column:
     """Big-endian unsigned bytes -> decimal(20,0) (C6); 8 bytes of 0xff give 18446744073709551615."""
     c = F.col(c) if isinstance(c, str) else c
-    return (F.when(F.length(c) == 0, F.lit(0))
+    # both branches text, so the only cast is text -> decimal(20,0) (a BIGINT step would overflow)
+    return (F.when(F.length(c) == 0, F.lit("0"))
             .otherwise(F.conv(F.hex(c), 16, 10))
             .cast(T.DecimalType(20, 0)))
 

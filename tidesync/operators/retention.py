@@ -20,6 +20,9 @@ from ..functions.rules import ts_literal
 # Fixed value: days a copied row is kept in the source before it may be deleted.
 RETENTION_DAYS = 14
 
+# Key of a ledger entry.
+ENTRY = ["load_version", "house_keeping_id"]
+
 
 def _day(as_of) -> date:
     if isinstance(as_of, str):
@@ -32,7 +35,7 @@ def _midnight(d: date) -> str:
 
 
 def ledger_pack(loaded: DataFrame, key_col: str, as_of, source_db: str, source_table: str,
-                batch_col: str | None = None, batch_size: int = 10_000) -> DataFrame:
+                batch_col: str | None = None, batch_size: int = 10_000, load_version: int = 0) -> DataFrame:
     """One ledger entry per loaded batch with the sorted keys that loaded (G1).
 
     Entries are cut by ``batch_col`` when the loader numbered its batches, else by
@@ -50,14 +53,15 @@ def ledger_pack(loaded: DataFrame, key_col: str, as_of, source_db: str, source_t
     return (loaded.filter(F.col(key_col).isNotNull())
             .groupBy(entry.cast("long").alias("house_keeping_id"))
             .agg(ids.alias("ids"))
-            .select("house_keeping_id", ts_literal(_midnight(_day(as_of))).alias("etl_update_date"),
+            .select(F.lit(int(load_version)).cast("long").alias("load_version"), "house_keeping_id",
+                    ts_literal(_midnight(_day(as_of))).alias("etl_update_date"),
                     F.lit(source_db).alias("source_db"), F.lit(source_table).alias("source_table"),
                     "ids", F.lit(0).alias("is_source_delete")))
 
 
 def ledger_unpack(ledger: DataFrame) -> DataFrame:
     """Entry -> one row per key."""
-    return ledger.select("house_keeping_id", F.explode("ids").alias("id"))
+    return ledger.select(*ENTRY, F.explode("ids").alias("id"))
 
 
 def _parse_blob(blob: bytes | None) -> list[str] | None:
@@ -124,8 +128,8 @@ def expiry_gate(entries: DataFrame, source: DataFrame, id_col: str, ts_col: str,
     cutoff = ts_literal(_midnight(_day(as_of) - timedelta(days=days)))
     recent = source.filter(F.col(ts_col) >= cutoff).select(F.col(id_col).alias("id"))
     ids = _typed_ids(ledger_unpack(entries), source.schema[id_col].dataType)
-    blocked = ids.join(recent, "id", "left_semi").select("house_keeping_id").distinct()
-    return entries.join(blocked, "house_keeping_id", "left_anti")
+    blocked = ids.join(recent, "id", "left_semi").select(*ENTRY).distinct()
+    return entries.join(blocked, ENTRY, "left_anti")
 
 
 def retention_delete(source: DataFrame, deletable: DataFrame, id_col: str,
@@ -149,8 +153,8 @@ def ledger_id_count(entries: DataFrame) -> int:
 
 def ledger_mark(ledger: DataFrame, deleted: DataFrame) -> DataFrame:
     """Mark entries whose delete was committed (G7). Call only after that commit."""
-    done = deleted.select("house_keeping_id").distinct().withColumn("_done", F.lit(True))
-    return (ledger.join(done, "house_keeping_id", "left")
+    done = deleted.select(*ENTRY).distinct().withColumn("_done", F.lit(True))
+    return (ledger.join(done, ENTRY, "left")
             .withColumn("is_source_delete",
                         F.when(F.col("_done"), F.lit(1)).otherwise(F.col("is_source_delete")))
             .drop("_done").select(*ledger.columns))

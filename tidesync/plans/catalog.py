@@ -526,7 +526,7 @@ def q_ledger_pack(spark, sf):
 @register("ledger_unpack", """
 SELECT o_orderkey // 10 AS house_keeping_id, CAST(o_orderkey AS VARCHAR) AS id FROM orders""")
 def q_ledger_unpack(spark, sf):
-    return R.ledger_unpack(D.ledger(_t(spark, sf, "orders")))
+    return R.ledger_unpack(D.ledger(_t(spark, sf, "orders"))).select("house_keeping_id", "id")
 
 
 @register("ledger_window", f"""

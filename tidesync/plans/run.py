@@ -108,11 +108,11 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
         log_store.commit(merged.withColumn(SHARD, F.lit(0).cast("long")), replace_all=True, touched=[0])
 
     if ledger_store is not None and task.if_need_house_keeping == 1 and task.keys:
+        # entries are keyed by this run's data version, so a later run never replaces them
         entries = ledger_pack(good, task.keys[0], as_of, task.source_db, task.source_table,
-                              batch_size=task.batch_size)
+                              batch_size=task.batch_size, load_version=version)
         if ledger_store.version():
-            entries = ledger_store.read(LEDGER_SCHEMA).drop(SHARD).join(
-                entries.select("house_keeping_id"), "house_keeping_id", "left_anti").unionByName(entries)
+            entries = ledger_store.read(LEDGER_SCHEMA).drop(SHARD).unionByName(entries)
         ledger_store.commit(entries.withColumn(SHARD, F.lit(0).cast("long")), replace_all=True, touched=[0])
 
     return RunResult(n, n_bad, shards, version, watermark)

@@ -82,8 +82,10 @@ SHARD_LOG_SCHEMA = T.StructType([
     T.StructField("current_columns", T.StringType(), True),
 ])
 
-# Id ledger: one entry per loaded batch with the keys that loaded.
+# Id ledger: one entry per loaded batch with the keys that loaded. An entry is keyed by the data
+# commit that loaded it (load_version) and its batch within that load (house_keeping_id).
 LEDGER_SCHEMA = T.StructType([
+    T.StructField("load_version", T.LongType(), False),
     T.StructField("house_keeping_id", T.LongType(), False),
     T.StructField("etl_update_date", T.TimestampNTZType(), True),
     T.StructField("source_db", T.StringType(), True),
