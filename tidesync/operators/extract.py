@@ -288,5 +288,7 @@ def increment(df: DataFrame, task: SyncTask, as_of=None, first_loop_inclusive: b
         src = src.filter(F.col(tsf) < ts_literal(lag_cutoff(as_of, lag_days)))
     else:
         return src.limit(0).withColumn("partition_num", F.lit(None).cast("long"))
+    if wm[0] is None:               # no watermark yet: from the start
+        wm = None
     out = capped_extract(src, keys, task.row_cap, wm, inclusive=inc)
     return out.withColumn("partition_num", route_expr(idf, task.partition_size, df.schema[idf].dataType))

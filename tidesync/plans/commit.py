@@ -130,13 +130,14 @@ class TableStore:
     # ------------------------------------------------------------------ write
     def commit(self, df: DataFrame, watermark: Mapping | None = None, touched: list | None = None,
                replace_all: bool = False, extra: Mapping | None = None, cluster_by: list[str] | None = None,
-               expected_version: int | None = None) -> int:
+               expected_version: int | None = None, small: bool = False) -> int:
         """Write ``df`` as the new content of the shards it holds (or of ``touched``), then commit.
 
         ``replace_all`` drops shards absent from ``df`` (truncate-and-load, deletes that empty a
         shard). The rows are rebalanced on the shard column (AQE): small shards are coalesced
         into one file each and a dominant shard is split into advisory-size pieces, never funnelled
         into one task; files are sorted by ``cluster_by`` so keyset filters can skip row groups.
+        ``small`` is for tables bounded by design (the shard log: one row per shard): one file.
         """
         st = self.state()
         base = st["version"] if expected_version is None else expected_version
@@ -148,7 +149,7 @@ class TableStore:
         if touched is None:
             touched = [r[SHARD] for r in df.select(SHARD).distinct().collect()]  # one row per shard
         cluster = [c for c in (cluster_by or []) if c in df.columns and c != SHARD]
-        out = df.hint("rebalance", SHARD).sortWithinPartitions(SHARD, *cluster)
+        out = (df.coalesce(1) if small else df.hint("rebalance", SHARD)).sortWithinPartitions(SHARD, *cluster)
         (out.withColumn("ver", F.lit(new_v)).write.mode("append")
          .partitionBy(SHARD, "ver").parquet(self.root))
         shards = {} if replace_all else dict(st["shards"])

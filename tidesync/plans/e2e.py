@@ -59,7 +59,7 @@ def q_housekeeping_run(spark, sf):
     root = scratch_path(spark, "housekeeping")
     source, ledger = TableStore(spark, f"{root}/source"), TableStore(spark, f"{root}/ledger")
     source.commit(with_partition_num(D.retention_source(orders), "o_orderkey", 1000))
-    ledger.commit(D.ledger(orders).withColumn("partition_num", F.lit(0).cast("long")), replace_all=True)
+    ledger.commit(D.ledger(orders).withColumn("partition_num", F.col("load_version")))
     house_keeping(spark, orders_task(housekeeping=1), source, ledger, D.ORDERS_AS_OF, start_days=60, end_days=0)
     return source.read()
 
@@ -95,3 +95,86 @@ def q_sync_run_production(spark, sf):
              store, log, ledger, as_of="2001-08-10 00:00:00")
     run_task(spark, production_task(), orders, store, log, ledger, as_of="2001-08-11 00:00:00")
     return store.read()
+
+
+def procedure_source(orders):
+    """A procedure result derived from orders: a zero-padded code, 'Null' tokens, a boolean flag
+    and an 8-byte rowversion."""
+    from ..functions.rules import unsigned_to_bytes
+    return orders.select(
+        "o_orderkey", "o_custkey",
+        F.lpad(F.col("o_custkey").cast("string"), 8, "0").alias("cust_code"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("Null")).otherwise(F.col("o_orderpriority")).alias("priority"),
+        (F.col("o_orderpriority") == "1-URGENT").alias("is_urgent"),
+        unsigned_to_bytes("o_orderkey").alias("rv"))
+
+
+def procedure_task(etl_type: int = 1, arg_counts: int = 2) -> dict:
+    return {"source_table_id": 1, "source_db": "src_db", "source_table": "orders", "source_sp": "sp_orders",
+            "etl_type": etl_type, "arg_counts": arg_counts, "target_db": "dw", "target_table": "orders_sp",
+            "pk_field": "o_orderkey", "sync_field": "o_orderkey, o_custkey, cust_code, priority, is_urgent, rv",
+            "max_loop_count": 5, "batch_size": 1000, "id_field_name_1": "o_orderkey", "last_id_sync_record_1": 0,
+            "id_field_name_2": None, "last_id_sync_record_2": None, "timestamp_field_name": "rv",
+            "last_timestamp_sync_record": None}
+
+
+# Fixed rule list of the procedure check: a bit rule and a rowversion rule for dw.orders_sp.
+PROCEDURE_RULES = [
+    {"target_db": "dw", "target_table": "orders_sp", "column_name": "is_urgent", "original_data_type": "Boolean",
+     "covert_data_type": "bit"},
+    {"target_db": "dw", "target_table": "orders_sp", "column_name": "rv", "original_data_type": "timestamp",
+     "covert_data_type": "bigint"},
+]
+
+_SP_ROWS = """
+SELECT o_orderkey, o_custkey, CASE WHEN ltrim(lpad(CAST(o_custkey AS VARCHAR), 8, '0'), '0') = '' THEN '0'
+         ELSE ltrim(lpad(CAST(o_custkey AS VARCHAR), 8, '0'), '0') END AS cust_code,
+       CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderpriority END AS priority,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS is_urgent,
+       CAST(o_orderkey AS DECIMAL(20,0)) AS rv, 'src-host' AS SourceHost, 'src_db' AS SourceDB"""
+
+
+@register("procedure_sync_run", f"""
+SELECT *, CASE WHEN rn <= 5000 THEN TIMESTAMP '2001-08-10 00:00:00' ELSE TIMESTAMP '2001-08-11 00:00:00' END
+          AS inserttime, o_orderkey // 1000000000 + 1 AS partition_num
+FROM ({_SP_ROWS}, row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders) WHERE rn <= 10000""".replace(
+    "SELECT *,", "SELECT o_orderkey, o_custkey, cust_code, priority, is_urgent, rv, SourceHost, SourceDB,"))
+def q_procedure_sync_run(spark, sf):
+    """Two procedure-sync runs (type 1, one id, 1,000 x 5 rows each) with rules and clean-up."""
+    from .run import run_procedure_task
+    src = procedure_source(D.table(spark, sf, "orders"))
+    store = TableStore(spark, scratch_path(spark, "procedure"))
+    for day in ("2001-08-10 00:00:00", "2001-08-11 00:00:00"):
+        run_procedure_task(spark, procedure_task(), src, store, PROCEDURE_RULES, as_of=day, source_host="src-host")
+    return store.read()
+
+
+@register("sync_run_by_id", """
+SELECT event_id, ts, user_id, event_type, value, event_id // 1000 + 1 AS partition_num FROM events
+ORDER BY event_id LIMIT 10000""")
+def q_sync_run_by_id(spark, sf):
+    """Two type-1 runs over events (1,000 x 5 rows each); a new task starts at the first id."""
+    task = SyncTask(source_table_id=2, source_db="src_db", source_table="events", target_db="dw",
+                    target_table="events_t", etl_type=1, sync_field="event_id, ts, user_id, event_type, value",
+                    pk_field="event_id", id_field_name="event_id", batch_size=1000, max_loop_count=5,
+                    partition_size=1000)
+    ev = D.table(spark, sf, "events")
+    store = TableStore(spark, scratch_path(spark, "sync_by_id"))
+    for _ in range(2):
+        run_task(spark, SyncTask(**{**task.__dict__}), ev, store, as_of="2024-02-01 00:00:00")
+    return store.read()
+
+
+@register("sync_run_lagged", f"""
+WITH c AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '2001-07-29'),
+r1 AS (SELECT * FROM c ORDER BY o_orderdate, o_orderkey LIMIT 5000),
+r2 AS (SELECT * FROM c WHERE o_orderdate >= (SELECT max(o_orderdate) FROM r1)
+       ORDER BY o_orderdate, o_orderkey LIMIT 5000)
+SELECT DISTINCT {_ORD5}, o_orderkey // 1000 + 1 AS partition_num FROM (SELECT * FROM r1 UNION ALL SELECT * FROM r2)""")
+def q_sync_run_lagged(spark, sf):
+    """Two type-3 runs (3-day settle lag); each run re-reads the rows at its watermark's timestamp."""
+    orders = D.table(spark, sf, "orders")
+    store = TableStore(spark, scratch_path(spark, "sync_lagged"))
+    for _ in range(2):
+        run_task(spark, orders_task(3), orders, store, as_of="2001-08-01 12:00:00")
+    return store.read()

@@ -19,7 +19,8 @@ from ..operators.load import append, split_rejects, upsert
 from ..operators.profile import shard_log_merge, shard_log_rows, shard_profile
 from ..operators.retention import (expiry_gate, ledger_id_count, ledger_mark, ledger_pack, ledger_purge,
                                    ledger_window, retention_delete)
-from ..schema import LEDGER_SCHEMA, SHARD_LOG_SCHEMA, SyncTask, validate_task
+from ..schema import (DEFAULT_LAST_ID, DEFAULT_LAST_TIMESTAMP, LEDGER_SCHEMA, SHARD_LOG_SCHEMA, SyncTask,
+                      validate_task)
 from ..session import ensure_checkpoint_dir
 from .commit import SHARD, TableStore
 
@@ -35,6 +36,11 @@ class RunResult:
 
 def _watermark_of(task: SyncTask, store: TableStore) -> SyncTask:
     wm = store.watermark()
+    if store.version() == 0 and task.last_id_sync_record in (None, DEFAULT_LAST_ID) \
+            and task.last_timestamp_sync_record in (None, DEFAULT_LAST_TIMESTAMP):
+        # a new task with the default watermarks reads from the start (so id 0 is not skipped)
+        task.last_id_sync_record, task.last_timestamp_sync_record = None, None
+        return task
     if wm.get("last_id") is not None:
         task.last_id_sync_record = wm["last_id"]
     if wm.get("last_timestamp") is not None:
@@ -105,40 +111,121 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
                               task.timestamp_field_name, task.event_date_field_name, task.fields, as_of)
         old_log = log_store.read(SHARD_LOG_SCHEMA) if log_store.version() else None
         merged = shard_log_merge(old_log, rows) if old_log is not None else rows
-        log_store.commit(merged.withColumn(SHARD, F.lit(0).cast("long")), replace_all=True, touched=[0])
+        log_store.commit(merged.withColumn(SHARD, F.lit(0).cast("long")), replace_all=True, touched=[0], small=True)
 
     if ledger_store is not None and task.if_need_house_keeping == 1 and task.keys:
-        # entries are keyed by this run's data version, so a later run never replaces them
+        # append-only: the entries of this load are one new folder (shard = load_version); earlier
+        # loads are never rewritten here
         entries = ledger_pack(good, task.keys[0], as_of, task.source_db, task.source_table,
                               batch_size=task.batch_size, load_version=version)
-        if ledger_store.version():
-            entries = ledger_store.read(LEDGER_SCHEMA).drop(SHARD).unionByName(entries)
-        ledger_store.commit(entries.withColumn(SHARD, F.lit(0).cast("long")), replace_all=True, touched=[0])
+        ledger_store.commit(entries.withColumn(SHARD, F.col("load_version")), touched=[version],
+                            cluster_by=["house_keeping_id"])
 
     return RunResult(n, n_bad, shards, version, watermark)
 
 
 def house_keeping(spark: SparkSession, task: SyncTask, source_store: TableStore, ledger_store: TableStore,
                   as_of: datetime | str, start_days: int = 60, end_days: int = 14) -> dict:
-    """Delete from the source what was copied and is past retention; then mark the ledger."""
+    """Delete from the source what was copied and is past retention; then mark the ledger.
+
+    The ledger is stored with one folder per load (shard = load_version); only the loads holding a
+    marked or purged entry are rewritten.
+    """
+    from ..operators.retention import ENTRY, _typed_ids, ledger_unpack
     validate_task(task)
-    ledger = ledger_purge(ledger_store.read(LEDGER_SCHEMA).drop(SHARD), as_of)
+    full = ledger_store.read(LEDGER_SCHEMA)
+    ledger = ledger_purge(full.drop(SHARD), as_of)
     window = ledger_window(ledger, as_of, start_days, end_days, task.source_db, task.source_table)
     deletable = expiry_gate(window, source_store.read(), task.keys[0], task.timestamp_field_name, as_of)
     deletable = deletable.checkpoint(eager=True)
     n_ids = ledger_id_count(deletable)
-    if n_ids == 0:
-        ledger_store.commit(ledger.withColumn(SHARD, F.lit(0).cast("long")), replace_all=True, touched=[0])
-        return {"entries": 0, "ids": 0}
-    src = source_store.read()
-    key = task.keys[0]
-    from ..operators.retention import _typed_ids, ledger_unpack
-    ids = _typed_ids(ledger_unpack(deletable), src.schema[key].dataType).select(F.col("id").alias(key))
-    touched = sorted(r[SHARD] for r in src.join(F.broadcast(ids) if n_ids <= 5_000_000 else ids, key, "left_semi")
-                     .select(SHARD).distinct().collect())
-    kept = retention_delete(src.filter(F.col(SHARD).isin(touched)), deletable, key, ids_rows=n_ids)
-    source_store.commit(kept, touched=touched, cluster_by=[key])
-    # mark only after the delete is committed
-    marked = ledger_mark(ledger, deletable)
-    ledger_store.commit(marked.withColumn(SHARD, F.lit(0).cast("long")), replace_all=True, touched=[0])
-    return {"entries": deletable.count(), "ids": n_ids, "shards": touched}
+    purged_loads = full.drop(SHARD).join(ledger, ENTRY, "left_anti").select("load_version")
+    marked_loads = deletable.select("load_version")
+    loads = sorted(r[0] for r in purged_loads.union(marked_loads).distinct().collect())  # one row per load
+    touched = []
+    if n_ids:
+        src = source_store.read()
+        key = task.keys[0]
+        ids = _typed_ids(ledger_unpack(deletable), src.schema[key].dataType).select(F.col("id").alias(key))
+        ids = F.broadcast(ids) if n_ids <= 5_000_000 else ids
+        touched = sorted(r[SHARD] for r in src.join(ids, key, "left_semi").select(SHARD).distinct().collect())
+        kept = retention_delete(src.filter(F.col(SHARD).isin(touched)), deletable, key, ids_rows=n_ids)
+        source_store.commit(kept, touched=touched, cluster_by=[key])
+    if loads:
+        # mark only after the delete is committed; rewrite only the loads that changed
+        marked = ledger_mark(ledger.filter(F.col("load_version").isin(loads)), deletable)
+        ledger_store.commit(marked.withColumn(SHARD, F.col("load_version")), touched=loads,
+                            cluster_by=["house_keeping_id"])
+    return {"entries": deletable.count(), "ids": n_ids, "shards": touched, "loads": loads}
+
+
+def _sp_keys(task: dict) -> list[str]:
+    if task["etl_type"] == 2:
+        return ["_rowversion"]
+    keys = [task["id_field_name_1"]]
+    if task.get("arg_counts") == 3:
+        keys.append(task["id_field_name_2"])
+    return keys
+
+
+def run_procedure_task(spark: SparkSession, task: dict, source: DataFrame, store: TableStore, rules=(),
+                       as_of: datetime | str | None = None, source_host: str | None = None,
+                       partition_size: int = 1_000_000_000) -> RunResult:
+    """Procedure sync (a TASK_SP_SCHEMA row): batch read by one or two ids or by rowversion, add
+    provenance, apply the conversion rules, clean, upsert with ``inserttime`` and move the
+    watermark. Type 4 reads the table in key order from the row's id each run (its position is
+    not kept), up to the run cap."""
+    from ..functions.cleaning import procedure_sync_clean
+    from ..functions.routing import route_expr
+    from ..functions.rules import apply_rules, bytes_to_unsigned, ts_literal, with_provenance
+    from ..operators.extract import capped_extract
+    from ..schema import split_fields, validate_sp_task
+
+    validate_sp_task(task)
+    ensure_checkpoint_dir(spark)
+    as_of = datetime.fromisoformat(as_of) if isinstance(as_of, str) else (as_of or datetime.now())
+    etl_type = task["etl_type"]
+    keys = _sp_keys(task)
+    wm = store.watermark() if etl_type != 4 else {}
+    if etl_type == 2:
+        src = source.withColumn("_rowversion", bytes_to_unsigned(task["timestamp_field_name"]))
+        last = wm.get("last_rowversion", task.get("last_timestamp_sync_record"))
+        watermark = None if last in (None, 0) and store.version() == 0 else [int(last or 0)]
+    else:
+        src = source
+        last = [wm.get("last_id_1", task.get("last_id_sync_record_1")),
+                wm.get("last_id_2", task.get("last_id_sync_record_2"))][:len(keys)]
+        fresh = store.version() == 0 and all(v in (None, 0) for v in last)
+        watermark = None if fresh or etl_type == 4 and all(v in (None, 0) for v in last) else \
+            [0 if v is None else v for v in last]
+    cap = int(task["batch_size"]) * int(task["max_loop_count"])
+    rows = capped_extract(src, keys, cap, watermark)
+    rows = with_provenance(rows, source_host or task.get("source") or "", task["source_db"])
+    rows = apply_rules(rows, rules, task["target_db"], task["target_table"])
+    rows = procedure_sync_clean(rows).withColumn("inserttime", ts_literal(as_of))
+    pk = split_fields(task.get("pk_field")) or keys
+    rows = rows.withColumn(SHARD, route_expr(pk[0], partition_size, rows.schema[pk[0]].dataType))
+    rows = rows.checkpoint(eager=True)
+
+    last_key = F.max(F.struct(*[F.col(k) for k in keys]))
+    summ = rows.agg(F.count(F.lit(1)).alias("n"), last_key.alias("last"),
+                    F.collect_set(F.col(SHARD)).alias("shards")).first()
+    if summ["n"] == 0:
+        return RunResult(0, 0, [], None, store.watermark())
+    if etl_type == 2:
+        new_wm = {"last_rowversion": str(summ["last"][0])}
+    elif etl_type == 4:
+        new_wm = {}
+    else:
+        new_wm = {"last_id_1": summ["last"][0], **({"last_id_2": summ["last"][1]} if len(keys) == 2 else {})}
+    out = rows.drop("_rowversion") if "_rowversion" in rows.columns else rows
+    shards = sorted(summ["shards"])
+    if store.version() == 0:
+        new_part = out
+    else:
+        old = store.read().filter(F.col(SHARD).isin(shards))
+        # every column is set on a key match, the key included; extraction order decides within a run
+        new_part = upsert(old, out, [SHARD, *pk], order=[k for k in keys if k in out.columns],
+                          changes_rows=summ["n"])
+    version = store.commit(new_part, watermark=new_wm, touched=shards, cluster_by=pk)
+    return RunResult(summ["n"], 0, shards, version, new_wm)
