@@ -135,3 +135,14 @@ def test_increment_types(spark):
     t3 = SyncTask(etl_type=3, last_timestamp_sync_record=datetime(2024, 1, 10), **base)
     r3 = X.increment(o, t3, as_of=datetime(2024, 1, 15))
     assert all(datetime(2024, 1, 10) <= r["ts"] < datetime(2024, 1, 12) for r in r3.collect())
+
+
+def test_capped_extract_large_ordinals(spark):
+    # ids near 2^60 and microsecond timestamps over centuries: bucket edges must be exact
+    big = 2 ** 60
+    data = [(big + i * 1_000_003, datetime(1900 + i % 200, 1 + i % 12, 1, i % 24, 0, 0, i)) for i in range(400)]
+    df = spark.createDataFrame(data, "id long, ts timestamp_ntz")
+    got = X.capped_extract(df, ["id"], 173, topk_limit=7, buckets=5)
+    assert sorted(_rows(got, "id")) == sorted(_rows(df.orderBy("id").limit(173), "id"))
+    got_ts = X.capped_extract(df, ["ts", "id"], 211, topk_limit=7, buckets=6)
+    assert sorted(_rows(got_ts, "ts", "id")) == sorted(_rows(df.orderBy("ts", "id").limit(211), "ts", "id"))

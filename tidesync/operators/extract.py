@@ -208,7 +208,8 @@ def capped_extract(df: DataFrame, keys: Sequence[str], cap: int, watermark: Sequ
                 break
             continue
         width = max(1, math.ceil((hi - lo + 1) / buckets))
-        b = F.floor((ordv - F.lit(lo)) / F.lit(width)).cast("long")
+        # exact integral division (a double division misplaces rows at bucket edges above 2^53)
+        b = F.call_function("div", ordv - F.lit(lo), F.lit(int(width)))
         hist = sorted((r["b"], r["n"]) for r in
                       base.filter(scope).groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect())
         before = 0
