@@ -25,14 +25,31 @@ def test_commit_versions_and_touched_shards(spark, scratch):
     st = TableStore(spark, scratch("store"))
     df = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "k int, v string, partition_num long")
     assert st.commit(df, watermark={"last_id": 2}) == 1
-    st.commit(spark.createDataFrame([(2, "b2", 2)], "k int, v string, partition_num long"), touched=[2])
+    st.commit(spark.createDataFrame([(2, "b2", 2)], "k int, v string, partition_num long"), touched=["2/0"])
     assert sorted((r["k"], r["v"]) for r in st.read().collect()) == [(1, "a"), (2, "b2")]
-    assert st.state()["shards"] == {"1": 1, "2": 2} and st.watermark() == {"last_id": 2}
+    assert st.state()["units"] == {"1/0": 1, "2/0": 2} and st.watermark() == {"last_id": 2}
     # a touched shard that ends up empty disappears
-    st.commit(spark.createDataFrame([], "k int, v string, partition_num long"), touched=[1])
+    st.commit(spark.createDataFrame([], "k int, v string, partition_num long"), touched=["1/0"])
     assert [r["k"] for r in st.read().collect()] == [2]
 
 
+def test_units_split_a_shard_and_rewrite_only_touched(spark, scratch):
+    from tidesync.plans.commit import bucket_expr
+    from pyspark.sql import types as T
+    st = TableStore(spark, scratch("units"))
+    size = 64_000_000                     # one shard, 64 buckets of 1e6 keys
+    df = spark.range(0, 5_000_000, 250_000).select(F.col("id").alias("k"), F.lit(1).cast("long").alias("partition_num"))
+    st.commit(df, bucket=bucket_expr("k", T.LongType(), size))
+    assert len(st.units()) == 5
+    ver_before = dict(st.state()["units"])
+    change = spark.createDataFrame([(1_250_000, 1)], "k long, partition_num long")
+    st.commit(change.unionByName(st.read(units=["1/1"]).filter(F.col("k") != 1_250_000)),
+              touched=["1/1"], bucket=bucket_expr("k", T.LongType(), size))
+    after = st.state()["units"]
+    assert after["1/1"] == 2 and all(after[u] == 1 for u in ver_before if u != "1/1")
+    assert st.read().count() == 20
+
+
 def test_crash_before_state_rename_keeps_old_data_and_watermark(spark, scratch):
     root = scratch("crash")
     st = TableStore(spark, root)

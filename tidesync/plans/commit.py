@@ -2,32 +2,53 @@
 
 Layout under ``root`` (a folder on the shared file system)::
 
-    root/partition_num=P/ver=V/part-*.parquet     data, one folder per shard and version
-    root/_state/00000007.json                     commit V: {shard: version}, watermark, extras
-
-A commit writes the new shard folders first (readers do not see them), then creates the next state
-file. The state file is created under a temporary name and renamed to its final name; the rename
-fails if a concurrent writer took that version first. A crash before the rename leaves the old data
-and the old watermark. An upsert rewrites only the shards it touches; the others keep their folders.
+    root/partition_num=P/bucket=B/ver=V/part-*.parquet   data: one folder per unit and version
+    root/_state/00000007.json                           commit V: {"P/B": version}, watermark, extras
+
+A unit is a shard (``partition_num``) or a key range inside it (``bucket``): the unit, not the shard,
+is what a commit rewrites, so an upsert into a shard of a billion ids rewrites only the key ranges
+its changes touch. A commit writes the new unit folders first (readers do not see them), then
+creates the next state file: written under a temporary name and renamed to its final name, refused
+if a concurrent writer took that version first. A crash before the rename leaves the old data and
+the old watermark.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SHARD = "partition_num"
+BUCKET = "bucket"
+MIN_BUCKET_SPAN = 1_000_000
+BUCKETS_PER_SHARD = 64
 
 
 class CommitConflict(RuntimeError):
     """Another writer committed the same version first."""
 
 
+def bucket_span(partition_size: int) -> int:
+    """Key range of one bucket: a shard splits into up to 64 buckets of at least 1e6 keys."""
+    return int(min(partition_size, max(MIN_BUCKET_SPAN, partition_size // BUCKETS_PER_SHARD)))
+
+
+def bucket_expr(key: str, dtype: T.DataType, partition_size: int) -> Column:
+    """Bucket of a row inside its shard: integral keys by key range, other keys by hash."""
+    if isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
+        return F.call_function("div", F.col(key).cast("long"), F.lit(bucket_span(partition_size)))
+    return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(BUCKETS_PER_SHARD)).cast("long")
+
+
+def unit_key(shard, bucket) -> str:
+    return f"{shard}/{bucket}"
+
+
 class _FS:
     """The few Hadoop FileSystem calls the store needs (works on HDFS, object stores and local)."""
 
@@ -40,24 +61,21 @@ class _FS:
     def path(self, rel: str):
         return self.jvm.org.apache.hadoop.fs.Path(self.root, rel)
 
-    def exists(self, rel: str) -> bool:
-        return self.fs.exists(self.path(rel))
-
     def list_names(self, rel: str) -> list[str]:
         p = self.path(rel)
         if not self.fs.exists(p):
             return []
         return [s.getPath().getName() for s in self.fs.listStatus(p)]
 
-    def glob_names(self, pattern: str, level: int) -> list[str]:
-        """Names of the path component ``level`` folders up of every match of ``pattern``."""
-        found = self.fs.globStatus(self.path(pattern))
+    def glob_parents(self, pattern: str, levels: int) -> list[list[str]]:
+        """For each match of ``pattern``: its own name and its parents', ``levels`` in all, outermost first."""
         out = []
-        for st in (found or []):
-            p = st.getPath()
-            for _ in range(level):
+        for st in (self.fs.globStatus(self.path(pattern)) or []):
+            p, names = st.getPath(), []
+            for _ in range(levels):
+                names.append(p.getName())
                 p = p.getParent()
-            out.append(p.getName())
+            out.append(names[::-1])
         return out
 
     def read_text(self, rel: str) -> str:
@@ -82,7 +100,7 @@ class _FS:
 
 
 class TableStore:
-    """A table folder with versioned shards and a committed watermark."""
+    """A table folder with versioned units (shard, bucket) and a committed watermark."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -97,25 +115,38 @@ class TableStore:
     def state(self) -> dict:
         v = self.version()
         if v == 0:
-            return {"version": 0, "shards": {}, "watermark": {}, "schema": None, "extra": {}}
+            return {"version": 0, "units": {}, "watermark": {}, "schema": None, "extra": {}}
         return json.loads(self._fs.read_text(f"_state/{v:08d}.json"))
 
     def watermark(self) -> dict:
         return self.state()["watermark"]
 
+    def units(self) -> list[str]:
+        return sorted(self.state()["units"])
+
     # ------------------------------------------------------------------ read
-    def read(self, schema: T.StructType | None = None) -> DataFrame:
+    def read(self, schema: T.StructType | None = None, units: Iterable[str] | None = None,
+             shards: Iterable | None = None, keep_unit: bool = False) -> DataFrame:
+        """The committed rows; only the folders of ``units`` (or of ``shards``) when given.
+        ``keep_unit`` keeps the ``bucket`` column (to rewrite exactly the units rows came from)."""
         st = self.state()
-        shards = st["shards"]
-        if not shards:
-            sch = schema or (T.StructType.fromJson(json.loads(st["schema"])) if st.get("schema") else None)
-            if sch is None:
+        committed = st["units"]
+        pick = set(committed) if units is None else set(units) & set(committed)
+        if shards is not None:
+            wanted = {str(s) for s in shards}
+            pick = {u for u in pick if u.split("/", 1)[0] in wanted}
+        want = T.StructType.fromJson(json.loads(st["schema"])) if st.get("schema") else schema
+        if not pick:
+            if want is None:
                 raise ValueError(f"{self.root}: empty table and no schema given")
-            return self.spark.createDataFrame([], sch)
-        paths = [f"{self.root}/{SHARD}={p}/ver={v}" for p, v in sorted(shards.items())]
+            empty = self.spark.createDataFrame([], want)
+            return empty.withColumn(BUCKET, F.lit(None).cast("long")) if keep_unit else empty
+        paths = []
+        for u in sorted(pick):
+            p, b = u.split("/", 1)
+            paths.append(f"{self.root}/{SHARD}={p}/{BUCKET}={b}/ver={committed[u]}")
         df = self.spark.read.option("basePath", self.root).parquet(*paths).drop("ver")
-        if st.get("schema"):
-            want = T.StructType.fromJson(json.loads(st["schema"]))
+        if want is not None:
             have = {f.name: f.dataType for f in df.schema.fields}
 
             def col(f):
@@ -124,20 +155,23 @@ class TableStore:
                 if have[f.name].simpleString() == f.dataType.simpleString():
                     return F.col(f.name)      # same type (nullability may differ after a round trip)
                 return F.col(f.name).cast(f.dataType).alias(f.name)
-            df = df.select(*[col(f) for f in want.fields])
-        return df
+            df = df.select(*[col(f) for f in want.fields], BUCKET)
+        return df if keep_unit else df.drop(BUCKET)
 
     # ------------------------------------------------------------------ write
-    def commit(self, df: DataFrame, watermark: Mapping | None = None, touched: list | None = None,
+    def commit(self, df: DataFrame, watermark: Mapping | None = None, touched: Iterable[str] | None = None,
                replace_all: bool = False, extra: Mapping | None = None, cluster_by: list[str] | None = None,
-               expected_version: int | None = None, small: bool = False) -> int:
-        """Write ``df`` as the new content of the shards it holds (or of ``touched``), then commit.
-
-        ``replace_all`` drops shards absent from ``df`` (truncate-and-load, deletes that empty a
-        shard). The rows are rebalanced on the shard column (AQE): small shards are coalesced
-        into one file each and a dominant shard is split into advisory-size pieces, never funnelled
-        into one task; files are sorted by ``cluster_by`` so keyset filters can skip row groups.
-        ``small`` is for tables bounded by design (the shard log: one row per shard): one file.
+               expected_version: int | None = None, small: bool = False,
+               bucket: Column | None = None) -> int:
+        """Write ``df`` as the new content of the units it holds and of ``touched``, then commit.
+
+        ``df`` carries ``partition_num``; ``bucket`` (an expression) splits shards into units,
+        default one unit per shard. ``touched`` lists unit keys ("P/B") whose content ``df``
+        replaces (listed units left empty are dropped); ``replace_all`` drops every unit absent
+        from ``df``. Rows are rebalanced on the unit (AQE): small units are coalesced and a dominant
+        one is split into advisory-size pieces, never funnelled into one task; files are sorted by
+        ``cluster_by`` so keyset filters can skip row groups. ``small`` is for tables bounded by
+        design (the shard log: one row per shard): one file.
         """
         st = self.state()
         base = st["version"] if expected_version is None else expected_version
@@ -146,21 +180,26 @@ class TableStore:
         new_v = base + 1
         if SHARD not in df.columns:
             df = df.withColumn(SHARD, F.lit(0).cast("long"))
-        if touched is None:
-            touched = [r[SHARD] for r in df.select(SHARD).distinct().collect()]  # one row per shard
-        cluster = [c for c in (cluster_by or []) if c in df.columns and c != SHARD]
-        out = (df.coalesce(1) if small else df.hint("rebalance", SHARD)).sortWithinPartitions(SHARD, *cluster)
-        (out.withColumn("ver", F.lit(new_v)).write.mode("append")
-         .partitionBy(SHARD, "ver").parquet(self.root))
-        shards = {} if replace_all else dict(st["shards"])
-        written = {n.split("=", 1)[1] for n in self._fs.glob_names(f"{SHARD}=*/ver={new_v}", 1)}
-        for p in touched:
-            if str(p) in written:
-                shards[str(p)] = new_v
-            else:
-                shards.pop(str(p), None)     # a touched shard that ended up empty
-        new_state = {"version": new_v, "shards": shards,
-                     "watermark": dict(watermark or st.get("watermark") or {}),
-                     "schema": df.drop("ver").schema.json(), "extra": dict(extra or st.get("extra") or {})}
+        data_cols = [c for c in df.columns if c != BUCKET]
+        b = bucket if bucket is not None else (F.col(BUCKET) if BUCKET in df.columns else F.lit(0))
+        df = df.withColumn(BUCKET, b.cast("long"))
+        cluster = [c for c in (cluster_by or []) if c in df.columns and c not in (SHARD, BUCKET)]
+        out = df.coalesce(1) if small else df.hint("rebalance", SHARD, BUCKET)
+        (out.sortWithinPartitions(SHARD, BUCKET, *cluster).withColumn("ver", F.lit(new_v))
+         .write.mode("append").partitionBy(SHARD, BUCKET, "ver").parquet(self.root))
+        written = self._written(new_v)      # one glob instead of a call per unit
+        units = {} if replace_all else dict(st["units"])
+        for u in touched or ():
+            units.pop(str(u), None)         # replaced; re-added below when it still has rows
+        for u in written:
+            units[u] = new_v
+        new_state = {"version": new_v, "units": units,
+                     "watermark": dict(watermark if watermark is not None else st.get("watermark") or {}),
+                     "schema": df.select(*data_cols).schema.json(),
+                     "extra": dict(extra if extra is not None else st.get("extra") or {})}
         self._fs.write_new(f"_state/{new_v:08d}.json", json.dumps(new_state, default=str, sort_keys=True))
         return new_v
+
+    def _written(self, v: int) -> set[str]:
+        found = self._fs.glob_parents(f"{SHARD}=*/{BUCKET}=*/ver={v}", 3)
+        return {unit_key(p.split("=", 1)[1], b.split("=", 1)[1]) for p, b, _ in found}

@@ -22,7 +22,7 @@ from ..operators.retention import (expiry_gate, ledger_id_count, ledger_mark, le
 from ..schema import (DEFAULT_LAST_ID, DEFAULT_LAST_TIMESTAMP, LEDGER_SCHEMA, SHARD_LOG_SCHEMA, SyncTask,
                       validate_task)
 from ..session import ensure_checkpoint_dir
-from .commit import SHARD, TableStore
+from .commit import BUCKET, SHARD, TableStore, bucket_expr, unit_key
 
 
 @dataclass
@@ -50,8 +50,9 @@ def _watermark_of(task: SyncTask, store: TableStore) -> SyncTask:
 
 def _summary(inc: DataFrame, task: SyncTask) -> DataFrame:
     ok = F.col(SHARD).isNotNull()
+    # units (shard, bucket) touched: bounded by the number of units, not by the rows
     aggs = [F.count_if(ok).alias("n"), F.count_if(~ok).alias("n_bad"),
-            F.collect_set(F.col(SHARD)).alias("shards")]
+            F.collect_set(F.when(ok, F.struct(F.col(SHARD), F.col(BUCKET)))).alias("units")]
     if task.etl_type == 1:
         aggs += [F.max(F.when(ok, F.col(task.id_field_name))).alias("last_id"),
                  F.lit(None).cast("timestamp_ntz").alias("last_ts")]
@@ -72,16 +73,19 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
     task = _watermark_of(task, store)
 
     inc = table_sync_clean(increment(source, task, as_of))
+    unit_col = task.keys[0] if task.keys else task.id_field_name
+    bucket = (bucket_expr(unit_col, source.schema[unit_col].dataType, task.partition_size)
+              if unit_col and task.etl_type != 4 else F.lit(0).cast("long"))
+    inc = inc.withColumn(BUCKET, bucket)
     # one materialisation in the shared checkpoint folder: the increment feeds the load, the profile,
     # the watermark and the ledger, and the source may change while the run goes on
     inc = inc.checkpoint(eager=True)
     good, bad = split_rejects(inc)
-    # one pass over the increment for its counts, the next watermark and the touched shards
-    # (the shard set is bounded by the number of shards, not by the rows)
+    # one pass over the increment for its counts, the next watermark and the touched units
     summary = _summary(inc, task).first()
     n, n_bad = summary["n"], summary["n_bad"]
     if reject_store is not None and n_bad:
-        reject_store.commit(bad.withColumn(SHARD, F.lit(-1).cast("long")), touched=[-1])
+        reject_store.commit(bad.withColumn(SHARD, F.lit(-1).cast("long")))
     if n == 0:
         return RunResult(0, n_bad, [], None, store.watermark())
     if task.etl_type == 4:
@@ -89,7 +93,8 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
     else:
         watermark = {"last_id": summary["last_id"],
                      "last_timestamp": None if summary["last_ts"] is None else str(summary["last_ts"])}
-    shards = sorted(summary["shards"])
+    units = sorted(unit_key(u[SHARD], u[BUCKET]) for u in summary["units"])
+    shards = sorted({u[SHARD] for u in summary["units"]})
 
     if task.etl_type == 4:
         version = store.commit(good, watermark=watermark, replace_all=True, cluster_by=task.keys)
@@ -97,29 +102,28 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
         if store.version() == 0:
             new_part = good
         else:
-            old = store.read().filter(F.col(SHARD).isin(shards))   # only the touched shard folders
+            old = store.read(units=units, keep_unit=True)     # only the touched unit folders
             if task.keys:
                 order = [c for c in (task.timestamp_field_name, task.id_field_name) if c]
-                new_part = upsert(old, good, [SHARD, *task.keys], order=order, changes_rows=n)
+                new_part = upsert(old, good, [SHARD, BUCKET, *task.keys], order=order, changes_rows=n)
             else:
                 new_part = append(old, good)
-        version = store.commit(new_part, watermark=watermark, touched=shards, cluster_by=task.keys)
+        version = store.commit(new_part, watermark=watermark, touched=units, cluster_by=task.keys)
 
     if log_store is not None and task.etl_type in (1, 2, 3):
-        prof = shard_profile(good, task.id_field_name, task.timestamp_field_name, task.event_date_field_name)
+        prof = shard_profile(good.drop(BUCKET), task.id_field_name, task.timestamp_field_name, task.event_date_field_name)
         rows = shard_log_rows(prof, task.target_table, task.source_db, task.source_table, task.id_field_name,
                               task.timestamp_field_name, task.event_date_field_name, task.fields, as_of)
         old_log = log_store.read(SHARD_LOG_SCHEMA) if log_store.version() else None
         merged = shard_log_merge(old_log, rows) if old_log is not None else rows
-        log_store.commit(merged.withColumn(SHARD, F.lit(0).cast("long")), replace_all=True, touched=[0], small=True)
+        log_store.commit(merged.withColumn(SHARD, F.lit(0).cast("long")), replace_all=True, small=True)
 
     if ledger_store is not None and task.if_need_house_keeping == 1 and task.keys:
         # append-only: the entries of this load are one new folder (shard = load_version); earlier
         # loads are never rewritten here
-        entries = ledger_pack(good, task.keys[0], as_of, task.source_db, task.source_table,
+        entries = ledger_pack(good.drop(BUCKET), task.keys[0], as_of, task.source_db, task.source_table,
                               batch_size=task.batch_size, load_version=version)
-        ledger_store.commit(entries.withColumn(SHARD, F.col("load_version")), touched=[version],
-                            cluster_by=["house_keeping_id"])
+        ledger_store.commit(entries.withColumn(SHARD, F.col("load_version")), cluster_by=["house_keeping_id"])
 
     return RunResult(n, n_bad, shards, version, watermark)
 
@@ -144,18 +148,20 @@ def house_keeping(spark: SparkSession, task: SyncTask, source_store: TableStore,
     loads = sorted(r[0] for r in purged_loads.union(marked_loads).distinct().collect())  # one row per load
     touched = []
     if n_ids:
-        src = source_store.read()
+        src = source_store.read(keep_unit=True)
         key = task.keys[0]
         ids = _typed_ids(ledger_unpack(deletable), src.schema[key].dataType).select(F.col("id").alias(key))
         ids = F.broadcast(ids) if n_ids <= 5_000_000 else ids
-        touched = sorted(r[SHARD] for r in src.join(ids, key, "left_semi").select(SHARD).distinct().collect())
-        kept = retention_delete(src.filter(F.col(SHARD).isin(touched)), deletable, key, ids_rows=n_ids)
+        # the units holding a deleted key (one row per unit) are the only ones rewritten
+        touched = sorted(unit_key(r[SHARD], r[BUCKET]) for r in
+                         src.join(ids, key, "left_semi").select(SHARD, BUCKET).distinct().collect())
+        kept = retention_delete(source_store.read(units=touched, keep_unit=True), deletable, key, ids_rows=n_ids)
         source_store.commit(kept, touched=touched, cluster_by=[key])
     if loads:
         # mark only after the delete is committed; rewrite only the loads that changed
         marked = ledger_mark(ledger.filter(F.col("load_version").isin(loads)), deletable)
-        ledger_store.commit(marked.withColumn(SHARD, F.col("load_version")), touched=loads,
-                            cluster_by=["house_keeping_id"])
+        ledger_store.commit(marked.withColumn(SHARD, F.col("load_version")),
+                            touched=[unit_key(v, 0) for v in loads], cluster_by=["house_keeping_id"])
     return {"entries": deletable.count(), "ids": n_ids, "shards": touched, "loads": loads}
 
 
@@ -204,12 +210,13 @@ def run_procedure_task(spark: SparkSession, task: dict, source: DataFrame, store
     rows = apply_rules(rows, rules, task["target_db"], task["target_table"])
     rows = procedure_sync_clean(rows).withColumn("inserttime", ts_literal(as_of))
     pk = split_fields(task.get("pk_field")) or keys
-    rows = rows.withColumn(SHARD, route_expr(pk[0], partition_size, rows.schema[pk[0]].dataType))
+    rows = rows.withColumns({SHARD: route_expr(pk[0], partition_size, rows.schema[pk[0]].dataType),
+                             BUCKET: bucket_expr(pk[0], rows.schema[pk[0]].dataType, partition_size)})
     rows = rows.checkpoint(eager=True)
 
     last_key = F.max(F.struct(*[F.col(k) for k in keys]))
     summ = rows.agg(F.count(F.lit(1)).alias("n"), last_key.alias("last"),
-                    F.collect_set(F.col(SHARD)).alias("shards")).first()
+                    F.collect_set(F.struct(F.col(SHARD), F.col(BUCKET))).alias("units")).first()
     if summ["n"] == 0:
         return RunResult(0, 0, [], None, store.watermark())
     if etl_type == 2:
@@ -219,13 +226,14 @@ def run_procedure_task(spark: SparkSession, task: dict, source: DataFrame, store
     else:
         new_wm = {"last_id_1": summ["last"][0], **({"last_id_2": summ["last"][1]} if len(keys) == 2 else {})}
     out = rows.drop("_rowversion") if "_rowversion" in rows.columns else rows
-    shards = sorted(summ["shards"])
+    units = sorted(unit_key(u[SHARD], u[BUCKET]) for u in summ["units"])
+    shards = sorted({u[SHARD] for u in summ["units"]})
     if store.version() == 0:
         new_part = out
     else:
-        old = store.read().filter(F.col(SHARD).isin(shards))
+        old = store.read(units=units, keep_unit=True)
         # every column is set on a key match, the key included; extraction order decides within a run
-        new_part = upsert(old, out, [SHARD, *pk], order=[k for k in keys if k in out.columns],
+        new_part = upsert(old, out, [SHARD, BUCKET, *pk], order=[k for k in keys if k in out.columns],
                           changes_rows=summ["n"])
-    version = store.commit(new_part, watermark=new_wm, touched=shards, cluster_by=pk)
+    version = store.commit(new_part, watermark=new_wm, touched=units, cluster_by=pk)
     return RunResult(summ["n"], 0, shards, version, new_wm)

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from ..functions.cleaning import table_sync_clean
 from ..functions.routing import route_expr
 from ..operators.load import append, upsert
-from ..plans.commit import SHARD, TableStore
+from ..plans.commit import BUCKET, SHARD, TableStore, bucket_expr, unit_key
 
 
 def sync_batch(batch: DataFrame, epoch_id: int, store: TableStore, keys: list[str], id_col: str,
@@ -27,18 +27,19 @@ def sync_batch(batch: DataFrame, epoch_id: int, store: TableStore, keys: list[st
     st = store.state()
     if st.get("extra", {}).get("epoch", -1) >= epoch_id:
         return
-    rows = table_sync_clean(batch.withColumn(SHARD, route_expr(id_col, partition_size,
-                                                               batch.schema[id_col].dataType)))
+    dtype = batch.schema[id_col].dataType
+    rows = table_sync_clean(batch.withColumns({SHARD: route_expr(id_col, partition_size, dtype),
+                                               BUCKET: bucket_expr(id_col, dtype, partition_size)}))
     rows = rows.filter(F.col(SHARD).isNotNull())
-    shards = sorted(r[SHARD] for r in rows.select(SHARD).distinct().collect())   # one row per shard
-    if not shards:
+    units = sorted(unit_key(r[0], r[1]) for r in rows.select(SHARD, BUCKET).distinct().collect())  # per unit
+    if not units:
         return
     if st["version"] == 0:
         new_part = rows
     else:
-        old = store.read().filter(F.col(SHARD).isin(shards))
-        new_part = upsert(old, rows, [SHARD, *keys], order=order) if keys else append(old, rows)
-    store.commit(new_part, touched=shards, extra={"epoch": epoch_id})
+        old = store.read(units=units, keep_unit=True)
+        new_part = upsert(old, rows, [SHARD, BUCKET, *keys], order=order) if keys else append(old, rows)
+    store.commit(new_part, touched=units, extra={"epoch": epoch_id})
 
 
 def stream_sync(spark: SparkSession, source_path: str, schema: T.StructType, store: TableStore,
