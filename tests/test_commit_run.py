@@ -188,3 +188,31 @@ def test_spark_type_map():
         spark_type("decimal(65,2)")
     with pytest.raises(ValueError):
         spark_type("geometry")
+
+
+def test_sync_then_house_keeping_deletes_only_copied_and_expired(spark, scratch):
+    from tidesync.functions.routing import with_partition_num
+    orders = table(spark, SF_SMOKE, "orders")
+    root = scratch("life")
+    source = TableStore(spark, f"{root}/source")
+    source.commit(with_partition_num(orders, "o_orderkey", 1000))
+    target, ledger = TableStore(spark, f"{root}/target"), TableStore(spark, f"{root}/ledger")
+    # copy the orders up to 2000 only (the source's later rows stay uncopied): type-3 lag cutoff
+    task = orders_task(3, batch_size=10_000, loops=10, housekeeping=1)
+    run_task(spark, task, source.read(), target, None, ledger, as_of="2000-01-04 00:00:00")
+    copied = target.read().count()
+    assert 0 < copied < orders.count()
+    # 30 days later everything copied is older than 14 days: all copied rows go, nothing else
+    res = house_keeping(spark, orders_task(3, housekeeping=1), source, ledger, "2000-02-03 00:00:00",
+                        start_days=60, end_days=14)
+    assert res["ids"] == copied
+    left = source.read()
+    assert left.count() == orders.count() - copied
+    assert left.agg(F.min("o_orderdate")).first()[0] >= datetime(1999, 12, 31)
+    assert target.read().count() == copied                   # the target keeps its rows
+    marked = ledger.read().agg(F.min("is_source_delete")).first()[0]
+    assert marked == 1
+    # a second pass finds nothing left to delete
+    again = house_keeping(spark, orders_task(3, housekeeping=1), source, ledger, "2000-02-03 00:00:00",
+                          start_days=60, end_days=14)
+    assert again["ids"] == 0 and source.read().count() == orders.count() - copied

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -77,12 +76,3 @@ def ts_literal(value: datetime | str) -> Column:
 def with_audit(df: DataFrame, as_of: datetime | str, name: str = "etl_update_time") -> DataFrame:
     """Audit time column set to ``as_of`` (C10 on insert, C11 on every write)."""
     return df.withColumn(name, ts_literal(as_of))
-
-
-def select_existing(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    have = set(df.columns)
-    return df.select(*[n for n in names if n in have])
-
-
-def rename_all(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
-    return df.withColumnsRenamed(dict(mapping))

@@ -39,7 +39,7 @@ def jdbc_bounds(spark: SparkSession, url: str, dbtable: str, column: str, proper
     q = f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {dbtable}"
     row = (spark.read.format("jdbc").option("url", url).option("query", q)
            .options(**dict(properties)).load().first())
-    return row["LO"] if "LO" in row.asDict() else row["lo"], row["HI"] if "HI" in row.asDict() else row["hi"]
+    return row[0], row[1]            # by position: databases differ in the case of column names
 
 
 def read_jdbc(spark: SparkSession, spec: Mapping) -> DataFrame:
