@@ -146,3 +146,17 @@ def test_capped_extract_large_ordinals(spark):
     assert sorted(_rows(got, "id")) == sorted(_rows(df.orderBy("id").limit(173), "id"))
     got_ts = X.capped_extract(df, ["ts", "id"], 211, topk_limit=7, buckets=6)
     assert sorted(_rows(got_ts, "ts", "id")) == sorted(_rows(df.orderBy("ts", "id").limit(211), "ts", "id"))
+
+
+def test_capped_extract_text_keys_histogram(spark):
+    # uuid-like ids: the 7-byte prefix resolves them; plus a hot shared prefix that needs the slice cut
+    import hashlib
+    data = [(hashlib.md5(str(i).encode()).hexdigest(), i) for i in range(300)]
+    data += [("hotprefix-" + f"{i:04d}", 1000 + i) for i in range(120)]
+    data += [("a", 5000), ("ab", 5001), ("", 5002)]
+    df = spark.createDataFrame(data, "k string, v int")
+    for cap in (50, 157, 299, 380):
+        got = X.capped_extract(df, ["k"], cap, topk_limit=9, buckets=7)
+        assert sorted(_rows(got, "k")) == sorted(_rows(df.orderBy("k").limit(cap), "k")), cap
+    got = X.capped_extract(df, ["k"], 200, watermark=["7"], topk_limit=9, buckets=5)
+    assert sorted(_rows(got, "k")) == _brute(df.select("k"), ["k"], 200, ["7"])

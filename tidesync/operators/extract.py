@@ -144,9 +144,18 @@ def _ordinal(c: Column, dtype: T.DataType) -> Column | None:
         return F.unix_micros(c)
     if isinstance(dtype, T.DateType):
         return F.unix_date(c).cast("long")
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        # first 7 bytes as a big-endian number (shorter values padded with zero bytes): monotone in
+        # Spark's byte-wise order, so equal ordinals only mean a shared 7-byte prefix
+        head = F.substring(c.cast("binary"), 1, 7)
+        return F.conv(F.rpad(F.hex(head), 14, "0"), 16, 10).cast("long")
     return None
 
 
+def _is_prefix_ordinal(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.StringType, T.BinaryType))
+
+
 def _from_ordinal(v: int, dtype: T.DataType) -> Column:
     """Literal of the key's own type for an ordinal bound, so the filter reaches the scan."""
     if isinstance(dtype, T.TimestampNTZType):
@@ -168,7 +177,8 @@ def capped_extract(df: DataFrame, keys: Sequence[str], cap: int, watermark: Sequ
     crosses the cap; every lower bucket is taken whole by a range filter, and the search narrows
     into the crossing bucket (and to the next key when one leading value holds too many rows) until
     what is left fits the top-k. A hot key value holding a third of the table is handled the same
-    way: it only makes the search step to the next key column.
+    way: it only makes the search step to the next key column. Text keys are searched on their
+    first seven bytes; only a slice sharing one such prefix falls back to the rank cut.
     """
     keys = list(keys)
     base = df.filter(not_null(keys))
@@ -200,7 +210,11 @@ def capped_extract(df: DataFrame, keys: Sequence[str], cap: int, watermark: Sequ
         if remaining <= topk_limit:
             tail = base.filter(scope).orderBy(*keys).limit(remaining)
             break
+        prefix = _is_prefix_ordinal(types[k])
         if lo == hi:
+            if prefix:                # one shared 7-byte prefix: rank cut inside this slice only
+                tail = _capped_by_rank(base.filter(scope), keys[level:], remaining, keys)
+                break
             scope = scope & (F.col(k) == _from_ordinal(lo, types[k]))
             level += 1
             if level == len(keys):    # full-key ties: any `remaining` of them, as LIMIT would
@@ -221,10 +235,16 @@ def capped_extract(df: DataFrame, keys: Sequence[str], cap: int, watermark: Sequ
             before += cnt
         lower = lo + cross * width
         upper = lower + width
+        if prefix:                    # bounds on the ordinal itself (text keys: no literal bound)
+            below = ordv < F.lit(lower)
+            inside = (ordv >= F.lit(lower)) & (ordv < F.lit(upper))
+        else:                         # bounds as literals of the key's type: they reach the scan
+            below = F.col(k) < _from_ordinal(lower, types[k])
+            inside = (F.col(k) >= _from_ordinal(lower, types[k])) & (F.col(k) < _from_ordinal(upper, types[k]))
         if before > 0:
-            taken.append(scope & (F.col(k) < _from_ordinal(lower, types[k])))
+            taken.append(scope & below)
         remaining -= before
-        scope = scope & (F.col(k) >= _from_ordinal(lower, types[k])) & (F.col(k) < _from_ordinal(upper, types[k]))
+        scope = scope & inside
 
     parts = []
     if taken:
