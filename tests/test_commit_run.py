@@ -216,3 +216,15 @@ def test_sync_then_house_keeping_deletes_only_copied_and_expired(spark, scratch)
     again = house_keeping(spark, orders_task(3, housekeeping=1), source, ledger, "2000-02-03 00:00:00",
                           start_days=60, end_days=14)
     assert again["ids"] == 0 and source.read().count() == orders.count() - copied
+
+
+def test_store_schema_is_add_only_across_commits(spark, scratch):
+    st = TableStore(spark, scratch("evolve"))
+    st.commit(spark.createDataFrame([(1, "a", 1)], "k int, v string, partition_num long"))
+    st.commit(spark.createDataFrame([(2, "b", 7, 2)], "k int, v string, n int, partition_num long"))
+    rows = sorted((r["k"], r["v"], r["n"]) for r in st.read().collect())
+    assert rows == [(1, "a", None), (2, "b", 7)]
+    # a later commit without the column keeps it in the table (NULL in the new rows)
+    st.commit(spark.createDataFrame([(3, "c", 3)], "k int, v string, partition_num long"))
+    assert st.read().columns == ["k", "v", "partition_num", "n"]     # added columns go last
+    assert sorted((r["k"], r["n"]) for r in st.read().collect()) == [(1, None), (2, 7), (3, None)]

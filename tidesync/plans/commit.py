@@ -145,7 +145,13 @@ class TableStore:
         for u in sorted(pick):
             p, b = u.split("/", 1)
             paths.append(f"{self.root}/{SHARD}={p}/{BUCKET}={b}/ver={committed[u]}")
-        df = self.spark.read.option("basePath", self.root).parquet(*paths).drop("ver")
+        reader = self.spark.read.option("basePath", self.root)
+        if want is not None:
+            # the committed schema, not one file's: columns added later read as NULL in older files
+            have_cols = {f.name for f in want.fields}
+            extra = [T.StructField(c, T.LongType()) for c in (SHARD, BUCKET) if c not in have_cols]
+            reader = reader.schema(T.StructType(list(want.fields) + extra + [T.StructField("ver", T.IntegerType())]))
+        df = reader.parquet(*paths).drop("ver")
         if want is not None:
             have = {f.name: f.dataType for f in df.schema.fields}
 
@@ -195,11 +201,19 @@ class TableStore:
             units[u] = new_v
         new_state = {"version": new_v, "units": units,
                      "watermark": dict(watermark if watermark is not None else st.get("watermark") or {}),
-                     "schema": df.select(*data_cols).schema.json(),
+                     "schema": self._evolved(st, df.select(*data_cols).schema).json(),
                      "extra": dict(extra if extra is not None else st.get("extra") or {})}
         self._fs.write_new(f"_state/{new_v:08d}.json", json.dumps(new_state, default=str, sort_keys=True))
         return new_v
 
+    @staticmethod
+    def _evolved(st: dict, new: T.StructType) -> T.StructType:
+        """Add-only: the committed columns keep place and type; new ones are appended."""
+        from ..operators.schema_ops import evolve_schema
+        if not st.get("schema"):
+            return new
+        return evolve_schema(T.StructType.fromJson(json.loads(st["schema"])), new)
+
     def _written(self, v: int) -> set[str]:
         found = self._fs.glob_parents(f"{SHARD}=*/{BUCKET}=*/ver={v}", 3)
         return {unit_key(p.split("=", 1)[1], b.split("=", 1)[1]) for p, b, _ in found}
