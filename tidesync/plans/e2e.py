@@ -178,3 +178,21 @@ def q_sync_run_lagged(spark, sf):
     for _ in range(2):
         run_task(spark, orders_task(3), orders, store, as_of="2001-08-01 12:00:00")
     return store.read()
+
+
+@register("sync_run_drift", f"""
+SELECT {_ORD5}, CASE WHEN rn <= 5000 THEN NULL ELSE o_orderpriority END AS o_orderpriority,
+       o_orderkey // 1000 + 1 AS partition_num
+FROM (SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS rn FROM orders) WHERE rn <= 10000""")
+def q_sync_run_drift(spark, sf):
+    """Source drift: the first run sees orders before o_orderpriority existed, the second run
+    refreshes sync_field from the source and the target gains the column (add-only)."""
+    orders = D.table(spark, sf, "orders")
+    store = TableStore(spark, scratch_path(spark, "sync_drift"))
+    first = orders_task()
+    run_task(spark, first, orders.drop("o_orderpriority"), store, as_of="2001-08-10 00:00:00", refresh_fields=True)
+    second = orders_task()
+    second.sync_field = first.sync_field            # the control row as the first run left it
+    res = run_task(spark, second, orders, store, as_of="2001-08-11 00:00:00", refresh_fields=True)
+    assert "o_orderpriority" in res.sync_field
+    return store.read()

@@ -32,6 +32,18 @@ class RunResult:
     shards: list
     version: int | None
     watermark: dict
+    sync_field: str | None = None
+
+
+def refresh_sync_field(task: SyncTask, source: DataFrame) -> bool:
+    """Set ``sync_field`` to the source's column list (an ``ignore`` column left out); True if it
+    changed. New columns then flow into the target through add-only evolution (D2)."""
+    from ..schema import split_fields
+    cols = [c for c in source.columns if c.lower() != "ignore"]
+    if split_fields(task.sync_field) == cols:
+        return False
+    task.sync_field = ", ".join(cols)
+    return True
 
 
 def _watermark_of(task: SyncTask, store: TableStore) -> SyncTask:
@@ -65,8 +77,14 @@ def _summary(inc: DataFrame, task: SyncTask) -> DataFrame:
 
 def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: TableStore,
              log_store: TableStore | None = None, ledger_store: TableStore | None = None,
-             as_of: datetime | str | None = None, reject_store: TableStore | None = None) -> RunResult:
-    """Run one sync of ``task`` from ``source`` into ``store``; returns counts and the new watermark."""
+             as_of: datetime | str | None = None, reject_store: TableStore | None = None,
+             refresh_fields: bool = False) -> RunResult:
+    """Run one sync of ``task`` from ``source`` into ``store``; returns counts and the new watermark.
+
+    ``refresh_fields`` first sets ``sync_field`` to the source's columns, as a run of the source
+    format does (the new value is returned for the control table)."""
+    if refresh_fields:
+        refresh_sync_field(task, source)
     validate_task(task)
     ensure_checkpoint_dir(spark)
     as_of = datetime.fromisoformat(as_of) if isinstance(as_of, str) else (as_of or datetime.now())
@@ -87,7 +105,7 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
     if reject_store is not None and n_bad:
         reject_store.commit(bad.withColumn(SHARD, F.lit(-1).cast("long")))
     if n == 0:
-        return RunResult(0, n_bad, [], None, store.watermark())
+        return RunResult(0, n_bad, [], None, store.watermark(), task.sync_field)
     if task.etl_type == 4:
         watermark = {"last_id": None, "last_timestamp": str(as_of)}
     else:
@@ -125,7 +143,7 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
                               batch_size=task.batch_size, load_version=version)
         ledger_store.commit(entries.withColumn(SHARD, F.col("load_version")), cluster_by=["house_keeping_id"])
 
-    return RunResult(n, n_bad, shards, version, watermark)
+    return RunResult(n, n_bad, shards, version, watermark, task.sync_field)
 
 
 def house_keeping(spark: SparkSession, task: SyncTask, source_store: TableStore, ledger_store: TableStore,
