@@ -36,7 +36,8 @@ def lineitem_upsert(spark, sf):
         .withColumns({"l_quantity": F.col("l_quantity") + 1, "_seq": F.lit(1)})
     v2 = li.filter(F.col("l_shipdate") >= ts_literal("2000-01-01 00:00:00")) \
         .withColumns({"l_quantity": F.col("l_quantity") + 2, "_seq": F.lit(2)})
-    return L.upsert(target, v1.unionByName(v2), ["partition_num", *LI_KEYS], order=["_seq"]).drop("_seq")
+    return L.upsert(target, v1.unionByName(v2), ["partition_num", *LI_KEYS], order=["_seq"],
+                    unique_order=True).drop("_seq")
 
 
 def lineitem_capped(spark, sf):

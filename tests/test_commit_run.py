@@ -228,3 +228,18 @@ def test_store_schema_is_add_only_across_commits(spark, scratch):
     st.commit(spark.createDataFrame([(3, "c", 3)], "k int, v string, partition_num long"))
     assert st.read().columns == ["k", "v", "partition_num", "n"]     # added columns go last
     assert sorted((r["k"], r["n"]) for r in st.read().collect()) == [(1, None), (2, 7), (3, None)]
+
+
+def test_read_table_formats_and_views(spark, tmp_path):
+    from tidesync.sources.tables import read_query, read_table, register_views
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    for fmt in ("csv", "json", "orc", "parquet"):
+        p = str(tmp_path / fmt)
+        w = df.write.mode("overwrite").format(fmt)
+        (w.option("header", True) if fmt == "csv" else w).save(p)
+        spec = {"format": fmt, "path": p, "schema": df.schema, "columns": ["v"],
+                "options": {"header": "true"} if fmt == "csv" else {}}
+        assert sorted(r["v"] for r in read_table(spark, spec).collect()) == ["a", "b"]
+    views = register_views(spark, SF_SMOKE, ["nation", "region"])
+    got = read_query(spark, "SELECT count(*) AS n FROM nation JOIN region ON n_regionkey = r_regionkey").first()
+    assert got["n"] == views["nation"].count()

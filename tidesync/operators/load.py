@@ -2,10 +2,10 @@
 partial-column upsert. Each returns the new target as a DataFrame; ``plans.commit`` persists it.
 
 Scale notes. The target is the big side and the changes of a run are bounded by the run's row cap.
-The upsert streams the target through an anti-join against the deduplicated changes. With the key
-list including ``partition_num`` Spark's dynamic partition pruning keeps untouched shards out of
-the join; the changes side is broadcast only when its row count is known and under the limit,
-otherwise AQE picks the join at run time.
+The upsert streams the target through an anti-join against the deduplicated changes; the callers
+pass only the target's touched storage units (``plans.commit``), and the changes' key side is
+broadcast only when its row count is known and under the limit, otherwise AQE picks the join at
+run time.
 """
 
 from __future__ import annotations
@@ -36,26 +36,32 @@ def shard_counts(df: DataFrame, shard_col: str = "partition_num") -> DataFrame:
     return df.groupBy(shard_col).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def latest_per_key(changes: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+def latest_per_key(changes: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None,
+                   unique_order: bool = False) -> DataFrame:
     """Last row per key in ``order`` (E2: later rows of a batch win).
 
-    The order is made total with the remaining columns as tie-break. ``max_by`` aggregates
-    partially before the shuffle, so a key updated many times (a hot key) collapses map-side.
+    The order is made total with the remaining columns as tie-break, unless the caller guarantees
+    ``(keys, order)`` is unique (``unique_order``). ``max_by`` aggregates partially before the
+    shuffle, so a key updated many times (a hot key) collapses map-side.
     """
     keys = list(keys)
     order = list(order or [])
     values = [c for c in changes.columns if c not in keys]
     if not values:
         return changes.select(*keys).distinct()
-    tiebreak = [c for c in values if c not in order
-                and not isinstance(changes.schema[c].dataType, (T.MapType,))]
-    ordering = F.struct(*[F.col(c) for c in order + tiebreak]) if (order or tiebreak) else F.lit(0)
+    if unique_order and order:
+        ordering = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
+    else:
+        tiebreak = [c for c in values if c not in order
+                    and not isinstance(changes.schema[c].dataType, (T.MapType,))]
+        ordering = F.struct(*[F.col(c) for c in order + tiebreak]) if (order or tiebreak) else F.lit(0)
     agg = changes.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in values]), ordering).alias("_v"))
     return agg.select(*keys, *[F.col("_v")[c].alias(c) for c in values])
 
 
 def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None,
-           keep: Sequence[str] = (), dedupe: bool = True, changes_rows: int | None = None) -> DataFrame:
+           keep: Sequence[str] = (), dedupe: bool = True, changes_rows: int | None = None,
+           unique_order: bool = False) -> DataFrame:
     """Insert new keys, replace existing ones (E2; MySQL ``INSERT .. ON DUPLICATE KEY UPDATE``).
 
     ``keep`` columns keep the target's value when the key exists (inserted with the change's value
@@ -63,7 +69,7 @@ def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str], order: Se
     a column leaves it alone. New columns in ``changes`` are added (add-only evolution).
     """
     keys = list(keys)
-    latest = latest_per_key(changes, keys, order) if dedupe else changes
+    latest = latest_per_key(changes, keys, order, unique_order) if dedupe else changes
     schema = evolve_schema(target.schema, latest.schema)
     keep = [c for c in keep if c in target.columns]
     keep += [c for c in target.columns if c not in latest.columns and c not in keys and c not in keep]

@@ -316,7 +316,7 @@ def q_upsert_orders(spark, sf):
     o = _t(spark, sf, "orders")
     target = with_partition_num(D.upsert_target(o), "o_orderkey", 1000)
     changes = with_partition_num(D.upsert_changes(o), "o_orderkey", 1000)
-    out = L.upsert(target, changes, ["partition_num", "o_orderkey"], order=["_seq"])
+    out = L.upsert(target, changes, ["partition_num", "o_orderkey"], order=["_seq"], unique_order=True)
     return out.drop("_seq")
 
 

@@ -123,7 +123,9 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
             old = store.read(units=units, keep_unit=True)     # only the touched unit folders
             if task.keys:
                 order = [c for c in (task.timestamp_field_name, task.id_field_name) if c]
-                new_part = upsert(old, good, [SHARD, BUCKET, *task.keys], order=order, changes_rows=n)
+                # (key, ts, id) is unique when the id is the key: no tie-break needed
+                new_part = upsert(old, good, [SHARD, BUCKET, *task.keys], order=order, changes_rows=n,
+                                  unique_order=task.id_field_name in task.keys)
             else:
                 new_part = append(old, good)
         version = store.commit(new_part, watermark=watermark, touched=units, cluster_by=task.keys)
