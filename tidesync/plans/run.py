@@ -83,8 +83,7 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
 
     ``refresh_fields`` first sets ``sync_field`` to the source's columns, as a run of the source
     format does (the new value is returned for the control table)."""
-    if refresh_fields:
-        refresh_sync_field(task, source)
+    drift = refresh_sync_field(task, source) if refresh_fields else False
     validate_task(task)
     ensure_checkpoint_dir(spark)
     as_of = datetime.fromisoformat(as_of) if isinstance(as_of, str) else (as_of or datetime.now())
@@ -105,7 +104,11 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
     if reject_store is not None and n_bad:
         reject_store.commit(bad.withColumn(SHARD, F.lit(-1).cast("long")))
     if n == 0:
-        return RunResult(0, n_bad, [], None, store.watermark(), task.sync_field)
+        version = None
+        if drift and store.version():
+            # columns added at the source reach the target even when no row comes (add-only)
+            version = store.commit(good.drop(BUCKET).limit(0), touched=[])
+        return RunResult(0, n_bad, [], version, store.watermark(), task.sync_field)
     if task.etl_type == 4:
         watermark = {"last_id": None, "last_timestamp": str(as_of)}
     else:
