@@ -1,7 +1,6 @@
 """Versioned commit (E7), whole runs, house-keeping, the stream front (G9), config sources (A4, A5)."""
 
 import json
-import os
 from datetime import datetime
 
 import pytest
@@ -14,7 +13,6 @@ from tidesync.plans.e2e import orders_task
 from tidesync.plans.run import house_keeping, run_task
 from tidesync.schema import SyncTask, TaskError, validate_sp_task, validate_task
 from tidesync.sources.config import read_rules, read_sp_tasks_csv, read_tasks_csv
-from tidesync.streaming.stream import stream_sync
 
 
 def _local(path):
