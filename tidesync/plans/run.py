@@ -33,6 +33,22 @@ class RunResult:
     version: int | None
     watermark: dict
     sync_field: str | None = None
+    timings: dict | None = None
+
+
+class _Steps:
+    """Wall time per step of a run (seconds), returned with the result."""
+
+    def __init__(self):
+        import time
+        self._now = time.perf_counter
+        self._t = self._now()
+        self.times: dict = {}
+
+    def done(self, name: str) -> None:
+        t = self._now()
+        self.times[name] = round(self.times.get(name, 0.0) + t - self._t, 3)
+        self._t = t
 
 
 def refresh_sync_field(task: SyncTask, source: DataFrame) -> bool:
@@ -83,6 +99,7 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
 
     ``refresh_fields`` first sets ``sync_field`` to the source's columns, as a run of the source
     format does (the new value is returned for the control table)."""
+    steps = _Steps()
     drift = refresh_sync_field(task, source) if refresh_fields else False
     validate_task(task)
     ensure_checkpoint_dir(spark)
@@ -97,10 +114,12 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
     # one materialisation in the shared checkpoint folder: the increment feeds the load, the profile,
     # the watermark and the ledger, and the source may change while the run goes on
     inc = inc.checkpoint(eager=True)
+    steps.done("extract")
     good, bad = split_rejects(inc)
     # one pass over the increment for its counts, the next watermark and the touched units
     summary = _summary(inc, task).first()
     n, n_bad = summary["n"], summary["n_bad"]
+    steps.done("summary")
     if reject_store is not None and n_bad:
         reject_store.commit(bad.withColumn(SHARD, F.lit(-1).cast("long")))
     if n == 0:
@@ -108,7 +127,7 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
         if drift and store.version():
             # columns added at the source reach the target even when no row comes (add-only)
             version = store.commit(good.drop(BUCKET).limit(0), touched=[])
-        return RunResult(0, n_bad, [], version, store.watermark(), task.sync_field)
+        return RunResult(0, n_bad, [], version, store.watermark(), task.sync_field, steps.times)
     if task.etl_type == 4:
         watermark = {"last_id": None, "last_timestamp": str(as_of)}
     else:
@@ -132,6 +151,7 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
             else:
                 new_part = append(old, good)
         version = store.commit(new_part, watermark=watermark, touched=units, cluster_by=task.keys)
+    steps.done("load_commit")
 
     if log_store is not None and task.etl_type in (1, 2, 3):
         prof = shard_profile(good.drop(BUCKET), task.id_field_name, task.timestamp_field_name, task.event_date_field_name)
@@ -140,6 +160,7 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
         old_log = log_store.read(SHARD_LOG_SCHEMA) if log_store.version() else None
         merged = shard_log_merge(old_log, rows) if old_log is not None else rows
         log_store.commit(merged.withColumn(SHARD, F.lit(0).cast("long")), replace_all=True, small=True)
+        steps.done("shard_log")
 
     if ledger_store is not None and task.if_need_house_keeping == 1 and task.keys:
         # append-only: the entries of this load are one new folder (shard = load_version); earlier
@@ -147,8 +168,9 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
         entries = ledger_pack(good.drop(BUCKET), task.keys[0], as_of, task.source_db, task.source_table,
                               batch_size=task.batch_size, load_version=version)
         ledger_store.commit(entries.withColumn(SHARD, F.col("load_version")), cluster_by=["house_keeping_id"])
+        steps.done("ledger")
 
-    return RunResult(n, n_bad, shards, version, watermark, task.sync_field)
+    return RunResult(n, n_bad, shards, version, watermark, task.sync_field, steps.times)
 
 
 def house_keeping(spark: SparkSession, task: SyncTask, source_store: TableStore, ledger_store: TableStore,
