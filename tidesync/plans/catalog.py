@@ -182,7 +182,25 @@ def q_route_numeric(spark, sf):
     return with_partition_num(_t(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 1000)
 
 
-@register("route_hashed")   # no crc32 in DuckDB: rows-only here, checked against zlib in pytest
+# DuckDB has no CRC-32: the oracle computes it bit by bit (reflected polynomial 0xEDB88320) in a
+# recursive CTE over the bytes of each (ASCII) name.
+_CRC32_NAMES = """
+WITH RECURSIVE s(c_custkey, c_name, pos, k, crc) AS (
+  SELECT c_custkey, c_name, 1, 0, CAST(4294967295 AS BIGINT) FROM customer
+  UNION ALL
+  SELECT c_custkey, c_name, CASE WHEN k = 7 THEN pos + 1 ELSE pos END, CASE WHEN k = 7 THEN 0 ELSE k + 1 END,
+         xor(x >> 1, CASE WHEN (x & 1) = 1 THEN CAST(3988292384 AS BIGINT) ELSE CAST(0 AS BIGINT) END)
+  FROM (SELECT *, CASE WHEN k = 0 THEN xor(crc, CAST(ascii(substr(c_name, pos, 1)) AS BIGINT)) ELSE crc END AS x
+        FROM s WHERE pos <= length(c_name)) t)
+SELECT c_custkey, c_name, xor(crc, CAST(4294967295 AS BIGINT)) AS h FROM s
+WHERE pos = length(c_name) + 1 AND k = 0"""
+
+
+@register("route_hashed", f"""
+SELECT c_custkey, c_name,
+       CAST(CASE WHEN regexp_full_match(c_name, '[0-9]+') THEN CAST(c_name AS DECIMAL(38,0)) // 100000000
+                 ELSE h // 100000000 END + 1 AS BIGINT) AS partition_num
+FROM ({_CRC32_NAMES})""")
 def q_route_hashed(spark, sf):
     return with_partition_num(_t(spark, sf, "customer").select("c_custkey", "c_name"), "c_name", 100_000_000)
 
