@@ -206,6 +206,34 @@ class TableStore:
         self._fs.write_new(f"_state/{new_v:08d}.json", json.dumps(new_state, default=str, sort_keys=True))
         return new_v
 
+    # ------------------------------------------------------------------ clean-up
+    def vacuum(self, keep: int = 5) -> dict:
+        """Delete what the last ``keep`` commits do not reference: older state files and unit
+        folders left behind by copy-on-write (or by a writer that lost a commit race). Folders newer
+        than the latest commit are left alone: a writer may be producing them. Readers holding a
+        state older than the last ``keep`` commits must have finished."""
+        versions = sorted(int(n[:-5]) for n in self._fs.list_names("_state")
+                          if n.endswith(".json") and n[:-5].isdigit())
+        if not versions:
+            return {"states": 0, "folders": 0}
+        kept = versions[-max(1, keep):]
+        latest = kept[-1]
+        referenced = set()
+        for v in kept:
+            st = json.loads(self._fs.read_text(f"_state/{v:08d}.json"))
+            referenced |= {(u, int(ver)) for u, ver in st["units"].items()}
+        folders = 0
+        for p, b, ver in self._fs.glob_parents(f"{SHARD}=*/{BUCKET}=*/ver=*", 3):
+            unit, v = unit_key(p.split("=", 1)[1], b.split("=", 1)[1]), int(ver.split("=", 1)[1])
+            if v <= latest and (unit, v) not in referenced:
+                self._fs.fs.delete(self._fs.path(f"{p}/{b}/{ver}"), True)
+                folders += 1
+        states = 0
+        for v in versions[:-len(kept)]:
+            self._fs.fs.delete(self._fs.path(f"_state/{v:08d}.json"), False)
+            states += 1
+        return {"states": states, "folders": folders}
+
     @staticmethod
     def _evolved(st: dict, new: T.StructType) -> T.StructType:
         """Add-only: the committed columns keep place and type; new ones are appended."""
