@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..schema import RULE_SCHEMA, TASK_SCHEMA, TASK_SP_SCHEMA
 
-# Column names of the control-table CSV (table sync), in file order.
+# Column names of the control-table CSV (table sync), in file order.
 TASK_CSV_COLUMNS = [
     "source_table_id", "airflow_task_id", "is_active", "source_username", "source_password", "source_host",
     "source_db", "source_table", "target_username", "target_password", "target_host", "target_db",
@@ -18,7 +18,7 @@ TASK_CSV_COLUMNS = [
     "source_write_password", "if_need_house_keeping", "event_date_field_name",
 ]
 
-# Column names of the control-table CSV (procedure sync), in file order.
+# Column names of the control-table CSV (procedure sync), in file order.
 TASK_SP_CSV_COLUMNS = [
     "source_table_id", "airflow_task_id", "is_active", "source_username", "source_password", "source_host",
     "source_db", "source_table", "source_sp", "etl_type", "arg_counts", "target_username", "target_password",
