@@ -254,3 +254,24 @@ def test_vacuum_keeps_what_recent_commits_reference(spark, scratch):
     assert res == {"states": 2, "folders": 2}                # unit 1/0 at v1 and v2
     assert sorted((r["k"], r["v"]) for r in st.read().collect()) == before
     assert st.vacuum(keep=1) == {"states": 0, "folders": 0}
+
+
+def test_type3_runs_progress_when_one_timestamp_exceeds_the_cap(spark, scratch):
+    # 12 rows share one timestamp and the run cap is 5: every run must still move forward, and a
+    # late row at the watermark's timestamp (lower id) is still picked up
+    ts = datetime(2024, 1, 1)
+    rows = [(i, ts) for i in range(1, 13)] + [(20, datetime(2024, 1, 2))]
+    src = spark.createDataFrame(rows, "id long, ts timestamp_ntz")
+    store = TableStore(spark, scratch("stall"))
+    task = lambda: SyncTask(source_table_id=9, source_db="s", source_table="t", target_db="d",
+                            target_table="t", etl_type=3, sync_field="id, ts", pk_field="id", id_field_name="id",
+                            timestamp_field_name="ts", batch_size=5, max_loop_count=1, partition_size=1000)
+    counts = []
+    for _ in range(3):
+        run_task(spark, task(), src, store, as_of="2024-02-01 00:00:00")
+        counts.append(store.read().count())
+    assert counts == [5, 10, 13]
+    # a row arriving late at the watermark's timestamp (2024-01-02) with a lower id than the last read
+    late = src.unionByName(spark.createDataFrame([(15, datetime(2024, 1, 2))], "id long, ts timestamp_ntz"))
+    run_task(spark, task(), late, store, as_of="2024-02-01 00:00:00")
+    assert store.read().count() == 14

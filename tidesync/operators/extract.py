@@ -305,10 +305,18 @@ def increment(df: DataFrame, task: SyncTask, as_of=None, first_loop_inclusive: b
     elif task.etl_type == 2:
         wm, keys, inc = [task.last_timestamp_sync_record, task.last_id_sync_record], [tsf, idf], False
     elif task.etl_type == 3:
-        keys = [tsf, idf]
-        inc = first_loop_inclusive
-        wm = [task.last_timestamp_sync_record, None if inc else task.last_id_sync_record]
+        # the capped part always moves past the watermark (so a timestamp holding more rows than
+        # the cap cannot stall the runs); the re-read of rows at the watermark's timestamp is a
+        # separate slice on top, for rows that arrived late with a lower id
+        keys, inc = [tsf, idf], False
+        wm = [task.last_timestamp_sync_record, task.last_id_sync_record]
         src = src.filter(F.col(tsf) < ts_literal(lag_cutoff(as_of, lag_days)))
+        if first_loop_inclusive and wm[0] is not None and wm[1] is not None:
+            at_wm = (F.col(tsf) == _lit_like(wm[0], df.schema[tsf].dataType)) & \
+                    (F.col(idf) <= _lit_like(wm[1], df.schema[idf].dataType))
+            reread = src.filter(not_null(keys) & at_wm)
+            out = capped_extract(src, keys, task.row_cap, wm).unionByName(reread)
+            return out.withColumn("partition_num", route_expr(idf, task.partition_size, df.schema[idf].dataType))
     else:
         return src.limit(0).withColumn("partition_num", F.lit(None).cast("long"))
     if wm[0] is None:               # no watermark yet: from the start
