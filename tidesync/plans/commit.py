@@ -2,15 +2,16 @@
 
 Layout under ``root`` (a folder on the shared file system)::
 
-    root/partition_num=P/bucket=B/ver=V/part-*.parquet   data: one folder per unit and version
-    root/_state/00000007.json                           commit V: {"P/B": version}, watermark, extras
+    root/partition_num=P/bucket=B/ver=V-T/part-*.parquet   data: one folder per unit and commit attempt
+    root/_state/00000007.json                             commit V: {"P/B": "V-T"}, watermark, extras
 
 A unit is a shard (``partition_num``) or a key range inside it (``bucket``): the unit, not the shard,
 is what a commit rewrites, so an upsert into a shard of a billion ids rewrites only the key ranges
 its changes touch. A commit writes the new unit folders first (readers do not see them), then
 creates the next state file: written under a temporary name and renamed to its final name, refused
 if a concurrent writer took that version first. A crash before the rename leaves the old data and
-the old watermark.
+the old watermark. Every attempt writes under its own tag ``V-T``, so the files of an attempt that
+died are never read by the retry that takes the same version (``vacuum`` removes them).
 """
 
 from __future__ import annotations
@@ -150,7 +151,7 @@ class TableStore:
             # the committed schema, not one file's: columns added later read as NULL in older files
             have_cols = {f.name for f in want.fields}
             extra = [T.StructField(c, T.LongType()) for c in (SHARD, BUCKET) if c not in have_cols]
-            reader = reader.schema(T.StructType(list(want.fields) + extra + [T.StructField("ver", T.IntegerType())]))
+            reader = reader.schema(T.StructType(list(want.fields) + extra + [T.StructField("ver", T.StringType())]))
         df = reader.parquet(*paths).drop("ver")
         if want is not None:
             have = {f.name: f.dataType for f in df.schema.fields}
@@ -184,6 +185,7 @@ class TableStore:
         if base != st["version"]:
             raise CommitConflict(f"expected version {base}, found {st['version']}")
         new_v = base + 1
+        tag = f"{new_v}-{uuid.uuid4().hex[:12]}"      # this attempt's folders only
         if SHARD not in df.columns:
             df = df.withColumn(SHARD, F.lit(0).cast("long"))
         data_cols = [c for c in df.columns if c != BUCKET]
@@ -191,14 +193,14 @@ class TableStore:
         df = df.withColumn(BUCKET, b.cast("long"))
         cluster = [c for c in (cluster_by or []) if c in df.columns and c not in (SHARD, BUCKET)]
         out = df.coalesce(1) if small else df.hint("rebalance", SHARD, BUCKET)
-        (out.sortWithinPartitions(SHARD, BUCKET, *cluster).withColumn("ver", F.lit(new_v))
+        (out.sortWithinPartitions(SHARD, BUCKET, *cluster).withColumn("ver", F.lit(tag))
          .write.mode("append").partitionBy(SHARD, BUCKET, "ver").parquet(self.root))
-        written = self._written(new_v)      # one glob instead of a call per unit
+        written = self._written(tag)        # one glob instead of a call per unit
         units = {} if replace_all else dict(st["units"])
         for u in touched or ():
             units.pop(str(u), None)         # replaced; re-added below when it still has rows
         for u in written:
-            units[u] = new_v
+            units[u] = tag
         new_state = {"version": new_v, "units": units,
                      "watermark": dict(watermark if watermark is not None else st.get("watermark") or {}),
                      "schema": self._evolved(st, df.select(*data_cols).schema).json(),
@@ -221,11 +223,12 @@ class TableStore:
         referenced = set()
         for v in kept:
             st = json.loads(self._fs.read_text(f"_state/{v:08d}.json"))
-            referenced |= {(u, int(ver)) for u, ver in st["units"].items()}
+            referenced |= {(u, str(tag)) for u, tag in st["units"].items()}
         folders = 0
         for p, b, ver in self._fs.glob_parents(f"{SHARD}=*/{BUCKET}=*/ver=*", 3):
-            unit, v = unit_key(p.split("=", 1)[1], b.split("=", 1)[1]), int(ver.split("=", 1)[1])
-            if v <= latest and (unit, v) not in referenced:
+            unit, tag = unit_key(p.split("=", 1)[1], b.split("=", 1)[1]), ver.split("=", 1)[1]
+            v = int(tag.split("-", 1)[0])
+            if v <= latest and (unit, tag) not in referenced:
                 self._fs.fs.delete(self._fs.path(f"{p}/{b}/{ver}"), True)
                 folders += 1
         states = 0
@@ -242,6 +245,6 @@ class TableStore:
             return new
         return evolve_schema(T.StructType.fromJson(json.loads(st["schema"])), new)
 
-    def _written(self, v: int) -> set[str]:
-        found = self._fs.glob_parents(f"{SHARD}=*/{BUCKET}=*/ver={v}", 3)
+    def _written(self, tag: str) -> set[str]:
+        found = self._fs.glob_parents(f"{SHARD}=*/{BUCKET}=*/ver={tag}", 3)
         return {unit_key(p.split("=", 1)[1], b.split("=", 1)[1]) for p, b, _ in found}
