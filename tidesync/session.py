@@ -28,6 +28,8 @@ def build_session(master: str = "local[*]", app: str = "tidesync", shuffle_parti
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+         # checkpointed increments are removed once no plan references them
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.driver.memory", "8g"))
     for k, v in {**SESSION_CONF, **(extra or {})}.items():
         b = b.config(k, v)
