@@ -294,3 +294,19 @@ def test_failed_attempt_files_never_leak_into_the_retry(spark, scratch):
     assert sorted((r["k"], r["v"]) for r in st.read().collect()) == [(1, "a"), (3, "retry")]
     assert st.vacuum(keep=1)["folders"] == 2          # the first version and the dead attempt
     assert sorted((r["k"], r["v"]) for r in st.read().collect()) == [(1, "a"), (3, "retry")]
+
+
+def test_log_and_ledger_published_after_a_crash_following_the_data_commit(spark, scratch):
+    orders = table(spark, SF_SMOKE, "orders")
+    root = scratch("pending")
+    store, log, ledger = (TableStore(spark, f"{root}/{n}") for n in ("d", "l", "g"))
+    real = ledger.publish
+    ledger.publish = lambda *a, **k: (_ for _ in ()).throw(RuntimeError("driver lost"))
+    with pytest.raises(RuntimeError):
+        run_task(spark, orders_task(housekeeping=1), orders, store, log, ledger, as_of="2001-08-10 00:00:00")
+    assert store.read().count() == orders.count() and ledger.version() == 0   # data in, ledger not yet
+    ledger.publish = real
+    again = run_task(spark, orders_task(housekeeping=1), orders, store, log, ledger, as_of="2001-08-11 00:00:00")
+    assert again.rows == 0                                                     # nothing new to read...
+    assert ledger.read().select(F.explode("ids")).count() == orders.count()    # ...but the ledger is complete
+    assert log.read().count() == store.read().select("partition_num").distinct().count()

@@ -166,26 +166,17 @@ class TableStore:
         return df if keep_unit else df.drop(BUCKET)
 
     # ------------------------------------------------------------------ write
-    def commit(self, df: DataFrame, watermark: Mapping | None = None, touched: Iterable[str] | None = None,
-               replace_all: bool = False, extra: Mapping | None = None, cluster_by: list[str] | None = None,
-               expected_version: int | None = None, small: bool = False,
-               bucket: Column | None = None) -> int:
-        """Write ``df`` as the new content of the units it holds and of ``touched``, then commit.
+    def stage(self, df: DataFrame, cluster_by: list[str] | None = None, small: bool = False,
+              bucket: Column | None = None) -> dict:
+        """Write ``df`` under a fresh attempt tag; readers do not see it until ``publish``.
 
         ``df`` carries ``partition_num``; ``bucket`` (an expression) splits shards into units,
-        default one unit per shard. ``touched`` lists unit keys ("P/B") whose content ``df``
-        replaces (listed units left empty are dropped); ``replace_all`` drops every unit absent
-        from ``df``. Rows are rebalanced on the unit (AQE): small units are coalesced and a dominant
-        one is split into advisory-size pieces, never funnelled into one task; files are sorted by
-        ``cluster_by`` so keyset filters can skip row groups. ``small`` is for tables bounded by
-        design (the shard log: one row per shard): one file.
+        default one unit per shard. Rows are rebalanced on the unit (AQE): small units are coalesced
+        and a dominant one is split into advisory-size pieces, never funnelled into one task; files
+        are sorted by ``cluster_by`` so keyset filters can skip row groups. ``small`` is for tables
+        bounded by design (the shard log: one row per shard): one file.
         """
-        st = self.state()
-        base = st["version"] if expected_version is None else expected_version
-        if base != st["version"]:
-            raise CommitConflict(f"expected version {base}, found {st['version']}")
-        new_v = base + 1
-        tag = f"{new_v}-{uuid.uuid4().hex[:12]}"      # this attempt's folders only
+        tag = f"{self.version() + 1}-{uuid.uuid4().hex[:12]}"      # this attempt's folders only
         if SHARD not in df.columns:
             df = df.withColumn(SHARD, F.lit(0).cast("long"))
         data_cols = [c for c in df.columns if c != BUCKET]
@@ -195,19 +186,48 @@ class TableStore:
         out = df.coalesce(1) if small else df.hint("rebalance", SHARD, BUCKET)
         (out.sortWithinPartitions(SHARD, BUCKET, *cluster).withColumn("ver", F.lit(tag))
          .write.mode("append").partitionBy(SHARD, BUCKET, "ver").parquet(self.root))
-        written = self._written(tag)        # one glob instead of a call per unit
+        return {"tag": tag, "written": sorted(self._written(tag)),      # one glob, not a call per unit
+                "schema": df.select(*data_cols).schema.json()}
+
+    def publish(self, staged: Mapping, watermark: Mapping | None = None, touched: Iterable[str] | None = None,
+                replace_all: bool = False, extra: Mapping | None = None,
+                expected_version: int | None = None) -> int:
+        """Make a staged write the table's content: one new state file (atomic).
+
+        ``touched`` lists unit keys ("P/B") whose content the staged rows replace (listed units left
+        empty are dropped); ``replace_all`` drops every unit absent from the staged rows.
+        """
+        st = self.state()
+        base = st["version"] if expected_version is None else expected_version
+        if base != st["version"]:
+            raise CommitConflict(f"expected version {base}, found {st['version']}")
+        new_v = base + 1
         units = {} if replace_all else dict(st["units"])
         for u in touched or ():
             units.pop(str(u), None)         # replaced; re-added below when it still has rows
-        for u in written:
-            units[u] = tag
+        for u in staged["written"]:
+            units[u] = staged["tag"]
         new_state = {"version": new_v, "units": units,
                      "watermark": dict(watermark if watermark is not None else st.get("watermark") or {}),
-                     "schema": self._evolved(st, df.select(*data_cols).schema).json(),
+                     "schema": self._evolved(st, T.StructType.fromJson(json.loads(staged["schema"]))).json(),
                      "extra": dict(extra if extra is not None else st.get("extra") or {})}
         self._fs.write_new(f"_state/{new_v:08d}.json", json.dumps(new_state, default=str, sort_keys=True))
         return new_v
 
+    def commit(self, df: DataFrame, watermark: Mapping | None = None, touched: Iterable[str] | None = None,
+               replace_all: bool = False, extra: Mapping | None = None, cluster_by: list[str] | None = None,
+               expected_version: int | None = None, small: bool = False,
+               bucket: Column | None = None) -> int:
+        """``stage`` then ``publish``: write ``df`` as the new content of the units it holds and of
+        ``touched``, then switch to it."""
+        staged = self.stage(df, cluster_by=cluster_by, small=small, bucket=bucket)
+        return self.publish(staged, watermark=watermark, touched=touched, replace_all=replace_all, extra=extra,
+                            expected_version=expected_version)
+
+    def holds(self, tag: str) -> bool:
+        """Whether the current state references the staged write ``tag``."""
+        return tag in set(self.state()["units"].values())
+
     # ------------------------------------------------------------------ clean-up
     def vacuum(self, keep: int = 5) -> dict:
         """Delete what the last ``keep`` commits do not reference: older state files and unit

@@ -1,8 +1,8 @@
 """One task end to end: extract -> clean -> upsert -> profile -> commit -> ledger; and retention.
 
-Commit order protects the source: data and watermark first (one atomic state file), then the shard
-log, then the ledger. A crash after the data commit leaves rows copied but not in the ledger: they
-are kept in the source longer, never deleted uncopied.
+Data and watermark commit in one atomic state file, which also records the run's staged shard-log
+and ledger writes as pending; those are published right after, or by the next run if a crash came
+first. A ledger entry is never visible before the rows it lists are committed to the target.
 """
 
 from __future__ import annotations
@@ -91,6 +91,15 @@ def _summary(inc: DataFrame, task: SyncTask) -> DataFrame:
     return inc.agg(*aggs)
 
 
+def _publish_pending(store: TableStore, log_store: TableStore | None, ledger_store: TableStore | None) -> None:
+    """Publish the log / ledger writes the latest data commit recorded as pending, if not yet done."""
+    pending = store.state().get("extra", {}).get("pending") or {}
+    for name, target in (("log", log_store), ("ledger", ledger_store)):
+        staged = pending.get(name)
+        if staged and target is not None and not target.holds(staged["tag"]):
+            target.publish(staged, replace_all=staged.get("replace_all", False))
+
+
 def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: TableStore,
              log_store: TableStore | None = None, ledger_store: TableStore | None = None,
              as_of: datetime | str | None = None, reject_store: TableStore | None = None,
@@ -100,6 +109,7 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
     ``refresh_fields`` first sets ``sync_field`` to the source's columns, as a run of the source
     format does (the new value is returned for the control table)."""
     steps = _Steps()
+    _publish_pending(store, log_store, ledger_store)          # finish a run that died after its commit
     drift = refresh_sync_field(task, source) if refresh_fields else False
     validate_task(task)
     ensure_checkpoint_dir(spark)
@@ -136,8 +146,33 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
     units = sorted(unit_key(u[SHARD], u[BUCKET]) for u in summary["units"])
     shards = sorted({u[SHARD] for u in summary["units"]})
 
+    # the shard log and the ledger are staged first and published after the data commit, which
+    # records them as pending: the next run publishes whatever a crash left pending, so data,
+    # watermark, log and ledger move together, and the ledger never shows rows not yet committed
+    pending = {}
+    if log_store is not None and task.etl_type in (1, 2, 3):
+        prof = shard_profile(good.drop(BUCKET), task.id_field_name, task.timestamp_field_name,
+                             task.event_date_field_name)
+        rows = shard_log_rows(prof, task.target_table, task.source_db, task.source_table, task.id_field_name,
+                              task.timestamp_field_name, task.event_date_field_name, task.fields, as_of)
+        old_log = log_store.read(SHARD_LOG_SCHEMA) if log_store.version() else None
+        merged = shard_log_merge(old_log, rows) if old_log is not None else rows
+        pending["log"] = {**log_store.stage(merged.withColumn(SHARD, F.lit(0).cast("long")), small=True),
+                          "replace_all": True}
+        steps.done("shard_log")
+    load_version = store.version() + 1
+    if ledger_store is not None and task.if_need_house_keeping == 1 and task.keys:
+        # append-only: the entries of this load are one new folder (shard = load_version)
+        entries = ledger_pack(good.drop(BUCKET), task.keys[0], as_of, task.source_db, task.source_table,
+                              batch_size=task.batch_size, load_version=load_version)
+        pending["ledger"] = {**ledger_store.stage(entries.withColumn(SHARD, F.col("load_version")),
+                                                  cluster_by=["house_keeping_id"]), "replace_all": False}
+        steps.done("ledger")
+
+    extra = {**store.state().get("extra", {}), "pending": pending}
     if task.etl_type == 4:
-        version = store.commit(good, watermark=watermark, replace_all=True, cluster_by=task.keys)
+        version = store.commit(good, watermark=watermark, replace_all=True, cluster_by=task.keys, extra=extra,
+                               expected_version=load_version - 1)
     else:
         if store.version() == 0:
             new_part = good
@@ -150,38 +185,28 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
                                   unique_order=task.id_field_name in task.keys)
             else:
                 new_part = append(old, good)
-        version = store.commit(new_part, watermark=watermark, touched=units, cluster_by=task.keys)
+        version = store.commit(new_part, watermark=watermark, touched=units, cluster_by=task.keys, extra=extra,
+                               expected_version=load_version - 1)
     steps.done("load_commit")
-
-    if log_store is not None and task.etl_type in (1, 2, 3):
-        prof = shard_profile(good.drop(BUCKET), task.id_field_name, task.timestamp_field_name, task.event_date_field_name)
-        rows = shard_log_rows(prof, task.target_table, task.source_db, task.source_table, task.id_field_name,
-                              task.timestamp_field_name, task.event_date_field_name, task.fields, as_of)
-        old_log = log_store.read(SHARD_LOG_SCHEMA) if log_store.version() else None
-        merged = shard_log_merge(old_log, rows) if old_log is not None else rows
-        log_store.commit(merged.withColumn(SHARD, F.lit(0).cast("long")), replace_all=True, small=True)
-        steps.done("shard_log")
-
-    if ledger_store is not None and task.if_need_house_keeping == 1 and task.keys:
-        # append-only: the entries of this load are one new folder (shard = load_version); earlier
-        # loads are never rewritten here
-        entries = ledger_pack(good.drop(BUCKET), task.keys[0], as_of, task.source_db, task.source_table,
-                              batch_size=task.batch_size, load_version=version)
-        ledger_store.commit(entries.withColumn(SHARD, F.col("load_version")), cluster_by=["house_keeping_id"])
-        steps.done("ledger")
+    _publish_pending(store, log_store, ledger_store)
+    steps.done("publish")
 
     return RunResult(n, n_bad, shards, version, watermark, task.sync_field, steps.times)
 
 
 def house_keeping(spark: SparkSession, task: SyncTask, source_store: TableStore, ledger_store: TableStore,
-                  as_of: datetime | str, start_days: int = 60, end_days: int = 14) -> dict:
+                  as_of: datetime | str, start_days: int = 60, end_days: int = 14,
+                  target_store: TableStore | None = None) -> dict:
     """Delete from the source what was copied and is past retention; then mark the ledger.
 
     The ledger is stored with one folder per load (shard = load_version); only the loads holding a
-    marked or purged entry are rewritten.
+    marked or purged entry are rewritten. With ``target_store``, ledger entries a sync run left
+    pending are published first.
     """
     from ..operators.retention import ENTRY, _typed_ids, ledger_unpack
     validate_task(task)
+    if target_store is not None:
+        _publish_pending(target_store, None, ledger_store)
     full = ledger_store.read(LEDGER_SCHEMA)
     ledger = ledger_purge(full.drop(SHARD), as_of)
     window = ledger_window(ledger, as_of, start_days, end_days, task.source_db, task.source_table)
