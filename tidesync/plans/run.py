@@ -225,8 +225,10 @@ def house_keeping(spark: SparkSession, task: SyncTask, source_store: TableStore,
         # the units holding a deleted key (one row per unit) are the only ones rewritten
         touched = sorted(unit_key(r[SHARD], r[BUCKET]) for r in
                          src.join(ids, key, "left_semi").select(SHARD, BUCKET).distinct().collect())
-        kept = retention_delete(source_store.read(units=touched, keep_unit=True), deletable, key, ids_rows=n_ids)
-        source_store.commit(kept, touched=touched, cluster_by=[key])
+        if touched:                 # ids already gone (a retry after a crash) need no rewrite
+            kept = retention_delete(source_store.read(units=touched, keep_unit=True), deletable, key,
+                                    ids_rows=n_ids)
+            source_store.commit(kept, touched=touched, cluster_by=[key])
     if loads:
         # mark only after the delete is committed; rewrite only the loads that changed
         marked = ledger_mark(ledger.filter(F.col("load_version").isin(loads)), deletable)
