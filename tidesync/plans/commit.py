@@ -107,6 +107,7 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self._fs = _FS(spark, self.root)
+        self._cache: tuple[int, dict] | None = None     # (version, parsed state): a state never changes
 
     # ------------------------------------------------------------------ state
     def version(self) -> int:
@@ -117,7 +118,9 @@ class TableStore:
         v = self.version()
         if v == 0:
             return {"version": 0, "units": {}, "watermark": {}, "schema": None, "extra": {}}
-        return json.loads(self._fs.read_text(f"_state/{v:08d}.json"))
+        if self._cache is None or self._cache[0] != v:
+            self._cache = (v, json.loads(self._fs.read_text(f"_state/{v:08d}.json")))
+        return json.loads(json.dumps(self._cache[1]))   # a copy: callers may change what they get
 
     def watermark(self) -> dict:
         return self.state()["watermark"]
