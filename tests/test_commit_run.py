@@ -165,6 +165,8 @@ def test_task_checks():
         validate_task(SyncTask(etl_type=2, pk_field="id", **base))
     t = validate_task(SyncTask(etl_type=1, pk_field="id, ts", **base))
     assert t.keys == ["id", "ts"]       # a composite key is a key list
+    with pytest.raises(TaskError):      # a blank size in the control row
+        validate_task(SyncTask(etl_type=1, pk_field="id", partition_size=None, **base))
     with pytest.raises(TaskError):      # procedure type 2 takes 2 arguments only
         validate_sp_task({"source_table_id": 3, "etl_type": 2, "arg_counts": 3})
 

@@ -230,10 +230,10 @@ def validate_task(task: SyncTask) -> SyncTask:
     missing = [k for k in task.keys if k not in task.fields]
     if missing:
         raise TaskError(f"task {task.source_table_id}: key {missing} not in sync_field")
-    if task.batch_size is None or int(task.batch_size) <= 0 or int(task.max_loop_count) <= 0:
-        raise TaskError(f"task {task.source_table_id}: batch_size and max_loop_count must be positive")
-    if int(task.partition_size) <= 0:
-        raise TaskError(f"task {task.source_table_id}: partition_size must be positive")
+    for name in ("batch_size", "max_loop_count", "partition_size"):
+        value = getattr(task, name)
+        if value is None or int(value) <= 0:
+            raise TaskError(f"task {task.source_table_id}: {name} must be a positive number, got {value}")
     return task
 
 
