@@ -12,6 +12,7 @@ from tidesync.plans.derived import table
 from tidesync.plans.e2e import orders_task
 from tidesync.plans.run import house_keeping, run_task
 from tidesync.schema import SyncTask, TaskError, validate_sp_task, validate_task
+from tidesync.streaming.stream import stream_sync
 from tidesync.sources.config import read_rules, read_sp_tasks_csv, read_tasks_csv
 
 
@@ -312,3 +313,20 @@ def test_log_and_ledger_published_after_a_crash_following_the_data_commit(spark,
     assert again.rows == 0                                                     # nothing new to read...
     assert ledger.read().select(F.explode("ids")).count() == orders.count()    # ...but the ledger is complete
     assert log.read().count() == store.read().select("partition_num").distinct().count()
+
+
+def test_stream_later_files_update_earlier_keys(spark, scratch):
+    import time as _time
+    root = scratch("stream_upd")
+    schema = "id long, v string, ts timestamp_ntz"
+    first = spark.createDataFrame([(i, "v1", datetime(2024, 1, 1)) for i in range(10)], schema)
+    second = spark.createDataFrame([(i, "v2", datetime(2024, 1, 2)) for i in range(5, 15)], schema)
+    first.coalesce(1).write.parquet(f"{root}/in/a")
+    _time.sleep(1.1)                      # the file source orders files by modification time
+    second.coalesce(1).write.mode("append").parquet(f"{root}/in/a")
+    store = TableStore(spark, f"{root}/out")
+    stream_sync(spark, f"{root}/in/a", first.schema, store, f"{root}/ckpt", keys=["id"], id_col="id",
+                partition_size=1000, order=["ts"], max_files_per_trigger=1)
+    got = {r["id"]: r["v"] for r in store.read().collect()}
+    assert got == {**{i: "v1" for i in range(5)}, **{i: "v2" for i in range(5, 15)}}
+    assert store.state()["extra"]["epoch"] == 1          # two micro-batches
