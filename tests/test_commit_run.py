@@ -330,3 +330,21 @@ def test_stream_later_files_update_earlier_keys(spark, scratch):
     got = {r["id"]: r["v"] for r in store.read().collect()}
     assert got == {**{i: "v1" for i in range(5)}, **{i: "v2" for i in range(5, 15)}}
     assert store.state()["extra"]["epoch"] == 1          # two micro-batches
+
+
+def test_audit_time_set_on_insert_and_kept_on_update(spark, scratch):
+    schema = "id long, ts timestamp_ntz, v string"
+    v1 = spark.createDataFrame([(1, datetime(2024, 1, 1), "a"), (2, datetime(2024, 1, 2), "b")], schema)
+    store = TableStore(spark, scratch("audit"))
+    task = lambda: SyncTask(source_table_id=5, source_db="s", source_table="t", target_db="d",
+                            target_table="t", etl_type=2, sync_field="id, ts, v", pk_field="id", id_field_name="id",
+                            timestamp_field_name="ts", partition_size=1000)
+    run_task(spark, task(), v1, store, as_of="2024-01-10 00:00:00")
+    # row 1 changes (newer ts), row 3 is new
+    v2 = spark.createDataFrame([(1, datetime(2024, 1, 5), "a2"), (2, datetime(2024, 1, 2), "b"),
+                                (3, datetime(2024, 1, 6), "c")], schema)
+    r = run_task(spark, task(), v2, store, as_of="2024-01-20 00:00:00")
+    assert r.rows == 2
+    got = {x["id"]: (x["v"], x["etl_update_time"]) for x in store.read().collect()}
+    assert got == {1: ("a2", datetime(2024, 1, 10)), 2: ("b", datetime(2024, 1, 10)),
+                   3: ("c", datetime(2024, 1, 20))}

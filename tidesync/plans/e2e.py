@@ -24,8 +24,9 @@ def orders_task(etl_type: int = 2, batch_size: int = 1000, loops: int = 5, house
 
 
 @register("sync_run", f"""
-SELECT {_ORD5}, o_orderkey // 1000 + 1 AS partition_num FROM (
-  SELECT * FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 10000)""")
+SELECT {_ORD5}, o_orderkey // 1000 + 1 AS partition_num,
+       CASE WHEN rn <= 5000 THEN TIMESTAMP '2001-08-10' ELSE TIMESTAMP '2001-08-11' END AS etl_update_time
+FROM (SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS rn FROM orders) WHERE rn <= 10000""")
 def q_sync_run(spark, sf):
     """Two type-2 runs of a task capped at 1,000 x 5 rows: the second continues at the watermark."""
     orders = D.table(spark, sf, "orders")
@@ -38,7 +39,7 @@ def q_sync_run(spark, sf):
 
 
 @register("sync_run_full", f"""
-SELECT {_ORD5}, CAST(0 AS BIGINT) AS partition_num FROM orders""")
+SELECT {_ORD5}, CAST(0 AS BIGINT) AS partition_num, TIMESTAMP '2001-08-11' AS etl_update_time FROM orders""")
 def q_sync_run_full(spark, sf):
     """Type 4: truncate and load, run twice (the second run replaces the first's rows)."""
     orders = D.table(spark, sf, "orders")
@@ -85,7 +86,9 @@ def production_task(etl_type: int = 2, housekeeping: int = 1) -> SyncTask:
 
 
 @register("sync_run_production", f"""
-SELECT {_ORD5}, o_orderkey // 1000000000 + 1 AS partition_num FROM orders""")
+SELECT {_ORD5}, o_orderkey // 1000000000 + 1 AS partition_num,
+       CASE WHEN o_orderdate < TIMESTAMP '2000-01-01' THEN TIMESTAMP '2001-08-10' ELSE TIMESTAMP '2001-08-11' END
+         AS etl_update_time FROM orders""")
 def q_sync_run_production(spark, sf):
     """Initial load of the orders before 2000, then an incremental run that adds the rest."""
     orders = D.table(spark, sf, "orders")
@@ -150,8 +153,8 @@ def q_procedure_sync_run(spark, sf):
 
 
 @register("sync_run_by_id", """
-SELECT event_id, ts, user_id, event_type, value, event_id // 1000 + 1 AS partition_num FROM events
-ORDER BY event_id LIMIT 10000""")
+SELECT event_id, ts, user_id, event_type, value, event_id // 1000 + 1 AS partition_num,
+       TIMESTAMP '2024-02-01' AS etl_update_time FROM events ORDER BY event_id LIMIT 10000""")
 def q_sync_run_by_id(spark, sf):
     """Two type-1 runs over events (1,000 x 5 rows each); a new task starts at the first id."""
     task = SyncTask(source_table_id=2, source_db="src_db", source_table="events", target_db="dw",
@@ -166,8 +169,8 @@ def q_sync_run_by_id(spark, sf):
 
 
 @register("sync_run_lagged", f"""
-SELECT {_ORD5}, o_orderkey // 1000 + 1 AS partition_num FROM orders WHERE o_orderdate < TIMESTAMP '2001-07-29'
-ORDER BY o_orderdate, o_orderkey LIMIT 10000""")
+SELECT {_ORD5}, o_orderkey // 1000 + 1 AS partition_num, TIMESTAMP '2001-08-01 12:00:00' AS etl_update_time
+FROM orders WHERE o_orderdate < TIMESTAMP '2001-07-29' ORDER BY o_orderdate, o_orderkey LIMIT 10000""")
 def q_sync_run_lagged(spark, sf):
     """Two type-3 runs (3-day settle lag), 5,000 rows each past the watermark; the second also
     re-reads the rows at its watermark's timestamp (harmless through the upsert)."""
@@ -180,7 +183,8 @@ def q_sync_run_lagged(spark, sf):
 
 @register("sync_run_drift", f"""
 SELECT {_ORD5}, CASE WHEN rn <= 5000 THEN NULL ELSE o_orderpriority END AS o_orderpriority,
-       o_orderkey // 1000 + 1 AS partition_num
+       o_orderkey // 1000 + 1 AS partition_num,
+       CASE WHEN rn <= 5000 THEN TIMESTAMP '2001-08-10' ELSE TIMESTAMP '2001-08-11' END AS etl_update_time
 FROM (SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS rn FROM orders) WHERE rn <= 10000""")
 def q_sync_run_drift(spark, sf):
     """Source drift: the first run sees orders before o_orderpriority existed, the second run

@@ -22,8 +22,12 @@ from ..operators.retention import (expiry_gate, ledger_id_count, ledger_mark, le
 from ..schema import (DEFAULT_LAST_ID, DEFAULT_LAST_TIMESTAMP, LEDGER_SCHEMA, SHARD_LOG_SCHEMA, SyncTask,
                       validate_task)
 from ..session import ensure_checkpoint_dir
+from ..functions.rules import ts_literal
 from .commit import BUCKET, SHARD, TableStore, bucket_expr, unit_key
 
+# Audit column of the table-sync target: the time a row was first inserted.
+AUDIT_COL = "etl_update_time"
+
 
 @dataclass
 class RunResult:
@@ -103,11 +107,12 @@ def _publish_pending(store: TableStore, log_store: TableStore | None, ledger_sto
 def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: TableStore,
              log_store: TableStore | None = None, ledger_store: TableStore | None = None,
              as_of: datetime | str | None = None, reject_store: TableStore | None = None,
-             refresh_fields: bool = False) -> RunResult:
+             refresh_fields: bool = False, audit_col: str | None = AUDIT_COL) -> RunResult:
     """Run one sync of ``task`` from ``source`` into ``store``; returns counts and the new watermark.
 
     ``refresh_fields`` first sets ``sync_field`` to the source's columns, as a run of the source
-    format does (the new value is returned for the control table)."""
+    format does (the new value is returned for the control table). ``audit_col`` is set to ``as_of``
+    when a row is first inserted and kept when it is updated (C10); None leaves it out."""
     steps = _Steps()
     _publish_pending(store, log_store, ledger_store)          # finish a run that died after its commit
     drift = refresh_sync_field(task, source) if refresh_fields else False
@@ -170,6 +175,9 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
         steps.done("ledger")
 
     extra = {**store.state().get("extra", {}), "pending": pending}
+    if audit_col:
+        good = good.withColumn(audit_col, ts_literal(as_of))
+    keep = [audit_col] if audit_col else []
     if task.etl_type == 4:
         version = store.commit(good, watermark=watermark, replace_all=True, cluster_by=task.keys, extra=extra,
                                expected_version=load_version - 1)
@@ -182,7 +190,7 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
                 order = [c for c in (task.timestamp_field_name, task.id_field_name) if c]
                 # (key, ts, id) is unique when the id is the key: no tie-break needed
                 new_part = upsert(old, good, [SHARD, BUCKET, *task.keys], order=order, changes_rows=n,
-                                  unique_order=task.id_field_name in task.keys)
+                                  unique_order=task.id_field_name in task.keys, keep=keep)
             else:
                 new_part = append(old, good)
         version = store.commit(new_part, watermark=watermark, touched=units, cluster_by=task.keys, extra=extra,
