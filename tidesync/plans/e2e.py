@@ -198,3 +198,51 @@ def q_sync_run_drift(spark, sf):
     res = run_task(spark, second, orders, store, as_of="2001-08-11 00:00:00", refresh_fields=True)
     assert "o_orderpriority" in res.sync_field
     return store.read()
+
+
+def line_pairs(lineitem):
+    """A procedure result keyed by two ids: one row per (order, line number) of lineitem."""
+    return (lineitem.groupBy("l_orderkey", "l_linenumber")
+            .agg(F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("quantity")))
+
+
+@register("procedure_sync_two_ids", """
+SELECT l_orderkey, l_linenumber, count(*) AS n_lines, sum(l_quantity) AS quantity,
+       'src-host' AS SourceHost, 'src_db' AS SourceDB,
+       CASE WHEN row_number() OVER (ORDER BY l_orderkey, l_linenumber) <= 5000
+            THEN TIMESTAMP '2001-08-10' ELSE TIMESTAMP '2001-08-11' END AS inserttime,
+       l_orderkey // 1000000000 + 1 AS partition_num
+FROM lineitem GROUP BY l_orderkey, l_linenumber
+QUALIFY row_number() OVER (ORDER BY l_orderkey, l_linenumber) <= 10000""")
+def q_procedure_sync_two_ids(spark, sf):
+    """Two procedure-sync runs keyed by (l_orderkey, l_linenumber): the pair is the watermark."""
+    from .run import run_procedure_task
+    src = line_pairs(D.table(spark, sf, "lineitem"))
+    task = {**procedure_task(1, 3), "source_table": "lines", "target_table": "lines_sp",
+            "pk_field": "l_orderkey, l_linenumber", "sync_field": "l_orderkey, l_linenumber, n_lines, quantity",
+            "id_field_name_1": "l_orderkey", "id_field_name_2": "l_linenumber", "last_id_sync_record_2": 0}
+    store = TableStore(spark, scratch_path(spark, "procedure_two"))
+    for day in ("2001-08-10 00:00:00", "2001-08-11 00:00:00"):
+        run_procedure_task(spark, task, src, store, (), as_of=day, source_host="src-host")
+    return store.read()
+
+
+@register("procedure_sync_rowversion", """
+SELECT event_id, event_type, CAST(event_id AS DECIMAL(20,0)) AS rv, 'src-host' AS SourceHost, 'src_db' AS SourceDB,
+       CASE WHEN event_id < (SELECT min(event_id) FROM events) + 5000
+            THEN TIMESTAMP '2001-08-10' ELSE TIMESTAMP '2001-08-11' END AS inserttime,
+       event_id // 1000000000 + 1 AS partition_num
+FROM events QUALIFY row_number() OVER (ORDER BY event_id) <= 10000""")
+def q_procedure_sync_rowversion(spark, sf):
+    """Two procedure-sync runs of type 2: the 8-byte rowversion (decoded by the rule) is the watermark."""
+    from ..functions.rules import unsigned_to_bytes
+    from .run import run_procedure_task
+    ev = D.table(spark, sf, "events").select("event_id", "event_type", unsigned_to_bytes("event_id").alias("rv"))
+    task = {**procedure_task(2, 2), "source_table": "events", "target_table": "events_sp", "pk_field": "event_id",
+            "sync_field": "event_id, event_type, rv", "id_field_name_1": None, "timestamp_field_name": "rv"}
+    rules = [{"target_db": "dw", "target_table": "events_sp", "column_name": "rv", "original_data_type": "timestamp",
+              "covert_data_type": "bigint"}]
+    store = TableStore(spark, scratch_path(spark, "procedure_rv"))
+    for day in ("2001-08-10 00:00:00", "2001-08-11 00:00:00"):
+        run_procedure_task(spark, task, ev, store, rules, as_of=day, source_host="src-host")
+    return store.read()
