@@ -160,3 +160,21 @@ def test_capped_extract_text_keys_histogram(spark):
         assert sorted(_rows(got, "k")) == sorted(_rows(df.orderBy("k").limit(cap), "k")), cap
     got = X.capped_extract(df, ["k"], 200, watermark=["7"], topk_limit=9, buckets=5)
     assert sorted(_rows(got, "k")) == _brute(df.select("k"), ["k"], 200, ["7"])
+
+
+def test_capped_extract_long_shared_text_prefix(spark):
+    # a third of the rows share a 30-byte prefix, and some texts repeat (tie broken by the 2nd key)
+    hot = "customer-account-reference-xx-"
+    data = [(f"{hot}{i:05d}", i) for i in range(150)] + [(f"{hot}00007", 1000 + i) for i in range(40)]
+    data += [(f"k{i:04d}", i) for i in range(250)]
+    df = spark.createDataFrame(data, "k string, n int")
+    for cap in (120, 260, 330, 430):
+        got = X.capped_extract(df, ["k", "n"], cap, topk_limit=6, buckets=5)
+        assert sorted(_rows(got, "k", "n")) == sorted(_rows(df.orderBy("k", "n").limit(cap), "k", "n")), cap
+
+
+def test_capped_extract_float_key_uses_rank_cut(spark):
+    data = [(float(i % 37) / 3.0, i) for i in range(300)]
+    df = spark.createDataFrame(data, "x double, id int")
+    got = X.capped_extract(df, ["x", "id"], 140, topk_limit=5)
+    assert sorted(_rows(got, "x", "id")) == sorted(_rows(df.orderBy("x", "id").limit(140), "x", "id"))

@@ -131,7 +131,7 @@ def project_sync_fields(df: DataFrame, sync_field: str) -> DataFrame:
 
 # ---------------------------------------------------------------- per-run cap
 
-def _ordinal(c: Column, dtype: T.DataType) -> Column | None:
+def _ordinal(c: Column, dtype: T.DataType, offset: int = 0) -> Column | None:
     """Order-preserving long for a leading key, or None when the type has none here."""
     if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         return c.cast("long")
@@ -145,9 +145,9 @@ def _ordinal(c: Column, dtype: T.DataType) -> Column | None:
     if isinstance(dtype, T.DateType):
         return F.unix_date(c).cast("long")
     if isinstance(dtype, (T.StringType, T.BinaryType)):
-        # first 7 bytes as a big-endian number (shorter values padded with zero bytes): monotone in
-        # Spark's byte-wise order, so equal ordinals only mean a shared 7-byte prefix
-        head = F.substring(c.cast("binary"), 1, 7)
+        # 7 bytes from ``offset`` as a big-endian number (past the end: zero bytes): monotone in
+        # Spark's byte-wise order among values that share the first ``offset`` bytes
+        head = F.substring(c.cast("binary"), offset + 1, 7)
         return F.conv(F.rpad(F.hex(head), 14, "0"), 16, 10).cast("long")
     return None
 
@@ -177,8 +177,8 @@ def capped_extract(df: DataFrame, keys: Sequence[str], cap: int, watermark: Sequ
     crosses the cap; every lower bucket is taken whole by a range filter, and the search narrows
     into the crossing bucket (and to the next key when one leading value holds too many rows) until
     what is left fits the top-k. A hot key value holding a third of the table is handled the same
-    way: it only makes the search step to the next key column. Text keys are searched on their
-    first seven bytes; only a slice sharing one such prefix falls back to the rank cut.
+    way: it only makes the search step to the next key column. Text keys are searched seven bytes
+    at a time (a slice sharing a prefix moves on to the next seven bytes).
     """
     keys = list(keys)
     base = df.filter(not_null(keys))
@@ -194,15 +194,19 @@ def capped_extract(df: DataFrame, keys: Sequence[str], cap: int, watermark: Sequ
     scope = F.lit(True)               # predicate of the range still being searched
     remaining = int(cap)
     level = 0
+    offset = 0                        # byte offset inside a text key
     tail = None
     while True:
         k = keys[level]
-        ordv = _ordinal(F.col(k), types[k])
+        ordv = _ordinal(F.col(k), types[k], offset)
         if ordv is None:              # a later key without an ordinal: finish with a rank cut
             tail = _capped_by_rank(base.filter(scope), keys[level:], remaining, keys)
             break
-        st = base.filter(scope).agg(F.count(F.lit(1)).alias("n"), F.min(ordv).alias("lo"),
-                                    F.max(ordv).alias("hi")).first()
+        prefix = _is_prefix_ordinal(types[k])
+        stats = [F.count(F.lit(1)).alias("n"), F.min(ordv).alias("lo"), F.max(ordv).alias("hi")]
+        if prefix:
+            stats.append(F.max(F.length(F.col(k).cast("binary"))).alias("len"))
+        st = base.filter(scope).agg(*stats).first()
         n, lo, hi = st["n"], st["lo"], st["hi"]
         if n <= remaining:
             taken.append(scope)
@@ -210,12 +214,15 @@ def capped_extract(df: DataFrame, keys: Sequence[str], cap: int, watermark: Sequ
         if remaining <= topk_limit:
             tail = base.filter(scope).orderBy(*keys).limit(remaining)
             break
-        prefix = _is_prefix_ordinal(types[k])
         if lo == hi:
-            if prefix:                # one shared 7-byte prefix: rank cut inside this slice only
-                tail = _capped_by_rank(base.filter(scope), keys[level:], remaining, keys)
-                break
-            scope = scope & (F.col(k) == _from_ordinal(lo, types[k]))
+            if prefix:
+                scope = scope & (ordv == F.lit(lo))
+                if offset + 7 < (st["len"] or 0):
+                    offset += 7       # the same text key, next 7 bytes
+                    continue
+                offset = 0            # equal texts (up to trailing zero bytes): next key column
+            else:
+                scope = scope & (F.col(k) == _from_ordinal(lo, types[k]))
             level += 1
             if level == len(keys):    # full-key ties: any `remaining` of them, as LIMIT would
                 tail = base.filter(scope).limit(remaining)
@@ -262,7 +269,8 @@ def capped_extract(df: DataFrame, keys: Sequence[str], cap: int, watermark: Sequ
 
 def _capped_by_rank(base: DataFrame, keys: Sequence[str], cap: int,
                     order: Sequence[str] | None = None) -> DataFrame:
-    """Cap for keys without an ordinal (text): range-partition, count per partition, cut.
+    """Cap for keys without an ordinal (floating point, decimals): range-partition, count per
+    partition, cut.
 
     The sorted candidates are checkpointed to the shared checkpoint folder so the counts and the
     rows come from the same partitioning; only one count per partition reaches the driver.
