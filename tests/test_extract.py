@@ -178,3 +178,12 @@ def test_capped_extract_float_key_uses_rank_cut(spark):
     df = spark.createDataFrame(data, "x double, id int")
     got = X.capped_extract(df, ["x", "id"], 140, topk_limit=5)
     assert sorted(_rows(got, "x", "id")) == sorted(_rows(df.orderBy("x", "id").limit(140), "x", "id"))
+
+
+def test_capped_extract_decimal_key(spark):
+    from decimal import Decimal
+    data = [(Decimal(f"{(i * 7919) % 1000}.{i % 100:02d}"), i) for i in range(400)]
+    df = spark.createDataFrame(data, "amount decimal(12,2), id int")
+    for cap in (97, 250):
+        got = X.capped_extract(df, ["amount", "id"], cap, topk_limit=5, buckets=6)
+        assert sorted(_rows(got, "amount", "id")) == sorted(_rows(df.orderBy("amount", "id").limit(cap), "amount", "id"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -144,6 +145,8 @@ def _ordinal(c: Column, dtype: T.DataType, offset: int = 0) -> Column | None:
         return F.unix_micros(c)
     if isinstance(dtype, T.DateType):
         return F.unix_date(c).cast("long")
+    if isinstance(dtype, T.DecimalType) and dtype.precision <= 18:
+        return (c * F.lit(10 ** dtype.scale)).cast("long")      # the unscaled value: exact
     if isinstance(dtype, (T.StringType, T.BinaryType)):
         # 7 bytes from ``offset`` as a big-endian number (past the end: zero bytes): monotone in
         # Spark's byte-wise order among values that share the first ``offset`` bytes
@@ -164,6 +167,8 @@ def _from_ordinal(v: int, dtype: T.DataType) -> Column:
         return F.timestamp_micros(F.lit(v))
     if isinstance(dtype, T.DateType):
         return F.lit(date(1970, 1, 1) + timedelta(days=v))
+    if isinstance(dtype, T.DecimalType):
+        return F.lit(str(Decimal(v).scaleb(-dtype.scale))).cast(dtype)
     return F.lit(v).cast(dtype)
 
 
@@ -269,8 +274,8 @@ def capped_extract(df: DataFrame, keys: Sequence[str], cap: int, watermark: Sequ
 
 def _capped_by_rank(base: DataFrame, keys: Sequence[str], cap: int,
                     order: Sequence[str] | None = None) -> DataFrame:
-    """Cap for keys without an ordinal (floating point, decimals): range-partition, count per
-    partition, cut.
+    """Cap for keys without an ordinal (floating point, decimals over 18 digits): range-partition,
+    count per partition, cut.
 
     The sorted candidates are checkpointed to the shared checkpoint folder so the counts and the
     rows come from the same partitioning; only one count per partition reaches the driver.
