@@ -348,3 +348,17 @@ def test_audit_time_set_on_insert_and_kept_on_update(spark, scratch):
     got = {x["id"]: (x["v"], x["etl_update_time"]) for x in store.read().collect()}
     assert got == {1: ("a2", datetime(2024, 1, 10)), 2: ("b", datetime(2024, 1, 10)),
                    3: ("c", datetime(2024, 1, 20))}
+
+
+def test_procedure_type4_rereads_from_the_row_id_each_run(spark, scratch):
+    from tidesync.plans.e2e import procedure_source, procedure_task
+    from tidesync.plans.run import run_procedure_task
+    src = procedure_source(table(spark, SF_SMOKE, "orders"))
+    store = TableStore(spark, scratch("sp4"))
+    task = {**procedure_task(4, 2), "batch_size": 100, "max_loop_count": 3}
+    first = run_procedure_task(spark, task, src, store, (), as_of="2001-08-10 00:00:00", source_host="h")
+    second = run_procedure_task(spark, task, src, store, (), as_of="2001-08-11 00:00:00", source_host="h")
+    assert first.rows == second.rows == 300 and first.watermark == {} == second.watermark
+    rows = store.read().collect()
+    assert len(rows) == 300 and {r["o_orderkey"] for r in rows} == set(range(300))
+    assert {r["inserttime"] for r in rows} == {datetime(2001, 8, 11)}      # every column set again
