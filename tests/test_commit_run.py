@@ -362,3 +362,15 @@ def test_procedure_type4_rereads_from_the_row_id_each_run(spark, scratch):
     rows = store.read().collect()
     assert len(rows) == 300 and {r["o_orderkey"] for r in rows} == set(range(300))
     assert {r["inserttime"] for r in rows} == {datetime(2001, 8, 11)}      # every column set again
+
+
+def test_rules_from_json_file_apply(spark, tmp_path):
+    from tidesync.functions.rules import apply_rules, unsigned_to_bytes
+    p = _write(tmp_path, "rules2.json", json.dumps([
+        {"target_db": "dw", "target_table": "t", "column_name": "flag", "original_data_type": "Boolean",
+         "covert_data_type": "bit"},
+        {"target_db": "dw", "target_table": "t", "column_name": "rv", "original_data_type": "timestamp",
+         "covert_data_type": "bigint"}]))
+    df = spark.range(3).select(F.col("id"), (F.col("id") == 1).alias("flag"), unsigned_to_bytes("id").alias("rv"))
+    out = {r["id"]: (r["flag"], int(r["rv"])) for r in apply_rules(df, read_rules(spark, str(p)), "dw", "t").collect()}
+    assert out == {0: (0, 0), 1: (1, 1), 2: (0, 2)}
