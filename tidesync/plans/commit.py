@@ -87,7 +87,11 @@ class _FS:
             stream.close()
 
     def write_new(self, rel: str, text: str) -> None:
-        """Create ``rel`` with ``text``: written to a temporary name, then renamed into place."""
+        """Create ``rel`` with ``text``: written to a temporary name, then renamed into place.
+
+        On HDFS the rename itself fails when ``rel`` exists, so two writers of one version cannot
+        both win; on a local disk the existence check before the rename is best effort (one writer).
+        """
         final = self.path(rel)
         tmp = self.path(f"{rel}.{uuid.uuid4().hex}.tmp")
         out = self.fs.create(tmp, False)
