@@ -374,3 +374,18 @@ def test_rules_from_json_file_apply(spark, tmp_path):
     df = spark.range(3).select(F.col("id"), (F.col("id") == 1).alias("flag"), unsigned_to_bytes("id").alias("rv"))
     out = {r["id"]: (r["flag"], int(r["rv"])) for r in apply_rules(df, read_rules(spark, str(p)), "dw", "t").collect()}
     assert out == {0: (0, 0), 1: (1, 1), 2: (0, 2)}
+
+
+def test_stream_keeps_the_shard_log(spark, scratch):
+    root = scratch("stream_log")
+    ev = table(spark, SF_SMOKE, "events")
+    ev.repartition(3, "event_id").write.parquet(f"{root}/in")
+    store, log = TableStore(spark, f"{root}/out"), TableStore(spark, f"{root}/log")
+    stream_sync(spark, f"{root}/in", ev.schema, store, f"{root}/ckpt", keys=["event_id"], id_col="event_id",
+                partition_size=100, order=["ts"], log_store=log, ts_col="ts")
+    lg = {r["shard_id"]: r for r in log.read().collect()}
+    want = {r["p"]: r for r in ev.groupBy(((F.col("event_id") / 100).cast("long") + 1).alias("p"))
+            .agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi"), F.min("ts").alias("t0")).collect()}
+    assert set(lg) == set(want)
+    assert all(lg[p]["min_id"] == want[p]["lo"] and lg[p]["max_id"] == want[p]["hi"]
+               and lg[p]["min_timestamp"] == want[p]["t0"] for p in want)

@@ -22,8 +22,14 @@ from ..plans.commit import BUCKET, SHARD, TableStore, bucket_expr, unit_key
 
 
 def sync_batch(batch: DataFrame, epoch_id: int, store: TableStore, keys: list[str], id_col: str,
-               partition_size: int, order: list[str] | None = None) -> None:
-    """Load one micro-batch into ``store`` (idempotent per ``epoch_id``)."""
+               partition_size: int, order: list[str] | None = None, log_store: TableStore | None = None,
+               ts_col: str | None = None, table_name: str = "target") -> None:
+    """Load one micro-batch into ``store`` (idempotent per ``epoch_id``); with ``log_store`` also
+    widen the shard log, staged before and published after the data commit (as a run does)."""
+    from ..operators.profile import shard_log_merge, shard_log_rows, shard_profile
+    from ..plans.run import _publish_pending
+    from ..schema import SHARD_LOG_SCHEMA
+    _publish_pending(store, log_store, None)
     st = store.state()
     if st.get("extra", {}).get("epoch", -1) >= epoch_id:
         return
@@ -39,17 +45,29 @@ def sync_batch(batch: DataFrame, epoch_id: int, store: TableStore, keys: list[st
     else:
         old = store.read(units=units, keep_unit=True)
         new_part = upsert(old, rows, [SHARD, BUCKET, *keys], order=order) if keys else append(old, rows)
-    store.commit(new_part, touched=units, extra={"epoch": epoch_id})
+    pending = {}
+    if log_store is not None:
+        prof = shard_profile(rows.drop(BUCKET), id_col, ts_col)
+        log_rows = shard_log_rows(prof, table_name, "", "", id_col, ts_col, None, list(batch.columns),
+                                  "1970-01-01 00:00:00")
+        old_log = log_store.read(SHARD_LOG_SCHEMA) if log_store.version() else None
+        merged = shard_log_merge(old_log, log_rows) if old_log is not None else log_rows
+        pending["log"] = {**log_store.stage(merged.withColumn(SHARD, F.lit(0).cast("long")), small=True),
+                          "replace_all": True}
+    store.commit(new_part, touched=units, extra={"epoch": epoch_id, "pending": pending})
+    _publish_pending(store, log_store, None)
 
 
 def stream_sync(spark: SparkSession, source_path: str, schema: T.StructType, store: TableStore,
                 checkpoint_location: str, keys: list[str], id_col: str, partition_size: int,
-                order: list[str] | None = None, max_files_per_trigger: int = 1, fmt: str = "parquet") -> None:
+                order: list[str] | None = None, max_files_per_trigger: int = 1, fmt: str = "parquet",
+                log_store: TableStore | None = None, ts_col: str | None = None) -> None:
     """Sync every file under ``source_path`` into ``store`` and stop when none is left."""
     src = (spark.readStream.format(fmt).schema(schema)
            .option("maxFilesPerTrigger", max_files_per_trigger).load(source_path))
     q = (src.writeStream
-         .foreachBatch(lambda b, e: sync_batch(b, e, store, keys, id_col, partition_size, order))
+         .foreachBatch(lambda b, e: sync_batch(b, e, store, keys, id_col, partition_size, order,
+                                               log_store, ts_col))
          .option("checkpointLocation", checkpoint_location)
          .trigger(availableNow=True)
          .start())
