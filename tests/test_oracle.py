@@ -6,10 +6,11 @@ import pytest
 from conftest import SF_SMOKE
 
 import __spark_entry__ as E
+from tidesync.plans import catalog
 from tools.oracle_check import TABLES, digest
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -26,6 +27,10 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
+def test_entry_registers_every_query():
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
+
+
 def test_every_query_has_an_oracle_or_a_reason():
     rows_only = set(QUERIES) - set(ORACLE)
     assert rows_only == {"nested_to_json"}
