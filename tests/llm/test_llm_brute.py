@@ -480,3 +480,17 @@ def test_pipeline_stages(spark, scratch):
         if k < 4:
             assert docs.columns == columns
     assert all(r["taken"] > 0 for r in after.values())
+
+
+def test_op3_hot_words(spark, monkeypatch):
+    """Many similar lines under common words: every word hot, or none, gives the brute-force result."""
+    import random
+    rng = random.Random(3)
+    base = [f"b{i}" for i in range(30)]
+    texts = [(n, " ".join(rng.sample(base, 27) + [f"own{n}" for _ in range(rng.randint(0, 3))])) for n in range(120)]
+    df = frame(spark, texts)
+    sets = [set(t.split()) for _, t in texts]
+    want = {n for n, s in enumerate(sets) if any(5 * len(s & o) >= 4 * len(s | o) for o in sets[:n])}
+    for step in (0, 200):
+        monkeypatch.setattr(line_dedup, "HOT_STEP", step)
+        assert {r["doc_id"] for r in line_dedup.remove_lines(df).filter("n_removed > 0").collect()} == want

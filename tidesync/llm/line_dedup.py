@@ -19,11 +19,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .text import carried, checked_broadcast, join_docs, let, named, plain_words, restored, saved, table
+from ..session import scratch_path
+from .text import carried, checked_broadcast, join_docs, named, plain_words, restored, saved, table
 
 SIMILARITY = (4, 5)            # 0.8, as a fraction, so that every bound is exact
 RARITY_BITS = 19
-MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_ROWS = 200_000   # document keys (two numbers) sent to every executor at most
+HOT_WORD = 1024
+HOT_STEP = 40                  # floor(4 * log2(HOT_WORD)), as in ``rarity``
 
 
 def _cell(h: Column) -> Column:
@@ -48,8 +51,9 @@ def rarity(docs: DataFrame) -> DataFrame:
 def word_keys(text: Column, steps: Column) -> Column:
     """The distinct words of a line as numbers, rarest first: 7 bits of rarity, then 56 of the word's hash."""
     low = (1 << 56) - 1
-    return F.array_distinct(F.sort_array(F.transform(plain_words(text), lambda w: let(F.xxhash64(w), lambda h: (
-        F.shiftleft(F.get(steps, _cell(h)).cast("long"), 56).bitwiseOR(h.bitwiseAND(F.lit(low))))))))
+    hashes = F.transform(plain_words(text), lambda w: F.xxhash64(w))
+    return F.array_distinct(F.sort_array(F.transform(hashes, lambda h: (
+        F.shiftleft(F.get(steps, _cell(h)).cast("long"), 56).bitwiseOR(h.bitwiseAND(F.lit(low)))))))
 
 
 def _overlap(size_a: Column, size_b: Column) -> Column:
@@ -85,41 +89,72 @@ def line_sets(docs: DataFrame) -> DataFrame:
         .filter("size > 0"))                   # after the grouping: before it, the words would be found twice
 
 
-def similar_candidates(sets: DataFrame) -> DataFrame:
-    """(h1, other): pairs of sets (by h1) that pass every filter."""
-    postings = sets.select(F.posexplode("prefix").alias("at", "key"), "h1", "size", "b1", "b2")
-    a, b = postings.alias("a"), postings.alias("b")
-    overlap = _overlap(F.col("a.size"), F.col("b.size"))
-    # the first common word leaves at most this many common words (position and length filter)
-    left = F.least(F.col("a.size") - F.col("a.at"), F.col("b.size") - F.col("b.at"))
-    differ = F.bit_count(F.col("a.b1").bitwiseXOR(F.col("b.b1"))) + F.bit_count(F.col("a.b2").bitwiseXOR(F.col("b.b2")))
-    return (a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.h1") < F.col("b.h1")) & (left >= overlap)
-                   & (differ <= F.col("a.size") + F.col("b.size") - 2 * overlap))
+def _may_be_similar(a: str, b: str) -> Column:
+    """Length, position and overlap filters of two postings with a common word."""
+    overlap = _overlap(F.col(f"{a}.size"), F.col(f"{b}.size"))
+    # the first common word leaves at most this many common words
+    left = F.least(F.col(f"{a}.size") - F.col(f"{a}.at"), F.col(f"{b}.size") - F.col(f"{b}.at"))
+    differ = F.bit_count(F.col(f"{a}.b1").bitwiseXOR(F.col(f"{b}.b1"))) + F.bit_count(F.col(f"{a}.b2").bitwiseXOR(F.col(f"{b}.b2")))
+    return (left >= overlap) & (differ <= F.col(f"{a}.size") + F.col(f"{b}.size") - 2 * overlap)
+
+
+def _pairs(a: DataFrame, b: DataFrame, order: Column) -> DataFrame:
+    """(h1, other) of postings ``a`` and ``b`` with a common word that pass the filters."""
+    return (a.alias("a").join(b.alias("b"), (F.col("a.key") == F.col("b.key")) & order & _may_be_similar("a", "b"))
             .select(F.col("a.h1").alias("h1"), F.col("b.h1").alias("other")).distinct())
 
 
-def kept_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, kept): numbers of the lines with words that stay, for documents that have any."""
+def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(h1, first): the later set of each pair that is similar, judged on the words of both lines."""
     p, q = SIMILARITY
-    sets = saved(line_sets(docs))
-    pairs = saved(similar_candidates(sets))
-    firsts = sets.select("h1", "first.*")
-    needed = firsts.join(pairs.select("h1").unionByName(pairs.select(F.col("other").alias("h1"))).distinct(), "h1")
+    needed = sets.select("h1", "first.*").join(
+        pairs.select("h1").unionByName(pairs.select(F.col("other").alias("h1"))).distinct(), "h1")
     wanted = saved(needed.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("line", "h1")).alias("wanted")))
     keys = checked_broadcast(wanted.select("doc_id", "text_hash"), MAX_BROADCAST_ROWS)
     texts = join_docs(named(docs, text=F.col("text")), keys, "left_semi").dropDuplicates(["doc_id", "text_hash"])
-    whole = (join_docs(texts, wanted).withColumn("lines", F.split("text", "\n", -1))
-             .select("doc_id", "text_hash", "lines", F.explode("wanted").alias("w"))
-             .select("w.h1", F.struct("doc_id", "text_hash", "w.line").alias("first"),
-                     F.array_distinct(plain_words(F.get("lines", F.col("w.line")))).alias("words")))
-    whole = saved(whole)
+    whole = saved(join_docs(texts, wanted).withColumn("lines", F.split("text", "\n", -1))
+                  .select("doc_id", "text_hash", "lines", F.explode("wanted").alias("w"))
+                  .select("w.h1", F.struct("doc_id", "text_hash", "w.line").alias("first"),
+                          F.array_distinct(plain_words(F.get("lines", F.col("w.line")))).alias("words")))
     other = whole.select(F.col("h1").alias("other"), F.col("first").alias("other_first"), F.col("words").alias("other_words"))
     common = F.size(F.array_intersect("words", "other_words"))
     union = F.size("words") + F.size("other_words") - common
-    removed = (pairs.join(whole, "h1").join(other, "other").filter(q * common >= p * union)
-               .select(F.greatest("first", "other_first").alias("first")).select("first.*").distinct())
-    kept = join_docs(firsts.drop("h1"), removed.groupBy("doc_id", "text_hash").agg(F.collect_set("line").alias("gone")), "left")
-    return (kept.filter(~F.coalesce(F.array_contains("gone", F.col("line")), F.lit(False)))
+    later = F.greatest(F.struct("first", "h1"), F.struct(F.col("other_first").alias("first"), F.col("other").alias("h1")))
+    return (pairs.join(whole, "h1").join(other, "other").filter(q * common >= p * union)
+            .select(later.alias("later")).select("later.h1", "later.first").distinct())
+
+
+def later_matches(docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(h1, first): the sets that an earlier set is similar to.
+
+    Words that stand ``HOT_WORD`` times or more may bring very many similar lines together, of which all pairs
+    would be too many. Under such a word every set first meets the earliest one alone; only sets that this
+    does not settle meet all earlier ones.
+    """
+    postings = sets.select(F.posexplode("prefix").alias("at", "key"), "h1", "size", "b1", "b2")
+    is_hot = F.shiftrightunsigned("key", 56) >= HOT_STEP
+    cold = postings.filter(~is_hot)
+    found = verified(docs, sets, saved(_pairs(cold, cold, F.col("a.h1") < F.col("b.h1"))))
+    hot = saved(sets.select(F.posexplode("prefix").alias("at", "key"), "h1", "size", "b1", "b2", "first").filter(is_hot))
+    if hot.isEmpty():
+        return found
+    found = saved(found)
+    earliest = hot.groupBy("key").agg(F.min(F.struct("first", "h1", "at", "size", "b1", "b2")).alias("e")).select("key", "e.*")
+    open_ = hot.join(found, "h1", "left_anti")
+    settled = saved(verified(docs, sets, saved(_pairs(open_, earliest, F.col("a.first") > F.col("b.first")))))
+    open_ = open_.join(settled, "h1", "left_anti")
+    rest = verified(docs, sets, saved(_pairs(open_, hot, F.col("a.first") > F.col("b.first"))))
+    return found.unionByName(settled).unionByName(rest).distinct()
+
+
+def kept_lines(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, kept): numbers of the lines with words that stay, for documents that have any."""
+    spark = docs.sparkSession
+    path = scratch_path(spark, "line-sets")
+    line_sets(docs).write.parquet(path)
+    sets = spark.read.parquet(path)
+    removed = later_matches(docs, sets).select("h1", F.lit(True).alias("removed"))
+    return (sets.select("h1", "first").join(removed, "h1", "left").filter("removed is null").select("first.*")
             .groupBy("doc_id", "text_hash").agg(F.collect_list("line").alias("kept")))
 
 
