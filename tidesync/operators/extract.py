@@ -252,7 +252,9 @@ def capped_extract(df: DataFrame, keys: Sequence[str], cap: int, watermark: Sequ
             inside = (ordv >= F.lit(lower)) & (ordv < F.lit(upper))
         else:                         # bounds as literals of the key's type: they reach the scan
             below = F.col(k) < _from_ordinal(lower, types[k])
-            inside = (F.col(k) >= _from_ordinal(lower, types[k])) & (F.col(k) < _from_ordinal(upper, types[k]))
+            inside = F.col(k) >= _from_ordinal(lower, types[k])
+            if upper <= hi:           # the last bucket needs no bound, which could pass the type's range
+                inside = inside & (F.col(k) < _from_ordinal(upper, types[k]))
         if before > 0:
             taken.append(scope & below)
         remaining -= before
@@ -302,12 +304,32 @@ def _capped_by_rank(base: DataFrame, keys: Sequence[str], cap: int,
     return whole.unionByName(part).drop("_pid")
 
 
+def capped_with_ties(df: DataFrame, keys: Sequence[str], cap: int, watermark: Sequence | None = None,
+                     inclusive: bool = False) -> DataFrame:
+    """The rows of ``capped_extract`` and every further row with the last one's key, so that a watermark
+    at that key leaves nothing behind. The result is one range filter up to the cut key."""
+    base = df.filter(not_null(keys))
+    if watermark is not None:
+        base = base.filter(after(df, keys, watermark, inclusive))
+    cut = (capped_extract(df, keys, cap, watermark, inclusive)
+           .agg(F.count(F.lit(1)).alias("n"), F.max(F.struct(*[F.col(k) for k in keys])).alias("last")).first())
+    return base if cut["n"] < cap else base.filter(~after(df, keys, list(cut["last"])))
+
+
+def unkeyed_rows(df: DataFrame, task: SyncTask) -> DataFrame:
+    """Rows a keyset read can never reach: a NULL in the id or timestamp of a type 1 to 3 task."""
+    keys = {1: [task.id_field_name], 2: [task.timestamp_field_name, task.id_field_name],
+            3: [task.timestamp_field_name, task.id_field_name]}.get(task.etl_type)
+    src = project_sync_fields(df, task.sync_field)
+    return src.filter(~not_null(keys)) if keys else src.limit(0)
+
+
 # ---------------------------------------------------------------- whole increment of a task
 
 def increment(df: DataFrame, task: SyncTask, as_of=None, first_loop_inclusive: bool = True,
               lag_days: int = 3) -> DataFrame:
     """Everything one run of ``task`` reads, as one extraction: the loops of the source format
-    become one keyset range cut at ``batch_size * max_loop_count`` rows; adds ``partition_num``.
+    become one keyset range cut at ``batch_size * max_loop_count`` rows (and the ties of the last key); adds ``partition_num``.
     """
     src = project_sync_fields(df, task.sync_field)
     idf, tsf = task.id_field_name, task.timestamp_field_name
@@ -328,11 +350,11 @@ def increment(df: DataFrame, task: SyncTask, as_of=None, first_loop_inclusive: b
             at_wm = (F.col(tsf) == _lit_like(wm[0], df.schema[tsf].dataType)) & \
                     (F.col(idf) <= _lit_like(wm[1], df.schema[idf].dataType))
             reread = src.filter(not_null(keys) & at_wm)
-            out = capped_extract(src, keys, task.row_cap, wm).unionByName(reread)
+            out = capped_with_ties(src, keys, task.row_cap, wm).unionByName(reread)
             return out.withColumn("partition_num", route_expr(idf, task.partition_size, df.schema[idf].dataType))
     else:
         return src.limit(0).withColumn("partition_num", F.lit(None).cast("long"))
     if wm[0] is None:               # no watermark yet: from the start
         wm = None
-    out = capped_extract(src, keys, task.row_cap, wm, inclusive=inc)
+    out = capped_with_ties(src, keys, task.row_cap, wm, inclusive=inc)
     return out.withColumn("partition_num", route_expr(idf, task.partition_size, df.schema[idf].dataType))

@@ -20,8 +20,8 @@ from ..functions.rules import ts_literal
 # Fixed value: days a copied row is kept in the source before it may be deleted.
 RETENTION_DAYS = 14
 
-# Key of a ledger entry.
-ENTRY = ["load_version", "house_keeping_id"]
+# Key of a ledger entry. Load versions count per target, so a ledger shared by tasks needs the source too.
+ENTRY = ["source_db", "source_table", "load_version", "house_keeping_id"]
 
 
 def _day(as_of) -> date:

@@ -231,6 +231,16 @@ class TableStore:
         return self.publish(staged, watermark=watermark, touched=touched, replace_all=replace_all, extra=extra,
                             expected_version=expected_version)
 
+    def read_staged(self, staged: Mapping) -> DataFrame:
+        """The rows of a staged write, published or not."""
+        schema = T.StructType.fromJson(json.loads(staged["schema"]))
+        paths = [f"{self.root}/{SHARD}={u.split('/', 1)[0]}/{BUCKET}={u.split('/', 1)[1]}/ver={staged['tag']}"
+                 for u in staged["written"]]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        fields = [f for f in schema.fields if f.name != SHARD]
+        return self.spark.read.schema(T.StructType(fields)).parquet(*paths)
+
     def holds(self, tag: str) -> bool:
         """Whether the current state references the staged write ``tag``."""
         return tag in set(self.state()["units"].values())

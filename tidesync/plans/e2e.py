@@ -13,6 +13,11 @@ from .catalog import _GATE_SQL, register
 from .commit import TableStore
 from .run import house_keeping, run_task
 
+# A run cap of a third of the rows, so that three runs read any table to its end.
+def third(df) -> int:
+    return -(-df.count() // 3)
+
+
 _ORD5 = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate"
 
 
@@ -121,6 +126,8 @@ def procedure_task(etl_type: int = 1, arg_counts: int = 2) -> dict:
             "last_timestamp_sync_record": None}
 
 
+DAYS = ("2001-08-10 00:00:00", "2001-08-11 00:00:00", "2001-08-11 00:00:00")
+
 # Fixed rule list of the procedure check: a bit rule and a rowversion rule for dw.orders_sp.
 PROCEDURE_RULES = [
     {"target_db": "dw", "target_table": "orders_sp", "column_name": "is_urgent", "original_data_type": "Boolean",
@@ -138,64 +145,68 @@ SELECT o_orderkey, o_custkey, CASE WHEN ltrim(lpad(CAST(o_custkey AS VARCHAR), 8
 
 
 @register("procedure_sync_run", f"""
-SELECT *, CASE WHEN rn <= 5000 THEN TIMESTAMP '2001-08-10 00:00:00' ELSE TIMESTAMP '2001-08-11 00:00:00' END
+SELECT *, CASE WHEN rn <= (SELECT ceil(count(*) / 3) FROM orders) THEN TIMESTAMP '2001-08-10 00:00:00' ELSE TIMESTAMP '2001-08-11 00:00:00' END
           AS inserttime, o_orderkey // 1000000000 + 1 AS partition_num
-FROM ({_SP_ROWS}, row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders) WHERE rn <= 10000""".replace(
+FROM ({_SP_ROWS}, row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders)""".replace(
     "SELECT *,", "SELECT o_orderkey, o_custkey, cust_code, priority, is_urgent, rv, SourceHost, SourceDB,"))
 def q_procedure_sync_run(spark, sf):
-    """Two procedure-sync runs (type 1, one id, 1,000 x 5 rows each) with rules and clean-up."""
+    """Three procedure-sync runs (type 1, one id, a third of the rows each) with rules and clean-up."""
     from .run import run_procedure_task
     src = procedure_source(D.table(spark, sf, "orders"))
     store = TableStore(spark, scratch_path(spark, "procedure"))
-    for day in ("2001-08-10 00:00:00", "2001-08-11 00:00:00"):
-        run_procedure_task(spark, procedure_task(), src, store, PROCEDURE_RULES, as_of=day, source_host="src-host")
+    task = {**procedure_task(), "batch_size": third(src), "max_loop_count": 1}
+    for day in DAYS:
+        run_procedure_task(spark, task, src, store, PROCEDURE_RULES, as_of=day, source_host="src-host")
     return store.read()
 
 
 @register("sync_run_by_id", """
 SELECT event_id, ts, user_id, event_type, value, event_id // 1000 + 1 AS partition_num,
-       TIMESTAMP '2024-02-01' AS etl_update_time FROM events ORDER BY event_id LIMIT 10000""")
+       TIMESTAMP '2024-02-01' AS etl_update_time FROM events""")
 def q_sync_run_by_id(spark, sf):
-    """Two type-1 runs over events (1,000 x 5 rows each); a new task starts at the first id."""
+    """Three type-1 runs over events (a third each); a new task starts at the first id."""
+    ev = D.table(spark, sf, "events")
     task = SyncTask(source_table_id=2, source_db="src_db", source_table="events", target_db="dw",
                     target_table="events_t", etl_type=1, sync_field="event_id, ts, user_id, event_type, value",
-                    pk_field="event_id", id_field_name="event_id", batch_size=1000, max_loop_count=5,
+                    pk_field="event_id", id_field_name="event_id", batch_size=third(ev), max_loop_count=1,
                     partition_size=1000)
-    ev = D.table(spark, sf, "events")
     store = TableStore(spark, scratch_path(spark, "sync_by_id"))
-    for _ in range(2):
+    for _ in range(3):
         run_task(spark, SyncTask(**{**task.__dict__}), ev, store, as_of="2024-02-01 00:00:00")
     return store.read()
 
 
 @register("sync_run_lagged", f"""
 SELECT {_ORD5}, o_orderkey // 1000 + 1 AS partition_num, TIMESTAMP '2001-08-01 12:00:00' AS etl_update_time
-FROM orders WHERE o_orderdate < TIMESTAMP '2001-07-29' ORDER BY o_orderdate, o_orderkey LIMIT 10000""")
+FROM orders WHERE o_orderdate < TIMESTAMP '2001-07-29'""")
 def q_sync_run_lagged(spark, sf):
-    """Two type-3 runs (3-day settle lag), 5,000 rows each past the watermark; the second also
-    re-reads the rows at its watermark's timestamp (harmless through the upsert)."""
+    """Three type-3 runs (3-day settle lag), a third of the rows each past the watermark; the later ones
+    also re-read the rows at their watermark's timestamp (harmless through the upsert)."""
     orders = D.table(spark, sf, "orders")
     store = TableStore(spark, scratch_path(spark, "sync_lagged"))
-    for _ in range(2):
-        run_task(spark, orders_task(3), orders, store, as_of="2001-08-01 12:00:00")
+    cap = third(orders)
+    for _ in range(3):
+        run_task(spark, orders_task(3, batch_size=cap, loops=1), orders, store, as_of="2001-08-01 12:00:00")
     return store.read()
 
 
 @register("sync_run_drift", f"""
-SELECT {_ORD5}, CASE WHEN rn <= 5000 THEN NULL ELSE o_orderpriority END AS o_orderpriority,
+SELECT {_ORD5}, CASE WHEN rn <= (SELECT ceil(count(*) / 3) FROM orders) THEN NULL ELSE o_orderpriority END AS o_orderpriority,
        o_orderkey // 1000 + 1 AS partition_num,
-       CASE WHEN rn <= 5000 THEN TIMESTAMP '2001-08-10' ELSE TIMESTAMP '2001-08-11' END AS etl_update_time
-FROM (SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS rn FROM orders) WHERE rn <= 10000""")
+       CASE WHEN rn <= (SELECT ceil(count(*) / 3) FROM orders) THEN TIMESTAMP '2001-08-10' ELSE TIMESTAMP '2001-08-11' END AS etl_update_time
+FROM (SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS rn FROM orders)""")
 def q_sync_run_drift(spark, sf):
-    """Source drift: the first run sees orders before o_orderpriority existed, the second run
-    refreshes sync_field from the source and the target gains the column (add-only)."""
+    """Source drift: the first run sees orders before o_orderpriority existed, the later runs
+    refresh sync_field from the source and the target gains the column (add-only)."""
     orders = D.table(spark, sf, "orders")
     store = TableStore(spark, scratch_path(spark, "sync_drift"))
-    first = orders_task()
+    cap = third(orders)
+    first = orders_task(batch_size=cap, loops=1)
     run_task(spark, first, orders.drop("o_orderpriority"), store, as_of="2001-08-10 00:00:00", refresh_fields=True)
-    second = orders_task()
-    second.sync_field = first.sync_field            # the control row as the first run left it
-    res = run_task(spark, second, orders, store, as_of="2001-08-11 00:00:00", refresh_fields=True)
+    for _ in range(2):
+        second = orders_task(batch_size=cap, loops=1)
+        second.sync_field = first.sync_field        # the control row as the first run left it
+        res = run_task(spark, second, orders, store, as_of="2001-08-11 00:00:00", refresh_fields=True)
     assert "o_orderpriority" in res.sync_field
     return store.read()
 
@@ -209,40 +220,220 @@ def line_pairs(lineitem):
 @register("procedure_sync_two_ids", """
 SELECT l_orderkey, l_linenumber, count(*) AS n_lines, sum(l_quantity) AS quantity,
        'src-host' AS SourceHost, 'src_db' AS SourceDB,
-       CASE WHEN row_number() OVER (ORDER BY l_orderkey, l_linenumber) <= 5000
+       CASE WHEN row_number() OVER (ORDER BY l_orderkey, l_linenumber)
+              <= (SELECT ceil(count(*) / 3) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem))
             THEN TIMESTAMP '2001-08-10' ELSE TIMESTAMP '2001-08-11' END AS inserttime,
        l_orderkey // 1000000000 + 1 AS partition_num
-FROM lineitem GROUP BY l_orderkey, l_linenumber
-QUALIFY row_number() OVER (ORDER BY l_orderkey, l_linenumber) <= 10000""")
+FROM lineitem GROUP BY l_orderkey, l_linenumber""")
 def q_procedure_sync_two_ids(spark, sf):
-    """Two procedure-sync runs keyed by (l_orderkey, l_linenumber): the pair is the watermark."""
+    """Three procedure-sync runs keyed by (l_orderkey, l_linenumber): the pair is the watermark."""
     from .run import run_procedure_task
     src = line_pairs(D.table(spark, sf, "lineitem"))
     task = {**procedure_task(1, 3), "source_table": "lines", "target_table": "lines_sp",
             "pk_field": "l_orderkey, l_linenumber", "sync_field": "l_orderkey, l_linenumber, n_lines, quantity",
-            "id_field_name_1": "l_orderkey", "id_field_name_2": "l_linenumber", "last_id_sync_record_2": 0}
+            "id_field_name_1": "l_orderkey", "id_field_name_2": "l_linenumber", "last_id_sync_record_2": 0,
+            "batch_size": third(src), "max_loop_count": 1}
     store = TableStore(spark, scratch_path(spark, "procedure_two"))
-    for day in ("2001-08-10 00:00:00", "2001-08-11 00:00:00"):
+    for day in DAYS:
         run_procedure_task(spark, task, src, store, (), as_of=day, source_host="src-host")
     return store.read()
 
 
 @register("procedure_sync_rowversion", """
 SELECT event_id, event_type, CAST(event_id AS DECIMAL(20,0)) AS rv, 'src-host' AS SourceHost, 'src_db' AS SourceDB,
-       CASE WHEN event_id < (SELECT min(event_id) FROM events) + 5000
+       CASE WHEN row_number() OVER (ORDER BY event_id) <= (SELECT ceil(count(*) / 3) FROM events)
             THEN TIMESTAMP '2001-08-10' ELSE TIMESTAMP '2001-08-11' END AS inserttime,
        event_id // 1000000000 + 1 AS partition_num
-FROM events QUALIFY row_number() OVER (ORDER BY event_id) <= 10000""")
+FROM events""")
 def q_procedure_sync_rowversion(spark, sf):
-    """Two procedure-sync runs of type 2: the 8-byte rowversion (decoded by the rule) is the watermark."""
+    """Three procedure-sync runs of type 2: the 8-byte rowversion (decoded by the rule) is the watermark."""
     from ..functions.rules import unsigned_to_bytes
     from .run import run_procedure_task
     ev = D.table(spark, sf, "events").select("event_id", "event_type", unsigned_to_bytes("event_id").alias("rv"))
     task = {**procedure_task(2, 2), "source_table": "events", "target_table": "events_sp", "pk_field": "event_id",
-            "sync_field": "event_id, event_type, rv", "id_field_name_1": None, "timestamp_field_name": "rv"}
+            "sync_field": "event_id, event_type, rv", "id_field_name_1": None, "timestamp_field_name": "rv",
+            "batch_size": third(ev), "max_loop_count": 1}
     rules = [{"target_db": "dw", "target_table": "events_sp", "column_name": "rv", "original_data_type": "timestamp",
               "covert_data_type": "bigint"}]
     store = TableStore(spark, scratch_path(spark, "procedure_rv"))
-    for day in ("2001-08-10 00:00:00", "2001-08-11 00:00:00"):
+    for day in DAYS:
         run_procedure_task(spark, task, ev, store, rules, as_of=day, source_host="src-host")
     return store.read()
+
+
+# ------------------------------------------------------------------ what a run must not lose
+
+@register("procedure_sync_full", f"""
+SELECT o_orderkey, o_custkey, cust_code, priority, is_urgent, rv, SourceHost, SourceDB,
+       TIMESTAMP '2001-08-11 00:00:00' AS inserttime, o_orderkey // 1000000000 + 1 AS partition_num
+FROM ({_SP_ROWS} FROM orders)""")
+def q_procedure_sync_full(spark, sf):
+    """Procedure type 4, run twice: the whole table each time, whatever the batch settings."""
+    from .run import run_procedure_task
+    src = procedure_source(D.table(spark, sf, "orders"))
+    store = TableStore(spark, scratch_path(spark, "procedure_full"))
+    for day in DAYS[:2]:
+        run_procedure_task(spark, procedure_task(4), src, store, PROCEDURE_RULES, as_of=day, source_host="src-host")
+    return store.read()
+
+
+_LINES = "l_orderkey, l_linenumber, l_partkey, l_quantity"
+
+
+@register("capped_extract_ties", f"""
+SELECT {_LINES} FROM lineitem QUALIFY rank() OVER (ORDER BY l_orderkey) <= 20000""")
+def q_capped_extract_ties(spark, sf):
+    """A capped read on a key that repeats: the ties of the last key come along."""
+    from ..operators.extract import capped_with_ties
+    return capped_with_ties(D.table(spark, sf, "lineitem"), ["l_orderkey"], 20_000).select(*_LINES.split(", "))
+
+
+@register("sync_run_ties", f"""
+SELECT {_LINES}, l_orderkey // 1000000000 + 1 AS partition_num, TIMESTAMP '2001-08-10' AS etl_update_time FROM lineitem""")
+def q_sync_run_ties(spark, sf):
+    """Type 1 on an id that repeats, without a key: capped runs until nothing is left read every row once."""
+    li = D.table(spark, sf, "lineitem")
+    store = TableStore(spark, scratch_path(spark, "sync_ties"))
+    cap = third(li)
+    while run_task(spark, SyncTask(source_table_id=3, source_db="src_db", source_table="lineitem", target_db="dw",
+                                   target_table="lines_t", etl_type=1, sync_field=_LINES, id_field_name="l_orderkey",
+                                   batch_size=cap, max_loop_count=1, partition_size=1_000_000_000),
+                   li, store, as_of="2001-08-10 00:00:00").rows:
+        pass
+    return store.read()
+
+
+@register("sync_run_rejects", """
+SELECT CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(o_orderkey AS VARCHAR) END AS o_orderkey,
+       CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, 'key' AS reject_column
+FROM orders WHERE o_orderstatus = 'P' OR o_orderpriority = '5-LOW'""")
+def q_sync_run_rejects(spark, sf):
+    """Rows with a NULL id or timestamp: each is in the reject table once, however many runs meet it."""
+    orders = D.table(spark, sf, "orders")
+    src = orders.withColumns({
+        "o_orderkey": F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")),
+        "o_orderdate": F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderdate"))})
+    root = scratch_path(spark, "sync_rejects")
+    store, bad = TableStore(spark, f"{root}/data"), TableStore(spark, f"{root}/rejects")
+    for day in DAYS[:2]:
+        run_task(spark, production_task(housekeeping=0), src, store, as_of=day, reject_store=bad)
+    return bad.read().select("o_orderkey", "o_custkey", "o_orderstatus", "reject_column")
+
+
+@register("sync_run_retyped", f"""
+SELECT {_ORD5}, o_orderkey // 1000000000 + 1 AS partition_num,
+       CASE WHEN o_orderdate < TIMESTAMP '2000-01-01' THEN TIMESTAMP '2001-08-10' ELSE TIMESTAMP '2001-08-11' END
+         AS etl_update_time
+FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01' OR o_orderstatus <> 'P'""")
+def q_sync_run_retyped(spark, sf):
+    """A column turns to text at the source: rows whose value does not fit are rejected, never set to NULL."""
+    orders = D.table(spark, sf, "orders")
+    root = scratch_path(spark, "sync_retyped")
+    store, bad = TableStore(spark, f"{root}/data"), TableStore(spark, f"{root}/rejects")
+    run_task(spark, production_task(housekeeping=0), orders.filter(F.col("o_orderdate") < D.ts_literal("2000-01-01 00:00:00")),
+             store, as_of=DAYS[0], reject_store=bad)
+    text = orders.withColumn("o_custkey", F.when(F.col("o_orderstatus") == "P", F.lit("abc"))
+                             .otherwise(F.col("o_custkey").cast("string")))
+    run_task(spark, production_task(housekeeping=0), text, store, as_of=DAYS[1], reject_store=bad)
+    return store.read()
+
+
+@register("sync_run_versions", f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderdate >= TIMESTAMP '2001-01-01' THEN o_totalprice + 1
+         ELSE o_totalprice END AS o_totalprice,
+       CASE WHEN o_orderdate >= TIMESTAMP '2001-01-01' THEN o_orderdate + INTERVAL 1 DAY ELSE o_orderdate END AS o_orderdate,
+       o_orderkey // 1000000000 + 1 AS partition_num, TIMESTAMP '2001-08-10' AS etl_update_time FROM orders""")
+def q_sync_run_versions(spark, sf):
+    """Two versions of a key in the first increment: the later one is loaded."""
+    orders = D.table(spark, sf, "orders")
+    second = orders.filter(F.col("o_orderdate") >= D.ts_literal("2001-01-01 00:00:00")).withColumns({
+        "o_totalprice": F.col("o_totalprice") + 1, "o_orderdate": F.col("o_orderdate") + F.make_dt_interval(days=F.lit(1))})
+    store = TableStore(spark, scratch_path(spark, "sync_versions"))
+    run_task(spark, production_task(housekeeping=0), orders.unionByName(second), store, as_of=DAYS[0])
+    return store.read()
+
+
+@register("procedure_rowversion_versions", """
+SELECT event_id, 'aaa' AS note, CAST(event_id + 10000000 AS DECIMAL(20,0)) AS rv FROM events""")
+def q_procedure_rowversion_versions(spark, sf):
+    """Two versions of a row in one increment: the larger rowversion wins, not the larger text."""
+    from ..functions.rules import unsigned_to_bytes
+    from .run import run_procedure_task
+    ev = D.table(spark, sf, "events").select("event_id")
+    src = ev.select("event_id", F.lit("zzz").alias("note"), unsigned_to_bytes("event_id").alias("rv")).unionByName(
+        ev.withColumn("later", F.col("event_id") + 10_000_000)
+        .select("event_id", F.lit("aaa").alias("note"), unsigned_to_bytes("later").alias("rv")))
+    task = {**procedure_task(2, 2), "source_table": "events", "target_table": "events_sp", "pk_field": "event_id",
+            "sync_field": "event_id, note, rv", "id_field_name_1": None, "timestamp_field_name": "rv",
+            "batch_size": 10_000, "max_loop_count": 1_500}
+    rules = [{"target_db": "dw", "target_table": "events_sp", "column_name": "rv", "original_data_type": "timestamp",
+              "covert_data_type": "bigint"}]
+    store = TableStore(spark, scratch_path(spark, "procedure_versions"))
+    run_procedure_task(spark, task, src, store, rules, as_of=DAYS[0], source_host="src-host")
+    return store.read().select("event_id", "note", "rv")
+
+
+@register("stream_two_sources", """
+SELECT event_id, ts, user_id, event_type, value, props, event_id // 1000 + 1 AS partition_num FROM events""")
+def q_stream_two_sources(spark, sf):
+    """Two streams with checkpoints of their own fill one table: both count their epochs from 0."""
+    events = D.table(spark, sf, "events")
+    root = scratch_path(spark, "two_streams")
+    early = F.col("ts") < D.ts_literal(D.EVENTS_WATERMARK)
+    store = TableStore(spark, f"{root}/out")
+    for name, part in (("a", events.filter(early)), ("b", events.filter(~early))):
+        part.repartition(2, "event_id").write.parquet(f"{root}/in_{name}")
+        stream_sync(spark, f"{root}/in_{name}", events.schema, store, f"{root}/ckpt_{name}", keys=["event_id"],
+                    id_col="event_id", partition_size=1000, order=["ts"])
+    return store.read()
+
+
+@register("sync_housekeep_sync_ledger", """
+SELECT o_orderkey // 10 AS house_keeping_id, count(*) AS n_ids,
+       CASE WHEN max(o_orderdate) >= TIMESTAMP '2001-07-27' THEN 0 ELSE 1 END AS is_source_delete
+FROM orders GROUP BY 1""")
+def q_sync_housekeep_sync_ledger(spark, sf):
+    """Sync, house-keeping, sync again: the marks of the ledger stay."""
+    orders = D.table(spark, sf, "orders")
+    root = scratch_path(spark, "housekeep_sync")
+    store, source, ledger = (TableStore(spark, f"{root}/{n}") for n in ("data", "source", "ledger"))
+    source.commit(orders.withColumn("partition_num", F.lit(1).cast("long")))
+    task = lambda: orders_task(batch_size=10, loops=1_000_000, housekeeping=1)
+    run_task(spark, task(), source.read().drop("partition_num"), store, None, ledger, as_of="2001-07-01 00:00:00")
+    house_keeping(spark, task(), source, ledger, "2001-08-10 00:00:00", target_store=store)
+    run_task(spark, task(), source.read().drop("partition_num"), store, None, ledger, as_of="2001-08-11 00:00:00")
+    return ledger.read().select("house_keeping_id", F.size("ids").cast("long").alias("n_ids"), "is_source_delete")
+
+
+def two_tasks(spark, sf):
+    """The orders and the events task, with one log and one ledger."""
+    root = scratch_path(spark, "two_tasks")
+    log, ledger = TableStore(spark, f"{root}/log"), TableStore(spark, f"{root}/ledger")
+    events = SyncTask(source_table_id=2, source_db="src_db", source_table="events", target_db="dw", target_table="events_t",
+                      etl_type=2, sync_field="event_id, ts, user_id", pk_field="event_id", id_field_name="event_id",
+                      timestamp_field_name="ts", batch_size=10_000, max_loop_count=1_500, partition_size=1_000_000_000,
+                      if_need_house_keeping=1)
+    for name, task in (("orders", production_task()), ("events", events)):
+        run_task(spark, task, D.table(spark, sf, name), TableStore(spark, f"{root}/{name}"), log, ledger, as_of=DAYS[0])
+    # an empty run of the first task, which looks for writes that a crash left pending
+    run_task(spark, production_task(), D.table(spark, sf, "orders"), TableStore(spark, f"{root}/orders"), log, ledger, as_of=DAYS[1])
+    return log, ledger
+
+
+@register("two_tasks_ledger", """
+SELECT source_table, house_keeping_id, count(*) AS n_ids FROM (
+  SELECT 'orders' AS source_table, o_orderkey // 10000 AS house_keeping_id FROM orders
+  UNION ALL SELECT 'events', event_id // 10000 FROM events) GROUP BY 1, 2""")
+def q_two_tasks_ledger(spark, sf):
+    """Two tasks share a ledger: the entries of both are there."""
+    return two_tasks(spark, sf)[1].read().select("source_table", "house_keeping_id", F.size("ids").cast("long").alias("n_ids"))
+
+
+@register("two_tasks_log", """
+SELECT 'orders_t_' || (o_orderkey // 1000000000 + 1) AS sharding_table_name, min(o_orderkey) AS min_id,
+       max(o_orderkey) AS max_id, min(o_orderdate) AS min_timestamp, max(o_orderdate) AS max_timestamp FROM orders GROUP BY 1
+UNION ALL SELECT 'events_t_' || (event_id // 1000000000 + 1), min(event_id), max(event_id), min(ts), max(ts)
+FROM events GROUP BY 1""")
+def q_two_tasks_log(spark, sf):
+    """Two tasks share a shard log: the rows of both are there, also after an empty run of the first."""
+    return two_tasks(spark, sf)[0].read().select("sharding_table_name", "min_id", "max_id", "min_timestamp", "max_timestamp")

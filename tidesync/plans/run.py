@@ -8,18 +8,20 @@ first. A ledger entry is never visible before the rows it lists are committed to
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.cleaning import table_sync_clean
 from ..functions.rules import ts_literal
-from ..operators.extract import increment
-from ..operators.load import append, split_rejects, upsert
+from ..operators.extract import increment, unkeyed_rows
+from ..operators.load import append, latest_per_key, split_rejects, upsert
 from ..operators.profile import shard_log_merge, shard_log_rows, shard_profile
 from ..operators.retention import (expiry_gate, ledger_id_count, ledger_mark, ledger_pack, ledger_purge,
                                    ledger_window, retention_delete)
+from ..operators.schema_ops import rejects
 from ..schema import (DEFAULT_LAST_ID, DEFAULT_LAST_TIMESTAMP, LEDGER_SCHEMA, SHARD_LOG_SCHEMA, SyncTask,
                       validate_task)
 from ..session import ensure_checkpoint_dir
@@ -96,12 +98,46 @@ def _summary(inc: DataFrame, task: SyncTask) -> DataFrame:
 
 
 def _publish_pending(store: TableStore, log_store: TableStore | None, ledger_store: TableStore | None) -> None:
-    """Publish the log / ledger writes the latest data commit recorded as pending, if not yet done."""
+    """Publish the log / ledger writes the latest data commit recorded as pending, if not yet done.
+
+    The log and the ledger remember the last write applied for each data store, so a replay never undoes
+    what later commits (marks, purges, other tasks) made of it. The log's rows are merged into the log as
+    it is now."""
     pending = store.state().get("extra", {}).get("pending") or {}
     for name, target in (("log", log_store), ("ledger", ledger_store)):
         staged = pending.get(name)
-        if staged and target is not None and not target.holds(staged["tag"]):
-            target.publish(staged, replace_all=staged.get("replace_all", False))
+        if not staged or target is None:
+            continue
+        extra = target.state().get("extra", {})
+        applied = extra.get("applied", {})
+        if applied.get(store.root) == staged["tag"]:
+            continue
+        extra = {**extra, "applied": {**applied, store.root: staged["tag"]}}
+        if name == "ledger":
+            target.publish(staged, extra=extra)
+            continue
+        rows = target.read_staged(staged).select(*SHARD_LOG_SCHEMA.names)
+        merged = shard_log_merge(target.read(SHARD_LOG_SCHEMA).select(*rows.columns), rows) if target.version() else rows
+        target.commit(merged.withColumn(SHARD, F.lit(0).cast("long")), replace_all=True, small=True, extra=extra)
+
+
+def _commit_rejects(reject_store: TableStore, bad: DataFrame, as_of) -> None:
+    """Add rows (as text, with ``reject_column``) to the append-only reject table, once each: rows that no
+    watermark passes are met again by every run."""
+    text = [F.to_json(c).alias(c) if isinstance(t.dataType, (T.StructType, T.ArrayType, T.MapType))
+            else F.col(c).cast("string").alias(c) for c, t in zip(bad.columns, bad.schema.fields, strict=True)
+            if c not in (SHARD, BUCKET)]
+    new = bad.select(*text)
+    if reject_store.version():
+        old = reject_store.read().drop("rejected_at", SHARD)
+        for c in [c for c in old.columns if c not in new.columns]:
+            new = new.withColumn(c, F.lit(None).cast("string"))
+        for c in [c for c in new.columns if c not in old.columns]:
+            old = old.withColumn(c, F.lit(None).cast("string"))
+        new = new.exceptAll(old.select(*new.columns))
+    new = new.withColumns({"rejected_at": ts_literal(as_of), SHARD: F.lit(-1).cast("long")}).checkpoint()
+    if not new.isEmpty():
+        reject_store.commit(new, bucket=F.lit(reject_store.version() + 1))       # a unit of its own: never replaced
 
 
 def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: TableStore,
@@ -118,7 +154,7 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
     drift = refresh_sync_field(task, source) if refresh_fields else False
     validate_task(task)
     ensure_checkpoint_dir(spark)
-    as_of = datetime.fromisoformat(as_of) if isinstance(as_of, str) else (as_of or datetime.now())
+    as_of = datetime.fromisoformat(as_of) if isinstance(as_of, str) else (as_of or datetime.now(timezone.utc).replace(tzinfo=None))
     task = _watermark_of(task, store)
 
     inc = table_sync_clean(increment(source, task, as_of))
@@ -131,12 +167,28 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
     inc = inc.checkpoint(eager=True)
     steps.done("extract")
     good, bad = split_rejects(inc)
+    bad = bad.withColumn("reject_column", F.lit(unit_col))
+    if task.etl_type != 4:
+        unkeyed = unkeyed_rows(source, task).withColumn("reject_column", F.lit("key"))
+        bad = bad.unionByName(unkeyed, allowMissingColumns=True)
+    if store.version() and task.etl_type != 4:
+        # a value that does not fit the committed column's type rejects its row; it never becomes NULL
+        have = store.read().schema
+        retyped = T.StructType([f for f in have.fields if f.name in good.columns and good.schema[f.name].dataType != f.dataType])
+        if retyped.fields:
+            misfit = rejects(good, retyped)
+            bad = bad.unionByName(misfit, allowMissingColumns=True)
+            fits = F.lit(True)
+            for f in retyped.fields:
+                fits = fits & (F.col(f.name).isNull() | F.col(f.name).try_cast(f.dataType).isNotNull())
+            good = good.filter(fits)
     # one pass over the increment for its counts, the next watermark and the touched units
     summary = _summary(inc, task).first()
-    n, n_bad = summary["n"], summary["n_bad"]
+    n = summary["n"]
     steps.done("summary")
+    n_bad = bad.count()
     if reject_store is not None and n_bad:
-        reject_store.commit(bad.withColumn(SHARD, F.lit(-1).cast("long")))
+        _commit_rejects(reject_store, bad, as_of)
     if n == 0:
         version = None
         if drift and store.version():
@@ -160,18 +212,15 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
                              task.event_date_field_name)
         rows = shard_log_rows(prof, task.target_table, task.source_db, task.source_table, task.id_field_name,
                               task.timestamp_field_name, task.event_date_field_name, task.fields, as_of)
-        old_log = log_store.read(SHARD_LOG_SCHEMA) if log_store.version() else None
-        merged = shard_log_merge(old_log, rows) if old_log is not None else rows
-        pending["log"] = {**log_store.stage(merged.withColumn(SHARD, F.lit(0).cast("long")), small=True),
-                          "replace_all": True}
+        pending["log"] = log_store.stage(rows.withColumn(SHARD, F.lit(0).cast("long")), small=True)
         steps.done("shard_log")
     load_version = store.version() + 1
     if ledger_store is not None and task.if_need_house_keeping == 1 and task.keys:
         # append-only: the entries of this load are one new folder (shard = load_version)
         entries = ledger_pack(good.drop(BUCKET), task.keys[0], as_of, task.source_db, task.source_table,
                               batch_size=task.batch_size, load_version=load_version)
-        pending["ledger"] = {**ledger_store.stage(entries.withColumn(SHARD, F.col("load_version")),
-                                                  cluster_by=["house_keeping_id"]), "replace_all": False}
+        pending["ledger"] = ledger_store.stage(entries.withColumn(SHARD, F.col("load_version")),
+                                               cluster_by=["house_keeping_id"], bucket=_source_number())
         steps.done("ledger")
 
     extra = {**store.state().get("extra", {}), "pending": pending}
@@ -182,12 +231,14 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
         version = store.commit(good, watermark=watermark, replace_all=True, cluster_by=task.keys, extra=extra,
                                expected_version=load_version - 1)
     else:
+        order = [c for c in (task.timestamp_field_name, task.id_field_name) if c]
         if store.version() == 0:
-            new_part = good
+            # several versions of a key in the first load: the last one wins, as in any other load
+            new_part = latest_per_key(good, [SHARD, BUCKET, *task.keys], order, task.id_field_name in task.keys) \
+                if task.keys else good
         else:
             old = store.read(units=units, keep_unit=True)     # only the touched unit folders
             if task.keys:
-                order = [c for c in (task.timestamp_field_name, task.id_field_name) if c]
                 # (key, ts, id) is unique when the id is the key: no tie-break needed
                 new_part = upsert(old, good, [SHARD, BUCKET, *task.keys], order=order, changes_rows=n,
                                   unique_order=task.id_field_name in task.keys, keep=keep)
@@ -202,6 +253,11 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
     return RunResult(n, n_bad, shards, version, watermark, task.sync_field, steps.times)
 
 
+def _source_number():
+    """The ledger's unit inside a load: one per source, as tasks of one ledger count loads on their own."""
+    return F.crc32(F.concat_ws(".", "source_db", "source_table"))
+
+
 def house_keeping(spark: SparkSession, task: SyncTask, source_store: TableStore, ledger_store: TableStore,
                   as_of: datetime | str, start_days: int = 60, end_days: int = 14,
                   target_store: TableStore | None = None) -> dict:
@@ -215,15 +271,15 @@ def house_keeping(spark: SparkSession, task: SyncTask, source_store: TableStore,
     validate_task(task)
     if target_store is not None:
         _publish_pending(target_store, None, ledger_store)
-    full = ledger_store.read(LEDGER_SCHEMA)
-    ledger = ledger_purge(full.drop(SHARD), as_of)
+    full = ledger_store.read(LEDGER_SCHEMA, keep_unit=True)
+    ledger = ledger_purge(full, as_of)
     window = ledger_window(ledger, as_of, start_days, end_days, task.source_db, task.source_table)
     deletable = expiry_gate(window, source_store.read(), task.keys[0], task.timestamp_field_name, as_of)
     deletable = deletable.checkpoint(eager=True)
     n_ids = ledger_id_count(deletable)
-    purged_loads = full.drop(SHARD).join(ledger, ENTRY, "left_anti").select("load_version")
-    marked_loads = deletable.select("load_version")
-    loads = sorted(r[0] for r in purged_loads.union(marked_loads).distinct().collect())  # one row per load
+    purged_loads = full.join(ledger.select(*ENTRY), ENTRY, "left_anti").select(SHARD, BUCKET)
+    marked_loads = deletable.select(SHARD, BUCKET)
+    loads = sorted(unit_key(r[0], r[1]) for r in purged_loads.union(marked_loads).distinct().collect())  # one per load
     touched = []
     if n_ids:
         src = source_store.read(keep_unit=True)
@@ -239,9 +295,8 @@ def house_keeping(spark: SparkSession, task: SyncTask, source_store: TableStore,
             source_store.commit(kept, touched=touched, cluster_by=[key])
     if loads:
         # mark only after the delete is committed; rewrite only the loads that changed
-        marked = ledger_mark(ledger.filter(F.col("load_version").isin(loads)), deletable)
-        ledger_store.commit(marked.withColumn(SHARD, F.col("load_version")),
-                            touched=[unit_key(v, 0) for v in loads], cluster_by=["house_keeping_id"])
+        marked = ledger_mark(ledger.filter(F.concat_ws("/", SHARD, BUCKET).isin(loads)), deletable)
+        ledger_store.commit(marked, touched=loads, cluster_by=["house_keeping_id"])
     return {"entries": deletable.count(), "ids": n_ids, "shards": touched, "loads": loads}
 
 
@@ -259,17 +314,16 @@ def run_procedure_task(spark: SparkSession, task: dict, source: DataFrame, store
                        partition_size: int = 1_000_000_000) -> RunResult:
     """Procedure sync (a TASK_SP_SCHEMA row): batch read by one or two ids or by rowversion, add
     provenance, apply the conversion rules, clean, upsert with ``inserttime`` and move the
-    watermark. Type 4 reads the table in key order from the row's id each run (its position is
-    not kept), up to the run cap."""
+    watermark. Type 4 reads the whole table each run, without a cap."""
     from ..functions.cleaning import procedure_sync_clean
     from ..functions.routing import route_expr
     from ..functions.rules import apply_rules, bytes_to_unsigned, ts_literal, with_provenance
-    from ..operators.extract import capped_extract
+    from ..operators.extract import capped_with_ties
     from ..schema import split_fields, validate_sp_task
 
     validate_sp_task(task)
     ensure_checkpoint_dir(spark)
-    as_of = datetime.fromisoformat(as_of) if isinstance(as_of, str) else (as_of or datetime.now())
+    as_of = datetime.fromisoformat(as_of) if isinstance(as_of, str) else (as_of or datetime.now(timezone.utc).replace(tzinfo=None))
     etl_type = task["etl_type"]
     keys = _sp_keys(task)
     wm = store.watermark() if etl_type != 4 else {}
@@ -285,7 +339,7 @@ def run_procedure_task(spark: SparkSession, task: dict, source: DataFrame, store
         watermark = None if fresh or etl_type == 4 and all(v in (None, 0) for v in last) else \
             [0 if v is None else v for v in last]
     cap = int(task["batch_size"]) * int(task["max_loop_count"])
-    rows = capped_extract(src, keys, cap, watermark)
+    rows = src if etl_type == 4 else capped_with_ties(src, keys, cap, watermark)
     rows = with_provenance(rows, source_host or task.get("source") or "", task["source_db"])
     rows = apply_rules(rows, rules, task["target_db"], task["target_table"])
     rows = procedure_sync_clean(rows).withColumn("inserttime", ts_literal(as_of))
@@ -305,15 +359,14 @@ def run_procedure_task(spark: SparkSession, task: dict, source: DataFrame, store
         new_wm = {}
     else:
         new_wm = {"last_id_1": summ["last"][0], **({"last_id_2": summ["last"][1]} if len(keys) == 2 else {})}
-    out = rows.drop("_rowversion") if "_rowversion" in rows.columns else rows
     units = sorted(unit_key(u[SHARD], u[BUCKET]) for u in summ["units"])
     shards = sorted({u[SHARD] for u in summ["units"]})
+    # extraction order decides within a run, in the first load too; the rowversion goes only after that
     if store.version() == 0:
-        new_part = out
+        new_part = latest_per_key(rows, [SHARD, BUCKET, *pk], keys)
     else:
         old = store.read(units=units, keep_unit=True)
-        # every column is set on a key match, the key included; extraction order decides within a run
-        new_part = upsert(old, out, [SHARD, BUCKET, *pk], order=[k for k in keys if k in out.columns],
-                          changes_rows=summ["n"])
-    version = store.commit(new_part, watermark=new_wm, touched=units, cluster_by=pk)
+        # every column is set on a key match, the key included
+        new_part = upsert(old, rows, [SHARD, BUCKET, *pk], order=keys, changes_rows=summ["n"])
+    version = store.commit(new_part.drop("_rowversion"), watermark=new_wm, touched=units, cluster_by=pk)
     return RunResult(summ["n"], 0, shards, version, new_wm)

@@ -52,7 +52,11 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    target = conf_dir or fallback or os.path.join("/tmp", "tidesync-checkpoints")
+    target = conf_dir or fallback
+    if target is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        target = os.path.join("/tmp", "tidesync-checkpoints")
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir()
 

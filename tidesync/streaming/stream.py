@@ -11,63 +11,71 @@ against the target.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.cleaning import table_sync_clean
 from ..functions.routing import route_expr
-from ..operators.load import append, upsert
+from ..operators.load import append, latest_per_key, upsert
 from ..plans.commit import BUCKET, SHARD, TableStore, bucket_expr, unit_key
 
 
 def sync_batch(batch: DataFrame, epoch_id: int, store: TableStore, keys: list[str], id_col: str,
                partition_size: int, order: list[str] | None = None, log_store: TableStore | None = None,
-               ts_col: str | None = None, table_name: str = "target") -> None:
-    """Load one micro-batch into ``store`` (idempotent per ``epoch_id``); with ``log_store`` also
-    widen the shard log, staged before and published after the data commit (as a run does)."""
-    from ..operators.profile import shard_log_merge, shard_log_rows, shard_profile
-    from ..plans.run import _publish_pending
-    from ..schema import SHARD_LOG_SCHEMA
+               ts_col: str | None = None, table_name: str = "target", query_id: str = "",
+               source_db: str = "", source_table: str = "", reject_store: TableStore | None = None) -> None:
+    """Load one micro-batch into ``store`` (idempotent per stream ``query_id`` and ``epoch_id``: every
+    stream counts its epochs from 0); with ``log_store`` also widen the shard log, staged before and
+    published after the data commit (as a run does). Rows without an id go to ``reject_store``."""
+    from ..operators.profile import shard_log_rows, shard_profile
+    from ..plans.run import _commit_rejects, _publish_pending
     _publish_pending(store, log_store, None)
     st = store.state()
-    if st.get("extra", {}).get("epoch", -1) >= epoch_id:
+    epochs = st.get("extra", {}).get("epochs", {})
+    if epochs.get(query_id, -1) >= epoch_id:
         return
+    now = datetime.now(timezone.utc).replace(tzinfo=None)
     dtype = batch.schema[id_col].dataType
     rows = table_sync_clean(batch.withColumns({SHARD: route_expr(id_col, partition_size, dtype),
                                                BUCKET: bucket_expr(id_col, dtype, partition_size)}))
+    rows = rows.checkpoint()                    # read several times below
+    bad = rows.filter(F.col(SHARD).isNull())
+    if reject_store is not None and not bad.isEmpty():
+        _commit_rejects(reject_store, bad.withColumn("reject_column", F.lit(id_col)), now)
     rows = rows.filter(F.col(SHARD).isNotNull())
     units = sorted(unit_key(r[0], r[1]) for r in rows.select(SHARD, BUCKET).distinct().collect())  # per unit
     if not units:
         return
     if st["version"] == 0:
-        new_part = rows
+        new_part = latest_per_key(rows, [SHARD, BUCKET, *keys], order) if keys else rows
     else:
         old = store.read(units=units, keep_unit=True)
         new_part = upsert(old, rows, [SHARD, BUCKET, *keys], order=order) if keys else append(old, rows)
     pending = {}
     if log_store is not None:
         prof = shard_profile(rows.drop(BUCKET), id_col, ts_col)
-        log_rows = shard_log_rows(prof, table_name, "", "", id_col, ts_col, None, list(batch.columns),
-                                  "1970-01-01 00:00:00")
-        old_log = log_store.read(SHARD_LOG_SCHEMA) if log_store.version() else None
-        merged = shard_log_merge(old_log, log_rows) if old_log is not None else log_rows
-        pending["log"] = {**log_store.stage(merged.withColumn(SHARD, F.lit(0).cast("long")), small=True),
-                          "replace_all": True}
-    store.commit(new_part, touched=units, extra={"epoch": epoch_id, "pending": pending})
+        log_rows = shard_log_rows(prof, table_name, source_db, source_table, id_col, ts_col, None, list(batch.columns), now)
+        pending["log"] = log_store.stage(log_rows.withColumn(SHARD, F.lit(0).cast("long")), small=True)
+    store.commit(new_part, touched=units, extra={**st.get("extra", {}), "epochs": {**epochs, query_id: epoch_id},
+                                                 "pending": pending})
     _publish_pending(store, log_store, None)
 
 
 def stream_sync(spark: SparkSession, source_path: str, schema: T.StructType, store: TableStore,
                 checkpoint_location: str, keys: list[str], id_col: str, partition_size: int,
                 order: list[str] | None = None, max_files_per_trigger: int = 1, fmt: str = "parquet",
-                log_store: TableStore | None = None, ts_col: str | None = None) -> None:
+                log_store: TableStore | None = None, ts_col: str | None = None,
+                reject_store: TableStore | None = None) -> None:
     """Sync every file under ``source_path`` into ``store`` and stop when none is left."""
     src = (spark.readStream.format(fmt).schema(schema)
            .option("maxFilesPerTrigger", max_files_per_trigger).load(source_path))
     q = (src.writeStream
-         .foreachBatch(lambda b, e: sync_batch(b, e, store, keys, id_col, partition_size, order,
-                                               log_store, ts_col))
+         .foreachBatch(lambda b, e: sync_batch(
+             b, e, store, keys, id_col, partition_size, order, log_store, ts_col, reject_store=reject_store,
+             query_id=b.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""))
          .option("checkpointLocation", checkpoint_location)
          .trigger(availableNow=True)
          .start())
