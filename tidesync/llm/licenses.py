@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .text import folded_words, join_docs, literal_rows, named, table
+from .text import folded_words, join_docs, literal_rows, named, saved, table
 
 K = 3
 NEIGHBOUR = 2          # diagonals at most this far apart are merged
@@ -92,7 +92,7 @@ def scan_licenses(docs: DataFrame, phrases: list[tuple[str, str]] = PHRASES, tem
     """Per document: n_words, n_base (exact phrase places), first_word, last_word (smallest and largest
     start of them), base_labels, labels (of verified spans too) and score (the largest coverage, 1 for an
     exact phrase)."""
-    diagonals = votes(docs, template_positions(docs.sparkSession, phrases, templates))
+    diagonals = saved(votes(docs, template_positions(docs.sparkSession, phrases, templates)))
     exact = diagonals.filter(F.col("is_phrase") & (F.size("ats") == F.col("n_template") - (K - 1))) \
         .select("doc_id", "text_hash", "label", F.col("diagonal").alias("start"), F.lit(1.0).alias("coverage"))
     spans = merged_spans(diagonals).select("doc_id", "text_hash", "label", F.lit(None).cast("int").alias("start"), "coverage")
