@@ -35,7 +35,7 @@ def _cell(h: Column) -> Column:
 
 def rarity(docs: DataFrame) -> DataFrame:
     """One row: for each cell, how common its words are in all documents (0 to 127, in even steps of the
-    logarithm)."""
+    logarithm), as the upper bits of a long."""
     words = docs.select(F.explode_outer(plain_words(F.col("text"))).alias("word")).filter("word is not null").select(_cell(F.xxhash64("word")).alias("cell"))
     counts = words.groupBy("cell").agg(F.count("*").alias("n"))
     step = F.least(F.floor(4 * F.log2(F.col("n"))), F.lit(127))
@@ -43,17 +43,18 @@ def rarity(docs: DataFrame) -> DataFrame:
     cells = full.join(counts, "cell", "left").select("cell", F.coalesce(step, F.lit(0)).cast("int").alias("step"))
     # cells in blocks, so that no task sorts more than a block
     blocks = cells.groupBy(F.shiftright("cell", 9).alias("block")).agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("cell", "step"))), lambda c: c["step"].cast("tinyint")).alias("steps"))
+        F.array_sort(F.collect_list(F.struct("cell", "step"))), lambda c: F.shiftleft(c["step"].cast("long"), 56)).alias("steps"))
     return saved(blocks).agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("block", "steps"))),
                                                    lambda b: b["steps"])).alias("steps"))
 
 
 def word_keys(text: Column, steps: Column) -> Column:
-    """The distinct words of a line as numbers, rarest first: 7 bits of rarity, then 56 of the word's hash."""
+    """The distinct words of a line as numbers, rarest first: 7 bits of rarity, then 56 of the word's hash.
+    ``steps`` holds the rarity at its place in the number; no element is null, so that the numbers are sorted as longs."""
     low = (1 << 56) - 1
     hashes = F.transform(plain_words(text), lambda w: F.xxhash64(w))
-    return F.array_distinct(F.sort_array(F.transform(hashes, lambda h: (
-        F.shiftleft(F.get(steps, _cell(h)).cast("long"), 56).bitwiseOR(h.bitwiseAND(F.lit(low)))))))
+    return F.sort_array(F.array_distinct(F.transform(hashes, lambda h: (
+        F.coalesce(F.get(steps, _cell(h)), F.lit(0).cast("long")).bitwiseOR(h.bitwiseAND(F.lit(low)))))))
 
 
 def _overlap(size_a: Column, size_b: Column) -> Column:
@@ -111,11 +112,14 @@ def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
         pairs.select("h1").unionByName(pairs.select(F.col("other").alias("h1"))).distinct(), "h1")
     wanted = saved(needed.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("line", "h1")).alias("wanted")))
     keys = checked_broadcast(wanted.select("doc_id", "text_hash"), MAX_BROADCAST_ROWS)
-    texts = join_docs(named(docs, text=F.col("text")), keys, "left_semi").dropDuplicates(["doc_id", "text_hash"])
+    texts = join_docs(named(docs, text=F.col("text")), keys, "left_semi")
+    # rows equal in id and text give a set's line more than once
     whole = saved(join_docs(texts, wanted).withColumn("lines", F.split("text", "\n", -1))
-                  .select("doc_id", "text_hash", "lines", F.explode("wanted").alias("w"))
-                  .select("w.h1", F.struct("doc_id", "text_hash", "w.line").alias("first"),
-                          F.array_distinct(plain_words(F.get("lines", F.col("w.line")))).alias("words")))
+                  .select("doc_id", "text_hash", F.explode(F.transform("wanted", lambda w: F.struct(
+                      w["h1"].alias("h1"), w["line"].alias("line"), F.get("lines", w["line"]).alias("words")))).alias("w"))
+                  .select("w.h1", F.struct("doc_id", "text_hash", "w.line").alias("first"), "w.words")
+                  .dropDuplicates(["h1"])
+                  .withColumn("words", F.array_distinct(plain_words(F.col("words")))))
     other = whole.select(F.col("h1").alias("other"), F.col("first").alias("other_first"), F.col("words").alias("other_words"))
     common = F.size(F.array_intersect("words", "other_words"))
     union = F.size("words") + F.size("other_words") - common
@@ -133,7 +137,8 @@ def later_matches(docs: DataFrame, sets: DataFrame) -> DataFrame:
     """
     postings = sets.select(F.posexplode("prefix").alias("at", "key"), "h1", "size", "b1", "b2")
     is_hot = F.shiftrightunsigned("key", 56) >= HOT_STEP
-    cold = postings.filter(~is_hot)
+    # a word of rarity 0 is alone in its cell: it stands once in all documents and can meet nothing
+    cold = postings.filter(~is_hot & (F.shiftrightunsigned("key", 56) > 0))
     found = verified(docs, sets, saved(_pairs(cold, cold, F.col("a.h1") < F.col("b.h1"))))
     hot = saved(sets.select(F.posexplode("prefix").alias("at", "key"), "h1", "size", "b1", "b2", "first").filter(is_hot))
     if hot.isEmpty():
