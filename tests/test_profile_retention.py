@@ -107,3 +107,23 @@ def test_compact_same_rows(spark):
     df = spark.range(0, 1000).select(F.col("id").alias("k"), (F.col("id") % 3).alias("partition_num"))
     out = R.compact(df, ["k"], 4)
     assert out.rdd.getNumPartitions() == 4 and sorted(out.collect()) == sorted(df.collect())
+
+
+def test_ledger_of_composite_and_text_keys(spark):
+    df = spark.createDataFrame([(i // 3, f"line {i % 3}") for i in range(900)] * 2 + [(1, None)], "k long, n string")
+    led = R.ledger_pack(df, ["k", "n"], "2024-01-05 13:00:00", "db", "t", batch_size=100)
+    rows = led.collect()
+    assert sum(len(r["ids"]) for r in rows) == 900 and max(len(r["ids"]) for r in rows) <= 100
+    one = R.ledger_pack(df.filter("k = 1 and n = 'line 2'"), ["k", "n"], "2024-01-05 13:00:00", "db", "t")
+    kept = R.retention_delete(df, one, ["k", "n"], ids_rows=1)
+    assert kept.count() == df.count() - 2 and kept.filter("k = 1 and n = 'line 2'").isEmpty()
+    text = R.ledger_pack(df, "n", "2024-01-05 13:00:00", "db", "t")
+    assert sorted(r["id"] for r in R.ledger_unpack(text).collect()) == ["line 0", "line 1", "line 2"]
+
+
+def test_gate_by_composite_key(spark):
+    src = spark.createDataFrame([(1, "a", datetime(2024, 1, 1)), (1, "b", datetime(2024, 1, 29))], "k long, n string, ts timestamp_ntz")
+    as_of = "2024-01-30 00:00:00"
+    old, new = (R.ledger_pack(src.filter(f"n = '{n}'"), ["k", "n"], as_of, "db", "t") for n in "ab")
+    assert R.expiry_gate(old, src, ["k", "n"], "ts", as_of).count() == 1
+    assert R.expiry_gate(new, src, ["k", "n"], "ts", as_of).count() == 0

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.rules import ts_literal
 
@@ -44,9 +45,12 @@ def shard_profile(df: DataFrame, id_col: str | None, ts_col: str | None = None,
 def shard_log_rows(profile: DataFrame, target_table: str, source_db: str, source_table: str,
                    id_col: str | None, ts_col: str | None, date_col: str | None,
                    columns: list[str], as_of, shard_col: str = "partition_num") -> DataFrame:
-    """A profile in the shard-log layout (SHARD_LOG_SCHEMA)."""
+    """A profile in the shard-log layout (SHARD_LOG_SCHEMA). The log's ids are numbers: text ids are
+    logged as NULL."""
     def opt(name, cast):
-        return (F.col(name) if name in profile.columns else F.lit(None)).cast(cast)
+        if name not in profile.columns or cast == "long" and isinstance(profile.schema[name].dataType, T.StringType):
+            return F.lit(None).cast(cast)
+        return F.col(name).cast(cast)
     return profile.select(
         F.concat(F.lit(f"{target_table}_"), F.col(shard_col).cast("string")).alias("sharding_table_name"),
         F.col(shard_col).cast("long").alias("shard_id"),

@@ -9,6 +9,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -20,6 +21,8 @@ from ..functions.rules import ts_literal
 # Fixed value: days a copied row is kept in the source before it may be deleted.
 RETENTION_DAYS = 14
 
+BROADCAST_BYTES = 64 << 20     # most that a list of keys may have to be sent to every executor
+
 # Key of a ledger entry. Load versions count per target, so a ledger shared by tasks needs the source too.
 ENTRY = ["source_db", "source_table", "load_version", "house_keeping_id"]
 
@@ -34,24 +37,35 @@ def _midnight(d: date) -> str:
     return f"{d.isoformat()} 00:00:00"
 
 
-def ledger_pack(loaded: DataFrame, key_col: str, as_of, source_db: str, source_table: str,
-                batch_col: str | None = None, batch_size: int = 10_000, load_version: int = 0) -> DataFrame:
-    """One ledger entry per loaded batch with the sorted keys that loaded (G1).
+def _names(keys: str | list[str]) -> list[str]:
+    return [keys] if isinstance(keys, str) else list(keys)
+
+
+def ledger_pack(loaded: DataFrame, keys: str | list[str], as_of, source_db: str, source_table: str,
+                batch_col: str | None = None, batch_size: int = 10_000, load_version: int = 0,
+                n_rows: int | None = None) -> DataFrame:
+    """One ledger entry per loaded batch with the sorted distinct keys that loaded (G1).
 
-    Entries are cut by ``batch_col`` when the loader numbered its batches, else by
-    ``key div batch_size`` on an integral key: a range of ``batch_size`` integers holds at most that
-    many distinct keys, so no array grows beyond ``batch_size`` however large the load.
+    A single key is listed as its text, a composite one as a JSON object of its columns. Entries are
+    cut by ``batch_col`` when the loader numbered its batches; by ``key div batch_size`` on a single
+    integral key, where a range of ``batch_size`` integers holds at most that many keys; else by the
+    key's hash into ``n_rows / (batch_size / 2)`` entries (``n_rows`` counted if not given), which
+    fills an entry half on average. So no array grows with the load. Rows with a NULL in the key are
+    not listed.
     """
-    dtype = loaded.schema[key_col].dataType
-    if batch_col is None:
-        if not isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType)):
-            raise ValueError("ledger_pack needs batch_col for a non-integral key")
-        entry = F.call_function("div", F.col(key_col), F.lit(int(batch_size)))
-    else:
+    names = _names(keys)
+    whole = [F.col(k).isNotNull() for k in names]
+    loaded = loaded.filter(reduce(lambda a, b: a & b, whole))
+    key = F.col(names[0]) if len(names) == 1 else F.to_json(F.struct(*names))
+    if batch_col is not None:
         entry = F.col(batch_col)
-    ids = F.transform(F.sort_array(F.collect_list(F.col(key_col))), lambda x: x.cast("string"))
-    return (loaded.filter(F.col(key_col).isNotNull())
-            .groupBy(entry.cast("long").alias("house_keeping_id"))
+    elif len(names) == 1 and isinstance(loaded.schema[names[0]].dataType, (T.IntegerType, T.LongType, T.ShortType)):
+        entry = F.call_function("div", key, F.lit(int(batch_size)))
+    else:
+        n = loaded.count() if n_rows is None else n_rows
+        entry = F.pmod(F.xxhash64(*names), F.lit(-(-2 * n // int(batch_size)) or 1))
+    ids = F.transform(F.sort_array(F.collect_set(key)), lambda x: x.cast("string"))
+    return (loaded.groupBy(entry.cast("long").alias("house_keeping_id"))
             .agg(ids.alias("ids"))
             .select(F.lit(int(load_version)).cast("long").alias("load_version"), "house_keeping_id",
                     ts_literal(_midnight(_day(as_of))).alias("etl_update_date"),
@@ -112,12 +126,36 @@ def ledger_purge(ledger: DataFrame, as_of, days: int = RETENTION_DAYS) -> DataFr
     return ledger.filter(~done_and_old)
 
 
-def _typed_ids(ids: DataFrame, dtype: T.DataType) -> DataFrame:
-    # cast the ledger's text keys to the source key type so the big side joins on its own column
-    return ids.withColumn("id", F.col("id") if isinstance(dtype, T.StringType) else F.col("id").try_cast(dtype))
-
-
-def expiry_gate(entries: DataFrame, source: DataFrame, id_col: str, ts_col: str, as_of,
+def ledger_keys(entries: DataFrame, source: DataFrame, keys: str | list[str]) -> DataFrame:
+    """(the entry's columns, ``_key0``, ``_key1``, ...): one row per listed key, in the types of the
+    source's key columns, so that the big side joins on its own columns."""
+    fields = [source.schema[k] for k in _names(keys)]
+    ids = ledger_unpack(entries)
+    if len(fields) > 1:
+        parsed = F.from_json("id", T.StructType([T.StructField(f.name, f.dataType) for f in fields]))
+        return (ids.withColumn("id", parsed)
+                .select(*ENTRY, *[F.col("id").getField(f.name).alias(f"_key{i}") for i, f in enumerate(fields)]))
+    dtype = fields[0].dataType
+    return ids.select(*ENTRY, (F.col("id") if isinstance(dtype, T.StringType)
+                               else F.col("id").try_cast(dtype)).alias("_key0"))
+
+
+def join_listed(source: DataFrame, listed: DataFrame, keys: str | list[str], how: str,
+                listed_rows: int | None = None) -> DataFrame:
+    """``source`` semi- or anti-joined to keys of ``ledger_keys``. The list is broadcast if it is
+    known to have at most ``BROADCAST_BYTES``, which only keys of fixed width can show; else AQE
+    picks the join."""
+    names = _names(keys)
+    listed = listed.select(*[f"_key{i}" for i in range(len(names))]).distinct()
+    fixed = all(isinstance(source.schema[k].dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
+                for k in names)
+    if fixed and listed_rows is not None and listed_rows * 16 * len(names) <= BROADCAST_BYTES:
+        listed = F.broadcast(listed)
+    same = [source[k] == listed[f"_key{i}"] for i, k in enumerate(names)]
+    return source.join(listed, same, how)
+
+
+def expiry_gate(entries: DataFrame, source: DataFrame, keys: str | list[str], ts_col: str, as_of,
                 days: int = RETENTION_DAYS) -> DataFrame:
     """Entries whose every source row is older than ``as_of - days`` days.
 
@@ -126,24 +164,18 @@ def expiry_gate(entries: DataFrame, source: DataFrame, id_col: str, ts_col: str,
     filter reaches the Parquet scan), then semi/anti joins decide per entry.
     """
     cutoff = ts_literal(_midnight(_day(as_of) - timedelta(days=days)))
-    recent = source.filter(F.col(ts_col) >= cutoff).select(F.col(id_col).alias("id"))
-    ids = _typed_ids(ledger_unpack(entries), source.schema[id_col].dataType)
-    blocked = ids.join(recent, "id", "left_semi").select(*ENTRY).distinct()
+    names = [f"_key{i}" for i in range(len(_names(keys)))]
+    recent = source.filter(F.col(ts_col) >= cutoff).select(
+        *[F.col(k).alias(n) for k, n in zip(_names(keys), names, strict=True)])
+    blocked = ledger_keys(entries, source, keys).join(recent, names, "left_semi").select(*ENTRY).distinct()
     return entries.join(blocked, ENTRY, "left_anti")
 
 
-def retention_delete(source: DataFrame, deletable: DataFrame, id_col: str,
-                     ids_rows: int | None = None, broadcast_rows: int = 5_000_000) -> DataFrame:
-    """Source rows left after deleting the keys of the deletable entries.
-
-    The key list is broadcast when its size is known to be under ``broadcast_rows`` (the ledger
-    gives the count cheaply as the sum of array sizes); then the big source side is not shuffled.
-    """
-    ids = _typed_ids(ledger_unpack(deletable), source.schema[id_col].dataType).select(F.col("id").alias(id_col))
-    ids = ids.filter(F.col(id_col).isNotNull()).distinct()
-    if ids_rows is not None and ids_rows <= broadcast_rows:
-        ids = F.broadcast(ids)
-    return source.join(ids, id_col, "left_anti")
+def retention_delete(source: DataFrame, deletable: DataFrame, keys: str | list[str],
+                     ids_rows: int | None = None) -> DataFrame:
+    """Source rows left after deleting the keys of the deletable entries (G6); a row goes only if its
+    whole key is listed. The ledger gives ``ids_rows`` cheaply as the sum of array sizes."""
+    return join_listed(source, ledger_keys(deletable, source, keys), keys, "left_anti", ids_rows)
 
 
 def ledger_id_count(entries: DataFrame) -> int:

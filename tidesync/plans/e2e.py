@@ -437,3 +437,50 @@ FROM events GROUP BY 1""")
 def q_two_tasks_log(spark, sf):
     """Two tasks share a shard log: the rows of both are there, also after an empty run of the first."""
     return two_tasks(spark, sf)[0].read().select("sharding_table_name", "min_id", "max_id", "min_timestamp", "max_timestamp")
+
+
+def copied_and_expired(spark, name, source, keys, copied):
+    """Sync ``copied``, a part of ``source`` (columns ``keys`` and ``ts``), then house-keep all of it long after."""
+    root = scratch_path(spark, name)
+    store, log, ledger, kept = (TableStore(spark, f"{root}/{n}") for n in ("data", "log", "ledger", "source"))
+    kept.commit(source.withColumn("partition_num", F.lit(1).cast("long")))
+    task = lambda: SyncTask(
+        source_table_id=4, source_db="src_db", source_table=name, target_db="dw", target_table=f"{name}_t", etl_type=1,
+        sync_field=", ".join([*keys, "ts"]), pk_field=", ".join(keys), id_field_name=keys[0], timestamp_field_name="ts",
+        batch_size=10_000, max_loop_count=1_500, partition_size=1_000_000_000, if_need_house_keeping=1)
+    run_task(spark, task(), copied, store, log, ledger, as_of="2010-01-01 00:00:00")
+    house_keeping(spark, task(), kept, ledger, "2010-02-01 00:00:00", target_store=store)
+    return store, kept
+
+
+@register("housekeeping_composite", """
+SELECT l_orderkey, l_linenumber, max(CAST(l_shipdate AS TIMESTAMP)) AS ts FROM lineitem WHERE l_linenumber % 2 = 0 GROUP BY 1, 2""")
+def q_housekeeping_composite(spark, sf):
+    """Retention by a composite key: of each order the odd lines were copied; only they go."""
+    lines = (D.table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber")
+             .agg(F.max(F.col("l_shipdate").cast("timestamp_ntz")).alias("ts")))
+    keys = ["l_orderkey", "l_linenumber"]
+    _, kept = copied_and_expired(spark, "housekeeping_composite", lines, keys, lines.filter("l_linenumber % 2 = 1"))
+    return kept.read().select(*keys, "ts")
+
+
+def named_customers(spark, sf):
+    return D.table(spark, sf, "customer").select("c_name", "c_nationkey", F.lit("2001-01-01").cast("timestamp_ntz").alias("ts"))
+
+
+@register("housekeeping_text", """
+SELECT c_name, c_nationkey FROM customer WHERE c_name NOT IN (SELECT c_name FROM customer WHERE c_nationkey < 10)""")
+def q_housekeeping_text(spark, sf):
+    """Retention by a text key: customers of the first nations were copied; only they go."""
+    people = named_customers(spark, sf)
+    _, kept = copied_and_expired(spark, "housekeeping_text", people, ["c_name"], people.filter("c_nationkey < 10"))
+    return kept.read().select("c_name", "c_nationkey")
+
+
+@register("sync_run_text", """
+SELECT DISTINCT c_name, TIMESTAMP '2001-01-01' AS ts, TIMESTAMP '2010-01-01' AS etl_update_time FROM customer""")
+def q_sync_run_text(spark, sf):
+    """A run by a text id and key, with log and ledger."""
+    people = named_customers(spark, sf)
+    store, _ = copied_and_expired(spark, "sync_run_text", people, ["c_name"], people)
+    return store.read().select("c_name", "ts", "etl_update_time")

@@ -217,8 +217,8 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
     load_version = store.version() + 1
     if ledger_store is not None and task.if_need_house_keeping == 1 and task.keys:
         # append-only: the entries of this load are one new folder (shard = load_version)
-        entries = ledger_pack(good.drop(BUCKET), task.keys[0], as_of, task.source_db, task.source_table,
-                              batch_size=task.batch_size, load_version=load_version)
+        entries = ledger_pack(good.drop(BUCKET), task.keys, as_of, task.source_db, task.source_table,
+                              batch_size=task.batch_size, load_version=load_version, n_rows=n)
         pending["ledger"] = ledger_store.stage(entries.withColumn(SHARD, F.col("load_version")),
                                                cluster_by=["house_keeping_id"], bucket=_source_number())
         steps.done("ledger")
@@ -261,20 +261,21 @@ def _source_number():
 def house_keeping(spark: SparkSession, task: SyncTask, source_store: TableStore, ledger_store: TableStore,
                   as_of: datetime | str, start_days: int = 60, end_days: int = 14,
                   target_store: TableStore | None = None) -> dict:
-    """Delete from the source what was copied and is past retention; then mark the ledger.
+    """Delete from the source what was copied and is past retention; then mark the ledger. A row is
+    deleted only if its whole key was copied.
 
     The ledger is stored with one folder per load (shard = load_version); only the loads holding a
     marked or purged entry are rewritten. With ``target_store``, ledger entries a sync run left
     pending are published first.
     """
-    from ..operators.retention import ENTRY, _typed_ids, ledger_unpack
+    from ..operators.retention import ENTRY, join_listed, ledger_keys
     validate_task(task)
     if target_store is not None:
         _publish_pending(target_store, None, ledger_store)
     full = ledger_store.read(LEDGER_SCHEMA, keep_unit=True)
     ledger = ledger_purge(full, as_of)
     window = ledger_window(ledger, as_of, start_days, end_days, task.source_db, task.source_table)
-    deletable = expiry_gate(window, source_store.read(), task.keys[0], task.timestamp_field_name, as_of)
+    deletable = expiry_gate(window, source_store.read(), task.keys, task.timestamp_field_name, as_of)
     deletable = deletable.checkpoint(eager=True)
     n_ids = ledger_id_count(deletable)
     purged_loads = full.join(ledger.select(*ENTRY), ENTRY, "left_anti").select(SHARD, BUCKET)
@@ -283,16 +284,14 @@ def house_keeping(spark: SparkSession, task: SyncTask, source_store: TableStore,
     touched = []
     if n_ids:
         src = source_store.read(keep_unit=True)
-        key = task.keys[0]
-        ids = _typed_ids(ledger_unpack(deletable), src.schema[key].dataType).select(F.col("id").alias(key))
-        ids = F.broadcast(ids) if n_ids <= 5_000_000 else ids
+        listed = join_listed(src, ledger_keys(deletable, src, task.keys), task.keys, "left_semi", n_ids)
         # the units holding a deleted key (one row per unit) are the only ones rewritten
         touched = sorted(unit_key(r[SHARD], r[BUCKET]) for r in
-                         src.join(ids, key, "left_semi").select(SHARD, BUCKET).distinct().collect())
+                         listed.select(SHARD, BUCKET).distinct().collect())
         if touched:                 # ids already gone (a retry after a crash) need no rewrite
-            kept = retention_delete(source_store.read(units=touched, keep_unit=True), deletable, key,
+            kept = retention_delete(source_store.read(units=touched, keep_unit=True), deletable, task.keys,
                                     ids_rows=n_ids)
-            source_store.commit(kept, touched=touched, cluster_by=[key])
+            source_store.commit(kept, touched=touched, cluster_by=task.keys)
     if loads:
         # mark only after the delete is committed; rewrite only the loads that changed
         marked = ledger_mark(ledger.filter(F.concat_ws("/", SHARD, BUCKET).isin(loads)), deletable)
