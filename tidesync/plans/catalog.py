@@ -243,11 +243,36 @@ def q_digits_to_int(spark, sf):
     return digits_to_int(o)
 
 
-@register("nested_to_json")   # float text formats differ between engines: rows-only
+@register("nested_to_json", """
+SELECT vec_id, label, '[' || array_to_string([CAST(CAST(x AS DECIMAL(12,6)) AS VARCHAR) for x in embedding], ',') || ']'
+  AS embedding FROM embeddings""")
 def q_nested_to_json(spark, sf):
+    """Vectors as fixed decimals: engines print floats differently."""
+    e = _t(spark, sf, "embeddings").select(
+        "vec_id", "label", F.col("embedding").cast("array<decimal(12,6)>").alias("embedding"))
+    return nested_to_json(e)
+
+
+@register("nested_to_json_floats")   # float text formats differ between engines: rows-only
+def q_nested_to_json_floats(spark, sf):
     return nested_to_json(_t(spark, sf, "embeddings"))
 
 
+@register("nested_to_json_lines", """
+SELECT o_orderkey, to_json(struct_pack(custkey := o_custkey, status := o_orderstatus, priority := o_orderpriority)) AS head,
+  to_json(lines) AS lines
+FROM orders JOIN (SELECT l_orderkey, list(struct_pack(line := l_linenumber, part := l_partkey, flag := l_returnflag)
+    ORDER BY l_linenumber, l_partkey, l_returnflag) AS lines FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey""")
+def q_nested_to_json_lines(spark, sf):
+    """Orders with a struct of their own columns and an array of structs, one for each line."""
+    line = F.struct(F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("part"), F.col("l_returnflag").alias("flag"))
+    lines = _t(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    head = F.struct(F.col("o_custkey").alias("custkey"), F.col("o_orderstatus").alias("status"),
+                    F.col("o_orderpriority").alias("priority"))
+    return nested_to_json(_t(spark, sf, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+                          .select("o_orderkey", head.alias("head"), "lines"))
+
+
 @register("bit_rule", """
 SELECT doc_id, CASE WHEN quality + toxic = 1 THEN 1 ELSE 0 END AS flag_bit,
        CASE WHEN quality = 1 THEN 1 ELSE 0 END AS good_bit FROM labels""")
