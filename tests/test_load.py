@@ -3,6 +3,7 @@
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidesync.operators import load as L
@@ -108,3 +109,13 @@ def test_duplicate_keys_and_assert_unique(spark):
     with pytest.raises(ValueError):
         S.assert_unique(df, ["a", "b"])
     S.assert_unique(df.distinct(), ["a", "b"])
+
+
+def test_upsert_broadcasts_keys_only_by_a_bound_of_bytes(spark):
+    numbers = spark.range(3).withColumn("v", F.lit(1))
+    texts = numbers.withColumn("id", F.col("id").cast("string"))
+    hinted = lambda df, rows: "broadcast" in L._maybe_broadcast(df.select("id"), rows)._jdf.queryExecution().logical().toString().lower()
+    assert hinted(numbers, L.BROADCAST_BYTES // 16)
+    assert not hinted(numbers, L.BROADCAST_BYTES // 16 + 1)
+    assert not hinted(numbers, None)
+    assert not hinted(texts, 3)

@@ -4,8 +4,8 @@ partial-column upsert. Each returns the new target as a DataFrame; ``plans.commi
 Scale notes. The target is the big side and the changes of a run are bounded by the run's row cap.
 The upsert streams the target through an anti-join against the deduplicated changes; the callers
 pass only the target's touched storage units (``plans.commit``), and the changes' key side is
-broadcast only when its row count is known and under the limit, otherwise AQE picks the join at
-run time.
+broadcast only when its row count is known, its columns have a fixed width and the bytes that follow
+are under the limit, otherwise AQE picks the join at run time.
 """
 
 from __future__ import annotations
@@ -18,12 +18,15 @@ from pyspark.sql import types as T
 
 from .schema_ops import align, evolve_schema
 
-# Rows of changes up to which the key side of an upsert is broadcast (when the count is known).
-BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 64 << 20     # most that the key side of an upsert may have to be sent to every executor
+FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
-def _maybe_broadcast(df: DataFrame, rows: int | None, limit: int = BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if rows is not None and rows <= limit else df
+def _maybe_broadcast(df: DataFrame, rows: int | None, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if ``rows`` (its count, if known) rows are at most ``limit`` bytes, at 16
+    bytes a column; columns without a fixed width (texts) give no such bound."""
+    fixed = all(isinstance(f.dataType, FIXED_WIDTH) for f in df.schema.fields)
+    return F.broadcast(df) if fixed and rows is not None and rows * 16 * len(df.columns) <= limit else df
 
 
 def split_rejects(df: DataFrame, shard_col: str = "partition_num") -> tuple[DataFrame, DataFrame]:
