@@ -71,6 +71,12 @@ BENCH = {
 }
 
 
+# Input rows of a query, as the tables it reads; rows/s is reported for these.
+INPUTS = {"shard_profile": ["events"], "lineitem_profile": ["lineitem"], "capped_extract": ["lineitem"],
+          "upsert_lineitem": ["lineitem"], "upsert_orders": ["orders"], "sync_run_production": ["orders"],
+          "duplicate_keys": ["lineitem"]}
+
+
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -87,13 +93,15 @@ def main() -> None:
         t0 = time.perf_counter()
         fn(spark, sf).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
+    rates = {name: round(sum(table(spark, sf, t).count() for t in read) / times[name])
+             for name, read in INPUTS.items() if name in times}
     sf_val = os.path.basename(sf.rstrip("/")).replace("sf", "")
     try:
         sf_num = float(sf_val)
     except ValueError:
         sf_num = sf_val
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": sf_num, "cpus": cpus}))
+                      "queries": times, "rows_per_sec": rates, "sf": sf_num, "cpus": cpus}))
     spark.stop()
 
 
