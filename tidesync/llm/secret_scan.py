@@ -28,8 +28,9 @@ BASE = [
     ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 20),
     ("hex", re.compile(r"[0-9a-f]+"), 0, 24),
 ]
-# weak parts: tokens of key length that mix letters and digits, and addresses of services
-KEY = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{32,64}={0,2}(?![A-Za-z0-9+/_=-])")
+# weak parts: tokens of key length (up to 64 bytes in base 64) that mix letters and digits, also right after NAME=, and
+# addresses of services
+KEY = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,86}={0,2}(?![A-Za-z0-9+/_=-])")
 ENDPOINT = re.compile(r"\b(?:https?|jdbc|mongodb|redis|amqp|postgres(?:ql)?|mysql|s3)://[^\s\"'<>]+")
 KINDS = ["assign", "access", "hex", "key", "endpoint"]
 SCOPE_END = re.compile(r"\n[\x20\t\r]*\n")
