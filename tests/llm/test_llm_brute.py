@@ -111,6 +111,17 @@ def test_op1(case):
     assert Counter(ids) == Counter({min(v, default=None) for v in least.values()})
 
 
+def test_keep_one_by_row_and_not_by_id(spark):
+    """Null and repeated ids with different texts: one row of each component stays, whatever ids others have."""
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcde")
+    texts = [(None, a), (None, b), (None, b), (7, c), (7, d), (3, d), (7, e), (7, e), (None, e), (9, a + " "), (8, a)]
+    assert len({brute_fingerprint(t) for _, t in texts}) == 5
+    kept = simhash.keep_one(frame(spark, texts))
+    same([(r["doc_id"], r["text"]) for r in kept.collect()], [(8, a), (None, b), (7, c), (3, d), (7, e)])
+    lone = simhash.keep_one(frame(spark, [(None, t) for t in (a, b, c, d, e)] + [(None, a)]))
+    assert Counter(r["text"] for r in lone.collect()) == Counter((a, b, c, d, e))
+
+
 def test_op1_links_of_a_hot_bucket(spark):
     """A partition value with more fingerprints than the limit is split and loses no link."""
     import random

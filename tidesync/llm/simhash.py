@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
-from .text import checked_broadcast, saved, table
+from .text import carried, checked_broadcast, join_docs, restored, saved, table
 
 SHINGLE, MAX_BITS, BITS = 3, 3, 64
 HOT_BUCKET = 4096              # distinct fingerprints under one partition value before it is split
@@ -195,14 +195,17 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's smallest; of rows that share that id (or have
-    none, where a whole component has none) one stays."""
-    found = near_duplicates(docs, shingle, max_bits)
-    keep = saved(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("keep_id"))
-                 .agg(F.count("*").alias("n")))
-    stay = docs.join(checked_broadcast(keep.select("keep_id"), MAX_BROADCAST_ROWS),
-                     docs["doc_id"].eqNullSafe(F.col("keep_id")), "left_semi")
-    return stay.dropDuplicates(["doc_id"]) if not keep.filter("n > 1").isEmpty() else stay
+    """One row of ``docs`` for each component: the smallest (doc_id, text hash), null ids last; of rows equal
+    in both one stays."""
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("text_hash"))
+    found = near_duplicates(docs.select(place.alias("doc_id"), "text"), shingle, max_bits)
+    keep = saved(found.filter(F.col("doc_id") == F.col("component_id")).groupBy("component_id").agg(F.count("*").alias("n")))
+    keys = keep.select("component_id.doc_id", "component_id.text_hash")
+    own = carried(docs, "doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
+    stay = join_docs(own, checked_broadcast(keys, MAX_BROADCAST_ROWS), "left_semi")
+    if not keep.filter("n > 1").isEmpty():
+        stay = stay.dropDuplicates(["doc_id", "text_hash"])
+    return restored(stay, docs.columns, ["doc_id", "text"], [])
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
