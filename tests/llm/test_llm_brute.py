@@ -464,6 +464,30 @@ def test_op10_tolerates_a_changed_word(spark):
     assert got[1] == ("bsd", 1.0) and got[2][0] == "bsd" and got[3][0] == "" and 0 < got[3][1] < 0.8
 
 
+GPL_NOTICE = ("you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free "
+              "Software Foundation, either version {} of the License, or (at your option) any later version.")
+
+
+@pytest.mark.parametrize("text, labels", [
+    ("Creative Commons Attribution 4.0 International License", "cc-by"),
+    ("a Creative Commons Attribution-NonCommercial 4.0 International License.", "cc-by-nc"),
+    ("a Creative Commons Attribution-Non-Commercial 4.0 International License.", "cc-by-nc"),
+    ("a Creative Commons Attribution-ShareAlike 4.0 International License.", "cc-by-sa"),
+    ("a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.", ""),
+    ("a Creative Commons Attribution-NoDerivatives 4.0 International License.", ""),
+    ("Creative Commons Attribution 4.0 International License. " + "other words " * 5
+     + "Creative Commons Attribution-ShareAlike 4.0 International License", "cc-by,cc-by-sa"),
+    (GPL_NOTICE.format("", 3), "gpl-3"), (GPL_NOTICE.format("", 2), ""), (GPL_NOTICE.format("Lesser ", 3), ""),
+    ("It is licensed under the GNU General Public License, version 3.", "gpl-3"),
+    ("It is licensed under the GNU General Public License, version 2.", ""),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "mpl-2"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1.", ""),
+])
+def test_op10_verifies_spans(spark, text, labels):
+    docs = frame(spark, [(1, "x y " + text + " z")])
+    assert licenses.scan_licenses(docs).first()["labels"] == labels
+
+
 # ---------------------------------------------------------------- pipeline
 
 @pytest.mark.parametrize("edge", [True, False])

@@ -2,9 +2,10 @@
 
 Every rolling word k-gram of every document is joined to the template positions with the same k-gram;
 each hit votes for the diagonal (document position minus template position). Diagonals next to each
-other are merged, so that a few added or missing words do not break a match, and a merged span counts
-if it covers enough of the template's words. A phrase occurs exactly where one diagonal holds all of its
-k-grams.
+other are merged, so that a few added or missing words do not break a match. A merged span that covers enough
+of the template's words is verified on the document's words: the words that tell its license from others must
+stand in it, no word of a competing license may, and of overlapping spans of one family the best stays. A
+phrase occurs exactly where one diagonal holds all of its k-grams.
 
 Defined results: null and empty texts have no words and no labels, score 0 and null positions. Equal rows
 get equal results. Phrases and templates need at least ``K`` words. Other columns are ignored.
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .text import folded_words, join_docs, literal_rows, named, saved, table
+from .text import checked_broadcast, folded_words, join_docs, literal_rows, named, saved, table
 
 K = 3
 NEIGHBOUR = 2          # diagonals at most this far apart are merged
@@ -43,6 +44,18 @@ TEMPLATES = [
     ("cc-by-sa", "creative commons attribution sharealike 4 0 international license"),
     ("cc-by", "creative commons attribution 4 0 international license"),
 ]
+MAX_BROADCAST_ROWS = 200_000   # document keys (two longs) sent to every executor at most
+
+# Verification by label, as patterns over a span's words: the label's family, what must stand in the span and what must
+# not. A label that is not listed is a family of its own and needs no certain word.
+_NC, _SA, _ND = "non ?commercial", "share ?alike", "no ?deriv(s|ative|atives)"
+VERIFIED = {
+    "cc-by": ("cc", [], [_NC, _SA, _ND]),
+    "cc-by-nc": ("cc", [_NC], [_SA, _ND]),
+    "cc-by-sa": ("cc", [_SA], [_NC, _ND]),
+    "gpl-3": ("gpl", ["version 3"], ["lesser", "affero", "library"]),
+    "mpl-2": ("mpl", ["mozilla", "2 0"], []),
+}
 
 
 def template_positions(spark: SparkSession, phrases: list[tuple[str, str]], templates: list[tuple[str, str]]) -> DataFrame:
@@ -73,7 +86,8 @@ def votes(docs: DataFrame, positions: DataFrame) -> DataFrame:
 
 
 def merged_spans(diagonals: DataFrame) -> DataFrame:
-    """Spans (doc_id, text_hash, label, first_word, last_word, coverage): neighbouring diagonals merged."""
+    """Spans (doc_id, text_hash, label, first_word, last_word, first_place, last_place, coverage): neighbouring
+    diagonals merged. Words are those with votes, places those where the whole template would stand."""
     by_diagonal = Window.partitionBy("doc_id", "text_hash", "template").orderBy("diagonal")
     gap = F.col("diagonal") - F.lag("diagonal").over(by_diagonal)
     runs = diagonals.withColumn("starts", F.when(gap <= NEIGHBOUR, F.lit(0)).otherwise(F.lit(1))) \
@@ -81,26 +95,61 @@ def merged_spans(diagonals: DataFrame) -> DataFrame:
     spans = runs.groupBy("doc_id", "text_hash", "template", "label", "n_template", "run").agg(
         F.array_distinct(F.flatten(F.collect_set("ats"))).alias("ats"),
         F.min(F.col("diagonal") + F.array_min("ats")).alias("first_word"),
-        F.max(F.col("diagonal") + F.array_max("ats") + K - 1).alias("last_word"))
+        F.max(F.col("diagonal") + F.array_max("ats") + K - 1).alias("last_word"),
+        F.greatest(F.min("diagonal"), F.lit(0)).alias("first_place"),
+        (F.max("diagonal") + F.col("n_template") - 1).alias("last_place"))
     covered = F.size(F.array_distinct(F.flatten(F.transform("ats", lambda a: F.sequence(a, a + K - 1)))))
-    return spans.select("doc_id", "text_hash", "label", "first_word", "last_word",
+    return spans.select("doc_id", "text_hash", "label", "first_word", "last_word", "first_place", "last_place",
                         (covered / F.col("n_template")).alias("coverage"))
 
 
+def verified_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """The (doc_id, text_hash, label) of ``spans`` that the documents' words confirm."""
+    found = saved(spans.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct(
+        "label", "coverage", "first_word", "last_word", "first_place", "last_place")).alias("spans")))
+    keys = checked_broadcast(found.select("doc_id", "text_hash"), MAX_BROADCAST_ROWS)
+    texts = join_docs(named(docs, text=F.col("text")), keys, "left_semi").dropDuplicates(["doc_id", "text_hash"])
+    worded = join_docs(found, texts.withColumn("words", folded_words(F.col("text"))).drop("text"))
+    stretch = lambda s, first, last: F.concat(F.lit(" "), F.array_join(
+        F.slice("words", s[first] + 1, s[last] - s[first] + 1), " "), F.lit(" "))
+    each = worded.select("doc_id", "text_hash", F.explode(F.transform("spans", lambda s: F.struct(
+        s["label"].alias("label"), s["coverage"].alias("coverage"), s["first_word"].alias("first"), s["last_word"].alias("last"),
+        stretch(s, "first_place", "last_place").alias("whole"), stretch(s, "first_word", "last_word").alias("voted")))).alias("s")) \
+        .select("doc_id", "text_hash", "s.*")
+    right, family = F.lit(True), F.col("label")
+    for label, (kin, required, competing) in VERIFIED.items():
+        own = F.col("label") == label
+        family = F.when(own, F.lit(kin)).otherwise(family)
+        for pattern in required:
+            right = right & (~own | F.col("whole").rlike(f" {pattern} "))
+        for pattern in competing:
+            right = right & ~(own & F.col("voted").rlike(f" {pattern} "))
+    # best first: by coverage, then length; a span stays if it overlaps none that stays already
+    order = F.struct((-F.col("coverage")).alias("less"), (F.col("first") - F.col("last")).alias("short"), "first", "last", "label")
+    ranked = each.filter(right).groupBy("doc_id", "text_hash", family.alias("family")).agg(F.array_sort(F.collect_set(order)).alias("spans"))
+    kept = F.aggregate("spans", F.slice("spans", 1, 0), lambda stay, s: F.when(
+        F.exists(stay, lambda o: (o["first"] <= s["last"]) & (s["first"] <= o["last"])), stay).otherwise(F.array_append(stay, s)))
+    return ranked.select("doc_id", "text_hash", F.explode(F.array_distinct(F.transform(kept, lambda s: s["label"]))).alias("label"))
+
+
 def scan_licenses(docs: DataFrame, phrases: list[tuple[str, str]] = PHRASES, templates: list[tuple[str, str]] = TEMPLATES,
                   min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """Per document: n_words, n_base (exact phrase places), first_word, last_word (smallest and largest
-    start of them), base_labels, labels (of verified spans too) and score (the largest coverage, 1 for an
-    exact phrase)."""
+    start of them), base_labels, labels (of verified spans too) and score (the largest coverage of any span,
+    verified or not, 1 for an exact phrase)."""
     diagonals = saved(votes(docs, template_positions(docs.sparkSession, phrases, templates)))
     exact = diagonals.filter(F.col("is_phrase") & (F.size("ats") == F.col("n_template") - (K - 1))) \
         .select("doc_id", "text_hash", "label", F.col("diagonal").alias("start"), F.lit(1.0).alias("coverage"))
-    spans = merged_spans(diagonals).select("doc_id", "text_hash", "label", F.lit(None).cast("int").alias("start"), "coverage")
-    good = F.col("start").isNotNull() | (F.col("coverage") >= min_coverage)
-    found = exact.unionByName(spans).groupBy("doc_id", "text_hash").agg(
+    merged = saved(merged_spans(diagonals))
+    good = verified_spans(docs, merged.filter(F.col("coverage") >= min_coverage)) \
+        .select("doc_id", "text_hash", "label", F.lit(None).cast("int").alias("start"), F.lit(0.0).alias("coverage"))
+    # a span itself gives the score only; its label is null unless verified
+    spans = merged.select("doc_id", "text_hash", F.lit(None).cast("string").alias("label"), F.lit(None).cast("int").alias("start"),
+                          "coverage")
+    found = exact.unionByName(good).unionByName(spans).groupBy("doc_id", "text_hash").agg(
         F.count("start").alias("n_base"), F.min("start").alias("first_word"), F.max("start").alias("last_word"),
         F.collect_set(F.when(F.col("start").isNotNull(), F.col("label"))).alias("base"),
-        F.collect_set(F.when(good, F.col("label"))).alias("all"), F.max("coverage").alias("score"))
+        F.collect_set("label").alias("all"), F.max("coverage").alias("score"))
     base = named(docs, n_words=F.size(folded_words(F.col("text"))).cast("long"))
     joined_labels = lambda c: F.coalesce(F.array_join(F.array_sort(c), ","), F.lit(""))
     return join_docs(base, found, "left").select(
