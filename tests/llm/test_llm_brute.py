@@ -257,6 +257,24 @@ def test_op4_factors_name_equal_places(spark, smoke):
         assert own[r["start"]:r["start"] + r["length"]] == source[r["source_start"]:r["source_start"] + r["length"]]
 
 
+def test_op4_windows_of_a_hot_seed_scatter(spark, monkeypatch):
+    """A phrase of 20 words in every document, in other contexts, is the seed of distinct windows: no block gathers
+    them, and what repeats is found as before."""
+    notice, shared = [f"notice{i}" for i in range(20)], [f"common{i}" for i in range(40)]
+    texts = []
+    for n in range(120):
+        own = [f"own{n}x{i}" for i in range(60)]
+        texts.append((n, " ".join(own[:30] + notice + own[30:] + (shared if n % 10 == 0 else []))))
+    texts += [(None, texts[3][1]), (3, texts[3][1]), (200, " ".join(notice + notice))]
+    df = frame(spark, texts)
+    for hot, fits in ((1 << 20, False), (5, True)):        # five rows of at most 28 windows of 6 bytes
+        monkeypatch.setattr(substring_dedup, "HOT_ROWS", hot)
+        rows = substring_dedup.routed(df).filter("windows is not null")
+        largest = rows.groupBy("seed").agg(F.sum(F.octet_length("windows")).alias("size")).agg(F.max("size")).first()[0]
+        assert (largest <= 5 * 28 * 6) == fits and (fits or largest > 5000)
+    test_op4((texts, df))
+
+
 # ---------------------------------------------------------------- op5
 
 def brute_base(text):

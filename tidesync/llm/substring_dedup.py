@@ -10,6 +10,9 @@ boundaries and no window is missed.
 
 Repeats inside one batch of documents are found before the shuffle, and a block remembers one place for
 each distinct window, so a passage in a third of all documents neither gathers in one task nor grows there.
+A phrase shorter than a window can be the seed of very many distinct windows. Seeds are therefore counted first,
+in ``CELLS`` cells of their hash; under the seeds of a hot cell every window is a block of its own, keyed by seed
+and window, so equal windows still meet and distinct ones scatter. A block gets at most one row per batch then.
 
 Windows are compared by the seed's 64-bit hash and 48 more bits of the window.
 
@@ -29,12 +32,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .text import join_docs, named, table
+from .text import join_docs, named, saved, table
 from .wordhash import combine, window_hashes, window_minimum, word_hashes
 
 WINDOW, SEED = 35, 8
 BATCH_WORDS = 1 << 18                  # words hashed together, about; only a longer text has more
 PIECE = 6                              # bytes of a window's hash in a seed row
+CELL_BITS = 17
+CELLS = 1 << CELL_BITS                 # counters of seed rows
+HOT_ROWS, MOST_ROWS = 4096, 1 << 16    # rows of a cell beyond which it is hot; see hot_cells
 ROUTED = "seed long, doc_id {id}, text_hash long, start int, length int, windows binary"
 FACTORS = "doc_id {id}, text_hash long, start int, length int, source_hash long, source_start int"
 
@@ -44,25 +50,40 @@ def _runs(same: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(~same) + 1])
 
 
-def _routed(batch: pa.RecordBatch, rows: list[int], words: list[np.ndarray], window: int) -> pa.RecordBatch | None:
-    """Seed rows of some documents and, for what repeats among them, spans (``windows`` null)."""
+def _seed_runs(words: list[np.ndarray], window: int) -> tuple | None:
+    """(all words, where each document begins, places of the windows, their documents, first and last window of
+    each run of one seed, the runs' seeds)."""
     every = np.concatenate(words)
     sizes = np.array([len(w) for w in words])
     begin = np.concatenate([[0], np.cumsum(sizes)])
     if len(every) < window:
         return None
-    hashes = window_hashes(every, window)
-    doc = np.repeat(np.arange(len(words)), sizes)[:len(hashes)]
-    valid = np.arange(len(hashes)) + window <= begin[doc + 1]
+    doc = np.repeat(np.arange(len(words)), sizes)[:len(every) - window + 1]
+    valid = np.arange(len(doc)) + window <= begin[doc + 1]
     seeds = window_hashes(every, SEED)
     at = window_minimum(seeds, window - SEED + 1)
     keep = np.flatnonzero(valid)
     if not len(keep):
         return None
-    hashes, doc, at = hashes[keep], doc[keep], at[keep]
+    doc, at = doc[keep], at[keep]
     first = _runs((at[1:] == at[:-1]) & (keep[1:] == keep[:-1] + 1))
     last = np.append(first[1:], len(keep))
     seed = combine(seeds[at[first]], np.full(len(first), 1, np.uint64))
+    return every, begin, keep, doc, first, last, seed
+
+
+def _cells(seed: np.ndarray) -> np.ndarray:
+    return (seed >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+
+
+def _routed(batch: pa.RecordBatch, rows: list[int], words: list[np.ndarray], window: int, hot: np.ndarray) -> pa.RecordBatch | None:
+    """Seed rows of some documents and, for what repeats among them, spans (``windows`` null). Seeds of the
+    cells ``hot`` (a flag for each) give a row for each window."""
+    found = _seed_runs(words, window)
+    if found is None:
+        return None
+    every, begin, keep, doc, first, last, seed = found
+    hashes = window_hashes(every, window)[keep]
     # windows whose seed repeats in this batch: later ones of equal windows are settled here
     _, which, count = np.unique(seed, return_inverse=True, return_counts=True)
     twice = np.repeat(count[which] > 1, last - first)
@@ -73,50 +94,81 @@ def _routed(batch: pa.RecordBatch, rows: list[int], words: list[np.ndarray], win
         settled[here] = n[group] > 1
         later[here] = settled[here]
         later[here[one]] = False
-    send = np.flatnonzero(np.add.reduceat(~later, first) > 0)
+    scatter = hot[_cells(seed)]
+    send = np.flatnonzero((np.add.reduceat(~later, first) > 0) & ~scatter)
+    lone = np.flatnonzero(np.repeat(scatter, last - first) & ~later)
     start = keep - begin[doc]
     spans = np.flatnonzero(settled)
     cut = _runs((spans[1:] == spans[:-1] + 1) & (keep[spans[1:]] == keep[spans[:-1]] + 1)) if len(spans) else np.empty(0, int)
     ends = np.append(cut[1:], len(spans)) if len(cut) else cut
     span_at = spans[cut] if len(cut) else spans
     number = np.array(rows)
-    ids = np.concatenate([number[doc[first[send]]], number[doc[span_at]]])
+    ids = np.concatenate([number[doc[first[send]]], number[doc[lone]], number[doc[span_at]]])
     chosen = np.repeat(np.isin(np.arange(len(first)), send, assume_unique=True), last - first)
-    payload = np.ascontiguousarray(hashes[chosen].view(np.uint8).reshape(-1, 8)[:, :PIECE]).tobytes()
-    lengths = (last - first)[send] * PIECE
+    pieces = np.concatenate([hashes[chosen], hashes[lone]])
+    payload = np.ascontiguousarray(pieces.view(np.uint8).reshape(-1, 8)[:, :PIECE]).tobytes()
+    lengths = np.concatenate([last[send] - first[send], np.ones(len(lone), int)]) * PIECE
     offsets = np.concatenate([[0], np.cumsum(lengths), np.full(len(span_at), lengths.sum())]).astype(np.int32)
-    full = np.concatenate([np.ones(len(send), bool), np.zeros(len(span_at), bool)])
+    full = np.concatenate([np.ones(len(lengths), bool), np.zeros(len(span_at), bool)])
     binary = pa.Array.from_buffers(pa.binary(), len(full), [pa.array(full).buffers()[1], pa.py_buffer(offsets), pa.py_buffer(payload)])
     text_hash = batch.column("text_hash").take(pa.array(ids))
-    key = np.concatenate([seed[send].view(np.int64), text_hash.to_numpy(zero_copy_only=False)[len(send):].astype(np.int64)])
+    own_key = combine(np.repeat(seed, last - first)[lone], hashes[lone])
+    key = np.concatenate([seed[send].view(np.int64), own_key.view(np.int64),
+                          text_hash.to_numpy(zero_copy_only=False)[len(lengths):].astype(np.int64)])
     return pa.record_batch({
         "seed": pa.array(key), "doc_id": batch.column("doc_id").take(pa.array(ids)), "text_hash": text_hash,
-        "start": pa.array(np.concatenate([start[first[send]], start[span_at]]).astype(np.int32)),
-        "length": pa.array(np.concatenate([last[send] - first[send], ends - cut]).astype(np.int32) + window - 1),
+        "start": pa.array(np.concatenate([start[first[send]], start[lone], start[span_at]]).astype(np.int32)),
+        "length": pa.array(np.concatenate([last[send] - first[send], np.ones(len(lone), int), ends - cut]).astype(np.int32) + window - 1),
         "windows": binary})
 
 
-def route(window: int):
+def _bundles(batch: pa.RecordBatch, window: int) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+    """Rows of a batch and the hashed words of each, about BATCH_WORDS words at a time."""
+    rows, words, size = [], [], 0
+    for i, text in enumerate(batch.column("text")):
+        value = text.as_py()
+        if value is None:
+            continue
+        hashed = word_hashes(value.encode("utf-8", "surrogatepass"))
+        if len(hashed) < window:
+            continue
+        rows.append(i)
+        words.append(hashed)
+        size += len(hashed)
+        if size >= BATCH_WORDS:
+            yield rows, words
+            rows, words, size = [], [], 0
+    if rows:
+        yield rows, words
+
+
+def hot_cells(docs: DataFrame, window: int) -> np.ndarray:
+    """A flag for each cell of seeds: whether it has over ``HOT_ROWS`` seed rows and over four times the mean, or
+    over ``MOST_ROWS``. A hot seed's cell is always hot; other seeds of the cell only take more rows for it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CELLS, np.int64)
+        for batch in batches:
+            for _, words in _bundles(batch, window):
+                if (found := _seed_runs(words, window)) is not None:
+                    total += np.bincount(_cells(found[-1]), minlength=CELLS)
+        some = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["cell", "n"])
+
+    counts = saved(docs.select("text").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")))
+    rows = counts.agg(F.sum("n")).first()[0] or 0
+    limit = min(max(HOT_ROWS, 4 * rows // CELLS), MOST_ROWS)
+    hot = np.zeros(CELLS, bool)
+    hot[[r["cell"] for r in counts.filter(F.col("n") > limit).collect()]] = True
+    return hot
+
+
+def route(window: int, hot: np.ndarray):
     """Documents -> rows for the blocks of the reference."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, words, size = [], [], 0
-            for i, text in enumerate(batch.column("text")):
-                value = text.as_py()
-                if value is None:
-                    continue
-                hashed = word_hashes(value.encode("utf-8", "surrogatepass"))
-                if len(hashed) < window:
-                    continue
-                rows.append(i)
-                words.append(hashed)
-                size += len(hashed)
-                if size >= BATCH_WORDS:
-                    if (out := _routed(batch, rows, words, window)) is not None:
-                        yield out
-                    rows, words, size = [], [], 0
-            if rows and (out := _routed(batch, rows, words, window)) is not None:
-                yield out
+            for rows, words in _bundles(batch, window):
+                if (out := _routed(batch, rows, words, window, hot)) is not None:
+                    yield out
     return run
 
 
@@ -199,12 +251,17 @@ def parse_blocks(window: int, id_type: pa.DataType):
     return run
 
 
+def routed(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows that the blocks get, by their key ``seed``."""
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    return named(docs, text=F.col("text")).mapInArrow(route(window, hot_cells(docs, window)), ROUTED.format(id=id_type))
+
+
 def factors(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, text_hash, start, length, source_hash, source_start): the parse's long factors. Every
     window that occurs elsewhere lies in one of its document's factors."""
     id_type = docs.schema["doc_id"].dataType
-    rows = named(docs, text=F.col("text")).mapInArrow(route(window), ROUTED.format(id=id_type.simpleString()))
-    blocks = rows.repartition("seed").sortWithinPartitions("seed")
+    blocks = routed(docs, window).repartition("seed").sortWithinPartitions("seed")
     return blocks.mapInArrow(parse_blocks(window, to_arrow_type(id_type)), FACTORS.format(id=id_type.simpleString()))
 
 
