@@ -1,4 +1,4 @@
-"""The ten operators' queries and their DuckDB oracles."""
+"""The operators' queries and their DuckDB oracles."""
 
 from __future__ import annotations
 
@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
+    chat,
     decontaminate,
     licenses,
     line_dedup,
+    merkle,
     mixing,
+    periodic,
     quality_rules,
     secret_scan,
     simhash,
@@ -30,6 +33,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination,
     "op10_license_scans": licenses.op10_license_scans,
+    "op11_merkle_manifest": merkle.op11_merkle_manifest,
+    "op12_periodic_runs": periodic.op12_periodic_runs,
+    "op13_chat_formatting": chat.op13_chat_formatting,
 }
 
 ORACLE: dict[str, str] = {
@@ -38,4 +44,6 @@ ORACLE: dict[str, str] = {
     "op8_quality_rules": quality_rules.ORACLE,
     "op9_benchmark_decontamination": decontaminate.ORACLE,
     "op10_license_scans": licenses.ORACLE,
+    "op11_merkle_manifest": merkle.ORACLE,
+    "op13_chat_formatting": chat.ORACLE,
 }

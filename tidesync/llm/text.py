@@ -69,6 +69,12 @@ def literal_rows(spark: SparkSession, columns: list[str], rows: list[tuple]) ->
     return spark.range(1).select(F.explode(F.array(*structs)).alias("row")).select("row.*")
 
 
+def small_broadcast(kept: DataFrame, max_rows: int) -> DataFrame:
+    """``kept`` (narrow rows, written before by ``saved``, so counting reads them only) with a broadcast hint if it has
+    at most ``max_rows`` rows; beyond that the join shuffles."""
+    return F.broadcast(kept) if kept.count() <= max_rows else kept
+
+
 def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """``df`` (narrow rows of a few numbers) with a broadcast hint if it has at most ``max_rows`` rows;
     beyond that the join shuffles."""
