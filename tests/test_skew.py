@@ -27,8 +27,8 @@ def test_dominant_unit_is_written_by_many_tasks(spark, scratch):
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
     local = root[len("file:"):] if root.startswith("file:") else root
-    big = glob.glob(f"{local}/partition_num=1/bucket=0/ver=1-*/*.parquet")
-    small = glob.glob(f"{local}/partition_num=2/bucket=0/ver=1-*/*.parquet")
+    big = glob.glob(f"{local}/ver=1-*/partition_num=1/bucket=0/*.parquet")
+    small = glob.glob(f"{local}/ver=1-*/partition_num=2/bucket=0/*.parquet")
     assert len(big) > 1 and len(small) == 1
     assert st.read().count() == 200_000
 

@@ -11,6 +11,7 @@ import math
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -185,19 +186,36 @@ def capped_extract(df: DataFrame, keys: Sequence[str], cap: int, watermark: Sequ
     way: it only makes the search step to the next key column. Text keys are searched seven bytes
     at a time (a slice sharing a prefix moves on to the next seven bytes).
     """
-    keys = list(keys)
+    base = _readable(df, list(keys), watermark, inclusive)
+    found = _search(base, list(keys), int(cap), topk_limit, buckets)
+    if found is None:
+        return _capped_by_rank(base, keys, cap)
+    taken, tail, _ = found
+    parts = [base.filter(reduce(lambda p, q: p | q, taken))] if taken else []
+    if tail is not None:
+        parts.append(tail.select(*df.columns))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _readable(df: DataFrame, keys: list[str], watermark: Sequence | None, inclusive: bool) -> DataFrame:
     base = df.filter(not_null(keys))
-    if watermark is not None:
-        base = base.filter(after(df, keys, watermark, inclusive))
+    return base if watermark is None else base.filter(after(df, keys, watermark, inclusive))
+
+
+def _search(base: DataFrame, keys: list[str], cap: int, topk_limit: int, buckets: int
+            ) -> tuple[list[Column], DataFrame | None, bool] | None:
+    """(ranges taken whole in ascending order, rows taken from the range the cut lies in, whether nothing was
+    cut); None when the leading key has no ordinal."""
     if cap <= topk_limit:
-        return base.orderBy(*keys).limit(int(cap))
-    types = {f.name: f.dataType for f in df.schema.fields}
+        return [], base.orderBy(*keys).limit(cap), False
+    types = {f.name: f.dataType for f in base.schema.fields}
     if _ordinal(F.col(keys[0]), types[keys[0]]) is None:
-        return _capped_by_rank(base, keys, cap)
+        return None
 
     taken: list[Column] = []          # predicates of ranges taken whole
     scope = F.lit(True)               # predicate of the range still being searched
-    remaining = int(cap)
+    remaining = cap
+    whole = False
     level = 0
     offset = 0                        # byte offset inside a text key
     tail = None
@@ -213,8 +231,9 @@ def capped_extract(df: DataFrame, keys: Sequence[str], cap: int, watermark: Sequ
             stats.append(F.max(F.length(F.col(k).cast("binary"))).alias("len"))
         st = base.filter(scope).agg(*stats).first()
         n, lo, hi = st["n"], st["lo"], st["hi"]
-        if n <= remaining:
+        if n <= remaining:            # only ever at the start: a range narrowed to holds more than is left
             taken.append(scope)
+            whole = True
             break
         if remaining <= topk_limit:
             tail = base.filter(scope).orderBy(*keys).limit(remaining)
@@ -260,18 +279,7 @@ def capped_extract(df: DataFrame, keys: Sequence[str], cap: int, watermark: Sequ
         remaining -= before
         scope = scope & inside
 
-    parts = []
-    if taken:
-        pred = taken[0]
-        for p in taken[1:]:
-            pred = pred | p
-        parts.append(base.filter(pred))
-    if tail is not None:
-        parts.append(tail.select(*df.columns))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return taken, tail, whole
 
 
 def _capped_by_rank(base: DataFrame, keys: Sequence[str], cap: int,
@@ -305,15 +313,28 @@ def _capped_by_rank(base: DataFrame, keys: Sequence[str], cap: int,
 
 
 def capped_with_ties(df: DataFrame, keys: Sequence[str], cap: int, watermark: Sequence | None = None,
-                     inclusive: bool = False) -> DataFrame:
+                     inclusive: bool = False, topk_limit: int = TOPK_LIMIT, buckets: int = HIST_BUCKETS) -> DataFrame:
     """The rows of ``capped_extract`` and every further row with the last one's key, so that a watermark
-    at that key leaves nothing behind. The result is one range filter up to the cut key."""
-    base = df.filter(not_null(keys))
-    if watermark is not None:
-        base = base.filter(after(df, keys, watermark, inclusive))
-    cut = (capped_extract(df, keys, cap, watermark, inclusive)
-           .agg(F.count(F.lit(1)).alias("n"), F.max(F.struct(*[F.col(k) for k in keys])).alias("last")).first())
-    return base if cut["n"] < cap else base.filter(~after(df, keys, list(cut["last"])))
+    at that key leaves nothing behind. The result is one range filter up to the cut key, which is looked for
+    only in the range where the search ended."""
+    keys = list(keys)
+    base = _readable(df, keys, watermark, inclusive)
+    found = _search(base, keys, int(cap), topk_limit, buckets)
+    if found is None:
+        last_rows = _capped_by_rank(base, keys, cap)
+    else:
+        taken, tail, whole = found
+        if whole:
+            return base
+        last_rows = tail
+    largest = lambda rows: rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.struct(*[F.col(k) for k in keys])).alias("last")).first()
+    cut = largest(last_rows)
+    if found is None or not taken:
+        if cut["n"] < cap:
+            return base
+    elif cut["n"] == 0:               # the cap ended with a range: its last key is the largest of the range before
+        cut = largest(base.filter(taken[-1]))
+    return base.filter(~after(df, keys, list(cut["last"])))
 
 
 def unkeyed_rows(df: DataFrame, task: SyncTask) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.bitmaps import BITMAP_BYTES, cell_of, holds, pack_keys, spot_of, unpack_keys
 from ..functions.rules import ts_literal
 
 # Fixed value: days a copied row is kept in the source before it may be deleted.
@@ -155,6 +156,11 @@ def join_listed(source: DataFrame, listed: DataFrame, keys: str | list[str], how
     return source.join(listed, same, how)
 
 
+def recent_from(as_of, days: int = RETENTION_DAYS) -> str:
+    """Rows from this time on block their entry."""
+    return _midnight(_day(as_of) - timedelta(days=days))
+
+
 def expiry_gate(entries: DataFrame, source: DataFrame, keys: str | list[str], ts_col: str, as_of,
                 days: int = RETENTION_DAYS) -> DataFrame:
     """Entries whose every source row is older than ``as_of - days`` days.
@@ -163,7 +169,7 @@ def expiry_gate(entries: DataFrame, source: DataFrame, keys: str | list[str], ts
     gone or whose ts is NULL do not block. Only the recent rows of the source are read (the ts
     filter reaches the Parquet scan), then semi/anti joins decide per entry.
     """
-    cutoff = ts_literal(_midnight(_day(as_of) - timedelta(days=days)))
+    cutoff = ts_literal(recent_from(as_of, days))
     names = [f"_key{i}" for i in range(len(_names(keys)))]
     recent = source.filter(F.col(ts_col) >= cutoff).select(
         *[F.col(k).alias(n) for k, n in zip(_names(keys), names, strict=True)])
@@ -183,6 +189,44 @@ def ledger_id_count(entries: DataFrame) -> int:
     return entries.agg(F.coalesce(F.sum(F.size("ids")), F.lit(0)).alias("n")).first()["n"]
 
 
+# ---------------------------------------------------------------- ledger of bitmaps
+
+def ledger_bitmap(loaded: DataFrame, key: str, as_of, source_db: str, source_table: str, batch_size: int = 10_000,
+                  load_version: int = 0) -> DataFrame:
+    """G1 for a single integral key without listing it: the entries of ``ledger_pack`` (``key div batch_size``), each
+    as one key set per cell of 32,768 keys. A dense entry takes an eighth of a byte a key instead of its digits."""
+    rows = loaded.withColumn("house_keeping_id", F.call_function("div", F.col(key).cast("long"), F.lit(int(batch_size))))
+    return pack_keys(rows, ["house_keeping_id"], key).select(
+        F.lit(int(load_version)).cast("long").alias("load_version"), "house_keeping_id",
+        ts_literal(_midnight(_day(as_of))).alias("etl_update_date"), F.lit(source_db).alias("source_db"),
+        F.lit(source_table).alias("source_table"), "cell", "bits", "spots", F.lit(0).alias("is_source_delete"))
+
+
+def ledger_bitmap_unpack(ledger: DataFrame) -> DataFrame:
+    """One row per key, in the form of ``ledger_unpack``."""
+    return unpack_keys(ledger, ENTRY, "id").select(*ENTRY, F.col("id").cast("string").alias("id"))
+
+
+def expiry_gate_bitmap(entries: DataFrame, source: DataFrame, key: str, ts_col: str, as_of,
+                       days: int = RETENTION_DAYS) -> DataFrame:
+    """G5 over key sets: the recent source rows meet the sets of their cell and are looked up there, so no key of
+    the ledger becomes a row."""
+    cutoff = ts_literal(recent_from(as_of, days))
+    recent = source.filter(F.col(ts_col) >= cutoff).select(cell_of(F.col(key)).alias("cell"), spot_of(F.col(key)).alias("spot"))
+    blocked = entries.join(recent, "cell").filter(holds(F.col("bits"), F.col("spots"), F.col("spot"))).select(*ENTRY).distinct()
+    return entries.join(blocked, ENTRY, "left_anti")
+
+
+def retention_delete_bitmap(source: DataFrame, sets: DataFrame, key: str, sets_rows: int | None = None) -> DataFrame:
+    """G6 over key sets: source rows whose key is in none of ``sets`` (cell, bits, spots: one row a cell). They are
+    broadcast if their known number of bitmaps is within ``BROADCAST_BYTES`` (some 500 million keys when dense)."""
+    sets = sets.select(F.col("cell").alias("_cell"), F.col("bits").alias("_bits"), F.col("spots").alias("_spots"))
+    if sets_rows is not None and sets_rows * 2 * BITMAP_BYTES <= BROADCAST_BYTES:      # a list is at most as large
+        sets = F.broadcast(sets)
+    met = source.join(sets, cell_of(F.col(key)) == F.col("_cell"), "left")
+    return met.filter(~holds(F.col("_bits"), F.col("_spots"), spot_of(F.col(key)))).select(*[F.col(f"`{c}`") for c in source.columns])
+
+
 def ledger_mark(ledger: DataFrame, deleted: DataFrame) -> DataFrame:
     """Mark entries whose delete was committed (G7). Call only after that commit."""
     done = deleted.select(*ENTRY).distinct().withColumn("_done", F.lit(True))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,7 +23,8 @@ def added_columns(target: T.StructType, source: T.StructType) -> list[str]:
 
 
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Rows of ``df`` in ``schema``: missing columns NULL, types of the schema (try_cast)."""
+    """Rows of ``df`` in ``schema``: missing columns NULL, types of the schema. A value that does not fit its
+    column's type fails the job and never becomes NULL; ``reject_reason`` finds such rows before a load."""
     cols = {c.lower(): c for c in df.columns}
     out = []
     for f in schema.fields:
@@ -33,7 +34,9 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
         elif df.schema[src].dataType == f.dataType:
             out.append(F.col(src).alias(f.name))
         else:
-            out.append(F.col(src).try_cast(f.dataType).alias(f.name))
+            message = F.concat(F.lit(f"column {f.name}: value does not fit {f.dataType.simpleString()}: "), F.col(src).cast("string"))
+            out.append(F.when(_cast_ok(src, f.dataType), F.col(src).try_cast(f.dataType))
+                       .otherwise(F.raise_error(message).cast(f.dataType)).alias(f.name))
     return df.select(*out)
 
 
@@ -68,14 +71,23 @@ def conform(df: DataFrame, schema: T.StructType, audit_col: str | None = None, a
     return out
 
 
-def rejects(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Rows of ``df`` that ``conform`` leaves out, with the name of the first failing column."""
-    schema = _drop_ignored(schema)
+def reject_reason(df: DataFrame, keys: Sequence[str], have: T.StructType | None = None) -> Column:
+    """Why a row cannot be loaded, NULL if it can: the first of ``keys`` that is NULL, else the first column whose
+    value does not fit its type in ``have``, the committed schema. One expression for every load path, so that
+    what one of them rejects no other loses."""
     reason = F.lit(None).cast("string")
-    for f in reversed(schema.fields):
+    for f in reversed(have.fields if have is not None else []):
         if f.name in df.columns and df.schema[f.name].dataType != f.dataType:
             reason = F.when(~_cast_ok(f.name, f.dataType), F.lit(f.name)).otherwise(reason)
-    return df.withColumn("reject_column", reason).filter(F.col("reject_column").isNotNull())
+    for k in reversed(list(keys)):
+        reason = F.when(F.col(k).isNull(), F.lit(k)).otherwise(reason)
+    return reason
+
+
+def rejects(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows of ``df`` that ``conform`` leaves out, with the name of the first failing column."""
+    schema = _drop_ignored(schema)
+    return df.withColumn("reject_column", reject_reason(df, [], schema)).filter(F.col("reject_column").isNotNull())
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

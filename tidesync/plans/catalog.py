@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import bitmaps as B
 from ..functions.cleaning import digits_to_int, nested_to_json, null_normalise, null_tokens
 from ..functions.routing import with_partition_num
 from ..functions.rules import apply_rules, bit_expr, ts_literal, with_audit, with_provenance
@@ -613,6 +614,42 @@ def q_retention_delete(spark, sf):
     return R.retention_delete(src, dele, "o_orderkey").select("o_orderkey", "o_orderdate", "o_orderstatus")
 
 
+_CELL = "CASE WHEN o_orderkey > 0 THEN 1 + (o_orderkey - 1) // 32768 ELSE 0 END"
+
+
+@register("ledger_bitmap", f"""
+SELECT o_orderkey // 10000 AS house_keeping_id, count(*) AS n_ids, min(o_orderkey) AS min_id, max(o_orderkey) AS max_id,
+       CAST(sum(o_orderkey) AS BIGINT) AS sum_ids, CAST(4096 * count(DISTINCT {_CELL}) AS BIGINT) AS set_bytes
+FROM orders GROUP BY 1""")
+def q_ledger_bitmap(spark, sf):
+    """Two loads that overlap as bitmaps, united by entry and cell, then unpacked: the ids come back once."""
+    o = _t(spark, sf, "orders")
+    loads = [R.ledger_bitmap(part, "o_orderkey", D.LEDGER_DAY, "src_db", "orders", load_version=v) for v, part in (
+        (1, o.filter(F.col("o_orderdate") < ts_literal(D.TARGET_BEFORE))),
+        (2, o.filter(F.col("o_orderdate") >= ts_literal(D.CHANGES_FROM))))]
+    whole = B.union_sets(loads[0].unionByName(loads[1]), ["house_keeping_id"])
+    size = whole.groupBy("house_keeping_id").agg(F.sum(B.set_bytes()).alias("set_bytes"))
+    ids = B.unpack_keys(whole, ["house_keeping_id"], "id").groupBy("house_keeping_id").agg(
+        F.count(F.lit(1)).alias("n_ids"), F.min("id").alias("min_id"), F.max("id").alias("max_id"), F.sum("id").alias("sum_ids"))
+    return ids.join(size, "house_keeping_id")
+
+
+_GATE_600_SQL = """
+SELECT o_orderkey // 600 FROM orders WHERE o_orderstatus <> 'F' AND CAST(o_orderdate AS DATE) >= DATE '2001-07-27'"""
+
+
+@register("retention_bitmap", f"""
+SELECT o_orderkey, o_orderdate, o_orderstatus FROM orders
+WHERE o_orderstatus <> 'F' AND o_orderkey // 600 IN ({_GATE_600_SQL})""")
+def q_retention_bitmap(spark, sf):
+    """Window, expiry gate and delete over a ledger of bitmaps; no key of it becomes a row."""
+    o = _t(spark, sf, "orders")
+    window = R.ledger_window(D.bitmap_ledger(o), D.ORDERS_AS_OF, 60, 0, "src_db", "orders")
+    src = D.retention_source(o)
+    gone = R.expiry_gate_bitmap(window, src, "o_orderkey", "o_orderdate", D.ORDERS_AS_OF)
+    return R.retention_delete_bitmap(src, B.union_sets(gone, []), "o_orderkey").select("o_orderkey", "o_orderdate", "o_orderstatus")
+
+
 @register("ledger_mark", f"""
 SELECT house_keeping_id, CASE WHEN house_keeping_id IN ({_GATE_SQL}) THEN 1 ELSE is_source_delete END
        AS is_source_delete FROM ({_LEDGER_SQL})""")

@@ -2,7 +2,8 @@
 
 Layout under ``root`` (a folder on the shared file system)::
 
-    root/partition_num=P/bucket=B/ver=V-T/part-*.parquet   data: one folder per unit and commit attempt
+    root/ver=V-T/partition_num=P/bucket=B/part-*.parquet   data: one folder per commit attempt and unit
+    root/_zones/V-T/, root/_keys/V-T/                      what the attempt's files and units hold (``plans.zones``)
     root/_state/00000007.json                             commit V: {"P/B": "V-T"}, watermark, extras
 
 A unit is a shard (``partition_num``) or a key range inside it (``bucket``): the unit, not the shard,
@@ -19,8 +20,9 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterable, Mapping
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +32,20 @@ MIN_BUCKET_SPAN = 1_000_000
 BUCKETS_PER_SHARD = 64
 
 
+# Least bytes of a writing task: a file's cost counts more than its bytes where units are many and small.
+SMALLEST_TASK = "64k"
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str):
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 class CommitConflict(RuntimeError):
     """Another writer committed the same version first."""
 
@@ -107,9 +123,12 @@ class _FS:
 class TableStore:
     """A table folder with versioned units (shard, bucket) and a committed watermark."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, zones: Iterable[str] = (), key: str | None = None):
+        """``zones``: columns whose least and greatest value each commit records per file; ``key``: an integral
+        column whose values it records per unit as bitmaps. The first commit's choice stays with the table."""
         self.spark = spark
         self.root = root.rstrip("/")
+        self.indexed = {"zones": list(zones), "key": key} if zones or key else None
         self._fs = _FS(spark, self.root)
         self._cache: tuple[int, dict] | None = None     # (version, parsed state): a state never changes
 
@@ -121,7 +140,7 @@ class TableStore:
     def state(self) -> dict:
         v = self.version()
         if v == 0:
-            return {"version": 0, "units": {}, "watermark": {}, "schema": None, "extra": {}}
+            return {"version": 0, "units": {}, "tags": {}, "watermark": {}, "schema": None, "extra": {}}
         if self._cache is None or self._cache[0] != v:
             self._cache = (v, json.loads(self._fs.read_text(f"_state/{v:08d}.json")))
         return json.loads(json.dumps(self._cache[1]))   # a copy: callers may change what they get
@@ -132,6 +151,11 @@ class TableStore:
     def units(self) -> list[str]:
         return sorted(self.state()["units"])
 
+    def schema(self) -> T.StructType | None:
+        """The committed columns, None before the first commit."""
+        text = self.state().get("schema")
+        return T.StructType.fromJson(json.loads(text)) if text else None
+
     # ------------------------------------------------------------------ read
     def read(self, schema: T.StructType | None = None, units: Iterable[str] | None = None,
              shards: Iterable | None = None, keep_unit: bool = False) -> DataFrame:
@@ -149,10 +173,26 @@ class TableStore:
                 raise ValueError(f"{self.root}: empty table and no schema given")
             empty = self.spark.createDataFrame([], want)
             return empty.withColumn(BUCKET, F.lit(None).cast("long")) if keep_unit else empty
-        paths = []
+        return self.read_paths(self._folders(st, pick), want, keep_unit)
+
+    def _folders(self, st: dict, pick: set[str]) -> list[str]:
+        """Folders of the units; an attempt's own folder where all its units are read."""
+        by_tag: dict[str, list[str]] = {}
         for u in sorted(pick):
-            p, b = u.split("/", 1)
-            paths.append(f"{self.root}/{SHARD}={p}/{BUCKET}={b}/ver={committed[u]}")
+            by_tag.setdefault(st["units"][u], []).append(u)
+        whole = st.get("tags", {})
+        return [path for tag, units in by_tag.items() for path in
+                ([f"{self.root}/ver={tag}"] if whole.get(tag) == len(units) else [self.unit_path(u, tag) for u in units])]
+
+    def unit_path(self, unit: str, tag: str) -> str:
+        p, b = unit.split("/", 1)
+        return f"{self.root}/ver={tag}/{SHARD}={p}/{BUCKET}={b}"
+
+    def read_paths(self, paths: list[str], want: T.StructType | None, keep_unit: bool = False) -> DataFrame:
+        """Rows of files or folders of this table under the schema ``want`` (the committed one)."""
+        if not paths:
+            empty = self.spark.createDataFrame([], want)
+            return empty.withColumn(BUCKET, F.lit(None).cast("long")) if keep_unit else empty
         reader = self.spark.read.option("basePath", self.root)
         if want is not None:
             # the committed schema, not one file's: columns added later read as NULL in older files
@@ -172,6 +212,14 @@ class TableStore:
             df = df.select(*[col(f) for f in want.fields], BUCKET)
         return df if keep_unit else df.drop(BUCKET)
 
+    def read_where(self, ranges: Mapping, keep_unit: bool = False) -> DataFrame:
+        """The committed rows without the files whose zones show that they hold no row within ``ranges``
+        (column -> (least, greatest), None for open ends). Files of commits without zones are read. The
+        caller still filters."""
+        from .zones import matching_files
+        st = self.state()
+        return self.read_paths(matching_files(self, st, ranges), T.StructType.fromJson(json.loads(st["schema"])), keep_unit)
+
     # ------------------------------------------------------------------ write
     def stage(self, df: DataFrame, cluster_by: list[str] | None = None, small: bool = False,
               bucket: Column | None = None) -> dict:
@@ -191,10 +239,18 @@ class TableStore:
         df = df.withColumn(BUCKET, b.cast("long"))
         cluster = [c for c in (cluster_by or []) if c in df.columns and c not in (SHARD, BUCKET)]
         out = df.coalesce(1) if small else df.hint("rebalance", SHARD, BUCKET)
-        (out.sortWithinPartitions(SHARD, BUCKET, *cluster).withColumn("ver", F.lit(tag))
-         .write.mode("append").partitionBy(SHARD, BUCKET, "ver").parquet(self.root))
-        return {"tag": tag, "written": sorted(self._written(tag)),      # one glob, not a call per unit
-                "schema": df.select(*data_cols).schema.json()}
+        # the write itself reports its units (one entry a unit): no folder is listed for them
+        seen = Observation()
+        out = (out.sortWithinPartitions(SHARD, BUCKET, *cluster).withColumn("ver", F.lit(tag))
+               .observe(seen, F.collect_set(F.struct(SHARD, BUCKET)).alias("units")))
+        with _setting(self.spark, "spark.sql.adaptive.coalescePartitions.minPartitionSize", SMALLEST_TASK):
+            out.write.mode("append").partitionBy("ver", SHARD, BUCKET).parquet(self.root)
+        written = sorted(unit_key(u[SHARD], u[BUCKET]) for u in seen.get["units"])
+        indexed = self.state().get("indexed") or self.indexed
+        if indexed and written:
+            from .zones import write_index
+            write_index(self, tag, indexed)
+        return {"tag": tag, "written": written, "schema": df.select(*data_cols).schema.json(), "indexed": indexed}
 
     def publish(self, staged: Mapping, watermark: Mapping | None = None, touched: Iterable[str] | None = None,
                 replace_all: bool = False, extra: Mapping | None = None,
@@ -214,7 +270,11 @@ class TableStore:
             units.pop(str(u), None)         # replaced; re-added below when it still has rows
         for u in staged["written"]:
             units[u] = staged["tag"]
-        new_state = {"version": new_v, "units": units,
+        live = set(units.values())
+        tags = {t: n for t, n in {**st.get("tags", {}), staged["tag"]: len(staged["written"])}.items() if t in live}
+        with_index = set(st.get("with_index", [])) | ({staged["tag"]} if staged.get("indexed") else set())
+        new_state = {"version": new_v, "units": units, "tags": tags, "indexed": staged.get("indexed"),
+                     "with_index": sorted(with_index & live),
                      "watermark": dict(watermark if watermark is not None else st.get("watermark") or {}),
                      "schema": self._evolved(st, T.StructType.fromJson(json.loads(staged["schema"]))).json(),
                      "extra": dict(extra if extra is not None else st.get("extra") or {})}
@@ -234,12 +294,11 @@ class TableStore:
     def read_staged(self, staged: Mapping) -> DataFrame:
         """The rows of a staged write, published or not."""
         schema = T.StructType.fromJson(json.loads(staged["schema"]))
-        paths = [f"{self.root}/{SHARD}={u.split('/', 1)[0]}/{BUCKET}={u.split('/', 1)[1]}/ver={staged['tag']}"
-                 for u in staged["written"]]
-        if not paths:
+        if not staged["written"]:
             return self.spark.createDataFrame([], schema)
         fields = [f for f in schema.fields if f.name != SHARD]
-        return self.spark.read.schema(T.StructType(fields)).parquet(*paths)
+        return self.spark.read.schema(T.StructType(fields)).parquet(f"{self.root}/ver={staged['tag']}").select(
+            *[f.name for f in fields])
 
     def holds(self, tag: str) -> bool:
         """Whether the current state references the staged write ``tag``."""
@@ -262,12 +321,17 @@ class TableStore:
             st = json.loads(self._fs.read_text(f"_state/{v:08d}.json"))
             referenced |= {(u, str(tag)) for u, tag in st["units"].items()}
         folders = 0
-        for p, b, ver in self._fs.glob_parents(f"{SHARD}=*/{BUCKET}=*/ver=*", 3):
-            unit, tag = unit_key(p.split("=", 1)[1], b.split("=", 1)[1]), ver.split("=", 1)[1]
-            v = int(tag.split("-", 1)[0])
-            if v <= latest and (unit, tag) not in referenced:
-                self._fs.fs.delete(self._fs.path(f"{p}/{b}/{ver}"), True)
-                folders += 1
+        live = {tag for _, tag in referenced}
+        for (ver,) in self._fs.glob_parents("ver=*", 1):
+            tag = ver.split("=", 1)[1]
+            if int(tag.split("-", 1)[0]) > latest:
+                continue
+            dead = [f"{p}/{b}" for p, b in self._fs.glob_parents(f"{ver}/{SHARD}=*/{BUCKET}=*", 2)
+                    if (unit_key(p.split("=", 1)[1], b.split("=", 1)[1]), tag) not in referenced]
+            folders += len(dead)
+            gone = [f"{ver}/{u}" for u in dead] if tag in live else [ver, f"_zones/{tag}", f"_keys/{tag}"]
+            for path in gone:
+                self._fs.fs.delete(self._fs.path(path), True)
         states = 0
         for v in versions[:-len(kept)]:
             self._fs.fs.delete(self._fs.path(f"_state/{v:08d}.json"), False)
@@ -281,7 +345,3 @@ class TableStore:
         if not st.get("schema"):
             return new
         return evolve_schema(T.StructType.fromJson(json.loads(st["schema"])), new)
-
-    def _written(self, tag: str) -> set[str]:
-        found = self._fs.glob_parents(f"{SHARD}=*/{BUCKET}=*/ver={tag}", 3)
-        return {unit_key(p.split("=", 1)[1], b.split("=", 1)[1]) for p, b, _ in found}

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.rules import ts_literal, unsigned_to_bytes  # noqa: F401  (ts_literal re-exported)
-from ..operators.retention import ledger_pack
+from ..operators.retention import ledger_bitmap, ledger_pack
 
 # Fixed parameters of the checks (dates inside the driver tables' ranges).
 EVENTS_WATERMARK = "2024-01-10 00:00:00"
@@ -83,6 +83,13 @@ def ledger(orders: DataFrame) -> DataFrame:
     })
 
 
+def bitmap_ledger(orders: DataFrame) -> DataFrame:
+    """Ledger of all orders as key sets in entries of 600 keys, dated LEDGER_DAY minus (entry % 40) days."""
+    packed = ledger_bitmap(orders, "o_orderkey", LEDGER_DAY, "src_db", "orders", batch_size=600)
+    age = F.col("house_keeping_id") % 40
+    return packed.withColumn("etl_update_date", F.col("etl_update_date") - F.make_dt_interval(days=age.cast("int")))
+
+
 def retention_source(orders: DataFrame) -> DataFrame:
     """The source at house-keeping time: finished orders were already removed (vanished rows)."""
     return orders.filter(F.col("o_orderstatus") != "F")

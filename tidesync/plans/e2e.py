@@ -18,6 +18,9 @@ def third(df) -> int:
     return -(-df.count() // 3)
 
 
+# Times of three runs; the oracles tell the first run from the later ones.
+DAYS = ("2001-08-10 00:00:00", "2001-08-11 00:00:00", "2001-08-11 00:00:00")
+
 _ORD5 = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate"
 
 
@@ -30,16 +33,16 @@ def orders_task(etl_type: int = 2, batch_size: int = 1000, loops: int = 5, house
 
 @register("sync_run", f"""
 SELECT {_ORD5}, o_orderkey // 1000 + 1 AS partition_num,
-       CASE WHEN rn <= 5000 THEN TIMESTAMP '2001-08-10' ELSE TIMESTAMP '2001-08-11' END AS etl_update_time
-FROM (SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS rn FROM orders) WHERE rn <= 10000""")
+       CASE WHEN rn <= (SELECT ceil(count(*) / 3) FROM orders) THEN TIMESTAMP '2001-08-10' ELSE TIMESTAMP '2001-08-11' END AS etl_update_time
+FROM (SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS rn FROM orders)""")
 def q_sync_run(spark, sf):
-    """Two type-2 runs of a task capped at 1,000 x 5 rows: the second continues at the watermark."""
+    """Three type-2 runs of a task capped at a third of the rows, with log and ledger: each continues at the watermark."""
     orders = D.table(spark, sf, "orders")
     root = scratch_path(spark, "sync_run")
     store, log, ledger = (TableStore(spark, f"{root}/{n}") for n in ("data", "log", "ledger"))
-    task = orders_task(housekeeping=1)
-    run_task(spark, task, orders, store, log, ledger, as_of="2001-08-10 00:00:00")
-    run_task(spark, orders_task(housekeeping=1), orders, store, log, ledger, as_of="2001-08-11 00:00:00")
+    cap = third(orders)
+    for day in DAYS:
+        run_task(spark, orders_task(batch_size=cap, loops=1, housekeeping=1), orders, store, log, ledger, as_of=day)
     return store.read()
 
 
@@ -70,6 +73,75 @@ def q_housekeeping_run(spark, sf):
     return source.read()
 
 
+def dated_source(orders, root, spark):
+    """orders as six loads by year into a table that keeps zones of (date, key) and the key sets of its units."""
+    store = TableStore(spark, root, zones=["o_orderdate", "o_orderkey"], key="o_orderkey")
+    year = F.year("o_orderdate")
+    for y in range(1995, 2001):
+        part = orders.filter(year == y) if y < 2000 else orders.filter(year >= y)
+        store.commit(part.withColumn("partition_num", F.lit(1).cast("long")), bucket=F.lit(y), cluster_by=["o_orderdate", "o_orderkey"])
+    return store
+
+
+@register("zone_pruned_extract", f"""
+SELECT {_ORD5} FROM orders WHERE (o_orderdate > TIMESTAMP '1999-06-01' OR (o_orderdate = TIMESTAMP '1999-06-01' AND o_orderkey > 700))
+  AND o_orderdate < TIMESTAMP '2001-07-29'""")
+def q_zone_pruned_extract(spark, sf):
+    """B3 from a table with zones: files that end before the watermark or begin after the lag are not opened."""
+    from ..operators import extract as X
+    store = dated_source(D.table(spark, sf, "orders"), scratch_path(spark, "zones"), spark)
+    src = store.read_where({"o_orderdate": ("1999-06-01 00:00:00", X.lag_cutoff("2001-08-01 12:00:00"))})
+    if len(src.inputFiles()) >= len(store.read().inputFiles()):
+        raise RuntimeError("the zones pruned no file")
+    return X.extract_lagged(src, "o_orderdate", "o_orderkey", "1999-06-01 00:00:00", 700, as_of="2001-08-01 12:00:00").select(
+        *_ORD5.split(", "))
+
+
+@register("sync_run_zones", f"""
+SELECT {_ORD5}, o_orderkey // 1000000000 + 1 AS partition_num,
+       CASE WHEN rn <= (SELECT ceil(count(*) / 3) FROM orders) THEN TIMESTAMP '2001-08-10' ELSE TIMESTAMP '2001-08-11' END AS etl_update_time
+FROM (SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS rn FROM orders)""")
+def q_sync_run_zones(spark, sf):
+    """Three capped runs from a table with zones: each opens only the files from its watermark on."""
+    orders = D.table(spark, sf, "orders")
+    root = scratch_path(spark, "sync_zones")
+    source, store = dated_source(orders, f"{root}/source", spark), TableStore(spark, f"{root}/data")
+    for day in DAYS:
+        task = production_task(housekeeping=0)
+        task.batch_size, task.max_loop_count = third(orders), 1
+        run_task(spark, task, source, store, as_of=day)
+    return store.read()
+
+
+@register("filtered_delete", f"""
+SELECT o_orderkey, o_orderdate, o_orderstatus FROM orders
+WHERE o_orderstatus <> 'F' AND o_orderkey // 10 NOT IN ({_GATE_SQL})""")
+def q_filtered_delete(spark, sf):
+    """House-keeping on a source with zones and key sets: the gate opens files with recent rows only, the delete the
+    units whose key set meets the deleted keys."""
+    orders = D.table(spark, sf, "orders")
+    root = scratch_path(spark, "filtered_delete")
+    source = dated_source(D.retention_source(orders), f"{root}/source", spark)
+    ledger = TableStore(spark, f"{root}/ledger")
+    ledger.commit(D.ledger(orders).withColumn("partition_num", F.col("load_version")))
+    house_keeping(spark, orders_task(housekeeping=1), source, ledger, D.ORDERS_AS_OF, start_days=60, end_days=0)
+    return source.read().select("o_orderkey", "o_orderdate", "o_orderstatus")
+
+
+@register("housekeeping_bitmap", f"""
+SELECT {_ORD5} FROM orders WHERE o_orderkey // 600 IN (SELECT o_orderkey // 600 FROM orders WHERE o_orderdate >= TIMESTAMP '2001-07-27')""")
+def q_housekeeping_bitmap(spark, sf):
+    """Sync with a ledger of bitmaps, then house-keeping by it, end to end: entries of 600 keys, all or nothing."""
+    orders = D.table(spark, sf, "orders").select(*_ORD5.split(", "))
+    root = scratch_path(spark, "housekeeping_bitmap")
+    source = dated_source(orders, f"{root}/source", spark)
+    store, ledger = TableStore(spark, f"{root}/data"), TableStore(spark, f"{root}/ledger")
+    task = lambda: orders_task(batch_size=600, loops=1_000_000, housekeeping=1)
+    run_task(spark, task(), source, store, None, ledger, as_of="2001-07-20 00:00:00", bitmap_ledger=True)
+    house_keeping(spark, task(), source, ledger, "2001-08-10 00:00:00", target_store=store)
+    return source.read().select(*_ORD5.split(", "))
+
+
 @register("stream_sync", """
 SELECT event_id, ts, user_id, event_type, value, props, event_id // 1000 + 1 AS partition_num FROM events""")
 def q_stream_sync(spark, sf):
@@ -126,8 +198,6 @@ def procedure_task(etl_type: int = 1, arg_counts: int = 2) -> dict:
             "last_timestamp_sync_record": None}
 
 
-DAYS = ("2001-08-10 00:00:00", "2001-08-11 00:00:00", "2001-08-11 00:00:00")
-
 # Fixed rule list of the procedure check: a bit rule and a rowversion rule for dw.orders_sp.
 PROCEDURE_RULES = [
     {"target_db": "dw", "target_table": "orders_sp", "column_name": "is_urgent", "original_data_type": "Boolean",
@@ -338,6 +408,71 @@ def q_sync_run_retyped(spark, sf):
     return store.read()
 
 
+@register("procedure_sync_rejects", """
+SELECT CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(o_orderkey AS VARCHAR) END AS o_orderkey,
+       CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS o_custkey,
+       CASE WHEN o_orderstatus = 'P' THEN 'key' WHEN o_orderpriority = '5-LOW' THEN 'o_custkey' END AS reject_column
+FROM orders""")
+def q_procedure_sync_rejects(spark, sf):
+    """Procedure runs by a key of two columns, either of them NULL in places: what is not loaded (NULL reason) is in
+    the reject table once, also where no batch reaches it."""
+    from .run import run_procedure_task
+    o = D.table(spark, sf, "orders")
+    src = procedure_source(o.withColumns({
+        "o_orderkey": F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")),
+        "o_custkey": F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_custkey"))}))
+    root = scratch_path(spark, "procedure_rejects")
+    store, bad = TableStore(spark, f"{root}/data"), TableStore(spark, f"{root}/rejects")
+    task = {**procedure_task(), "pk_field": "o_orderkey, o_custkey", "batch_size": third(src), "max_loop_count": 1}
+    for day in (*DAYS, DAYS[-1]):
+        run_procedure_task(spark, task, src, store, PROCEDURE_RULES, as_of=day, source_host="src-host", reject_store=bad)
+    keys = [F.col(k).cast("string").alias(k) for k in ("o_orderkey", "o_custkey")]
+    return (store.read().select(*keys, F.lit(None).cast("string").alias("reject_column"))
+            .unionByName(bad.read().select(*keys, "reject_column")))
+
+
+@register("procedure_sync_retyped", """
+SELECT o_orderkey, CASE WHEN late AND o_orderstatus = 'P' THEN 'abc' ELSE CAST(o_custkey AS VARCHAR) END AS o_custkey,
+       CASE WHEN late AND o_orderstatus = 'P' THEN 'o_custkey' END AS reject_column
+FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) > (SELECT ceil(count(*) / 3) FROM orders) AS late FROM orders)""")
+def q_procedure_sync_retyped(spark, sf):
+    """A column turns to text between procedure runs: values that do not fit are rejected, the others loaded in the
+    committed type."""
+    from .run import run_procedure_task
+    src = procedure_source(D.table(spark, sf, "orders"))
+    text = src.withColumn("o_custkey", F.when(F.col("priority") == "Null", F.lit("abc")).otherwise(F.col("o_custkey").cast("string")))
+    root = scratch_path(spark, "procedure_retyped")
+    store, bad = TableStore(spark, f"{root}/data"), TableStore(spark, f"{root}/rejects")
+    task = {**procedure_task(), "batch_size": third(src), "max_loop_count": 1}
+    for day, rows in zip(DAYS, (src, text, text), strict=True):
+        run_procedure_task(spark, task, rows, store, PROCEDURE_RULES, as_of=day, source_host="src-host", reject_store=bad)
+    key, value = F.col("o_orderkey").cast("long").alias("o_orderkey"), F.col("o_custkey").cast("string").alias("o_custkey")
+    return (store.read().select(key, value, F.lit(None).cast("string").alias("reject_column"))
+            .unionByName(bad.read().select(key, value, "reject_column")))
+
+
+@register("stream_retyped", f"""
+SELECT event_id, CASE WHEN late AND event_id % 7 = 0 THEN NULL ELSE value END AS value,
+       CASE WHEN late AND event_id % 7 = 0 THEN 'value' END AS reject_column
+FROM (SELECT *, ts >= TIMESTAMP '{D.EVENTS_WATERMARK}' AS late FROM events)""")
+def q_stream_retyped(spark, sf):
+    """A second stream brings a column as text: values that do not fit go to the reject table, none becomes NULL."""
+    from ..streaming.stream import rejected_rows
+    events = D.table(spark, sf, "events").select("event_id", "ts", "value")
+    root = scratch_path(spark, "stream_retyped")
+    late = F.col("ts") >= D.ts_literal(D.EVENTS_WATERMARK)
+    text = events.filter(late).withColumn("value", F.when(F.col("event_id") % 7 == 0, F.lit("n/a")).otherwise(F.col("value").cast("string")))
+    store, bad = TableStore(spark, f"{root}/out"), TableStore(spark, f"{root}/rejects")
+    for name, part in (("a", events.filter(~late)), ("b", text)):
+        part.repartition(2, "event_id").write.parquet(f"{root}/in_{name}")
+        stream_sync(spark, f"{root}/in_{name}", part.schema, store, f"{root}/ckpt_{name}", keys=["event_id"], id_col="event_id",
+                    partition_size=1_000_000_000, order=["ts"], reject_store=bad)
+    rejected = bad.read().select(F.col("event_id").cast("long").alias("event_id"), F.lit(None).cast("double").alias("value"), "reject_column")
+    if rejected.count() != rejected_rows(store):
+        raise RuntimeError("the stream's count differs from its reject table")
+    return store.read().select("event_id", "value", F.lit(None).cast("string").alias("reject_column")).unionByName(rejected)
+
+
 @register("sync_run_versions", f"""
 SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderdate >= TIMESTAMP '2001-01-01' THEN o_totalprice + 1
          ELSE o_totalprice END AS o_totalprice,

@@ -14,21 +14,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.bitmaps import cell_of, holds, pack_keys, set_size, spot_of, union_sets
 from ..functions.cleaning import table_sync_clean
 from ..functions.rules import ts_literal
-from ..operators.extract import increment, unkeyed_rows
-from ..operators.load import append, latest_per_key, split_rejects, upsert
+from ..operators.extract import increment, lag_cutoff, unkeyed_rows
+from ..operators.load import append, latest_per_key, upsert
 from ..operators.profile import shard_log_merge, shard_log_rows, shard_profile
-from ..operators.retention import (expiry_gate, ledger_id_count, ledger_mark, ledger_pack, ledger_purge,
-                                   ledger_window, retention_delete)
-from ..operators.schema_ops import rejects
+from ..operators.retention import (expiry_gate, expiry_gate_bitmap, ledger_bitmap, ledger_id_count, ledger_mark,
+                                   ledger_pack, ledger_purge, ledger_window, recent_from, retention_delete,
+                                   retention_delete_bitmap)
+from ..operators.schema_ops import align, evolve_schema, reject_reason
 from ..schema import (DEFAULT_LAST_ID, DEFAULT_LAST_TIMESTAMP, LEDGER_SCHEMA, SHARD_LOG_SCHEMA, SyncTask,
                       validate_task)
 from ..session import ensure_checkpoint_dir
 from .commit import BUCKET, SHARD, TableStore, bucket_expr, unit_key
+from .zones import files_with_nulls, units_with_keys
 
 # Audit column of the table-sync target: the time a row was first inserted.
 AUDIT_COL = "etl_update_time"
+# Why a row of an increment is not loaded (NULL: it is); the column's name in the reject table.
+REJECT = "reject_column"
 
 
 @dataclass
@@ -82,17 +87,26 @@ def _watermark_of(task: SyncTask, store: TableStore) -> SyncTask:
     return task
 
 
+def judged(rows: DataFrame, store: TableStore, keys: list[str]) -> DataFrame:
+    """``rows`` with ``reject_column``: why a row cannot be loaded into ``store``, NULL if it can. Every load path
+    (table sync, procedure sync, stream) goes through here before its rows are materialised."""
+    return rows.withColumn(REJECT, reject_reason(rows, [*keys, SHARD, BUCKET], store.schema()))
+
+
+def admitted(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows to load, rows to reject) of ``judged`` rows."""
+    return rows.filter(F.col(REJECT).isNull()).drop(REJECT), rows.filter(F.col(REJECT).isNotNull())
+
+
 def _summary(inc: DataFrame, task: SyncTask) -> DataFrame:
-    ok = F.col(SHARD).isNotNull()
-    # units (shard, bucket) touched: bounded by the number of units, not by the rows
+    """Counts, touched units (one a unit, not a row) and the last key, which passes rejected rows too."""
+    ok = F.col(REJECT).isNull()
     aggs = [F.count_if(ok).alias("n"), F.count_if(~ok).alias("n_bad"),
             F.collect_set(F.when(ok, F.struct(F.col(SHARD), F.col(BUCKET)))).alias("units")]
     if task.etl_type == 1:
-        aggs += [F.max(F.when(ok, F.col(task.id_field_name))).alias("last_id"),
-                 F.lit(None).cast("timestamp_ntz").alias("last_ts")]
+        aggs += [F.max(task.id_field_name).alias("last_id"), F.lit(None).cast("timestamp_ntz").alias("last_ts")]
     elif task.etl_type in (2, 3):
-        last = F.max(F.when(ok, F.struct(F.col(task.timestamp_field_name).alias("t"),
-                                         F.col(task.id_field_name).alias("i"))))
+        last = F.max(F.struct(F.col(task.timestamp_field_name).alias("t"), F.col(task.id_field_name).alias("i")))
         aggs += [last["i"].alias("last_id"), last["t"].alias("last_ts")]
     return inc.agg(*aggs)
 
@@ -121,85 +135,121 @@ def _publish_pending(store: TableStore, log_store: TableStore | None, ledger_sto
         target.commit(merged.withColumn(SHARD, F.lit(0).cast("long")), replace_all=True, small=True, extra=extra)
 
 
+def _as_text(bad: DataFrame) -> DataFrame:
+    """Rejected rows as the reject table keeps them: every column as text, nested ones as JSON, bytes as hex."""
+    def text(f: T.StructField):
+        if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            return F.to_json(f.name)
+        return F.hex(f.name) if isinstance(f.dataType, T.BinaryType) else F.col(f.name).cast("string")
+    return bad.select(*[text(f).alias(f.name) for f in bad.schema.fields if f.name not in (SHARD, BUCKET)])
+
+
 def _commit_rejects(reject_store: TableStore, bad: DataFrame, as_of) -> None:
     """Add rows (as text, with ``reject_column``) to the append-only reject table, once each: rows that no
-    watermark passes are met again by every run."""
-    text = [F.to_json(c).alias(c) if isinstance(t.dataType, (T.StructType, T.ArrayType, T.MapType))
-            else F.col(c).cast("string").alias(c) for c, t in zip(bad.columns, bad.schema.fields, strict=True)
-            if c not in (SHARD, BUCKET)]
-    new = bad.select(*text)
-    if reject_store.version():
-        old = reject_store.read().drop("rejected_at", SHARD)
-        for c in [c for c in old.columns if c not in new.columns]:
-            new = new.withColumn(c, F.lit(None).cast("string"))
-        for c in [c for c in new.columns if c not in old.columns]:
-            old = old.withColumn(c, F.lit(None).cast("string"))
-        new = new.exceptAll(old.select(*new.columns))
-    new = new.withColumns({"rejected_at": ts_literal(as_of), SHARD: F.lit(-1).cast("long")}).checkpoint()
+    watermark passes are met again by every run. A row is known by the digest of its filled columns, the only
+    column of the table that is read here; ``n`` equal rows are kept ``n`` times."""
+    new = _as_text(bad)
+    digest = F.sha2(F.to_json(F.struct(*sorted(new.columns))), 256)          # NULL columns are left out of the text
+    new = new.withColumn("reject_digest", digest).groupBy(*new.columns, "reject_digest").agg(F.count(F.lit(1)).alias("_n"))
+    if reject_store.version() and "reject_digest" in reject_store.schema().names:
+        old = reject_store.read().select("reject_digest").groupBy("reject_digest").agg(F.count(F.lit(1)).alias("_had"))
+        new = new.join(old, "reject_digest", "left").withColumn("_n", F.col("_n") - F.coalesce("_had", F.lit(0))).drop("_had")
+    new = (new.filter(F.col("_n") > 0).withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).drop("_n")
+           .withColumns({"rejected_at": ts_literal(as_of), SHARD: F.lit(-1).cast("long")}).checkpoint())
     if not new.isEmpty():
         reject_store.commit(new, bucket=F.lit(reject_store.version() + 1))       # a unit of its own: never replaced
 
 
-def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: TableStore,
+def _keep_rejects(reject_store: TableStore | None, bad: DataFrame, n_bad: int, unkeyed: DataFrame | None, as_of) -> int:
+    """Write the rejected rows of an increment, and the source's unkeyed ones, to the reject table; their number.
+    Without a reject table the increment's are counted and the source is not searched for unkeyed rows."""
+    if reject_store is None:
+        return n_bad
+    if unkeyed is not None:
+        # this filter alone reaches the scan; what it finds is kept, so the count does not scan again
+        unkeyed = unkeyed.withColumn(REJECT, F.lit("key")).checkpoint()
+        n_bad, bad = n_bad + unkeyed.count(), _as_text(bad).unionByName(_as_text(unkeyed), allowMissingColumns=True)
+    if n_bad:
+        _commit_rejects(reject_store, bad, as_of)
+    return n_bad
+
+
+def _source_rows(source: DataFrame | TableStore, task: SyncTask, as_of) -> DataFrame:
+    """The rows a run can extract. Of a table store only the files are read whose zones reach past the watermark
+    (and, with a settle lag, begin before its end)."""
+    if isinstance(source, DataFrame):
+        return source
+    ranges = {1: {task.id_field_name: (task.last_id_sync_record, None)},
+              2: {task.timestamp_field_name: (task.last_timestamp_sync_record, None)},
+              3: {task.timestamp_field_name: (task.last_timestamp_sync_record, lag_cutoff(as_of))}}.get(task.etl_type, {})
+    return source.read_where(ranges).drop(SHARD)
+
+
+def _unkeyed_source(source: DataFrame | TableStore, task: SyncTask) -> DataFrame | None:
+    """Rows that no keyset reaches, of a table store from the files that hold a NULL in a key."""
+    if task.etl_type == 4:
+        return None
+    if isinstance(source, TableStore):
+        keys = [task.id_field_name] if task.etl_type == 1 else [task.id_field_name, task.timestamp_field_name]
+        source = files_with_nulls(source, keys)
+    return unkeyed_rows(source, task)
+
+
+def run_task(spark: SparkSession, task: SyncTask, source: DataFrame | TableStore, store: TableStore,
              log_store: TableStore | None = None, ledger_store: TableStore | None = None,
              as_of: datetime | str | None = None, reject_store: TableStore | None = None,
-             refresh_fields: bool = False, audit_col: str | None = AUDIT_COL) -> RunResult:
+             refresh_fields: bool = False, audit_col: str | None = AUDIT_COL,
+             bitmap_ledger: bool = False) -> RunResult:
     """Run one sync of ``task`` from ``source`` into ``store``; returns counts and the new watermark.
 
+    ``bitmap_ledger`` writes the ledger as key sets, which needs a single integral key.
+
     ``refresh_fields`` first sets ``sync_field`` to the source's columns, as a run of the source
     format does (the new value is returned for the control table). ``audit_col`` is set to ``as_of``
     when a row is first inserted and kept when it is updated (C10); None leaves it out."""
     steps = _Steps()
     _publish_pending(store, log_store, ledger_store)          # finish a run that died after its commit
-    drift = refresh_sync_field(task, source) if refresh_fields else False
+    columns = source if isinstance(source, DataFrame) else source.read().drop(SHARD)
+    drift = refresh_sync_field(task, columns) if refresh_fields else False
     validate_task(task)
     ensure_checkpoint_dir(spark)
     as_of = datetime.fromisoformat(as_of) if isinstance(as_of, str) else (as_of or datetime.now(timezone.utc).replace(tzinfo=None))
     task = _watermark_of(task, store)
 
+    whole, source = source, _source_rows(source, task, as_of)
     inc = table_sync_clean(increment(source, task, as_of))
     unit_col = task.keys[0] if task.keys else task.id_field_name
     bucket = (bucket_expr(unit_col, source.schema[unit_col].dataType, task.partition_size)
               if unit_col and task.etl_type != 4 else F.lit(0).cast("long"))
     inc = inc.withColumn(BUCKET, bucket)
+    # a type 4 load replaces the rows, so it looks no key up; the target's types stay
+    inc = judged(inc, store, task.keys if task.etl_type != 4 else [])
     # one materialisation in the shared checkpoint folder: the increment feeds the load, the profile,
     # the watermark and the ledger, and the source may change while the run goes on
     inc = inc.checkpoint(eager=True)
     steps.done("extract")
-    good, bad = split_rejects(inc)
-    bad = bad.withColumn("reject_column", F.lit(unit_col))
-    if task.etl_type != 4:
-        unkeyed = unkeyed_rows(source, task).withColumn("reject_column", F.lit("key"))
-        bad = bad.unionByName(unkeyed, allowMissingColumns=True)
-    if store.version() and task.etl_type != 4:
-        # a value that does not fit the committed column's type rejects its row; it never becomes NULL
-        have = store.read().schema
-        retyped = T.StructType([f for f in have.fields if f.name in good.columns and good.schema[f.name].dataType != f.dataType])
-        if retyped.fields:
-            misfit = rejects(good, retyped)
-            bad = bad.unionByName(misfit, allowMissingColumns=True)
-            fits = F.lit(True)
-            for f in retyped.fields:
-                fits = fits & (F.col(f.name).isNull() | F.col(f.name).try_cast(f.dataType).isNotNull())
-            good = good.filter(fits)
+    good, bad = admitted(inc)
     # one pass over the increment for its counts, the next watermark and the touched units
     summary = _summary(inc, task).first()
     n = summary["n"]
     steps.done("summary")
-    n_bad = bad.count()
-    if reject_store is not None and n_bad:
-        _commit_rejects(reject_store, bad, as_of)
-    if n == 0:
-        version = None
-        if drift and store.version():
-            # columns added at the source reach the target even when no row comes (add-only)
-            version = store.commit(good.drop(BUCKET).limit(0), touched=[])
-        return RunResult(0, n_bad, [], version, store.watermark(), task.sync_field, steps.times)
+    n_bad = _keep_rejects(reject_store, bad, summary["n_bad"],
+                          None if reject_store is None else _unkeyed_source(whole, task), as_of)
+    steps.done("rejects")
     if task.etl_type == 4:
         watermark = {"last_id": None, "last_timestamp": str(as_of)}
     else:
         watermark = {"last_id": summary["last_id"],
                      "last_timestamp": None if summary["last_ts"] is None else str(summary["last_ts"])}
+    if n == 0:
+        version = None
+        if task.etl_type != 4 and summary["n_bad"]:
+            # nothing to load, but rejected rows: the watermark passes them, or a capped run would meet them for ever
+            version = store.commit(good.drop(BUCKET).limit(0), touched=[], watermark=watermark)
+        elif drift and store.version():
+            # columns added at the source reach the target even when no row comes (add-only)
+            version = store.commit(good.drop(BUCKET).limit(0), touched=[])
+        return RunResult(0, n_bad, [], version, store.watermark(), task.sync_field, steps.times)
     units = sorted(unit_key(u[SHARD], u[BUCKET]) for u in summary["units"])
     shards = sorted({u[SHARD] for u in summary["units"]})
 
@@ -217,8 +267,12 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
     load_version = store.version() + 1
     if ledger_store is not None and task.if_need_house_keeping == 1 and task.keys:
         # append-only: the entries of this load are one new folder (shard = load_version)
-        entries = ledger_pack(good.drop(BUCKET), task.keys, as_of, task.source_db, task.source_table,
-                              batch_size=task.batch_size, load_version=load_version, n_rows=n)
+        if bitmap_ledger:
+            entries = ledger_bitmap(good, task.keys[0], as_of, task.source_db, task.source_table,
+                                    batch_size=task.batch_size, load_version=load_version)
+        else:
+            entries = ledger_pack(good.drop(BUCKET), task.keys, as_of, task.source_db, task.source_table,
+                                  batch_size=task.batch_size, load_version=load_version, n_rows=n)
         pending["ledger"] = ledger_store.stage(entries.withColumn(SHARD, F.col("load_version")),
                                                cluster_by=["house_keeping_id"], bucket=_source_number())
         steps.done("ledger")
@@ -228,6 +282,8 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame, store: Tabl
         good = good.withColumn(audit_col, ts_literal(as_of))
     keep = [audit_col] if audit_col else []
     if task.etl_type == 4:
+        if load_version > 1:
+            good = align(good, evolve_schema(store.schema(), good.drop(BUCKET).schema).add(BUCKET, "long"))
         version = store.commit(good, watermark=watermark, replace_all=True, cluster_by=task.keys, extra=extra,
                                expected_version=load_version - 1)
     else:
@@ -273,30 +329,59 @@ def house_keeping(spark: SparkSession, task: SyncTask, source_store: TableStore,
     if target_store is not None:
         _publish_pending(target_store, None, ledger_store)
     full = ledger_store.read(LEDGER_SCHEMA, keep_unit=True)
+    as_sets = "cell" in full.columns
     ledger = ledger_purge(full, as_of)
     window = ledger_window(ledger, as_of, start_days, end_days, task.source_db, task.source_table)
-    deletable = expiry_gate(window, source_store.read(), task.keys, task.timestamp_field_name, as_of)
+    # only files that hold recent rows can block an entry
+    recent = source_store.read_where({task.timestamp_field_name: (recent_from(as_of), None)})
+    if as_sets:
+        deletable = expiry_gate_bitmap(window, recent, task.keys[0], task.timestamp_field_name, as_of)
+    else:
+        deletable = expiry_gate(window, recent, task.keys, task.timestamp_field_name, as_of)
     deletable = deletable.checkpoint(eager=True)
-    n_ids = ledger_id_count(deletable)
+    if as_sets:
+        n_ids = deletable.agg(F.coalesce(F.sum(set_size()), F.lit(0)).alias("n")).first()["n"]
+    else:
+        n_ids = ledger_id_count(deletable)
     purged_loads = full.join(ledger.select(*ENTRY), ENTRY, "left_anti").select(SHARD, BUCKET)
     marked_loads = deletable.select(SHARD, BUCKET)
     loads = sorted(unit_key(r[0], r[1]) for r in purged_loads.union(marked_loads).distinct().collect())  # one per load
     touched = []
     if n_ids:
         src = source_store.read(keep_unit=True)
-        listed = join_listed(src, ledger_keys(deletable, src, task.keys), task.keys, "left_semi", n_ids)
-        # the units holding a deleted key (one row per unit) are the only ones rewritten
-        touched = sorted(unit_key(r[SHARD], r[BUCKET]) for r in
-                         listed.select(SHARD, BUCKET).distinct().collect())
+        listed = None if as_sets else ledger_keys(deletable, src, task.keys)
+        sets = _key_sets(deletable, listed, src, task.keys, source_store)
+        touched = None if sets is None else units_with_keys(source_store, sets)
+        if touched is None:
+            # without key sets of the source's units: the units holding a deleted key (one row per unit)
+            held = _held(src, sets, task.keys[0]) if as_sets else join_listed(src, listed, task.keys, "left_semi", n_ids)
+            touched = sorted(unit_key(r[SHARD], r[BUCKET]) for r in held.select(SHARD, BUCKET).distinct().collect())
         if touched:                 # ids already gone (a retry after a crash) need no rewrite
-            kept = retention_delete(source_store.read(units=touched, keep_unit=True), deletable, task.keys,
-                                    ids_rows=n_ids)
+            rows = source_store.read(units=touched, keep_unit=True)
+            kept = (retention_delete_bitmap(rows, sets, task.keys[0], sets.count()) if sets is not None
+                    else retention_delete(rows, deletable, task.keys, ids_rows=n_ids))
             source_store.commit(kept, touched=touched, cluster_by=task.keys)
     if loads:
         # mark only after the delete is committed; rewrite only the loads that changed
         marked = ledger_mark(ledger.filter(F.concat_ws("/", SHARD, BUCKET).isin(loads)), deletable)
         ledger_store.commit(marked, touched=loads, cluster_by=["house_keeping_id"])
-    return {"entries": deletable.count(), "ids": n_ids, "shards": touched, "loads": loads}
+    return {"entries": deletable.select(*ENTRY).distinct().count(), "ids": n_ids, "shards": touched, "loads": loads}
+
+
+def _key_sets(deletable: DataFrame, listed: DataFrame | None, source: DataFrame, keys: list[str],
+              store: TableStore) -> DataFrame | None:
+    """The keys to delete as one set a cell: those of a ledger of sets, or of a list where the source keeps key sets
+    of the same column to compare with; None where there is nothing to gain."""
+    if listed is None:
+        return union_sets(deletable, []).checkpoint()
+    if len(keys) > 1 or (store.state().get("indexed") or {}).get("key") != keys[0]:
+        return None
+    return pack_keys(listed, [], "_key0").checkpoint()
+
+
+def _held(source: DataFrame, sets: DataFrame, key: str) -> DataFrame:
+    """Source rows whose key is in ``sets``."""
+    return source.join(sets, cell_of(F.col(key)) == sets["cell"]).filter(holds(F.col("bits"), F.col("spots"), spot_of(F.col(key))))
 
 
 def _sp_keys(task: dict) -> list[str]:
@@ -310,14 +395,18 @@ def _sp_keys(task: dict) -> list[str]:
 
 def run_procedure_task(spark: SparkSession, task: dict, source: DataFrame, store: TableStore, rules=(),
                        as_of: datetime | str | None = None, source_host: str | None = None,
-                       partition_size: int = 1_000_000_000) -> RunResult:
+                       partition_size: int = 1_000_000_000, reject_store: TableStore | None = None) -> RunResult:
     """Procedure sync (a TASK_SP_SCHEMA row): batch read by one or two ids or by rowversion, add
     provenance, apply the conversion rules, clean, upsert with ``inserttime`` and move the
-    watermark. Type 4 reads the whole table each run, without a cap."""
+    watermark. Type 4 reads the whole table each run, without a cap.
+
+    Rows with a NULL in the key, or with a value that does not fit its committed column, go to
+    ``reject_store`` and are counted, as in ``run_task``; so do rows that no batch can reach, with a NULL in
+    the columns of the watermark."""
     from ..functions.cleaning import procedure_sync_clean
     from ..functions.routing import route_expr
     from ..functions.rules import apply_rules, bytes_to_unsigned, ts_literal, with_provenance
-    from ..operators.extract import capped_with_ties
+    from ..operators.extract import capped_with_ties, not_null
     from ..schema import split_fields, validate_sp_task
 
     validate_sp_task(task)
@@ -345,13 +434,17 @@ def run_procedure_task(spark: SparkSession, task: dict, source: DataFrame, store
     pk = split_fields(task.get("pk_field")) or keys
     rows = rows.withColumns({SHARD: route_expr(pk[0], partition_size, rows.schema[pk[0]].dataType),
                              BUCKET: bucket_expr(pk[0], rows.schema[pk[0]].dataType, partition_size)})
-    rows = rows.checkpoint(eager=True)
+    rows = judged(rows, store, pk).checkpoint(eager=True)
+    rows, bad = admitted(inc := rows)
 
     last_key = F.max(F.struct(*[F.col(k) for k in keys]))
-    summ = rows.agg(F.count(F.lit(1)).alias("n"), last_key.alias("last"),
-                    F.collect_set(F.struct(F.col(SHARD), F.col(BUCKET))).alias("units")).first()
-    if summ["n"] == 0:
-        return RunResult(0, 0, [], None, store.watermark())
+    ok = F.col(REJECT).isNull()
+    summ = inc.agg(F.count_if(ok).alias("n"), F.count_if(~ok).alias("n_bad"), last_key.alias("last"),
+                   F.collect_set(F.when(ok, F.struct(F.col(SHARD), F.col(BUCKET)))).alias("units")).first()
+    unkeyed = None if etl_type == 4 else src.filter(~not_null(keys)).drop("_rowversion")
+    n_bad = _keep_rejects(reject_store, bad.drop("_rowversion"), summ["n_bad"], unkeyed, as_of)
+    if summ["n"] + summ["n_bad"] == 0:
+        return RunResult(0, n_bad, [], None, store.watermark())
     if etl_type == 2:
         new_wm = {"last_rowversion": str(summ["last"][0])}
     elif etl_type == 4:
@@ -368,4 +461,4 @@ def run_procedure_task(spark: SparkSession, task: dict, source: DataFrame, store
         # every column is set on a key match, the key included
         new_part = upsert(old, rows, [SHARD, BUCKET, *pk], order=keys, changes_rows=summ["n"])
     version = store.commit(new_part.drop("_rowversion"), watermark=new_wm, touched=units, cluster_by=pk)
-    return RunResult(summ["n"], 0, shards, version, new_wm)
+    return RunResult(summ["n"], n_bad, shards, version, new_wm)

@@ -29,9 +29,10 @@ def sync_batch(batch: DataFrame, epoch_id: int, store: TableStore, keys: list[st
                source_db: str = "", source_table: str = "", reject_store: TableStore | None = None) -> None:
     """Load one micro-batch into ``store`` (idempotent per stream ``query_id`` and ``epoch_id``: every
     stream counts its epochs from 0); with ``log_store`` also widen the shard log, staged before and
-    published after the data commit (as a run does). Rows without an id go to ``reject_store``."""
+    published after the data commit (as a run does). Rows with a NULL key, or with a value that does not fit
+    its committed column, go to ``reject_store``; ``rejected_rows`` counts them, with or without one."""
     from ..operators.profile import shard_log_rows, shard_profile
-    from ..plans.run import _commit_rejects, _publish_pending
+    from ..plans.run import _commit_rejects, _publish_pending, admitted, judged
     _publish_pending(store, log_store, None)
     st = store.state()
     epochs = st.get("extra", {}).get("epochs", {})
@@ -41,13 +42,13 @@ def sync_batch(batch: DataFrame, epoch_id: int, store: TableStore, keys: list[st
     dtype = batch.schema[id_col].dataType
     rows = table_sync_clean(batch.withColumns({SHARD: route_expr(id_col, partition_size, dtype),
                                                BUCKET: bucket_expr(id_col, dtype, partition_size)}))
-    rows = rows.checkpoint()                    # read several times below
-    bad = rows.filter(F.col(SHARD).isNull())
-    if reject_store is not None and not bad.isEmpty():
-        _commit_rejects(reject_store, bad.withColumn("reject_column", F.lit(id_col)), now)
-    rows = rows.filter(F.col(SHARD).isNotNull())
+    # read several times below; a replayed batch meets the committed types it met the first time
+    rows, bad = admitted(judged(rows, store, [*keys, id_col]).checkpoint())
+    n_bad = bad.count()
+    if reject_store is not None and n_bad:
+        _commit_rejects(reject_store, bad, now)
     units = sorted(unit_key(r[0], r[1]) for r in rows.select(SHARD, BUCKET).distinct().collect())  # per unit
-    if not units:
+    if not units and not n_bad:
         return
     if st["version"] == 0:
         new_part = latest_per_key(rows, [SHARD, BUCKET, *keys], order) if keys else rows
@@ -59,11 +60,17 @@ def sync_batch(batch: DataFrame, epoch_id: int, store: TableStore, keys: list[st
         prof = shard_profile(rows.drop(BUCKET), id_col, ts_col)
         log_rows = shard_log_rows(prof, table_name, source_db, source_table, id_col, ts_col, None, list(batch.columns), now)
         pending["log"] = log_store.stage(log_rows.withColumn(SHARD, F.lit(0).cast("long")), small=True)
-    store.commit(new_part, touched=units, extra={**st.get("extra", {}), "epochs": {**epochs, query_id: epoch_id},
-                                                 "pending": pending})
+    extra = st.get("extra", {})
+    store.commit(new_part, touched=units, extra={**extra, "epochs": {**epochs, query_id: epoch_id}, "pending": pending,
+                                                 "rejected": extra.get("rejected", 0) + n_bad})
     _publish_pending(store, log_store, None)
 
 
+def rejected_rows(store: TableStore) -> int:
+    """Rows that the streams into ``store`` did not load."""
+    return store.state().get("extra", {}).get("rejected", 0)
+
+
 def stream_sync(spark: SparkSession, source_path: str, schema: T.StructType, store: TableStore,
                 checkpoint_location: str, keys: list[str], id_col: str, partition_size: int,
                 order: list[str] | None = None, max_files_per_trigger: int = 1, fmt: str = "parquet",
