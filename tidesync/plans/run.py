@@ -442,7 +442,7 @@ def run_procedure_task(spark: SparkSession, task: dict, source: DataFrame, store
     summ = inc.agg(F.count_if(ok).alias("n"), F.count_if(~ok).alias("n_bad"), last_key.alias("last"),
                    F.collect_set(F.when(ok, F.struct(F.col(SHARD), F.col(BUCKET)))).alias("units")).first()
     unkeyed = None if etl_type == 4 else src.filter(~not_null(keys)).drop("_rowversion")
-    n_bad = _keep_rejects(reject_store, bad.drop("_rowversion"), summ["n_bad"], unkeyed, as_of)
+    n_bad = _keep_rejects(reject_store, bad.drop("_rowversion", "inserttime"), summ["n_bad"], unkeyed, as_of)
     if summ["n"] + summ["n_bad"] == 0:
         return RunResult(0, n_bad, [], None, store.watermark())
     if etl_type == 2:
