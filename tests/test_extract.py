@@ -187,3 +187,35 @@ def test_capped_extract_decimal_key(spark):
     for cap in (97, 250):
         got = X.capped_extract(df, ["amount", "id"], cap, topk_limit=5, buckets=6)
         assert sorted(_rows(got, "amount", "id")) == sorted(_rows(df.orderBy("amount", "id").limit(cap), "amount", "id"))
+
+
+def test_rowversion_bounds_reach_the_scan_and_keep_the_order(spark, scratch):
+    """Unsigned 64-bit values over the whole range, the highest bit set in half of them."""
+    import random
+
+    from tidesync.operators.extract import capped_extract, capped_with_ties, extract_by_rowversion, rowversion_bytes
+    rng = random.Random(4)
+    values = sorted({0, 1, (1 << 63) - 1, 1 << 63, (1 << 64) - 1, *(rng.getrandbits(64) for _ in range(3000)), *range(1 << 40, (1 << 40) + 500)})
+    path = scratch("rv")
+    df = spark.createDataFrame([(i, bytearray(rowversion_bytes(v))) for i, v in enumerate(values)], "i int, rv binary")
+    df.repartitionByRange(6, "rv").sortWithinPartitions("rv").write.parquet(path)
+    rows = spark.read.parquet(path)
+    for cap in (1, 700, 1750, len(values) - 1, len(values) + 5):
+        got = capped_extract(rows, ["rv"], cap, [rowversion_bytes(0)], topk_limit=50, buckets=16)
+        assert sorted(r["i"] for r in got.collect()) == list(range(1, min(cap, len(values) - 1) + 1))
+        assert capped_with_ties(rows, ["rv"], cap, topk_limit=50, buckets=16).count() == min(cap, len(values))
+    after = extract_by_rowversion(rows, "rv", 1 << 63)
+    assert [int(r["rowversion"]) for r in after.collect()] == [v for v in values if v > 1 << 63]
+    plan = after._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(rv" in plan and "GreaterThan(rv" in plan
+    search = capped_extract(rows, ["rv"], 1000, [rowversion_bytes(0)], topk_limit=50, buckets=16)._jdf.queryExecution().toString()
+    assert "LessThan(rv" in search
+
+
+def test_cap_over_the_whole_range_of_long_keys(spark):
+    from tidesync.operators.extract import capped_extract
+    import random
+    rng = random.Random(8)
+    ks = sorted({-(1 << 63), (1 << 63) - 1, *(rng.randrange(-(1 << 63), 1 << 63) for _ in range(2000))})
+    df = spark.createDataFrame([(k,) for k in ks], "k long")
+    assert sorted(r["k"] for r in capped_extract(df, ["k"], 777, topk_limit=20, buckets=16).collect()) == ks[:777]

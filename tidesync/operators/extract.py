@@ -7,7 +7,6 @@ A keyset is an ordered list of key columns; a watermark is the tuple of the last
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 from decimal import Decimal
@@ -121,9 +120,11 @@ def extract_by_two_ids(df: DataFrame, main_id: str, sub_id: str, last_main, last
 
 def extract_by_rowversion(df: DataFrame, rv_col: str, last_rv: int, batch_size: int | None = None,
                           out_col: str = "rowversion") -> DataFrame:
-    """Procedure type 2 (B7): 8-byte big-endian rowversion read as unsigned decimal(20,0)."""
-    dec = df.withColumn(out_col, bytes_to_unsigned(rv_col))
-    return extract_batch(dec, [out_col], [int(last_rv)], batch_size)
+    """Procedure type 2 (B7): rows after an 8-byte big-endian rowversion, with its value as unsigned
+    decimal(20,0) (C6). 8 bytes compare as the numbers they stand for, so the bound is a binary literal on the
+    stored column and reaches the scan."""
+    rows = extract_batch(df, [rv_col], [rowversion_bytes(last_rv)], batch_size)
+    return rows.withColumn(out_col, bytes_to_unsigned(rv_col))
 
 
 def project_sync_fields(df: DataFrame, sync_field: str) -> DataFrame:
@@ -156,12 +157,27 @@ def _ordinal(c: Column, dtype: T.DataType, offset: int = 0) -> Column | None:
     return None
 
 
+EIGHT = "8 bytes"              # stands for the type of a binary key whose values all have 8 bytes
+
+
+def _ordinal_of_eight(c: Column) -> Column:
+    """Order-preserving long of 8 big-endian bytes read as unsigned: their bits, the highest one flipped."""
+    return F.conv(F.hex(c), 16, -10).cast("long").bitwiseXOR(F.lit(-1 << 63))
+
+
+def rowversion_bytes(value: int) -> bytes:
+    """The 8 bytes of an unsigned number; they compare as the numbers do."""
+    return int(value).to_bytes(8, "big")
+
+
 def _is_prefix_ordinal(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.StringType, T.BinaryType))
 
 
 def _from_ordinal(v: int, dtype: T.DataType) -> Column:
     """Literal of the key's own type for an ordinal bound, so the filter reaches the scan."""
+    if dtype == EIGHT:
+        return F.lit(rowversion_bytes(v + (1 << 63)))
     if isinstance(dtype, T.TimestampNTZType):
         return ts_literal(datetime(1970, 1, 1) + timedelta(microseconds=v))
     if isinstance(dtype, T.TimestampType):
@@ -221,16 +237,23 @@ def _search(base: DataFrame, keys: list[str], cap: int, topk_limit: int, buckets
     tail = None
     while True:
         k = keys[level]
-        ordv = _ordinal(F.col(k), types[k], offset)
+        ordv = _ordinal_of_eight(F.col(k)) if types[k] == EIGHT else _ordinal(F.col(k), types[k], offset)
         if ordv is None:              # a later key without an ordinal: finish with a rank cut
             tail = _capped_by_rank(base.filter(scope), keys[level:], remaining, keys)
             break
         prefix = _is_prefix_ordinal(types[k])
         stats = [F.count(F.lit(1)).alias("n"), F.min(ordv).alias("lo"), F.max(ordv).alias("hi")]
         if prefix:
-            stats.append(F.max(F.length(F.col(k).cast("binary"))).alias("len"))
+            size = F.length(F.col(k).cast("binary"))
+            stats.append(F.max(size).alias("len"))
+        fixed = isinstance(types[k], T.BinaryType) and offset == 0
+        if fixed:                     # rowversions: searched as numbers, so that bounds are literals that reach the scan
+            eight = F.when(size == 8, _ordinal_of_eight(F.col(k)))
+            stats += [F.min(size).alias("least_len"), F.min(eight).alias("lo8"), F.max(eight).alias("hi8")]
         st = base.filter(scope).agg(*stats).first()
         n, lo, hi = st["n"], st["lo"], st["hi"]
+        if fixed and st["least_len"] == st["len"] == 8:
+            types[k], prefix, ordv, lo, hi = EIGHT, False, _ordinal_of_eight(F.col(k)), st["lo8"], st["hi8"]
         if n <= remaining:            # only ever at the start: a range narrowed to holds more than is left
             taken.append(scope)
             whole = True
@@ -252,9 +275,15 @@ def _search(base: DataFrame, keys: list[str], cap: int, topk_limit: int, buckets
                 tail = base.filter(scope).limit(remaining)
                 break
             continue
-        width = max(1, math.ceil((hi - lo + 1) / buckets))
-        # exact integral division (a double division misplaces rows at bucket edges above 2^53)
-        b = F.call_function("div", ordv - F.lit(lo), F.lit(int(width)))
+        span = hi - lo + 1
+        if span >= 1 << 62:           # a difference would overflow: buckets by the leading bits
+            shift = (span // buckets).bit_length()
+            width, first = 1 << shift, lo >> shift << shift
+            b = F.shiftright(ordv, shift) - F.lit(lo >> shift)
+        else:
+            # exact integral division (a double division misplaces rows at bucket edges above 2^53)
+            width, first = max(1, -(-span // buckets)), lo
+            b = F.call_function("div", ordv - F.lit(lo), F.lit(int(width)))
         hist = sorted((r["b"], r["n"]) for r in
                       base.filter(scope).groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect())
         before = 0
@@ -264,8 +293,7 @@ def _search(base: DataFrame, keys: list[str], cap: int, topk_limit: int, buckets
                 cross = bucket
                 break
             before += cnt
-        lower = lo + cross * width
-        upper = lower + width
+        lower, upper = max(lo, first + cross * width), first + (cross + 1) * width
         if prefix:                    # bounds on the ordinal itself (text keys: no literal bound)
             below = ordv < F.lit(lower)
             inside = (ordv >= F.lit(lower)) & (ordv < F.lit(upper))

@@ -15,12 +15,13 @@ from pyspark.sql import types as T
 from ..functions import bitmaps as B
 from ..functions.cleaning import digits_to_int, nested_to_json, null_normalise, null_tokens
 from ..functions.routing import with_partition_num
-from ..functions.rules import apply_rules, bit_expr, ts_literal, with_audit, with_provenance
+from ..functions.rules import apply_rules, bit_expr, bytes_to_unsigned, ts_literal, with_audit, with_provenance
 from ..operators import extract as X
 from ..operators import load as L
 from ..operators import profile as P
 from ..operators import retention as R
 from ..operators import schema_ops as S
+from ..session import scratch_path
 from ..sources.tables import read_query, read_table
 from . import derived as D
 
@@ -139,6 +140,20 @@ def q_extract_by_rowversion(spark, sf):
     return X.extract_by_rowversion(ev, "rv", 4000, 1000).drop("rv")
 
 
+@register("capped_rowversion", """
+SELECT event_id, CAST(event_id AS DECIMAL(20,0)) AS rowversion FROM (
+  SELECT event_id, row_number() OVER (ORDER BY event_id) AS rn FROM events WHERE event_id > 400)
+WHERE rn <= (SELECT ceil(count(*) / 3) FROM events)""")
+def q_capped_rowversion(spark, sf):
+    """The run cap on a stored rowversion column: searched as unsigned numbers, filtered by binary literals."""
+    path = scratch_path(spark, "rowversions")
+    ev = D.events_rowversion(_t(spark, sf, "events")).select("event_id", "rv")
+    ev.repartitionByRange(4, "rv").sortWithinPartitions("rv").write.parquet(path)
+    rows = spark.read.parquet(path)
+    cut = X.capped_extract(rows, ["rv"], -(-rows.count() // 3), [X.rowversion_bytes(400)], topk_limit=100, buckets=64)
+    return cut.select("event_id", bytes_to_unsigned("rv").alias("rowversion"))
+
+
 _LI_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 _LI_SQL_WM = ("(l_orderkey > 3000 OR (l_orderkey = 3000 AND (l_linenumber > 2 OR (l_linenumber = 2 AND "
               "(l_partkey > 0 OR (l_partkey = 0 AND l_suppkey > 0))))))")

@@ -386,7 +386,7 @@ def _held(source: DataFrame, sets: DataFrame, key: str) -> DataFrame:
 
 def _sp_keys(task: dict) -> list[str]:
     if task["etl_type"] == 2:
-        return ["_rowversion"]
+        return [task["timestamp_field_name"]]
     keys = [task["id_field_name_1"]]
     if task.get("arg_counts") == 3:
         keys.append(task["id_field_name_2"])
@@ -406,7 +406,7 @@ def run_procedure_task(spark: SparkSession, task: dict, source: DataFrame, store
     from ..functions.cleaning import procedure_sync_clean
     from ..functions.routing import route_expr
     from ..functions.rules import apply_rules, bytes_to_unsigned, ts_literal, with_provenance
-    from ..operators.extract import capped_with_ties, not_null
+    from ..operators.extract import capped_with_ties, not_null, rowversion_bytes
     from ..schema import split_fields, validate_sp_task
 
     validate_sp_task(task)
@@ -416,18 +416,19 @@ def run_procedure_task(spark: SparkSession, task: dict, source: DataFrame, store
     keys = _sp_keys(task)
     wm = store.watermark() if etl_type != 4 else {}
     if etl_type == 2:
-        src = source.withColumn("_rowversion", bytes_to_unsigned(task["timestamp_field_name"]))
+        # 8 bytes compare as the numbers: the stored column is searched and filtered, bounds reach the scan
         last = wm.get("last_rowversion", task.get("last_timestamp_sync_record"))
-        watermark = None if last in (None, 0) and store.version() == 0 else [int(last or 0)]
+        watermark = None if last in (None, 0) and store.version() == 0 else [rowversion_bytes(int(last or 0))]
     else:
-        src = source
         last = [wm.get("last_id_1", task.get("last_id_sync_record_1")),
                 wm.get("last_id_2", task.get("last_id_sync_record_2"))][:len(keys)]
         fresh = store.version() == 0 and all(v in (None, 0) for v in last)
         watermark = None if fresh or etl_type == 4 and all(v in (None, 0) for v in last) else \
             [0 if v is None else v for v in last]
     cap = int(task["batch_size"]) * int(task["max_loop_count"])
-    rows = src if etl_type == 4 else capped_with_ties(src, keys, cap, watermark)
+    rows = source if etl_type == 4 else capped_with_ties(source, keys, cap, watermark)
+    if etl_type == 2:           # the rules may convert the column itself: the order and the watermark keep a copy
+        rows, keys = rows.withColumn("_rowversion", bytes_to_unsigned(keys[0])), ["_rowversion"]
     rows = with_provenance(rows, source_host or task.get("source") or "", task["source_db"])
     rows = apply_rules(rows, rules, task["target_db"], task["target_table"])
     rows = procedure_sync_clean(rows).withColumn("inserttime", ts_literal(as_of))
@@ -441,7 +442,7 @@ def run_procedure_task(spark: SparkSession, task: dict, source: DataFrame, store
     ok = F.col(REJECT).isNull()
     summ = inc.agg(F.count_if(ok).alias("n"), F.count_if(~ok).alias("n_bad"), last_key.alias("last"),
                    F.collect_set(F.when(ok, F.struct(F.col(SHARD), F.col(BUCKET)))).alias("units")).first()
-    unkeyed = None if etl_type == 4 else src.filter(~not_null(keys)).drop("_rowversion")
+    unkeyed = None if etl_type == 4 else source.filter(~not_null(_sp_keys(task)))
     n_bad = _keep_rejects(reject_store, bad.drop("_rowversion", "inserttime"), summ["n_bad"], unkeyed, as_of)
     if summ["n"] + summ["n_bad"] == 0:
         return RunResult(0, n_bad, [], None, store.watermark())
