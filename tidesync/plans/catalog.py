@@ -22,6 +22,7 @@ from ..operators import profile as P
 from ..operators import retention as R
 from ..operators import schema_ops as S
 from ..session import scratch_path
+from ..sources.bucketed import BucketedTarget
 from ..sources.tables import read_query, read_table
 from . import derived as D
 
@@ -359,7 +360,7 @@ def q_upsert_audit(spark, sf):
 _ORD_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
 
 
-@register("upsert_orders", f"""
+_UPSERT_SQL = f"""
 WITH t AS ({_UPSERT_T}),
 c AS (SELECT {_ORD_COLS.replace('o_totalprice', 'o_totalprice + 1 AS o_totalprice')}, 1 AS seq FROM orders
       WHERE o_orderdate >= TIMESTAMP '{D.CHANGES_FROM}'
@@ -369,7 +370,10 @@ c AS (SELECT {_ORD_COLS.replace('o_totalprice', 'o_totalprice + 1 AS o_totalpric
 last AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY seq DESC) = 1)
 SELECT {_ORD_COLS}, o_orderkey // 1000 + 1 AS partition_num FROM t WHERE o_orderkey NOT IN (SELECT o_orderkey FROM last)
 UNION ALL
-SELECT {_ORD_COLS}, o_orderkey // 1000 + 1 AS partition_num FROM last""")
+SELECT {_ORD_COLS}, o_orderkey // 1000 + 1 AS partition_num FROM last"""
+
+
+@register("upsert_orders", _UPSERT_SQL)
 def q_upsert_orders(spark, sf):
     """Upsert with two versions of recent keys in one increment; the later version wins."""
     o = _t(spark, sf, "orders")
@@ -379,6 +383,17 @@ def q_upsert_orders(spark, sf):
     return out.drop("_seq")
 
 
+@register("upsert_bucketed", _UPSERT_SQL)
+def q_upsert_bucketed(spark, sf):
+    """The same upsert into a target kept in buckets of its key: no target row is shuffled."""
+    o = _t(spark, sf, "orders")
+    target = BucketedTarget(spark, scratch_path(spark, "bucketed"), ["partition_num", "o_orderkey"], 8)
+    target.load(with_partition_num(D.upsert_target(o), "o_orderkey", 1000))
+    changes = with_partition_num(D.upsert_changes(o), "o_orderkey", 1000)
+    target.load(target.upserted(changes, order=["_seq"], unique_order=True).drop("_seq"))
+    return target.read()
+
+
 # ------------------------------------------------------------------ D. schema
 
 @register("duplicate_keys", """
