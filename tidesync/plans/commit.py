@@ -18,6 +18,7 @@ died are never read by the retry that takes the same version (``vacuum`` removes
 from __future__ import annotations
 
 import json
+import math
 import uuid
 from collections.abc import Iterable, Mapping
 from contextlib import contextmanager
@@ -32,6 +33,8 @@ MIN_BUCKET_SPAN = 1_000_000
 BUCKETS_PER_SHARD = 64
 
 
+# Deltas of a size that are merged into one, and the share of a unit's rows from which they are written into it.
+FAN_IN = 4
 # Least bytes of a writing task: a file's cost counts more than its bytes where units are many and small.
 SMALLEST_TASK = "64k"
 
@@ -168,28 +171,55 @@ class TableStore:
             wanted = {str(s) for s in shards}
             pick = {u for u in pick if u.split("/", 1)[0] in wanted}
         want = T.StructType.fromJson(json.loads(st["schema"])) if st.get("schema") else schema
-        if not pick:
-            if want is None:
-                raise ValueError(f"{self.root}: empty table and no schema given")
-            empty = self.spark.createDataFrame([], want)
-            return empty.withColumn(BUCKET, F.lit(None).cast("long")) if keep_unit else empty
-        return self.read_paths(self._folders(st, pick), want, keep_unit)
-
-    def _folders(self, st: dict, pick: set[str]) -> list[str]:
-        """Folders of the units; an attempt's own folder where all its units are read."""
+        if not pick and want is None:
+            raise ValueError(f"{self.root}: empty table and no schema given")
+        changed = {u for u in pick if u in st.get("deltas", {})}
+        plain = self.read_paths(self._folders(st, [(u, committed[u]) for u in pick - changed]), want, keep_unit)
+        if not changed:
+            return plain
+        merged = self._merged(st, changed, want)
+        merged = merged if keep_unit else merged.drop(BUCKET)
+        return merged if changed == pick else plain.unionByName(merged)
+
+    def _merged(self, st: dict, units: set[str], want: T.StructType) -> DataFrame:
+        """Rows of units with deltas: the last version of a key, the kept columns as first written. The base rows are
+        read through an anti-join, as in an upsert; only the deltas are aggregated."""
+        from ..operators.load import upsert
+        by = st["delta_by"]
+        base = self.read_paths(self._folders(st, [(u, st["units"][u]) for u in units]), want, True)
+        changes = self._delta_rows(st, {u: st["deltas"][u] for u in units}, want)
+        return upsert(base, changes, [SHARD, BUCKET, *by["keys"]], keep=by["keep"], dedupe=False).select(*base.columns)
+
+    def _delta_rows(self, st: dict, deltas: Mapping[str, list[str]], want: T.StructType) -> DataFrame:
+        """One row per key of the given deltas: its last version, the kept columns of its first one."""
+        by = st["delta_by"]
+        rows = self.read_paths(self._folders(st, [(u, t) for u, tags in deltas.items() for t in tags]), want, True, keep_version=True)
+        keys = [SHARD, BUCKET, *by["keys"]]
+        kept = [c for c in by["keep"] if c in rows.columns]
+        values = [c for c in rows.columns if c not in (*keys, *kept, "ver")]
+        at = F.split("ver", "-")[0].cast("long")
+        aggs = [F.max_by(F.struct(*values), at).alias("_last"), *([F.min_by(F.struct(*kept), at).alias("_first")] if kept else [])]
+        last = rows.groupBy(*keys).agg(*aggs)
+        return last.select(*[F.col(c) if c in keys else F.col("_first" if c in kept else "_last")[c].alias(c)
+                             for c in rows.columns if c != "ver"])
+
+    def _folders(self, st: dict, pairs: Iterable[tuple[str, str]]) -> list[str]:
+        """Folders of (unit, attempt) pairs; an attempt's own folder where all its units are read."""
         by_tag: dict[str, list[str]] = {}
-        for u in sorted(pick):
-            by_tag.setdefault(st["units"][u], []).append(u)
+        for u, tag in sorted(pairs):
+            by_tag.setdefault(tag, []).append(u)
         whole = st.get("tags", {})
         return [path for tag, units in by_tag.items() for path in
-                ([f"{self.root}/ver={tag}"] if whole.get(tag) == len(units) else [self.unit_path(u, tag) for u in units])]
+                ([f"{self.root}/ver={tag}"] if whole.get(tag, {}).get("units") == len(units) else [self.unit_path(u, tag) for u in units])]
 
     def unit_path(self, unit: str, tag: str) -> str:
         p, b = unit.split("/", 1)
         return f"{self.root}/ver={tag}/{SHARD}={p}/{BUCKET}={b}"
 
-    def read_paths(self, paths: list[str], want: T.StructType | None, keep_unit: bool = False) -> DataFrame:
-        """Rows of files or folders of this table under the schema ``want`` (the committed one)."""
+    def read_paths(self, paths: list[str], want: T.StructType | None, keep_unit: bool = False,
+                   keep_version: bool = False) -> DataFrame:
+        """Rows of files or folders of this table under the schema ``want`` (the committed one);
+        ``keep_version`` keeps the attempt's tag as ``ver``."""
         if not paths:
             empty = self.spark.createDataFrame([], want)
             return empty.withColumn(BUCKET, F.lit(None).cast("long")) if keep_unit else empty
@@ -199,7 +229,9 @@ class TableStore:
             have_cols = {f.name for f in want.fields}
             extra = [T.StructField(c, T.LongType()) for c in (SHARD, BUCKET) if c not in have_cols]
             reader = reader.schema(T.StructType(list(want.fields) + extra + [T.StructField("ver", T.StringType())]))
-        df = reader.parquet(*paths).drop("ver")
+        df = reader.parquet(*paths)
+        if not keep_version:
+            df = df.drop("ver")
         if want is not None:
             have = {f.name: f.dataType for f in df.schema.fields}
 
@@ -209,16 +241,19 @@ class TableStore:
                 if have[f.name].simpleString() == f.dataType.simpleString():
                     return F.col(f.name)      # same type (nullability may differ after a round trip)
                 return F.col(f.name).cast(f.dataType).alias(f.name)
-            df = df.select(*[col(f) for f in want.fields], BUCKET)
+            df = df.select(*[col(f) for f in want.fields], BUCKET, *(["ver"] if keep_version else []))
         return df if keep_unit else df.drop(BUCKET)
 
     def read_where(self, ranges: Mapping, keep_unit: bool = False) -> DataFrame:
         """The committed rows without the files whose zones show that they hold no row within ``ranges``
-        (column -> (least, greatest), None for open ends). Files of commits without zones are read. The
-        caller still filters."""
+        (column -> (least, greatest), None for open ends). Files of commits without zones are read, and so
+        are units with deltas, where a file alone does not show a row's last version. The caller still
+        filters."""
         from .zones import matching_files
         st = self.state()
-        return self.read_paths(matching_files(self, st, ranges), T.StructType.fromJson(json.loads(st["schema"])), keep_unit)
+        found = self.read_paths(matching_files(self, st, ranges), self.schema(), keep_unit)
+        changed = list(st.get("deltas", {}))
+        return found.unionByName(self.read(units=changed, keep_unit=keep_unit)) if changed else found
 
     # ------------------------------------------------------------------ write
     def stage(self, df: DataFrame, cluster_by: list[str] | None = None, small: bool = False,
@@ -242,7 +277,7 @@ class TableStore:
         # the write itself reports its units (one entry a unit): no folder is listed for them
         seen = Observation()
         out = (out.sortWithinPartitions(SHARD, BUCKET, *cluster).withColumn("ver", F.lit(tag))
-               .observe(seen, F.collect_set(F.struct(SHARD, BUCKET)).alias("units")))
+               .observe(seen, F.collect_set(F.struct(SHARD, BUCKET)).alias("units"), F.count(F.lit(1)).alias("rows")))
         with _setting(self.spark, "spark.sql.adaptive.coalescePartitions.minPartitionSize", SMALLEST_TASK):
             out.write.mode("append").partitionBy("ver", SHARD, BUCKET).parquet(self.root)
         written = sorted(unit_key(u[SHARD], u[BUCKET]) for u in seen.get["units"])
@@ -250,15 +285,18 @@ class TableStore:
         if indexed and written:
             from .zones import write_index
             write_index(self, tag, indexed)
-        return {"tag": tag, "written": written, "schema": df.select(*data_cols).schema.json(), "indexed": indexed}
+        return {"tag": tag, "written": written, "rows": seen.get["rows"], "schema": df.select(*data_cols).schema.json(),
+                "indexed": indexed}
 
     def publish(self, staged: Mapping, watermark: Mapping | None = None, touched: Iterable[str] | None = None,
                 replace_all: bool = False, extra: Mapping | None = None,
-                expected_version: int | None = None) -> int:
+                expected_version: int | None = None, delta: Mapping | None = None) -> int:
         """Make a staged write the table's content: one new state file (atomic).
 
         ``touched`` lists unit keys ("P/B") whose content the staged rows replace (listed units left
-        empty are dropped); ``replace_all`` drops every unit absent from the staged rows.
+        empty are dropped); ``replace_all`` drops every unit absent from the staged rows. With ``delta``
+        ({"keys", "keep", "merges"}) the staged rows change units instead: they are read over what the units
+        hold, and take the place of the deltas that "merges" lists per unit.
         """
         st = self.state()
         base = st["version"] if expected_version is None else expected_version
@@ -266,15 +304,27 @@ class TableStore:
             raise CommitConflict(f"expected version {base}, found {st['version']}")
         new_v = base + 1
         units = {} if replace_all else dict(st["units"])
+        deltas = {} if replace_all else {u: list(tags) for u, tags in st.get("deltas", {}).items()}
         for u in touched or ():
             units.pop(str(u), None)         # replaced; re-added below when it still has rows
+            deltas.pop(str(u), None)
+        merges = (delta or {}).get("merges", {})
+        for u, gone in merges.items():
+            deltas[u] = [t for t in deltas[u] if t not in gone]
         for u in staged["written"]:
-            units[u] = staged["tag"]
-        live = set(units.values())
-        tags = {t: n for t, n in {**st.get("tags", {}), staged["tag"]: len(staged["written"])}.items() if t in live}
+            if delta is not None and u in units:
+                deltas.setdefault(u, []).append(staged["tag"])
+            else:
+                units[u] = staged["tag"]
+                deltas.pop(u, None)
+        deltas = {u: tags for u, tags in deltas.items() if tags}
+        live = set(units.values()) | {t for tags in deltas.values() for t in tags}
+        written = {"units": len(staged["written"]), "rows": staged["rows"]}
+        tags = {t: n for t, n in {**st.get("tags", {}), staged["tag"]: written}.items() if t in live}
         with_index = set(st.get("with_index", [])) | ({staged["tag"]} if staged.get("indexed") else set())
-        new_state = {"version": new_v, "units": units, "tags": tags, "indexed": staged.get("indexed"),
-                     "with_index": sorted(with_index & live),
+        by = st.get("delta_by") if delta is None else {"keys": list(delta["keys"]), "keep": list(delta["keep"])}
+        new_state = {"version": new_v, "units": units, "deltas": deltas, "delta_by": by, "tags": tags,
+                     "indexed": staged.get("indexed"), "with_index": sorted(with_index & live),
                      "watermark": dict(watermark if watermark is not None else st.get("watermark") or {}),
                      "schema": self._evolved(st, T.StructType.fromJson(json.loads(staged["schema"]))).json(),
                      "extra": dict(extra if extra is not None else st.get("extra") or {})}
@@ -291,6 +341,40 @@ class TableStore:
         return self.publish(staged, watermark=watermark, touched=touched, replace_all=replace_all, extra=extra,
                             expected_version=expected_version)
 
+    def commit_delta(self, changes: DataFrame, keys: list[str], keep: Iterable[str] = (), watermark: Mapping | None = None,
+                     extra: Mapping | None = None, expected_version: int | None = None) -> int:
+        """Write only ``changes`` (one row per key and unit, all committed columns, ``bucket`` included): readers put
+        them over the rows of their units by the last version. ``keep`` columns stay as first written."""
+        missing = [f.name for f in (self.schema() or T.StructType()).fields if f.name not in changes.columns]
+        if missing:
+            raise ValueError(f"a delta needs all committed columns, not only without {missing}")
+        staged = self.stage(changes, cluster_by=list(keys))
+        return self.publish(staged, watermark, extra=extra, expected_version=expected_version, delta={"keys": keys, "keep": list(keep)})
+
+    def fold_deltas(self, fan_in: int = FAN_IN) -> dict:
+        """Merge deltas by size tiers. A unit whose newest ``fan_in`` deltas have rows of the same power of
+        ``fan_in`` gets one delta for them; where that would have a ``fan_in``-th of the rows of its base, or where
+        ``fan_in ** 2`` deltas of mixed sizes have come together, the unit is rewritten. So a row is written again
+        once a tier, not once a run. Rows of a unit are taken as its attempt's mean."""
+        st = self.state()
+        size = lambda t: st["tags"][t]["rows"] / st["tags"][t]["units"]
+        tier = lambda t: int(math.log(max(size(t), 1), fan_in))
+        rewrite, merges = [], {}
+        for u, tags in st.get("deltas", {}).items():
+            newest = tags[-fan_in:]
+            alike = len(newest) == fan_in and len({tier(t) for t in newest}) == 1
+            if len(tags) >= fan_in * fan_in or alike and sum(map(size, newest)) * fan_in >= size(st["units"][u]):
+                rewrite.append(u)
+            elif alike:
+                merges[u] = newest
+        by, want = st.get("delta_by"), self.schema()
+        if merges:
+            staged = self.stage(self._delta_rows(st, merges, want), cluster_by=by["keys"])
+            self.publish(staged, delta={**by, "merges": merges}, expected_version=st["version"])
+        if rewrite:
+            self.commit(self.read(units=rewrite, keep_unit=True), touched=rewrite, cluster_by=by["keys"])
+        return {"merged": len(merges), "rewritten": len(rewrite)}
+
     def read_staged(self, staged: Mapping) -> DataFrame:
         """The rows of a staged write, published or not."""
         schema = T.StructType.fromJson(json.loads(staged["schema"]))
@@ -302,7 +386,7 @@ class TableStore:
 
     def holds(self, tag: str) -> bool:
         """Whether the current state references the staged write ``tag``."""
-        return tag in set(self.state()["units"].values())
+        return tag in self.state()["tags"]
 
     # ------------------------------------------------------------------ clean-up
     def vacuum(self, keep: int = 5) -> dict:
@@ -320,6 +404,7 @@ class TableStore:
         for v in kept:
             st = json.loads(self._fs.read_text(f"_state/{v:08d}.json"))
             referenced |= {(u, str(tag)) for u, tag in st["units"].items()}
+            referenced |= {(u, str(tag)) for u, tags in st.get("deltas", {}).items() for tag in tags}
         folders = 0
         live = {tag for _, tag in referenced}
         for (ver,) in self._fs.glob_parents("ver=*", 1):

@@ -177,6 +177,28 @@ def q_sync_run_production(spark, sf):
     return store.read()
 
 
+@register("sync_run_deltas", f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+       CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 10 YEAR ELSE o_orderdate END AS o_orderdate,
+       o_orderkey // 1000000000 + 1 AS partition_num,
+       CASE WHEN o_orderdate < TIMESTAMP '2000-01-01' THEN TIMESTAMP '2001-08-10' ELSE TIMESTAMP '2001-08-11' END AS etl_update_time
+FROM orders""")
+def q_sync_run_deltas(spark, sf):
+    """Production runs that write deltas: the first loads, the second adds rows, the third updates a part of all; the
+    table reads as if every run had rewritten its units."""
+    orders = D.table(spark, sf, "orders")
+    later = orders.filter("o_orderstatus = 'F'").withColumns({
+        "o_totalprice": F.col("o_totalprice") + 1, "o_orderdate": F.col("o_orderdate") + F.expr("INTERVAL 10 YEAR")})
+    root = scratch_path(spark, "sync_deltas")
+    store, log, ledger = (TableStore(spark, f"{root}/{n}") for n in ("data", "log", "ledger"))
+    for day, rows in (("2001-08-10 00:00:00", orders.filter(F.col("o_orderdate") < D.ts_literal("2000-01-01 00:00:00"))),
+                      ("2001-08-11 00:00:00", orders), ("2001-08-12 00:00:00", orders.unionByName(later))):
+        run_task(spark, production_task(), rows, store, log, ledger, as_of=day, deltas=True)
+    if not store.state()["deltas"]:
+        raise RuntimeError("no delta was written")
+    return store.read()
+
+
 def procedure_source(orders):
     """A procedure result derived from orders: a zero-padded code, 'Null' tokens, a boolean flag
     and an 8-byte rowversion."""

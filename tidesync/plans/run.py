@@ -199,10 +199,12 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame | TableStore
              log_store: TableStore | None = None, ledger_store: TableStore | None = None,
              as_of: datetime | str | None = None, reject_store: TableStore | None = None,
              refresh_fields: bool = False, audit_col: str | None = AUDIT_COL,
-             bitmap_ledger: bool = False) -> RunResult:
+             bitmap_ledger: bool = False, deltas: bool = False) -> RunResult:
     """Run one sync of ``task`` from ``source`` into ``store``; returns counts and the new watermark.
 
-    ``bitmap_ledger`` writes the ledger as key sets, which needs a single integral key.
+    ``bitmap_ledger`` writes the ledger as key sets, which needs a single integral key. With ``deltas`` an increment
+    of types 1 to 3 with a key is written as a delta of its changed rows, and deltas are folded by size; without, the
+    units it touches are rewritten.
 
     ``refresh_fields`` first sets ``sync_field`` to the source's columns, as a run of the source
     format does (the new value is returned for the control table). ``audit_col`` is set to ``as_of``
@@ -288,6 +290,15 @@ def run_task(spark: SparkSession, task: SyncTask, source: DataFrame | TableStore
                                expected_version=load_version - 1)
     else:
         order = [c for c in (task.timestamp_field_name, task.id_field_name) if c]
+        if deltas and store.version() and task.keys and not set(store.schema().names) - {*good.columns, SHARD}:
+            changes = latest_per_key(good, [SHARD, BUCKET, *task.keys], order, task.id_field_name in task.keys)
+            version = store.commit_delta(align(changes, evolve_schema(store.schema(), changes.drop(BUCKET).schema).add(BUCKET, "long")),
+                                         task.keys, keep, watermark, extra, load_version - 1)
+            store.fold_deltas()
+            steps.done("load_commit")
+            _publish_pending(store, log_store, ledger_store)
+            steps.done("publish")
+            return RunResult(n, n_bad, shards, version, watermark, task.sync_field, steps.times)
         if store.version() == 0:
             # several versions of a key in the first load: the last one wins, as in any other load
             new_part = latest_per_key(good, [SHARD, BUCKET, *task.keys], order, task.id_field_name in task.keys) \

@@ -49,6 +49,7 @@ def _paths(store: TableStore, st: dict, found: DataFrame | None, tags: set[str])
     """Files of live units in ``found``, and whole units of attempts without an index."""
     units = st["units"]
     rows = [] if found is None else found.select(SHARD, BUCKET, "tag", "file").collect()      # matching files only
+    units = {u: t for u, t in units.items() if u not in st.get("deltas", {})}      # read_where reads those whole
     plain = [store.unit_path(u, t) for u, t in sorted(units.items()) if t not in tags]
     return plain + sorted(r["file"] for r in rows if units.get(unit_key(r[SHARD], r[BUCKET])) == r["tag"])
 
@@ -80,14 +81,17 @@ def files_with_nulls(store: TableStore, columns: list[str]) -> DataFrame:
         for c in columns:
             some = some | (F.col(f"nulls_{c}") > 0)
         zones = zones.filter(some)
-    return store.read_paths(_paths(store, st, zones, tags), store.schema())
+    found = store.read_paths(_paths(store, st, zones, tags), store.schema())
+    changed = list(st.get("deltas", {}))
+    return found.unionByName(store.read(units=changed)) if changed else found
 
 
 def units_with_keys(store: TableStore, sets: DataFrame) -> list[str] | None:
     """The units that hold a key of ``sets`` (cell, bits, spots: one row a cell), by intersecting their key sets: no
     data file is opened and none is named that holds no such key. None if the table keeps no key sets."""
     st = store.state()
-    if not (st.get("indexed") or {}).get("key") or set(st["units"].values()) - set(st.get("with_index", [])):
+    of = {u: {t, *st.get("deltas", {}).get(u, [])} for u, t in st["units"].items()}
+    if not (st.get("indexed") or {}).get("key") or set().union(*of.values()) - set(st.get("with_index", [])):
         return None
     own, _ = _index(store, st, "_keys")
     listed = sets.select("cell", F.col("bits").alias("other_bits"), F.col("spots").alias("other_spots"))
@@ -101,4 +105,4 @@ def units_with_keys(store: TableStore, sets: DataFrame) -> list[str] | None:
     by_bits = (both.select("tag", SHARD, BUCKET, "cell", F.explode(F.array("bits", "other_bits")).alias("b"))
                .groupBy("tag", SHARD, BUCKET, "cell").agg(F.bitmap_and_agg("b").alias("b")).filter(F.bitmap_count("b") > 0))
     rows = by_list.select("tag", SHARD, BUCKET).union(by_bits.select("tag", SHARD, BUCKET)).distinct().collect()     # one a unit
-    return sorted(u for u in {unit_key(r[SHARD], r[BUCKET]) for r in rows if st["units"].get(unit_key(r[SHARD], r[BUCKET])) == r["tag"]})
+    return sorted({unit_key(r[SHARD], r[BUCKET]) for r in rows if r["tag"] in of.get(unit_key(r[SHARD], r[BUCKET]), ())})
