@@ -33,6 +33,8 @@ MIN_BUCKET_SPAN = 1_000_000
 BUCKETS_PER_SHARD = 64
 
 
+# Rows of a file that compaction writes.
+FILE_ROWS = 4_000_000
 # Deltas of a size that are merged into one, and the share of a unit's rows from which they are written into it.
 FAN_IN = 4
 # Least bytes of a writing task: a file's cost counts more than its bytes where units are many and small.
@@ -257,14 +259,15 @@ class TableStore:
 
     # ------------------------------------------------------------------ write
     def stage(self, df: DataFrame, cluster_by: list[str] | None = None, small: bool = False,
-              bucket: Column | None = None) -> dict:
+              bucket: Column | None = None, ranges: tuple[int, Column] | None = None) -> dict:
         """Write ``df`` under a fresh attempt tag; readers do not see it until ``publish``.
 
         ``df`` carries ``partition_num``; ``bucket`` (an expression) splits shards into units,
         default one unit per shard. Rows are rebalanced on the unit (AQE): small units are coalesced
         and a dominant one is split into advisory-size pieces, never funnelled into one task; files
         are sorted by ``cluster_by`` so keyset filters can skip row groups. ``small`` is for tables
-        bounded by design (the shard log: one row per shard): one file.
+        bounded by design (the shard log: one row per shard): one file. ``ranges`` (a number and an
+        expression) deals and sorts the rows by ranges of the expression inside their units instead.
         """
         tag = f"{self.version() + 1}-{uuid.uuid4().hex[:12]}"      # this attempt's folders only
         if SHARD not in df.columns:
@@ -273,10 +276,14 @@ class TableStore:
         b = bucket if bucket is not None else (F.col(BUCKET) if BUCKET in df.columns else F.lit(0))
         df = df.withColumn(BUCKET, b.cast("long"))
         cluster = [c for c in (cluster_by or []) if c in df.columns and c not in (SHARD, BUCKET)]
-        out = df.coalesce(1) if small else df.hint("rebalance", SHARD, BUCKET)
+        if ranges is not None:
+            out, cluster = df.withColumn("_place", ranges[1]), ["_place"]
+            out = out.repartitionByRange(ranges[0], SHARD, BUCKET, "_place")
+        else:
+            out = df.coalesce(1) if small else df.hint("rebalance", SHARD, BUCKET)
         # the write itself reports its units (one entry a unit): no folder is listed for them
         seen = Observation()
-        out = (out.sortWithinPartitions(SHARD, BUCKET, *cluster).withColumn("ver", F.lit(tag))
+        out = (out.sortWithinPartitions(SHARD, BUCKET, *cluster).drop("_place").withColumn("ver", F.lit(tag))
                .observe(seen, F.collect_set(F.struct(SHARD, BUCKET)).alias("units"), F.count(F.lit(1)).alias("rows")))
         with _setting(self.spark, "spark.sql.adaptive.coalescePartitions.minPartitionSize", SMALLEST_TASK):
             out.write.mode("append").partitionBy("ver", SHARD, BUCKET).parquet(self.root)
@@ -375,6 +382,18 @@ class TableStore:
             self.commit(self.read(units=rewrite, keep_unit=True), touched=rewrite, cluster_by=by["keys"])
         return {"merged": len(merges), "rewritten": len(rewrite)}
 
+    def compact(self, columns: list[str], units: Iterable[str] | None = None, file_rows: int = FILE_ROWS) -> int | None:
+        """Rewrite units (all by default) in files of about ``file_rows`` rows, clustered on all ``columns`` at
+        once by Z-order; deltas go into them. Refused if another commit came in between. The new version."""
+        from ..operators.layout import z_value
+        version = self.version()
+        picked = self.units() if units is None else sorted(set(units) & set(self.units()))
+        if not picked:
+            return None
+        rows = self.read(units=picked, keep_unit=True)
+        staged = self.stage(rows, ranges=(max(1, -(-rows.count() // file_rows)), z_value(rows, columns)))
+        return self.publish(staged, touched=picked, expected_version=version)
+
     def read_staged(self, staged: Mapping) -> DataFrame:
         """The rows of a staged write, published or not."""
         schema = T.StructType.fromJson(json.loads(staged["schema"]))

@@ -128,6 +128,38 @@ def q_filtered_delete(spark, sf):
     return source.read().select("o_orderkey", "o_orderdate", "o_orderstatus")
 
 
+@register("housekeeping_compacted", f"""
+SELECT o_orderkey, o_orderdate, o_orderstatus FROM orders
+WHERE o_orderstatus <> 'F' AND o_orderkey // 10 NOT IN ({_GATE_SQL})""")
+def q_housekeeping_compacted(spark, sf):
+    """House-keeping that compacts what it rewrote, clustered on date and key; twice, the second time over the
+    compacted units."""
+    orders = D.table(spark, sf, "orders")
+    root = scratch_path(spark, "housekeeping_compacted")
+    source = dated_source(D.retention_source(orders), f"{root}/source", spark)
+    ledger = TableStore(spark, f"{root}/ledger")
+    ledger.commit(D.ledger(orders).withColumn("partition_num", F.col("load_version")))
+    for _ in range(2):
+        house_keeping(spark, orders_task(housekeeping=1), source, ledger, D.ORDERS_AS_OF, start_days=60, end_days=0, compact=True)
+    return source.read().select("o_orderkey", "o_orderdate", "o_orderstatus")
+
+
+@register("stream_shard_log", """
+SELECT 'events_t_' || (event_id // 1000 + 1) AS sharding_table_name, min(event_id) AS min_id, max(event_id) AS max_id,
+       min(ts) AS min_timestamp, max(ts) AS max_timestamp, count(*) AS n_rows FROM events GROUP BY 1""")
+def q_stream_shard_log(spark, sf):
+    """The shard log as a streaming aggregate with its own state, stopped in the middle and started again."""
+    from ..streaming.shard_log import stream_shard_log
+    events = D.table(spark, sf, "events")
+    root = scratch_path(spark, "stream_log")
+    log = TableStore(spark, f"{root}/log")
+    early = F.col("ts") < D.ts_literal(D.EVENTS_WATERMARK)
+    for part in (events.filter(early), events.filter(~early)):
+        part.repartition(3, "event_id").write.mode("append").parquet(f"{root}/in")
+        stream_shard_log(spark, f"{root}/in", events.schema, log, f"{root}/ckpt", "event_id", "ts", 1000, "events_t", "src_db", "events")
+    return log.read().select("sharding_table_name", "min_id", "max_id", "min_timestamp", "max_timestamp", "n_rows")
+
+
 @register("housekeeping_bitmap", f"""
 SELECT {_ORD5} FROM orders WHERE o_orderkey // 600 IN (SELECT o_orderkey // 600 FROM orders WHERE o_orderdate >= TIMESTAMP '2001-07-27')""")
 def q_housekeeping_bitmap(spark, sf):

@@ -327,13 +327,14 @@ def _source_number():
 
 def house_keeping(spark: SparkSession, task: SyncTask, source_store: TableStore, ledger_store: TableStore,
                   as_of: datetime | str, start_days: int = 60, end_days: int = 14,
-                  target_store: TableStore | None = None) -> dict:
+                  target_store: TableStore | None = None, compact: bool = False) -> dict:
     """Delete from the source what was copied and is past retention; then mark the ledger. A row is
     deleted only if its whole key was copied.
 
     The ledger is stored with one folder per load (shard = load_version); only the loads holding a
     marked or purged entry are rewritten. With ``target_store``, ledger entries a sync run left
-    pending are published first.
+    pending are published first. ``compact`` then rewrites the units that lost rows, clustered on the
+    timestamp and the key, as the source format optimises its tables after deletes (G8).
     """
     from ..operators.retention import ENTRY, join_listed, ledger_keys
     validate_task(task)
@@ -376,6 +377,8 @@ def house_keeping(spark: SparkSession, task: SyncTask, source_store: TableStore,
         # mark only after the delete is committed; rewrite only the loads that changed
         marked = ledger_mark(ledger.filter(F.concat_ws("/", SHARD, BUCKET).isin(loads)), deletable)
         ledger_store.commit(marked, touched=loads, cluster_by=["house_keeping_id"])
+    if compact and touched:
+        source_store.compact([task.timestamp_field_name, *task.keys], units=touched)
     return {"entries": deletable.select(*ENTRY).distinct().count(), "ids": n_ids, "shards": touched, "loads": loads}
 
 
