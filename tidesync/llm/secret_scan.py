@@ -3,7 +3,9 @@
 Strong parts (access ids, named assignments) and weak ones (bare key-like tokens, service addresses) are found
 per text. Parts are then joined by interval within their scope, a block of lines between blank lines: a weak
 part is reported only if a complementary part lies within ``REACH`` characters of it: a key next to an access
-id or an address, an address next to an access id or a secret.
+id or an address, an address next to an access id or a secret. An address does not complete itself: what stands
+inside one completes no address. A key inside one is a part only as its userinfo, which the address completes, or as a
+query value, which takes an access id; a path is no key.
 
 Defined results: null and empty texts have no spans. Rows equal in id and text get equal spans. Other columns
 are ignored. Offsets count code points, ends are exclusive.
@@ -28,14 +30,15 @@ BASE = [
     ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 20),
     ("hex", re.compile(r"[0-9a-f]+"), 0, 24),
 ]
-# weak parts: tokens of key length (up to 64 bytes in base 64) that mix letters and digits, also right after NAME=, and
-# addresses of services
-KEY = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,86}={0,2}(?![A-Za-z0-9+/_=-])")
+# weak parts: tokens of key length, however long, that mix letters and digits, also right after NAME=, and addresses of services
+KEY = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}={0,2}(?![A-Za-z0-9+/_=-])")
 ENDPOINT = re.compile(r"\b(?:https?|jdbc|mongodb|redis|amqp|postgres(?:ql)?|mysql|s3)://[^\s\"'<>]+")
 KINDS = ["assign", "access", "hex", "key", "endpoint"]
+# what a part counts as in a link: its kind, or for parts inside an address one of these
+INSIDE_ASSIGN, INSIDE_ACCESS, USERINFO_KEY, QUERY_KEY = range(len(KINDS), len(KINDS) + 4)
 SCOPE_END = re.compile(r"\n[\x20\t\r]*\n")
-# kind -> the kinds that complete it
-COMPLEMENTS = {"key": ["access", "endpoint"], "endpoint": ["access", "assign", "key"]}
+# link kind -> the link kinds that complete it
+COMPLEMENTS = {3: [1, INSIDE_ACCESS, 4], 4: [0, 1, 3], USERINFO_KEY: [4], QUERY_KEY: [1, INSIDE_ACCESS]}
 _KEYWORD = re.compile(r"(?i:password|passwd|secret|token|api_?key)", re.A)
 _LONG_HEX = re.compile(r"[0-9a-f]{24}")
 
@@ -53,19 +56,50 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def weak_spans(text: str) -> list[tuple[int, int, int]]:
-    """Candidates for the linked kinds, which are not reported on their own."""
-    found = [(m.start(), 3, m.end()) for m in KEY.finditer(text)
-             if re.search(r"[0-9]", m[0]) and re.search(r"[A-Za-z]", m[0])]
-    if "://" in text:
-        found += [(m.start(), 4, m.end()) for m in ENDPOINT.finditer(text)]
+def weak_spans(text: str) -> list[tuple[int, int, int, int]]:
+    """(start, kind, end, link kind) of candidates for the linked kinds, which are not reported on their own."""
+    places = [m.span() for m in ENDPOINT.finditer(text)] if "://" in text else []
+    found = [(start, 4, end, 4) for start, end in places]
+    for m in KEY.finditer(text):
+        if not (re.search(r"[0-9]", m[0]) and re.search(r"[A-Za-z]", m[0])):
+            continue
+        around = _around(places, m.start(), m.end())
+        link = 3 if around is None else _in_address(text, *around, m.start(), m.end())
+        if link is not None:
+            found.append((m.start(), 3, m.end(), link))
     return found
 
 
+def _around(places: list[tuple[int, int]], start: int, end: int) -> tuple[int, int] | None:
+    """The address that a span overlaps."""
+    at = bisect_right(places, (end - 1, len(KINDS) << 60)) - 1
+    return places[at] if at >= 0 and places[at][1] > start else None
+
+
+def _in_address(text: str, start: int, end: int, key_start: int, key_end: int) -> int | None:
+    """What a key counts as that overlaps the address ``start`` to ``end``; None for a part of a path or host."""
+    if key_start < start or key_end > end:
+        return None
+    rest = text.index("://", start) + 3
+    tail = re.compile(r"[/?#]").search(text, rest, end)
+    authority_end = tail.start() if tail else end
+    if "@" in text[rest:authority_end] and key_end <= text.rindex("@", rest, authority_end):
+        return USERINFO_KEY
+    query = text.find("?", rest, end)
+    return QUERY_KEY if 0 <= query < key_start and text[key_start - 1] in "=&?" else None
+
+
+def link_kind(places: list[tuple[int, int]], start: int, kind: int, end: int) -> int:
+    """What a base part counts as: one inside an address completes no address."""
+    if _around(places, start, end) is None:
+        return kind
+    return {0: INSIDE_ASSIGN, 1: INSIDE_ACCESS}.get(kind, kind)
+
+
 def find_parts(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, base, weak): arrays of (scope, start, kind, end) per document."""
+    """(doc_id, text_hash, base, weak): arrays of (scope, start, kind, end, link) per document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = pa.list_(pa.struct([("scope", pa.int32()), ("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
+        part = pa.list_(pa.struct([(n, pa.int32()) for n in ("scope", "start", "kind", "end", "link")]))
         for batch in batches:
             base, weak = [], []
             for value in batch.column("text"):
@@ -73,15 +107,15 @@ def find_parts(docs: DataFrame) -> DataFrame:
                 strong, maybe = base_spans(text), weak_spans(text)
                 # parts of a kind alone cannot complete each other
                 ends = [m.start() for m in SCOPE_END.finditer(text)] if maybe else []
-                scoped = lambda spans, ends=ends: [
-                    {"scope": _scope(ends, s), "start": s, "kind": k, "end": e} for s, k, e in spans]
-                base.append(scoped(strong))
-                weak.append(scoped(maybe))
+                places = [(s, e) for s, k, e, _ in maybe if k == 4]
+                base.append([{"scope": _scope(ends, s), "start": s, "kind": k, "end": e, "link": link_kind(places, s, k, e)}
+                             for s, k, e in strong])
+                weak.append([{"scope": _scope(ends, s), "start": s, "kind": k, "end": e, "link": link} for s, k, e, link in maybe])
             yield pa.record_batch([batch.column("doc_id"), batch.column("text_hash"), pa.array(base, part), pa.array(weak, part)],
                                   names=["doc_id", "text_hash", "base", "weak"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    part = "array<struct<scope:int,start:int,kind:int,end:int>>"
+    part = "array<struct<scope:int,start:int,kind:int,end:int,link:int>>"
     return named(docs, text=F.col("text")).mapInArrow(run, f"doc_id {kind}, text_hash long, base {part}, weak {part}")
 
 
@@ -93,17 +127,16 @@ def link_parts(parts: DataFrame, reach: int = REACH) -> DataFrame:
     """(doc_id, text_hash, linked): the weak parts that a complementary part completes. An interval join:
     parts meet in cells of ``reach`` code points within a scope, and each weak part looks into its own cell
     and the two next to it."""
-    kinds = {name: i for i, name in enumerate(KINDS)}
     completes = F.lit(False)
     for weak, others in COMPLEMENTS.items():
-        completes = completes | ((F.col("w.kind") == kinds[weak]) & F.col("o.kind").isin([kinds[o] for o in others]))
+        completes = completes | ((F.col("w.link") == weak) & F.col("o.link").isin(others))
     some = parts.filter(F.size("weak") > 0)
     cell = lambda c: F.floor(F.col(c) / reach)
     weak = (some.select("doc_id", "text_hash", F.explode("weak").alias("w")).select("doc_id", "text_hash", "w.*").distinct()
             .withColumn("cell", F.explode(F.array(*[cell("start") + d for d in (-1, 0, 1)]))))
     # of one kind in one cell only the first and last parts matter to a neighbour within reach
     other = (some.select("doc_id", "text_hash", F.explode(F.concat("base", "weak")).alias("o")).select("doc_id", "text_hash", "o.*")
-             .withColumn("cell", cell("start")).groupBy("doc_id", "text_hash", "scope", "cell", "kind")
+             .withColumn("cell", cell("start")).groupBy("doc_id", "text_hash", "scope", "cell", "link")
              .agg(F.min("start").alias("low"), F.max("start").alias("high")))
     w = weak.alias("w")
     o = other.withColumnsRenamed({"doc_id": "other_id", "text_hash": "other_hash"}).alias("o")
