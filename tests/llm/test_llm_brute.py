@@ -536,7 +536,7 @@ def test_op10(case):
 
 
 def test_op10_tolerates_a_changed_word(spark):
-    text = dict(licenses.TEMPLATES)["bsd"].split()
+    text = next(t.text for t in licenses.TEMPLATES if t.label == "bsd").split()
     docs = frame(spark, [(1, "x " + " ".join(text)), (2, " ".join(text[:10] + ["added"] + text[10:])), (3, " ".join(text[:8]))])
     got = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scan_licenses(docs).collect()}
     assert got[1] == ("bsd", 1.0) and got[2][0] == "bsd" and got[3][0] == "" and 0 < got[3][1] < 0.8
@@ -546,24 +546,52 @@ GPL_NOTICE = ("you can redistribute it and/or modify it under the terms of the G
               "Software Foundation, either version {} of the License, or (at your option) any later version.")
 
 
-@pytest.mark.parametrize("text, labels", [
+MPL_11 = """The contents of this file are subject to the Mozilla Public License Version 1.1 (the "License"); you may not use this file
+except in compliance with the License. You may obtain a copy of the License at http://www.mozilla.org/MPL/ Software distributed under the
+License is distributed on an "AS IS" basis, WITHOUT WARRANTY OF ANY KIND, either express or implied."""
+CDDL = """The contents of this file are subject to the terms of the Common Development and Distribution License (the "License"). You may
+not use this file except in compliance with the License. You can obtain a copy of the license at usr/src/OPENSOLARIS.LICENSE"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.
+You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"""
+UNLICENSE = """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile,
+sell, or distribute this software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING"""
+BOOST = """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying
+documentation covered by this license (the "Software") to use, reproduce, display. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY
+KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided
+that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS"""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files
+(the "Software"), to deal in the Software without restriction, including without limitation the rights to use. The above copyright notice and
+this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT
+WARRANTY OF ANY KIND, EXPRESS OR IMPLIED"""
+
+
+LICENSE_TEXTS = [
+    (MPL_11, "mpl-1-1"), (CDDL, "cddl-1"), (APACHE, "apache-2"), (UNLICENSE, "unlicense"), (BOOST, "bsl-1"), (ISC, "isc"), (MIT, "mit"),
+    (ISC.split(", provided")[0] + ". THE SOFTWARE IS PROVIDED", "0bsd"), (MIT[MIT.index("The above"):], "mit"),
+    (MIT[MIT.index("THE SOFTWARE"):], ""), (APACHE[APACHE.index("you may"):], "apache-2"), (MPL_11[MPL_11.index("you may"):], ""),
+    (MIT + "\n" + "w " * 200 + APACHE, "apache-2,mit"), (MPL_11 + "\n" + "w " * 100 + APACHE, "apache-2,mpl-1-1"),
     ("Creative Commons Attribution 4.0 International License", "cc-by"),
     ("a Creative Commons Attribution-NonCommercial 4.0 International License.", "cc-by-nc"),
     ("a Creative Commons Attribution-Non-Commercial 4.0 International License.", "cc-by-nc"),
     ("a Creative Commons Attribution-ShareAlike 4.0 International License.", "cc-by-sa"),
-    ("a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.", ""),
-    ("a Creative Commons Attribution-NoDerivatives 4.0 International License.", ""),
+    ("a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.", "cc-by-nc-sa"),
+    ("a Creative Commons Attribution-NoDerivatives 4.0 International License.", "cc-by-nd"),
     ("Creative Commons Attribution 4.0 International License. " + "other words " * 5
      + "Creative Commons Attribution-ShareAlike 4.0 International License", "cc-by,cc-by-sa"),
-    (GPL_NOTICE.format("", 3), "gpl-3"), (GPL_NOTICE.format("", 2), ""), (GPL_NOTICE.format("Lesser ", 3), ""),
+    (GPL_NOTICE.format("", 3), "gpl-3"), (GPL_NOTICE.format("", 2), "gpl-2"), (GPL_NOTICE.format("Lesser ", 3), "lgpl-3"),
+    (GPL_NOTICE.format("Lesser ", 2.1), "lgpl-2-1"), (GPL_NOTICE.format("Affero ", 3), "agpl-3"), (GPL_NOTICE.format("Library ", 2), ""),
     ("It is licensed under the GNU General Public License, version 3.", "gpl-3"),
     ("It is licensed under the GNU General Public License, version 2.", ""),
     ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "mpl-2"),
     ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1.", ""),
-])
-def test_op10_verifies_spans(spark, text, labels):
-    docs = frame(spark, [(1, "x y " + text + " z")])
-    assert licenses.scan_licenses(docs).first()["labels"] == labels
+]
+
+
+def test_op10_verifies_spans(spark):
+    docs = frame(spark, [(i, "x y " + text + " z") for i, (text, _) in enumerate(LICENSE_TEXTS)])
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan_licenses(docs).collect()}
+    assert got == {i: labels for i, (_, labels) in enumerate(LICENSE_TEXTS)}
 
 
 # ---------------------------------------------------------------- pipeline
