@@ -211,6 +211,32 @@ def test_op2_mined_rules(spark):
     assert url_filter.mine_rules(none, 0.1, 0.8).count() == 0
 
 
+def test_op2_classes(spark):
+    """Tokens seen under one label alone go; those of the same rows are one class, and a URL needs one of its members."""
+    rows = [(["h0:net", "p:a", "p:b"], "block")] * 4 + [(["h0:org", "p:a", "p:b"], "allow")] * 2 + [(["h0:org", "p:c"], "allow")] * 3 \
+        + [(["h0:org", "p:c"], "block")] + [(["rare", "p:d"], "allow")] + [([], "allow")]
+    df = spark.createDataFrame(rows, "tokens array<string>, label string")
+    classes = url_filter.contested_classes(df, 0.1)
+    assert {tuple(r["members"]) for r in classes.collect()} == {("p:a", "p:b"), ("p:c",), ("h0:org",)}
+    inside = url_filter.in_classes(df, classes)
+    assert Counter((tuple(r["tokens"]), r["label"]) for r in inside.collect()) == Counter(
+        {(("p:a",), "block"): 4, (("h0:org", "p:a"), "allow"): 2, (("h0:org", "p:c"), "allow"): 3, (("h0:org", "p:c"), "block"): 1, ((), "allow"): 2})
+    rules = url_filter.with_members(url_filter.mine_rules(inside, 0.1, 0.6), classes)
+    urls = spark.createDataFrame([("u1", ["p:b", "x"]), ("u2", ["h0:net"]), ("u3", ["h0:org", "p:b"]), ("u4", ["p:a", "p:b"])], "url string, tokens array<string>")
+    got = dict(map(tuple, url_filter.apply_mined(urls, rules).collect()))
+    assert got == {"u1": "block", "u3": "allow", "u4": "block"}
+
+
+def test_op2_shared_directories(spark):
+    """25 directories that all labelled URLs of a host share, under both labels: one class, so mining ends at once."""
+    path = "/".join(f"d{i}" for i in range(25))
+    pages = [(i, f"http://{'a.net/es/' if i % 2 else 'b.com/'}{path}/{i}.html") for i in range(200)] + [(900, f"http://c.org/{path}/x.html"), (901, "http://c.org/es/y.html")]
+    df = spark.createDataFrame(pages, "page_id long, url string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filter.filter_urls(df, url_filter.CONTRACT_RULES).collect()}
+    assert got[1] == ("net/es/", "block") and got[0] == ("com/", "allow") and got[900][0] is None
+    assert got[901] == (None, "allow")            # es was seen under one label alone
+
+
 # ---------------------------------------------------------------- op3
 
 def test_op3(case):
