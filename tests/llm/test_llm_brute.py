@@ -463,6 +463,42 @@ def test_op7_held_out_accuracy(spark):
     assert tp / max(tp + fn, 1) >= 0.6 and fp / len(held) <= 0.03
 
 
+def test_op7_lexicon_and_features(spark, smoke):
+    """The lexicon by counting words, the features by looking at one document at a time."""
+    import math
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    rows = toxicity.labelled_rows(docs, labels).collect()
+    assert all(zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2 for r in rows) and len(rows) > 200
+    toxic, have = Counter(), Counter()
+    for r in rows:
+        words = re.findall(r"[^\W\d_]{4,}", (r["text"] or "").lower())
+        stems = {w[:k] for w in words for k in range(4, 9)}
+        have.update(stems)
+        toxic.update(stems if r["toxic"] else [])
+    passing = {x: toxic[x] / (have[x] + 1) for x in toxic if toxic[x] >= 5 and 600 * toxic[x] >= len(rows) and toxic[x] / (have[x] + 1) >= 0.6}
+    want = {x: v for x, v in passing.items() if not any(x != y and x.startswith(y) for y in passing)}
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows))
+    assert lexicon == pytest.approx(want) and len(lexicon) > 5
+    person = set("you your yours yourself u ur du dich dir dein deine ihr euch sie tu toi te vous votre ton ta tú ti usted ustedes vosotros".split())
+    texts = [*smoke, *EDGE_TEXTS, (90, "YOU " + next(iter(lexicon)) + "xy! f*ck $h1t a1b"), (91, next(iter(lexicon)) * 2)]
+    got = [tuple(r["features"]) for r in toxicity.with_features(spark.createDataFrame(texts, "i long, text string").coalesce(1), lexicon).collect()]
+    for (_, text), features in zip(texts, got, strict=True):
+        text = text or ""
+        low, raw = text.lower(), text.encode()
+        starts = [i for i in range(len(low)) if (i == 0 or not low[i - 1].isalpha()) and any(low.startswith(x, i) for x in lexicon)]
+        seen = {x for i in starts for x in lexicon if low.startswith(x, i)}
+        weight = sum(max(lexicon[x] for x in lexicon if low.startswith(x, i)) for i in starts)
+        spans = [m.span() for m in re.finditer(r"\w+", low)]
+        near = sum(any(i - 40 <= a < i + 40 and low[a:min(b, i + 40)] in person for a, b in spans) for i in starts)
+        words, size = raw.count(b" ") + raw.count(b"\n") + 1, max(len(raw), 1)
+        share = lambda chars: sum(raw.count(c.encode()) for c in chars) / size
+        assert features[:4] == pytest.approx((len(starts), 100 * len(starts) / words, len(seen), weight))
+        assert features[4] == pytest.approx(100 * near / words)
+        assert features[5:10] == pytest.approx((share("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), share("!"), share("!?.,;:"), share("#*$%&|<>@_~^"), share("0123456789")))
+        assert features[11:] == pytest.approx((math.log1p(words) if raw else 0, len(raw) / words))
+
+
 @pytest.mark.parametrize("rows", [[], [(4, 0), (5, 0)], [(4, 1), (5, None), (None, 1)]])
 def test_op7_without_both_labels(spark, rows):
     df = frame(spark, EDGE_TEXTS)

@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from .text import carried, restored, saved, table
 
 MAX_LABELLED = 24_000          # labelled training rows, about
-MAX_STEMS = 400                # lexicon entries
 STEM = range(4, 9)             # letters of a word's beginning
-MIN_SUPPORT, MIN_RATE = 5, 0.6 # toxic documents with a stem; their share of all that have it
+MIN_SHARE, MIN_SUPPORT = 1 / 600, 5    # toxic documents with a stem: as a share of the training rows, and at least
+MIN_RATE = 0.6                 # their share of all that have it
 THRESHOLD = 0.3
 # Second-person words of the corpus's languages.
 SECOND_PERSON = ("you", "your", "yours", "yourself", "u", "ur", "du", "dich", "dir", "dein", "deine", "ihr", "euch",
@@ -59,16 +59,18 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED)
     return docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
 
 
-def learn_lexicon(rows: DataFrame, max_stems: int = MAX_STEMS) -> dict[str, float]:
-    """Word beginnings that mark toxic rows, with the (smoothed) share of toxic rows among those that have it."""
+def learn_lexicon(rows: DataFrame, n_rows: int | None = None) -> dict[str, float]:
+    """Word beginnings that mark toxic rows, with the (smoothed) share of toxic rows among those that have it. Of
+    nested beginnings the shortest stays. Their number has no limit of its own: support is a share of the rows,
+    so at most (beginnings in a row) / ``MIN_SHARE`` pass."""
+    n_rows = rows.count() if n_rows is None else n_rows
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"(\p{L}{4,})"), 1))
     stems = F.array_distinct(F.flatten(F.transform(words, lambda w: F.array(*[F.substring(w, 1, k) for k in STEM]))))
     counts = (rows.select("toxic", F.explode(stems).alias("stem")).groupBy("stem")
               .agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")))
-    rate = F.col("toxic") / (F.col("n") + 1)
-    best = (counts.filter((F.col("toxic") >= MIN_SUPPORT) & (rate >= MIN_RATE))
-            .orderBy(F.desc("toxic"), F.length("stem"), "stem").limit(max_stems))
-    return {r["stem"]: r["toxic"] / (r["n"] + 1) for r in best.collect()}
+    best = counts.filter((F.col("toxic") >= max(MIN_SUPPORT, MIN_SHARE * n_rows)) & (F.col("toxic") / (F.col("n") + 1) >= MIN_RATE))
+    found = {r["stem"]: r["toxic"] / (r["n"] + 1) for r in best.collect()}
+    return {stem: found[stem] for stem in sorted(found) if not any(stem[:k] in found for k in range(min(STEM), len(stem)))}
 
 
 def _features(text: str | None, automaton, weights: dict[str, float]) -> list[float]:
@@ -130,7 +132,8 @@ class Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Model:
-    """Lexicon, trees and calibration from labelled rows of ``docs`` that are not held out."""
+    """Lexicon, trees and calibration from labelled rows of ``docs`` that are not held out. A score is the calibrated
+    step, with half a percent of the trees' own probability, which orders documents inside a step."""
     rows = saved(labelled_rows(docs, labels, limit))
     counts = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(counts) < 2:
