@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .text import WHITESPACE, let, plain_words, table
+from .text import WHITESPACE, let, plain_words, saved, table
 
 WINDOW = 8
 
@@ -107,8 +108,9 @@ def apply_policy(entries: DataFrame, mask: int) -> DataFrame:
 def ablation(entries: DataFrame, mask: int, rules: list[Rule] = RULES) -> DataFrame:
     """(rule, rejected, only_this, gained): documents each rule rejects, those no other rule of the
     policy rejects, and what the policy would keep without the rule. The ledger is first counted by its
-    bits (at most 2^rules rows), so the documents are read once."""
-    counted = entries.groupBy("failed_bits").agg(F.count("*").alias("n"))
+    bits (at most 2^rules rows), so the documents are read once; ``entries`` may be counted already
+    (failed_bits, n)."""
+    counted = entries if "n" in entries.columns else entries.groupBy("failed_bits").agg(F.count("*").alias("n"))
     table = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(1 << r.bit).cast("long").alias("bit"))
                       for r in rules if mask >> r.bit & 1])
     per_rule = counted.select("n", F.col("failed_bits").bitwiseAND(F.lit(mask)).alias("bits"), F.explode(table).alias("r"))
@@ -126,7 +128,16 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return apply_policy(entries, POLICIES[CURRENT_POLICY]).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        (F.col("failed_bits").bitwiseAND(F.lit(BASE_MASK)) != 0).alias("base_failed"), "kept", "failed_bits")
+        (F.col("failed_bits").bitwiseAND(F.lit(BASE_MASK)) != 0).alias("base_failed"), "kept", "failed_bits",
+        *[(F.col("failed_bits").bitwiseAND(F.lit(mask)) == 0).alias(f"kept_v{version}") for version, mask in POLICIES.items()])
+
+
+def quality_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every policy version's ablation over the ledger of ``documents``."""
+    entries = ledger(table(spark, sf_dir, "documents").select("doc_id", "text")).groupBy("failed_bits").agg(F.count("*").alias("n"))
+    counted = saved(entries)                       # at most 2^rules rows
+    parts = [ablation(counted, mask).withColumn("policy", F.lit(version)) for version, mask in POLICIES.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 ORACLE = r"""
@@ -147,5 +158,12 @@ m AS (SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_
 b AS (SELECT *, CAST(""" + " + ".join(f"CASE WHEN {r.sql} THEN {1 << r.bit} ELSE 0 END" for r in RULES) + """ AS BIGINT)
         AS failed_bits FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed_bits & 3) <> 0 AS base_failed,
-        (failed_bits & """ + str(POLICIES[CURRENT_POLICY]) + """) = 0 AS kept, failed_bits FROM b
+        (failed_bits & """ + str(POLICIES[CURRENT_POLICY]) + """) = 0 AS kept, failed_bits""" + "".join(
+    f", (failed_bits & {mask}) = 0 AS kept_v{version}" for version, mask in POLICIES.items()) + """ FROM b
 """
+
+ABLATION_ORACLE = "WITH q AS (" + ORACLE + ")" + " UNION ALL ".join(f"""
+SELECT {version} AS policy, '{r.name}' AS rule, count(*) FILTER (failed_bits & {1 << r.bit} <> 0) AS rejected,
+        count(*) FILTER (failed_bits & {mask} = {1 << r.bit}) AS only_this,
+        count(*) FILTER (failed_bits & {mask & ~(1 << r.bit)} = 0) AS kept_without FROM q"""
+                                                                       for version, mask in POLICIES.items() for r in RULES if mask >> r.bit & 1)

@@ -31,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_mixing": mixing.op6_mixing,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_quality_rules": quality_rules.op8_quality_rules,
+    "quality_ablation": quality_rules.quality_ablation,
     "op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination,
     "op10_license_scans": licenses.op10_license_scans,
     "op11_merkle_manifest": merkle.op11_merkle_manifest,
@@ -42,6 +43,7 @@ ORACLE: dict[str, str] = {
     "op3_line_dedup": line_dedup.ORACLE,
     "op6_mixing": mixing.ORACLE,
     "op8_quality_rules": quality_rules.ORACLE,
+    "quality_ablation": quality_rules.ABLATION_ORACLE,
     "op9_benchmark_decontamination": decontaminate.ORACLE,
     "op10_license_scans": licenses.ORACLE,
     "op11_merkle_manifest": merkle.ORACLE,
