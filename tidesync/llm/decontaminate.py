@@ -119,8 +119,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, text_hash, n_words, n_hit, n_items, items_sha256, contaminated) for every document."""
     items, ids = benchmark_items(benchmark)
     matches = saved(phrase_matches(docs, items))
-    hits = matches.groupBy("doc_id", "text_hash").agg(
-        covered_words(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("n_hit"))
+    hits = matches.select("doc_id", "text_hash", F.explode("spans").alias("span")).groupBy("doc_id", "text_hash").agg(
+        covered_words(F.collect_set("span")).alias("n_hit"))
     listed = (matches.select("doc_id", "text_hash", "item").distinct().join(ids, "item")
               .groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids")))
     base = named(docs, n_words=F.size(folded_words(F.col("text"))).cast("long"))
