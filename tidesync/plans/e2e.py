@@ -3,6 +3,9 @@ tables to a fresh folder under the shared checkpoint folder and returning what i
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import SyncTask
@@ -160,6 +163,45 @@ def q_stream_shard_log(spark, sf):
     return log.read().select("sharding_table_name", "min_id", "max_id", "min_timestamp", "max_timestamp", "n_rows")
 
 
+# Events come in four parts, by week. Ids of the first week that 7 divides come with the last part only, long past the lag, and
+# all ids of that week that 11 divides once more. Ids of a week's last two days that 3 divides are sent again with the next part,
+# at their old time and, 13 hours on, with a new value.
+WEEKS = ["2024-01-08", "2024-01-15", "2024-01-22"]
+_LAGGED = f"""
+SELECT *, NOT renewed AND ts < TIMESTAMP '{WEEKS[0]}' AND event_id % 7 = 0 AS late FROM (
+    SELECT event_id, ts, value, event_id % 3 = 0 AND ({" OR ".join(
+        f"ts >= TIMESTAMP '{w}' - INTERVAL '2' DAY AND ts < TIMESTAMP '{w}'" for w in WEEKS)}) AS renewed FROM events)"""
+
+
+@register("stream_lagged", f"""
+SELECT event_id, CASE WHEN renewed THEN ts + INTERVAL '13' HOUR ELSE ts END AS ts, CASE WHEN renewed THEN -1.0 ELSE value END AS value,
+       CASE WHEN late THEN 'late' ELSE 'loaded' END AS how FROM ({_LAGGED})""")
+def q_stream_lagged(spark, sf):
+    """A stream with a settle lag of three days in event time, stopped and started again after each part: rows that come
+    later go to the late table, copies nowhere, newer versions replace older ones; loaded and late rows are the source."""
+    from ..streaming.lagged import stream_lagged
+    root = scratch_path(spark, "stream_lagged")
+    week = sum((F.col("ts") >= D.ts_literal(f"{w} 00:00:00")).cast("int") for w in WEEKS)
+    ends = F.array(*[D.ts_literal(f"{w} 00:00:00") for w in WEEKS])
+    renewed = (F.col("event_id") % 3 == 0) & (F.col("week") < 3) & (F.col("ts") >= F.get(ends, F.col("week")) - F.expr("interval 2 days"))
+    rows = (D.table(spark, sf, "events").select("event_id", "ts", "value").withColumn("week", week)
+            .withColumn("renewed", F.coalesce(renewed, F.lit(False)))
+            .withColumn("late", ~F.col("renewed") & (F.col("week") == 0) & (F.col("event_id") % 7 == 0)))
+    store, late = TableStore(spark, f"{root}/out"), TableStore(spark, f"{root}/late")
+    for part in range(4):
+        again = rows.filter(F.col("renewed") & (F.col("week") == part - 1))
+        sent = [rows.filter((F.col("week") == part) & ~F.col("late")), again,
+                again.withColumns({"ts": F.col("ts") + F.expr("interval 13 hours"), "value": F.lit(-1.0)})]
+        if part == 3:
+            sent += [rows.filter("late"), rows.filter("week = 0 AND event_id % 11 = 0")]
+        reduce(DataFrame.unionByName, sent).select("event_id", "ts", "value").write.mode("append").parquet(f"{root}/in")
+        stream_lagged(spark, f"{root}/in", rows.select("event_id", "ts", "value").schema, store, late, f"{root}/ckpt", ["event_id"],
+                      "event_id", "ts", 1_000_000_000, max_files_per_trigger=1_000_000)
+    came_late = late.read().select(F.col("event_id").cast("long").alias("event_id"), F.col("ts").cast("timestamp_ntz").alias("ts"),
+                                   F.col("value").cast("double").alias("value"), F.col("reject_column").alias("how"))
+    return store.read().select("event_id", "ts", "value", F.lit("loaded").alias("how")).unionByName(came_late)
+
+
 @register("housekeeping_bitmap", f"""
 SELECT {_ORD5} FROM orders WHERE o_orderkey // 600 IN (SELECT o_orderkey // 600 FROM orders WHERE o_orderdate >= TIMESTAMP '2001-07-27')""")
 def q_housekeeping_bitmap(spark, sf):
