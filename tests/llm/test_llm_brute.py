@@ -576,10 +576,48 @@ def test_op9(case, spark):
     assert decontaminate.decontaminate(df, table.limit(0)).filter("n_hit > 0").count() == 0
 
 
-def test_op9_proximity(spark):
-    docs = frame(spark, [(1, "alpha beta gamma"), (2, "alpha x beta"), (3, "alpha x x x x x x beta"), (4, "gamma")])
-    items = spark.createDataFrame([("i", "alpha beta")], "item_id string, text string")
-    assert {tuple(r) for r in decontaminate.proximity_matches(docs, items).collect()} == {(1, "i"), (2, "i")}
+def near_by_hand(texts, items, slop):
+    """{(doc_id, text, item_id)} of near items, offset by offset."""
+    words = [(i, t, folded(t)) for i, t in texts]
+    count = Counter(w for _, _, ws in words for w in ws)
+    out = set()
+    for item, text in items:
+        w = folded(text)
+        for start in range(max(len(w) - 12, 1) if w else 0):
+            places = sorted((p for p in range(start, min(start + 13, len(w))) if count[w[p]]), key=lambda p: (count[w[p]], w[p].encode(), p))[:4]
+            if len(places) < 2:
+                continue
+            for i, t, ws in words:
+                at = [(k - p, p) for p in places for k, x in enumerate(ws) if x == w[p]]
+                if any(len({p for o2, p in at if o <= o2 <= o + slop}) >= max(2, len(places) - 1) for o, _ in at):
+                    out.add((i, t, item))
+    return {x for x in out if x[2] is not None}
+
+
+def test_op9_proximity(case, spark):
+    """Documents near an item, on edge cases and with words replaced, added and left out."""
+    docs = [(1, "alpha beta gamma"), (2, "alpha x beta"), (3, "alpha x x x x x x beta"), (4, "gamma"), (5, "beta alpha")]
+    items = [("i", "alpha beta")]
+    got = decontaminate.proximity_matches(frame(spark, docs), spark.createDataFrame(items, "item_id string, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(i, "i") for i, _, _ in near_by_hand(docs, items, 3)} == {(1, "i"), (2, "i"), (5, "i")}
+    texts, df = case
+    table = spark.createDataFrame([(i, t, "clash") for i, t in ITEMS], "item_id string, text string, words string")
+    got = decontaminate.near_items(df, table).drop("text_hash").collect()
+    want = near_by_hand(texts, ITEMS, 3)
+    sha = lambda ids: hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
+    same(got, [(i, len(ids), sha(ids)) for i, t in texts for ids in [{x for d, u, x in want if (d, u) == (i, t)}]])
+    assert decontaminate.near_items(df, table.limit(0)).filter("n_near > 0").count() == 0
+
+
+def test_op9_proximity_finds_changed_words(spark):
+    """One word of an item replaced, by one that no document has otherwise: not an exact match, but near."""
+    item = "the quick brown fox jumps over thirteen lazy dogs near a river".split()
+    changed = [item[:k] + ["zebra"] + item[k + 1:] for k in range(len(item))]
+    added = [item[:k] + ["zebra"] + item[k:] for k in range(len(item))]
+    docs = frame(spark, list(enumerate([" ".join(w) for w in changed + added] + ["the dogs jump over a river"])))
+    table = spark.createDataFrame([("q", " ".join(item))], "item_id string, text string")
+    assert sorted(r["doc_id"] for r in decontaminate.proximity_matches(docs, table).collect()) == list(range(len(changed + added)))
+    assert {r["doc_id"] for r in decontaminate.decontaminate(docs, table).filter("n_hit > 0").collect()} == {len(item)}
 
 
 def test_op10(case):

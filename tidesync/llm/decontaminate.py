@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from .text import carried, checked_broadcast, folded_words, join_docs, named, restored, saved, table
 
 N = 13                          # words of a window
+NEAR_ANCHORS, SLOP = 4, 3       # of a proximity match: terms of a window that are looked up, words they may be off
 MAX_BROADCAST_ROWS = 200_000    # term or document keys (two longs) sent to every executor at most
 
 
@@ -38,20 +39,32 @@ def term_counts(docs: DataFrame, items: DataFrame) -> DataFrame:
     return saved(tokens.join(checked_broadcast(vocabulary, MAX_BROADCAST_ROWS), "term").groupBy("term").agg(F.count("*").alias("n")))
 
 
-def window_anchors(items: DataFrame, counts: DataFrame) -> DataFrame:
-    """(item, start, width, anchors): each window with its two rarest places (item positions). Windows with
-    a term that no document has cannot occur and are left out."""
+def _windows(items: DataFrame, counts: DataFrame) -> DataFrame:
+    """(item, n_item, start, place, word, term, n): the places of each window; ``n`` is null for a term that no document has."""
     places = (items.select("item", F.size("item_words").alias("n_item"), F.posexplode("item_words").alias("place", "word"))
               .withColumn("term", F.xxhash64("word")).join(counts, "term", "left"))
     first = F.greatest(F.lit(0), F.col("place") - (N - 1))
     last = F.least(F.col("place"), F.greatest(F.lit(0), F.col("n_item") - N))
-    windows = places.withColumn("start", F.explode(F.sequence(first, last)))
+    return places.withColumn("start", F.explode(F.sequence(first, last)))
+
+
+def window_anchors(items: DataFrame, counts: DataFrame) -> DataFrame:
+    """(item, start, width, anchors): each window with its two rarest places (item positions). Windows with
+    a term that no document has cannot occur and are left out."""
     rarest = F.array_sort(F.collect_list(F.struct("n", "term", "place")))
-    return (windows.groupBy("item", "start", F.least(F.col("n_item"), F.lit(N)).alias("width"))
+    return (_windows(items, counts).groupBy("item", "start", F.least(F.col("n_item"), F.lit(N)).alias("width"))
             .agg(F.slice(rarest, 1, 2).alias("rarest"), F.count("n").alias("known"))
             .filter(F.col("known") == F.col("width")).drop("known"))
 
 
+def near_anchors(items: DataFrame, counts: DataFrame) -> DataFrame:
+    """(item, start, rarest): each window with the ``NEAR_ANCHORS`` rarest of its places whose terms occur at all; a word
+    that no document has may be the one that was changed. Windows with fewer than two such places are left out."""
+    rarest = F.array_sort(F.collect_list(F.struct("n", "word", "place", "term")))
+    return (_windows(items, counts).filter("n is not null").groupBy("item", "start")
+            .agg(F.slice(rarest, 1, NEAR_ANCHORS).alias("rarest")).filter(F.size("rarest") > 1))
+
+
 def alignments(docs: DataFrame, anchors: DataFrame) -> DataFrame:
     """(doc_id, text_hash, item, offset, places): the item places whose term stands in the document at
     ``offset + place``. ``anchors``: (term, item, place)."""
@@ -102,17 +115,31 @@ def phrase_matches(docs: DataFrame, items: DataFrame) -> DataFrame:
             .select("doc_id", "text_hash", "item", spans.alias("spans")))
 
 
-def proximity_matches(docs: DataFrame, benchmark: DataFrame, slop: int = 3) -> DataFrame:
-    """(doc_id, item_id): documents in which two anchor terms of an item stand as far apart as in the
-    item, give or take ``slop`` words."""
+def proximity_matches(docs: DataFrame, benchmark: DataFrame, slop: int = SLOP) -> DataFrame:
+    """(doc_id, text_hash, item_id): documents near an item. A window of the item is near where all of its anchors but one
+    (two at least) stand as far apart as in the item, give or take ``slop`` words; the one left out may be a changed word.
+    Every exact match of a window with two words or more is near as well."""
     items, ids = benchmark_items(benchmark)
-    windows = saved(window_anchors(items, term_counts(docs, items)))
+    windows = saved(near_anchors(items, term_counts(docs, items)))
     anchors = saved(windows.select("item", F.explode("rarest").alias("r")).select("r.term", "item", "r.place").distinct())
-    by_offset = Window.partitionBy("doc_id", "text_hash", "item").orderBy("offset")
-    near = ((F.col("offset") - F.lag("offset").over(by_offset) <= slop)
-            & ((F.size("places") > 1) | (F.col("places") != F.lag("places").over(by_offset))))
-    found = alignments(docs, anchors).withColumn("near", (F.size("places") > 1) | F.coalesce(near, F.lit(False)))
-    return found.filter("near").select("doc_id", "item").distinct().join(ids, "item").select("doc_id", "item_id").distinct()
+    # places of one document that stand at most ``slop`` words off: a frame holds ``slop`` + 1 offsets
+    frame = Window.partitionBy("doc_id", "text_hash", "item").orderBy("offset").rangeBetween(0, slop)
+    found = (alignments(docs, anchors).withColumn("places", F.array_distinct(F.flatten(F.collect_list("places").over(frame))))
+             .filter(F.size("places") > 1))
+    at = F.transform("rarest", lambda r: r["place"])
+    per_item = windows.groupBy("item").agg(F.collect_set(at).alias("windows"))
+    near = F.exists("windows", lambda w: F.size(F.array_intersect(w, F.col("places"))) >= F.greatest(F.lit(2), F.size(w) - 1))
+    return (found.join(per_item, "item").filter(near).select("doc_id", "text_hash", "item").distinct()
+            .join(ids, "item").select("doc_id", "text_hash", "item_id").distinct())
+
+
+def near_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, n_near, near_sha256) for every document: how many items it is near, and the digest of their ids."""
+    listed = (proximity_matches(docs, benchmark).groupBy("doc_id", "text_hash")
+              .agg(F.array_sort(F.collect_set("item_id")).alias("item_ids")))
+    ids = F.coalesce("item_ids", F.array().cast("array<string>"))
+    return join_docs(named(docs), listed, "left").select(
+        "doc_id", "text_hash", F.size(ids).cast("long").alias("n_near"), F.sha2(F.array_join(ids, ","), 256).alias("near_sha256"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -144,6 +171,10 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
+def benchmark_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
 ORACLE = rf"""
 WITH i AS (SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(coalesce(text, ''),
         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
@@ -165,3 +196,24 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
         sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN t ON d.doc_id = t.doc_id
 """
+
+PROXIMITY_ORACLE = rf"""
+WITH i AS (SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+ip AS (SELECT item_id, len(w) AS n_item, unnest(w) AS word, unnest(range(len(w))) AS place FROM i),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+dp AS (SELECT * FROM (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS pos FROM d) WHERE word IN (SELECT word FROM ip)),
+c AS (SELECT word, count(*) AS n FROM dp GROUP BY word),
+wp AS (SELECT item_id, place, word, n, unnest(range(greatest(0, place - {N - 1}), least(place, greatest(0, n_item - {N})) + 1)) AS start
+        FROM ip JOIN c USING (word)),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id, start ORDER BY n, word, place) AS k,
+        count(*) OVER (PARTITION BY item_id, start) AS known FROM wp),
+a AS (SELECT item_id, start, place, word, least(known, {NEAR_ANCHORS}) AS m FROM r WHERE k <= {NEAR_ANCHORS} AND known > 1),
+al AS (SELECT doc_id, a.item_id, start, m, place, pos - place AS o FROM dp JOIN a ON dp.word = a.word),
+x AS (SELECT doc_id, item_id, m, count(DISTINCT place) OVER (PARTITION BY doc_id, item_id, start ORDER BY o
+        RANGE BETWEEN CURRENT ROW AND {SLOP} FOLLOWING) AS here FROM al),
+t AS (SELECT doc_id, array_to_string(list_sort(list(DISTINCT item_id)), ',') AS ids, count(DISTINCT item_id) AS n_near
+        FROM x WHERE here >= greatest(2, m - 1) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_near, 0) AS n_near, sha256(coalesce(ids, '')) AS near_sha256 FROM d LEFT JOIN t ON d.doc_id = t.doc_id
+"""

@@ -33,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "quality_ablation": quality_rules.quality_ablation,
     "op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination,
+    "benchmark_proximity": decontaminate.benchmark_proximity,
     "op10_license_scans": licenses.op10_license_scans,
     "op11_merkle_manifest": merkle.op11_merkle_manifest,
     "op12_periodic_runs": periodic.op12_periodic_runs,
@@ -45,6 +46,7 @@ ORACLE: dict[str, str] = {
     "op8_quality_rules": quality_rules.ORACLE,
     "quality_ablation": quality_rules.ABLATION_ORACLE,
     "op9_benchmark_decontamination": decontaminate.ORACLE,
+    "benchmark_proximity": decontaminate.PROXIMITY_ORACLE,
     "op10_license_scans": licenses.ORACLE,
     "op11_merkle_manifest": merkle.ORACLE,
     "op13_chat_formatting": chat.ORACLE,
