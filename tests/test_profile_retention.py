@@ -71,11 +71,28 @@ def test_ledger_pack_bounded_and_sorted(spark):
     assert R.ledger_unpack(led).count() == 2500
 
 
+def test_log_of_text_ids(spark, scratch):
+    """Text ids have their range, numeric ones NULLs there, in one log, also one written before ranges were kept."""
+    from tidesync.plans.commit import TableStore
+    from tidesync.streaming.shard_log import stream_shard_log
+    assert "min_key" not in _log(spark, [(1, None, 1)]).columns
+    root = scratch("text_log")
+    log = TableStore(spark, f"{root}/log")
+    log.commit(_log(spark, [(1, None, 1)]).withColumn("partition_num", F.lit(0).cast("long")), small=True)
+    for ids in (["b", "\u00e9", None], ["B", "a10", "a9"]):
+        df = spark.createDataFrame([(i,) for i in ids], "id string")
+        df.write.mode("append").parquet(f"{root}/in")
+        stream_shard_log(spark, f"{root}/in", df.schema, log, f"{root}/ckpt", "id", None, 10_000_000_000, "words", "db", "src")
+    got = {r["sharding_table_name"]: (r["min_id"], r["min_key"], r["max_key"]) for r in log.read().collect()}
+    assert got.pop("words_1") == (None, "B", "\u00e9") and all(v[1:] == (None, None) for v in got.values()) and got
+
+
 def test_legacy_blob_import(spark):
-    blobs = [(1, zlib.compress(b"1,2,3")), (2, zlib.compress(b"'a','b'")), (3, b"not zlib")]
+    blobs = [(1, zlib.compress(b"1,2,3")), (2, zlib.compress(b"'a','b'")), (3, b"not zlib"), (4, zlib.compress(b"'a, b' , 'O'Neil'")),
+             (5, zlib.compress(b"")), (6, None), (7, zlib.compress(b" 7 , 8 "))]
     df = spark.createDataFrame(blobs, "house_keeping_id long, ids_compress binary")
     out = {r["house_keeping_id"]: r["ids"] for r in R.unpack_legacy_blobs(df).collect()}
-    assert out == {1: ["1", "2", "3"], 2: ["a", "b"], 3: None}
+    assert out == {1: ["1", "2", "3"], 2: ["a", "b"], 3: None, 4: ["a, b", "O'Neil"], 5: [], 6: None, 7: ["7", "8"]}
 
 
 def _ledger(spark, entries):

@@ -13,6 +13,8 @@ from ..functions.rules import ts_literal
 # Timestamps before this are not recorded in the shard log (a zero date included).
 MIN_VALID_TIMESTAMP = "1990-01-01 00:00:00"
 
+KEY_RANGE = ("min_key", "max_key")      # of text ids, in the shard log
+
 
 def ts_guard(c: Column | str) -> Column:
     """NULL for timestamps before 1990-01-01 (F3); applied to an aggregated min/max."""
@@ -45,12 +47,14 @@ def shard_profile(df: DataFrame, id_col: str | None, ts_col: str | None = None,
 def shard_log_rows(profile: DataFrame, target_table: str, source_db: str, source_table: str,
                    id_col: str | None, ts_col: str | None, date_col: str | None,
                    columns: list[str], as_of, shard_col: str = "partition_num") -> DataFrame:
-    """A profile in the shard-log layout (SHARD_LOG_SCHEMA). The log's ids are numbers: text ids are
-    logged as NULL."""
+    """A profile in the shard-log layout (SHARD_LOG_SCHEMA). Text ids have their range in ``KEY_RANGE``, in the order of
+    their bytes, as the keyset reads them; ``min_id`` and ``max_id`` are numbers and NULL then."""
     def opt(name, cast):
         if name not in profile.columns or cast == "long" and isinstance(profile.schema[name].dataType, T.StringType):
             return F.lit(None).cast(cast)
         return F.col(name).cast(cast)
+    text = id_col and isinstance(profile.schema["min_id"].dataType, T.StringType)
+    keys = [F.col("min_id").alias("min_key"), F.col("max_id").alias("max_key")] if text else []
     return profile.select(
         F.concat(F.lit(f"{target_table}_"), F.col(shard_col).cast("string")).alias("sharding_table_name"),
         F.col(shard_col).cast("long").alias("shard_id"),
@@ -65,10 +69,16 @@ def shard_log_rows(profile: DataFrame, target_table: str, source_db: str, source
         opt("max_timestamp", "timestamp_ntz").alias("max_timestamp"),
         ts_literal(as_of).alias("latest_update_time"),
         F.lit(", ".join(f"`{c}`" for c in columns)).alias("current_columns"),
+        *keys,
     )
 
 
-_WIDEN = {"min_id": F.least, "max_id": F.greatest, "min_matchdate": F.least, "max_matchdate": F.greatest,
+def with_key_range(log: DataFrame) -> DataFrame:
+    """``log`` with ``KEY_RANGE``: NULL for logs of numeric ids only, and for those written before it was kept."""
+    return log.withColumns({c: F.lit(None).cast("string") for c in KEY_RANGE if c not in log.columns})
+
+
+_WIDEN = {"min_key": F.least, "max_key": F.greatest, "min_id": F.least, "max_id": F.greatest, "min_matchdate": F.least, "max_matchdate": F.greatest,
           "min_timestamp": F.least, "max_timestamp": F.greatest}
 
 

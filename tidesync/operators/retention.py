@@ -6,6 +6,7 @@ one distributed job over all entries at once.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from datetime import date, datetime, timedelta
@@ -86,7 +87,10 @@ def _parse_blob(blob: bytes | None) -> list[str] | None:
         text = zlib.decompress(blob).decode("utf-8")
     except (zlib.error, UnicodeDecodeError):
         return None
-    return [t.strip().strip("'") for t in text.split(",") if t.strip()]
+    text = text.strip()
+    if len(text) > 1 and text[0] == text[-1] == "'":            # ids in quotes may hold commas and quotes
+        return re.split(r"'\s*,\s*'", text[1:-1])
+    return [t.strip() for t in text.split(",") if t.strip()]
 
 
 def unpack_legacy_blobs(ledger: DataFrame, blob_col: str = "ids_compress") -> DataFrame:

@@ -603,6 +603,20 @@ def q_ledger_unpack(spark, sf):
     return R.ledger_unpack(D.ledger(_t(spark, sf, "orders"))).select("house_keeping_id", "id")
 
 
+# Old ledgers kept an entry's keys as one compressed text: orders as 1,2,3 and customers' names in quotes, in entries of 10 keys.
+@register("ledger_legacy", """
+SELECT 'orders' AS source_table, o_orderkey // 10 AS house_keeping_id, CAST(o_orderkey AS VARCHAR) AS id FROM orders
+UNION ALL SELECT 'customer' AS source_table, c_custkey // 10 AS house_keeping_id, c_name AS id FROM customer""")
+def q_ledger_legacy(spark, sf):
+    """Old ledgers imported, packed by the text they held, and unpacked again."""
+    orders = _t(spark, sf, "orders").select(F.lit("orders").alias("source_table"), F.expr("o_orderkey div 10").alias("house_keeping_id"),
+                                            F.col("o_orderkey").cast("string").alias("id"))
+    people = _t(spark, sf, "customer").select(F.lit("customer").alias("source_table"), F.expr("c_custkey div 10").alias("house_keeping_id"),
+                                              F.concat(F.lit("'"), "c_name", F.lit("'")).alias("id"))
+    old = D.legacy_ledger(orders.unionByName(people), ["source_table", "house_keeping_id"], "id", D.LEDGER_DAY)
+    return R.ledger_unpack(R.unpack_legacy_blobs(old)).select("source_table", "house_keeping_id", "id")
+
+
 @register("ledger_window", f"""
 SELECT * FROM ({_LEDGER_SQL}) WHERE CAST(etl_update_date AS DATE) >= DATE '2001-07-11'
   AND CAST(etl_update_date AS DATE) < DATE '2001-07-27' AND is_source_delete = 0""")

@@ -6,6 +6,9 @@ Every input is computed by Spark from whole tables (no id subsets or row caps);
 
 from __future__ import annotations
 
+import zlib
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,3 +96,16 @@ def bitmap_ledger(orders: DataFrame) -> DataFrame:
 def retention_source(orders: DataFrame) -> DataFrame:
     """The source at house-keeping time: finished orders were already removed (vanished rows)."""
     return orders.filter(F.col("o_orderstatus") != "F")
+
+
+def legacy_ledger(rows: DataFrame, entry: list[str], id_col: str, day: str) -> DataFrame:
+    """An old ledger: one row per entry, its ids as one zlib blob of comma-separated text."""
+    packed = rows.groupBy(*entry).agg(F.array_join(F.sort_array(F.collect_list(id_col)), ",").alias("ids_text"))
+
+    @F.pandas_udf("binary")
+    def compressed(text: pd.Series) -> pd.Series:
+        return text.map(lambda t: zlib.compress(t.encode()))
+
+    return packed.select(F.lit(0).cast("long").alias("load_version"), F.lit("src_db").alias("source_db"), *entry,
+                         F.lit(day).cast("timestamp_ntz").alias("etl_update_date"), F.lit(0).alias("is_source_delete"),
+                         compressed("ids_text").alias("ids_compress"))

@@ -12,7 +12,7 @@ from ..schema import SyncTask
 from ..session import scratch_path
 from ..streaming.stream import stream_sync
 from . import derived as D
-from .catalog import _GATE_SQL, register
+from .catalog import _CRC32_NAMES, _GATE_SQL, register
 from .commit import TableStore
 from .run import house_keeping, run_task
 
@@ -715,3 +715,19 @@ def q_sync_run_text(spark, sf):
     people = named_customers(spark, sf)
     store, _ = copied_and_expired(spark, "sync_run_text", people, ["c_name"], people)
     return store.read().select("c_name", "ts", "etl_update_time")
+
+
+@register("shard_log_text", f"""
+SELECT CAST(h // 100000000 + 1 AS BIGINT) AS shard_id, min(c_name) AS min_key, max(c_name) AS max_key,
+       CAST(NULL AS BIGINT) AS min_id FROM ({_CRC32_NAMES}) GROUP BY 1""")
+def q_shard_log_text(spark, sf):
+    """The shard log of a text id over three capped runs: ranges of keys in the order that the runs read them (F2)."""
+    people = named_customers(spark, sf)
+    root = scratch_path(spark, "shard_log_text")
+    store, log = TableStore(spark, f"{root}/data"), TableStore(spark, f"{root}/log")
+    for _ in range(3):
+        task = SyncTask(source_table_id=5, source_db="src_db", source_table="customer", target_db="dw", target_table="customer_t",
+                        etl_type=1, sync_field="c_name, c_nationkey, ts", pk_field="c_name", id_field_name="c_name",
+                        timestamp_field_name="ts", batch_size=third(people), max_loop_count=1, partition_size=100_000_000)
+        run_task(spark, task, people, store, log, None, as_of="2010-01-01 00:00:00")
+    return log.read().select("shard_id", "min_key", "max_key", "min_id")

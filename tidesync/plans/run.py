@@ -19,7 +19,7 @@ from ..functions.cleaning import table_sync_clean
 from ..functions.rules import ts_literal
 from ..operators.extract import increment, lag_cutoff, unkeyed_rows
 from ..operators.load import append, latest_per_key, upsert
-from ..operators.profile import shard_log_merge, shard_log_rows, shard_profile
+from ..operators.profile import KEY_RANGE, shard_log_merge, shard_log_rows, shard_profile, with_key_range
 from ..operators.retention import (expiry_gate, expiry_gate_bitmap, ledger_bitmap, ledger_id_count, ledger_mark,
                                    ledger_pack, ledger_purge, ledger_window, recent_from, retention_delete,
                                    retention_delete_bitmap)
@@ -130,8 +130,8 @@ def _publish_pending(store: TableStore, log_store: TableStore | None, ledger_sto
         if name == "ledger":
             target.publish(staged, extra=extra)
             continue
-        rows = target.read_staged(staged).select(*SHARD_LOG_SCHEMA.names)
-        merged = shard_log_merge(target.read(SHARD_LOG_SCHEMA).select(*rows.columns), rows) if target.version() else rows
+        rows = with_key_range(target.read_staged(staged)).select(*SHARD_LOG_SCHEMA.names, *KEY_RANGE)
+        merged = shard_log_merge(with_key_range(target.read(SHARD_LOG_SCHEMA)).select(*rows.columns), rows) if target.version() else rows
         target.commit(merged.withColumn(SHARD, F.lit(0).cast("long")), replace_all=True, small=True, extra=extra)
 
 

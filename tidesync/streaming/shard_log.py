@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions.cleaning import table_sync_clean
 from ..functions.routing import route_expr
-from ..operators.profile import shard_log_rows, shard_profile
+from ..operators.profile import shard_log_rows, shard_profile, with_key_range
 from ..plans.commit import SHARD, TableStore
 
 
@@ -27,11 +27,12 @@ def log_updates(rows: DataFrame, id_col: str, ts_col: str | None, partition_size
 
 def _apply(batch: DataFrame, store: TableStore, describe) -> None:
     """Put the changed shards' rows in place of their old ones. A replayed batch puts the same rows again."""
-    new = describe(batch).checkpoint()                       # the log has a row per shard, whatever the table's size
+    new = with_key_range(describe(batch)).checkpoint()       # the log has a row per shard, whatever the table's size
     if new.isEmpty():
         return
     if store.version():
-        new = store.read().join(new, "sharding_table_name", "left_anti").select(*new.columns).unionByName(new)
+        # a log that runs wrote has no row counts
+        new = new.unionByName(store.read().join(new, "sharding_table_name", "left_anti"), allowMissingColumns=True)
     store.commit(new, replace_all=True, small=True)
 
 
