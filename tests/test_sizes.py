@@ -21,3 +21,9 @@ def test_key_lists_of_unknown_or_large_size_are_not_broadcast(spark):
     for rows in (None, 9_000_000):
         kept = R.retention_delete(source, entries, "k", ids_rows=rows)
         assert kept.count() == 300 and "BroadcastExchange" not in _plan(kept)
+
+
+def test_a_small_write_does_not_draw_the_steps_before_into_its_task(spark, scratch):
+    st = TableStore(spark, scratch("small"))
+    st.commit(spark.range(0, 1000, 1, 8).withColumn("task", F.spark_partition_id()), small=True)
+    assert st.read().select("task").distinct().count() == 8 and len(st.read().inputFiles()) == 1
