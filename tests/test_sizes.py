@@ -27,3 +27,13 @@ def test_a_small_write_does_not_draw_the_steps_before_into_its_task(spark, scrat
     st = TableStore(spark, scratch("small"))
     st.commit(spark.range(0, 1000, 1, 8).withColumn("task", F.spark_partition_id()), small=True)
     assert st.read().select("task").distinct().count() == 8 and len(st.read().inputFiles()) == 1
+
+
+def test_a_unit_is_dealt_to_tasks_of_bounded_size(spark, scratch, monkeypatch):
+    from tidesync.plans import commit
+    monkeypatch.setattr(commit, "LARGEST_TASK", 1 << 18)
+    before = spark.conf.get(commit.ADVISORY)
+    st = TableStore(spark, scratch("bounded"))
+    st.commit(spark.range(0, 300_000, 1, 16).withColumn("v", F.sha2(F.col("id").cast("string"), 256)), cluster_by=["id"])
+    assert len(st.units()) == 1 and len(st.read().inputFiles()) > 4 and st.read().count() == 300_000
+    assert spark.conf.get(commit.ADVISORY) == before
