@@ -37,3 +37,17 @@ def test_a_unit_is_dealt_to_tasks_of_bounded_size(spark, scratch, monkeypatch):
     st.commit(spark.range(0, 300_000, 1, 16).withColumn("v", F.sha2(F.col("id").cast("string"), 256)), cluster_by=["id"])
     assert len(st.units()) == 1 and len(st.read().inputFiles()) > 4 and st.read().count() == 300_000
     assert spark.conf.get(commit.ADVISORY) == before
+
+
+def test_folders_are_listed_by_few_tasks(spark, scratch):
+    st = TableStore(spark, scratch("folders"))
+    st.commit(spark.range(0, 300).withColumn("partition_num", F.col("id")))
+    sc = spark.sparkContext
+    sc.setJobGroup("listing", "")
+    try:
+        assert st.read().count() == 300
+        tracker = sc.statusTracker()
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+        assert max(s.numTasks for s in stages if s) < 100
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
