@@ -1,6 +1,7 @@
 """Queries without an oracle against brute-force versions, on the smoke tables and on edge cases."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -756,3 +757,53 @@ def test_op3_hot_words(spark, monkeypatch):
     for step in (0, 200):
         monkeypatch.setattr(line_dedup, "HOT_STEP", step)
         assert {r["doc_id"] for r in line_dedup.remove_lines(df).filter("n_removed > 0").collect()} == want
+
+
+def test_op3_reads_texts_twice_under_hot_words(spark, monkeypatch):
+    """Pairs under cold words and of hot words' earliest lines are verified together: two readings, not three."""
+    rounds, verified = [], line_dedup.verified
+    monkeypatch.setattr(line_dedup, "verified", lambda *a: rounds.append(1) or verified(*a))
+    monkeypatch.setattr(line_dedup, "HOT_STEP", 8)            # words that stand four times or more
+    texts = [(n, f"a b c d e f g h i own{n // 2}\nx{n // 2} y{n // 2} z{n // 2} u{n // 2} v{n // 2}{n % 2 * ' w'}") for n in range(8)]
+    got = {r["doc_id"]: r["n_removed"] for r in line_dedup.remove_lines(frame(spark, texts)).collect()}
+    assert got == {n: int(n > 0) + n % 2 for n in range(8)}
+    assert len(rounds) == 2
+
+
+def test_op3_word_keys(spark, monkeypatch):
+    """Keys of any whitespace are those of the words alone, and hold the words' exact rarity and hash; the parity maps
+    are of all keys and of one half."""
+    texts = [(1, "b a\ta\x0bc\x0cd\re"), (2, "  e d  c b a "), (3, " \t "), (4, None), (5, "a a a a a z\u00a0z"), (6, "f\r\ng\r\n")]
+    df = frame(spark, texts)
+    steps = line_dedup.rarity(df).scalar()
+    lines = df.select(F.col("doc_id"), F.posexplode(F.split(line_dedup._spaced(F.col("text")), "\n", -1)).alias("n", "line"))
+    got = {(r["doc_id"], r["n"]): r["keys"] for r in lines.select("*", steps.alias("steps")).select(
+        "doc_id", "n", line_dedup.word_keys(F.col("line"), F.col("steps")).alias("keys")).collect()}
+    count = Counter(w for _, t in texts for w in words(t))
+
+    def key(w):                    # each word is alone in its cell here
+        return (int(4 * math.log2(count[w])) << 56) | (xxhash.xxh64_intdigest(w.encode(), 42) & ((1 << 56) - 1))
+    for i, t in texts:
+        for n, line in enumerate((t or "").split("\n")):
+            assert got.pop((i, n)) == sorted({key(w) for w in words(line)})
+    assert not got
+    for long_set in (0, 64):
+        monkeypatch.setattr(line_dedup, "LONG_SET", long_set)
+        for r in line_dedup.line_sets(df).collect():
+            every = odd = 0
+            for w in set(words(dict(texts)[r["first"]["doc_id"]].split("\n")[r["first"]["line"]])):
+                every ^= 1 << (key(w) & 63)
+                odd ^= (key(w) >> 6 & 1) << (key(w) & 63)
+            assert [r["b1"] % (1 << 64), r["b2"] % (1 << 64)] == [every, odd if not long_set else 0]
+
+
+def test_op3_long_lines(spark):
+    """Lines on both sides of 64 words, with and without enough words in common, against brute force."""
+    import random
+    rng = random.Random(5)
+    base = [f"b{i}" for i in range(90)]
+    texts = [(n, " ".join([f"r{n // 6}", *base[:size - 1 - own], *[f"o{n}x{i}" for i in range(own)]]))
+             for n, (size, own) in enumerate((rng.choice((50, 58, 64, 65, 66, 80)), rng.randint(0, 14)) for _ in range(60))]
+    sets = [set(t.split()) for _, t in texts]
+    want = {n for n, s in enumerate(sets) if any(5 * len(s & o) >= 4 * len(s | o) for o in sets[:n])}
+    assert {r["doc_id"] for r in line_dedup.remove_lines(frame(spark, texts)).filter("n_removed > 0").collect()} == want

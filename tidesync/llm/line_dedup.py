@@ -2,8 +2,8 @@
 
 A line is the set of its words. Lines of equal sets are first brought together (the earliest stands for them).
 The words of a set are ordered by rarity, and only a set's first words (the prefix filter) are joined; pairs
-that meet pass the length filter, the positional filter and a bound on their overlap from two 64-bit parity
-maps of the words, all inside the join. What is left is verified on the whole sets. A line is removed if an
+that meet pass the length filter, the positional filter and a bound on their overlap from 64-bit parity maps of
+the words (two for long sets), all inside the join. What is left is verified on the whole sets. A line is removed if an
 earlier line has a Jaccard similarity of at least ``SIMILARITY``; earlier is by doc_id (null first), text hash
 and line number, and it does not matter whether the earlier line is itself removed.
 
@@ -16,6 +16,9 @@ document here and get equal results; other columns are carried along.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,76 +30,85 @@ RARITY_BITS = 19
 MAX_BROADCAST_ROWS = 200_000   # document keys (two numbers) sent to every executor at most
 HOT_WORD = 1024
 HOT_STEP = 40                  # floor(4 * log2(HOT_WORD)), as in ``rarity``
+LONG_SET = 64                  # sets of more words than one parity map has bits get two
+
+
+def _spaced(text: Column) -> Column:
+    """The text (empty for null) with blanks for all whitespace within its lines. Most texts have no other, which one
+    search tells sooner than a replacement of each."""
+    text = F.coalesce(text, F.lit(""))
+    blank = reduce(lambda t, ch: F.replace(t, F.lit(ch), F.lit(" ")), "\t\x0b\x0c\r", text)
+    return F.when(text.rlike(r"[\t\x0b\x0c\r]"), blank).otherwise(text)
 
 
 def _cell(h: Column) -> Column:
-    return F.shiftrightunsigned(h, 64 - RARITY_BITS).cast("int")
+    return F.shiftrightunsigned(h, 64 - RARITY_BITS)
 
 
 def rarity(docs: DataFrame) -> DataFrame:
     """One row: for each cell, how common its words are in all documents (0 to 127, in even steps of the
-    logarithm), as the upper bits of a long."""
-    words = docs.select(F.explode_outer(plain_words(F.col("text"))).alias("word")).filter("word is not null").select(_cell(F.xxhash64("word")).alias("cell"))
+    logarithm), as a long that flips the upper 8 bits of the cell's hashes to that."""
+    spaced = F.replace(_spaced(F.col("text")), F.lit("\n"), F.lit(" "))
+    words = docs.select(F.explode_outer(F.split(spaced, " ", -1)).alias("word")).filter("word != ''").select(_cell(F.xxhash64("word")).alias("cell"))
     counts = words.groupBy("cell").agg(F.count("*").alias("n"))
     step = F.least(F.floor(4 * F.log2(F.col("n"))), F.lit(127))
-    full = docs.sparkSession.range(1 << RARITY_BITS).select(F.col("id").cast("int").alias("cell"))
-    cells = full.join(counts, "cell", "left").select("cell", F.coalesce(step, F.lit(0)).cast("int").alias("step"))
+    full = docs.sparkSession.range(1 << RARITY_BITS).select(F.col("id").alias("cell"))
+    cells = full.join(counts, "cell", "left").select("cell", F.coalesce(step, F.lit(0)).cast("long").alias("step"))
     # cells in blocks, so that no task sorts more than a block
     blocks = cells.groupBy(F.shiftright("cell", 9).alias("block")).agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("cell", "step"))), lambda c: F.shiftleft(c["step"].cast("long"), 56)).alias("steps"))
+        F.array_sort(F.collect_list(F.struct("cell", "step"))), lambda c: F.shiftleft(c["step"].bitwiseXOR(F.shiftright(c["cell"], RARITY_BITS - 8)), 56)).alias("steps"))
     return saved(blocks).agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("block", "steps"))),
                                                    lambda b: b["steps"])).alias("steps"))
 
 
-def word_keys(text: Column, steps: Column) -> Column:
-    """The distinct words of a line as numbers, rarest first: 7 bits of rarity, then 56 of the word's hash.
-    ``steps`` holds the rarity at its place in the number; no element is null, so that the numbers are sorted as longs."""
-    low = (1 << 56) - 1
-    hashes = F.transform(plain_words(text), lambda w: F.xxhash64(w))
-    return F.sort_array(F.array_distinct(F.transform(hashes, lambda h: (
-        F.coalesce(F.get(steps, _cell(h)), F.lit(0).cast("long")).bitwiseOR(h.bitwiseAND(F.lit(low)))))))
+def word_keys(line: Column, steps: Column) -> Column:
+    """The distinct words of a line (of ``_spaced`` text) as numbers, rarest first: 7 bits of rarity, then 56 of the
+    word's hash. ``steps`` flips the hash's upper bits to the rarity; no element is null, so that the numbers are sorted
+    as longs. The empty words between blanks go as one number; the lambdas are interpreted, so few steps are in them."""
+    hashes = F.array_distinct(F.transform(F.split(line, " ", -1), lambda w: F.xxhash64(w)))
+    return F.sort_array(F.transform(F.array_remove(hashes, F.xxhash64(F.lit(""))), lambda h: (
+        h.bitwiseXOR(F.coalesce(F.get(steps, _cell(h)), F.lit(0).cast("long"))))))
 
 
-def _overlap(size_a: Column, size_b: Column) -> Column:
-    """Least number of common words of similar sets: ceil(t / (1 + t) * (a + b))."""
-    p, q = SIMILARITY
-    return F.ceil(p * (size_a + size_b) / F.lit(float(p + q)) - 1e-9)
-
-
-def _parity(keys: Column, half: int) -> Column:
-    """64 bits: the words of one half of the hash space, each flipping the bit its hash names."""
-    one = F.lit(1).cast("long")
-    return F.aggregate(keys, F.lit(0).cast("long"), lambda acc, k: F.when(
-        F.shiftrightunsigned(k, 6).bitwiseAND(one) == half,
-        acc.bitwiseXOR(F.call_function("shiftleft", one, k.bitwiseAND(F.lit(63).cast("long")).cast("int")))).otherwise(acc))
+def _parity(keys: Column, bit: Callable[[Column], Column]) -> Column:
+    """64 bits: the words whose ``bit`` is 1, each flipping the bit its hash names."""
+    return F.aggregate(keys, F.lit(0).cast("long"), lambda acc, k: acc.bitwiseXOR(
+        F.call_function("shiftleft", bit(k), k.bitwiseAND(F.lit(63).cast("long")).cast("int"))))
 
 
 def line_sets(docs: DataFrame) -> DataFrame:
-    """(h1, h2, first, size, prefix, b1, b2): each distinct word set, its first line and its filters."""
+    """(h1, h2, first, size, prefix, b1, b2): each distinct word set, its first line and its filters (the parity map of
+    all words, and of one half of the hash space for long sets)."""
     p, q = SIMILARITY
     steps = rarity(docs).scalar()
-    lines = named(docs, lines=F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1)) \
+    lines = named(docs, lines=F.split(_spaced(F.col("text")), "\n", -1)) \
         .select("doc_id", "text_hash", F.posexplode_outer("lines").alias("line", "words"))
     # the table is one array for all rows: the two selects become one, where it is read in place
     keyed = lines.select("*", steps.alias("steps")).select(
         "doc_id", "text_hash", "line", word_keys(F.col("words"), F.col("steps")).alias("keys"))
     size = F.size("keys")
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    odd = _parity(F.col("keys"), lambda k: F.shiftrightunsigned(k, 6).bitwiseAND(one))
     return (keyed.select(
         F.xxhash64("keys").alias("h1"), F.xxhash64(F.lit(1), "keys").alias("h2"),
         F.struct("doc_id", "text_hash", "line").alias("first"), size.alias("size"),
         F.slice("keys", 1, size - F.ceil(size * p / F.lit(float(q)) - 1e-9).cast("int") + 1).alias("prefix"),
-        _parity(F.col("keys"), 0).alias("b1"), _parity(F.col("keys"), 1).alias("b2"))
+        _parity(F.col("keys"), lambda k: one).alias("b1"), F.when(size > LONG_SET, odd).otherwise(zero).alias("b2"))
         .groupBy("h1", "h2").agg(F.min("first").alias("first"), *[F.first(c).alias(c) for c in ("size", "prefix", "b1", "b2")])
         .filter("size > 0"))                   # after the grouping: before it, the words would be found twice
 
 
 def _may_be_similar(a: str, b: str) -> Column:
-    """Length, position and overlap filters of two postings with a common word."""
-    overlap = _overlap(F.col(f"{a}.size"), F.col(f"{b}.size"))
+    """Length, position and overlap filters of two postings with a common word, in whole numbers: similar sets of ``n``
+    words together have at least p / (p + q) * n in common, so at most (q - p) / (p + q) * n in one set alone."""
+    p, q = SIMILARITY
+    n = F.col(f"{a}.size") + F.col(f"{b}.size")
     # the first common word leaves at most this many common words
     left = F.least(F.col(f"{a}.size") - F.col(f"{a}.at"), F.col(f"{b}.size") - F.col(f"{b}.at"))
-    differ = F.bit_count(F.col(f"{a}.b1").bitwiseXOR(F.col(f"{b}.b1"))) + F.bit_count(F.col(f"{a}.b2").bitwiseXOR(F.col(f"{b}.b2")))
-    return (left >= overlap) & (differ <= F.col(f"{a}.size") + F.col(f"{b}.size") - 2 * overlap)
+    every, half = (F.col(f"{a}.{m}").bitwiseXOR(F.col(f"{b}.{m}")) for m in ("b1", "b2"))
+    differ = F.when((F.col(f"{a}.size") > LONG_SET) & (F.col(f"{b}.size") > LONG_SET),
+                    F.bit_count(half) + F.bit_count(every.bitwiseXOR(half))).otherwise(F.bit_count(every))
+    return ((p + q) * left >= p * n) & ((p + q) * differ <= (q - p) * n)
 
 
 def _pairs(a: DataFrame, b: DataFrame, order: Column) -> DataFrame:
@@ -139,17 +151,17 @@ def later_matches(docs: DataFrame, sets: DataFrame) -> DataFrame:
     is_hot = F.shiftrightunsigned("key", 56) >= HOT_STEP
     # a word of rarity 0 is alone in its cell: it stands once in all documents and can meet nothing
     cold = postings.filter(~is_hot & (F.shiftrightunsigned("key", 56) > 0))
-    found = verified(docs, sets, saved(_pairs(cold, cold, F.col("a.h1") < F.col("b.h1"))))
+    pairs = _pairs(cold, cold, F.col("a.h1") < F.col("b.h1"))
     hot = saved(sets.select(F.posexplode("prefix").alias("at", "key"), "h1", "size", "b1", "b2", "first").filter(is_hot))
     if hot.isEmpty():
-        return found
-    found = saved(found)
+        return verified(docs, sets, saved(pairs))
     earliest = hot.groupBy("key").agg(F.min(F.struct("first", "h1", "at", "size", "b1", "b2")).alias("e")).select("key", "e.*")
+    # judged together with the cold words' pairs, as each judgement reads the texts
+    met = _pairs(hot, earliest, F.col("a.first") > F.col("b.first")).select(F.least("h1", "other").alias("h1"), F.greatest("h1", "other").alias("other"))
+    found = saved(verified(docs, sets, saved(pairs.unionByName(met).distinct())))
     open_ = hot.join(found, "h1", "left_anti")
-    settled = saved(verified(docs, sets, saved(_pairs(open_, earliest, F.col("a.first") > F.col("b.first")))))
-    open_ = open_.join(settled, "h1", "left_anti")
     rest = verified(docs, sets, saved(_pairs(open_, hot, F.col("a.first") > F.col("b.first"))))
-    return found.unionByName(settled).unionByName(rest).distinct()
+    return found.unionByName(rest).distinct()
 
 
 def kept_lines(docs: DataFrame) -> DataFrame:
