@@ -126,17 +126,21 @@ def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     keys = checked_broadcast(wanted.select("doc_id", "text_hash"), MAX_BROADCAST_ROWS)
     texts = join_docs(named(docs, text=F.col("text")), keys, "left_semi")
     # rows equal in id and text give a set's line more than once
-    whole = saved(join_docs(texts, wanted).withColumn("lines", F.split("text", "\n", -1))
+    whole = (join_docs(texts, wanted).withColumn("lines", F.split("text", "\n", -1))
                   .select("doc_id", "text_hash", F.explode(F.transform("wanted", lambda w: F.struct(
                       w["h1"].alias("h1"), w["line"].alias("line"), F.get("lines", w["line"]).alias("words")))).alias("w"))
                   .select("w.h1", F.struct("doc_id", "text_hash", "w.line").alias("first"), "w.words")
                   .dropDuplicates(["h1"])
                   .withColumn("words", F.array_distinct(plain_words(F.col("words")))))
+    # in Parquet, where words take a fraction of a checkpoint's room; its small files say little of the rows' size
+    path = scratch_path(docs.sparkSession, "line-words")
+    whole.write.parquet(path)
+    whole = docs.sparkSession.read.parquet(path).hint("merge")
     other = whole.select(F.col("h1").alias("other"), F.col("first").alias("other_first"), F.col("words").alias("other_words"))
     common = F.size(F.array_intersect("words", "other_words"))
     union = F.size("words") + F.size("other_words") - common
     later = F.greatest(F.struct("first", "h1"), F.struct(F.col("other_first").alias("first"), F.col("other").alias("h1")))
-    return (pairs.join(whole, "h1").join(other, "other").filter(q * common >= p * union)
+    return (pairs.join(whole, "h1").join(other.hint("merge"), "other").filter(q * common >= p * union)
             .select(later.alias("later")).select("later.h1", "later.first").distinct())
 
 
