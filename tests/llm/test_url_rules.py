@@ -28,3 +28,24 @@ def test_op2_one_label_tokens_judge(spark):
         spark.createDataFrame(pages, "page_id long, url string"), url_filter.CONTRACT_RULES).collect()}
     assert (got[900], got[901], got[902]) == ((None, "block"), (None, "allow"), (None, "allow"))
     assert got[0][1] == "block" and got[40][1] == "allow"
+
+
+def test_op2_rules_take_few_tasks(spark):
+    """Tables of rules and tokens do not grow with the input, so they take no task for each shuffle partition."""
+    rows = [([f"h0:{h}", f"p:{d}", f"p:{i}"], "block" if d == "en" or i % 3 == 0 else "allow")
+            for i in range(8) for h in ("com", "net") for d in ("en", "de", "es")]
+    df = spark.createDataFrame(rows, "tokens array<string>, label string")
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        classes = url_filter.contested_classes(df, 0.1)
+        mined = url_filter.mine_rules(url_filter.in_classes(df, classes), 0.1, 0.5)
+        tables = [classes, mined, url_filter.with_members(mined, classes), url_filter.one_label_rules(df, 0.1)]
+        parts = [t.rdd.getNumPartitions() for t in tables]
+        n_rules = [t.count() for t in tables]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert all(n_rules) and max(parts) <= url_filter.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
