@@ -797,6 +797,27 @@ def test_op3_word_keys(spark, monkeypatch):
             assert [r["b1"] % (1 << 64), r["b2"] % (1 << 64)] == [every, odd if not long_set else 0]
 
 
+def test_op3_sets_find_words_once(spark):
+    """One search for bytes instead of a pattern, each line's words found once, equal sets by one hash and their maps."""
+    sets = line_dedup.line_sets(frame(spark, [(1, "a b c\nc\tb a"), (2, "b a c"), (3, "d e")]))
+    plan = sets._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" not in plan.upper() and plan.count("array_distinct") == 1
+    assert sets.columns == ["h1", "b1", "b2", "first", "size", "prefix"]
+    assert {(r["first"]["doc_id"], r["first"]["line"]) for r in sets.collect()} == {(1, 0), (3, 0)}
+
+
+def test_op3_words_that_share_a_short_key(spark, monkeypatch):
+    """Postings of different words under one key give the brute-force result all the same."""
+    import random
+    rng = random.Random(7)
+    base = [f"b{i}" for i in range(40)]
+    texts = [(n, " ".join([f"r{n // 4}", *rng.sample(base[:rng.choice((8, 20, 40))], 8), f"o{n % 5}"])) for n in range(80)]
+    sets = [set(t.split()) for _, t in texts]
+    want = {n for n, s in enumerate(sets) if any(5 * len(s & o) >= 4 * len(s | o) for o in sets[:n])}
+    monkeypatch.setattr(line_dedup, "_short", lambda key: F.pmod(F.hash(key), F.lit(3)))
+    assert want and {r["doc_id"] for r in line_dedup.remove_lines(frame(spark, texts)).filter("n_removed > 0").collect()} == want
+
+
 def test_op3_long_lines(spark):
     """Lines on both sides of 64 words, with and without enough words in common, against brute force."""
     import random

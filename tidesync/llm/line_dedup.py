@@ -27,6 +27,8 @@ from .text import carried, checked_broadcast, join_docs, named, plain_words, res
 
 SIMILARITY = (4, 5)            # 0.8, as a fraction, so that every bound is exact
 RARITY_BITS = 19
+CELLS_A_GROUP = 8              # counts kept in one row: the rows of a task then fit Spark's fast hash map
+OTHER_BLANKS = "\t\x0b\x0c\r"
 MAX_BROADCAST_ROWS = 200_000   # document keys (two numbers) sent to every executor at most
 HOT_WORD = 1024
 HOT_STEP = 40                  # floor(4 * log2(HOT_WORD)), as in ``rarity``
@@ -34,11 +36,11 @@ LONG_SET = 64                  # sets of more words than one parity map has bits
 
 
 def _spaced(text: Column) -> Column:
-    """The text (empty for null) with blanks for all whitespace within its lines. Most texts have no other, which one
-    search tells sooner than a replacement of each."""
+    """The text (empty for null) with blanks for all whitespace within its lines. Most texts have no other, which
+    searches for bytes tell sooner than replacements or a pattern."""
     text = F.coalesce(text, F.lit(""))
-    blank = reduce(lambda t, ch: F.replace(t, F.lit(ch), F.lit(" ")), "\t\x0b\x0c\r", text)
-    return F.when(text.rlike(r"[\t\x0b\x0c\r]"), blank).otherwise(text)
+    blank = reduce(lambda t, ch: F.replace(t, F.lit(ch), F.lit(" ")), OTHER_BLANKS, text)
+    return F.when(reduce(lambda a, b: a | b, [F.contains(text, F.lit(ch)) for ch in OTHER_BLANKS]), blank).otherwise(text)
 
 
 def _cell(h: Column) -> Column:
@@ -50,13 +52,21 @@ def rarity(docs: DataFrame) -> DataFrame:
     logarithm), as a long that flips the upper 8 bits of the cell's hashes to that."""
     spaced = F.replace(_spaced(F.col("text")), F.lit("\n"), F.lit(" "))
     words = docs.select(F.explode_outer(F.split(spaced, " ", -1)).alias("word")).filter("word != ''").select(_cell(F.xxhash64("word")).alias("cell"))
-    counts = words.groupBy("cell").agg(F.count("*").alias("n"))
-    step = F.least(F.floor(4 * F.log2(F.col("n"))), F.lit(127))
-    full = docs.sparkSession.range(1 << RARITY_BITS).select(F.col("id").alias("cell"))
-    cells = full.join(counts, "cell", "left").select("cell", F.coalesce(step, F.lit(0)).cast("long").alias("step"))
-    # cells in blocks, so that no task sorts more than a block
-    blocks = cells.groupBy(F.shiftright("cell", 9).alias("block")).agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("cell", "step"))), lambda c: F.shiftleft(c["step"].bitwiseXOR(F.shiftright(c["cell"], RARITY_BITS - 8)), 56)).alias("steps"))
+    places, bits = range(CELLS_A_GROUP), CELLS_A_GROUP.bit_length() - 1
+    place = F.col("cell").bitwiseAND(F.lit(CELLS_A_GROUP - 1).cast("long"))
+    counts = words.groupBy(F.shiftright("cell", bits).alias("group")).agg(*[F.count_if(place == i).alias(f"n{i}") for i in places])
+
+    def flip(i: int) -> Column:
+        n = F.col(f"n{i}")
+        step = F.when(n > 0, F.least(F.floor(4 * F.log2(n)), F.lit(127))).otherwise(0).cast("long")
+        cell = F.col("group") * CELLS_A_GROUP + i
+        return F.shiftleft(F.coalesce(step, F.lit(0).cast("long")).bitwiseXOR(F.shiftright(cell, RARITY_BITS - 8)), 56)
+
+    full = docs.sparkSession.range(1 << (RARITY_BITS - bits)).select(F.col("id").alias("group"))
+    groups = full.join(counts, "group", "left").select("group", F.array(*[flip(i) for i in places]).alias("steps"))
+    # groups in blocks, so that no task sorts more than a block
+    blocks = groups.groupBy(F.shiftright("group", 6).alias("block")).agg(F.flatten(F.transform(
+        F.array_sort(F.collect_list(F.struct("group", "steps"))), lambda g: g["steps"])).alias("steps"))
     return saved(blocks).agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("block", "steps"))),
                                                    lambda b: b["steps"])).alias("steps"))
 
@@ -64,10 +74,11 @@ def rarity(docs: DataFrame) -> DataFrame:
 def word_keys(line: Column, steps: Column) -> Column:
     """The distinct words of a line (of ``_spaced`` text) as numbers, rarest first: 7 bits of rarity, then 56 of the
     word's hash. ``steps`` flips the hash's upper bits to the rarity; no element is null, so that the numbers are sorted
-    as longs. The empty words between blanks go as one number; the lambdas are interpreted, so few steps are in them."""
+    as longs. The empty words between blanks go as one number; the lambdas are interpreted, so few steps are in them
+    (under ANSI an element of ``steps`` cannot be null, and Spark leaves out the step that says so)."""
     hashes = F.array_distinct(F.transform(F.split(line, " ", -1), lambda w: F.xxhash64(w)))
     return F.sort_array(F.transform(F.array_remove(hashes, F.xxhash64(F.lit(""))), lambda h: (
-        h.bitwiseXOR(F.coalesce(F.get(steps, _cell(h)), F.lit(0).cast("long"))))))
+        h.bitwiseXOR(F.coalesce(steps[_cell(h)], F.lit(0).cast("long"))))))
 
 
 def _parity(keys: Column, bit: Callable[[Column], Column]) -> Column:
@@ -77,8 +88,8 @@ def _parity(keys: Column, bit: Callable[[Column], Column]) -> Column:
 
 
 def line_sets(docs: DataFrame) -> DataFrame:
-    """(h1, h2, first, size, prefix, b1, b2): each distinct word set, its first line and its filters (the parity map of
-    all words, and of one half of the hash space for long sets)."""
+    """(h1, b1, b2, first, size, prefix): each distinct word set, its first line and its filters (the parity map of
+    all words, and of one half of the hash space for long sets). Equal sets are equal in the hash and maps."""
     p, q = SIMILARITY
     steps = rarity(docs).scalar()
     lines = named(docs, lines=F.split(_spaced(F.col("text")), "\n", -1)) \
@@ -90,14 +101,20 @@ def line_sets(docs: DataFrame) -> DataFrame:
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     odd = _parity(F.col("keys"), lambda k: F.shiftrightunsigned(k, 6).bitwiseAND(one))
     return (keyed.select(
-        F.xxhash64("keys").alias("h1"), F.xxhash64(F.lit(1), "keys").alias("h2"),
+        F.xxhash64("keys").alias("h1"),
         F.struct("doc_id", "text_hash", "line").alias("first"), size.alias("size"),
         F.slice("keys", 1, size - F.ceil(size * p / F.lit(float(q)) - 1e-9).cast("int") + 1).alias("prefix"),
         _parity(F.col("keys"), lambda k: one).alias("b1"), F.when(size > LONG_SET, odd).otherwise(zero).alias("b2"))
-        .groupBy("h1", "h2").agg(F.min("first").alias("first"), *[F.first(c).alias(c) for c in ("size", "prefix", "b1", "b2")])
+        .groupBy("h1", "b1", "b2").agg(F.min("first").alias("first"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
         .filter("size > 0"))                   # after the grouping: before it, the words would be found twice
 
 
+def _short(key: Column) -> Column:
+    """32 bits for a word, half the room in the shuffle of the postings. A pair of similar sets meets at its first common
+    word in any case; words that share these bits only bring more pairs to the filters and the verification."""
+    return F.hash(key)
+
+
 def _may_be_similar(a: str, b: str) -> Column:
     """Length, position and overlap filters of two postings with a common word, in whole numbers: similar sets of ``n``
     words together have at least p / (p + q) * n in common, so at most (q - p) / (p + q) * n in one set alone."""
@@ -154,7 +171,7 @@ def later_matches(docs: DataFrame, sets: DataFrame) -> DataFrame:
     postings = sets.select(F.posexplode("prefix").alias("at", "key"), "h1", "size", "b1", "b2")
     is_hot = F.shiftrightunsigned("key", 56) >= HOT_STEP
     # a word of rarity 0 is alone in its cell: it stands once in all documents and can meet nothing
-    cold = postings.filter(~is_hot & (F.shiftrightunsigned("key", 56) > 0))
+    cold = postings.filter(~is_hot & (F.shiftrightunsigned("key", 56) > 0)).withColumn("key", _short(F.col("key")))
     pairs = _pairs(cold, cold, F.col("a.h1") < F.col("b.h1"))
     hot = saved(sets.select(F.posexplode("prefix").alias("at", "key"), "h1", "size", "b1", "b2", "first").filter(is_hot))
     if hot.isEmpty():
