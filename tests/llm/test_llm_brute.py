@@ -828,3 +828,23 @@ def test_op3_long_lines(spark):
     sets = [set(t.split()) for _, t in texts]
     want = {n for n, s in enumerate(sets) if any(5 * len(s & o) >= 4 * len(s | o) for o in sets[:n])}
     assert {r["doc_id"] for r in line_dedup.remove_lines(frame(spark, texts)).filter("n_removed > 0").collect()} == want
+
+
+def test_op3_size_bands(spark, monkeypatch):
+    """Words meet within bands of sizes, a few sizes wide: similar sets in neighbouring bands are found as by brute force,
+    the smaller one's word goes to a second band, and sets of far sizes have no key in common."""
+    import random
+    rng = random.Random(11)
+    texts = [(n, " ".join([f"r{n % 6}", *[f"b{n % 6}x{i}" for i in range(size - 1 - own)], *[f"o{n}x{i}" for i in range(own)]]))
+             for n, (size, own) in enumerate((rng.randint(2, 60), rng.randint(0, 1)) for _ in range(150))]
+    sets = [set(t.split()) for _, t in texts]
+    want = {n for n, s in enumerate(sets) if any(5 * len(s & o) >= 4 * len(s | o) for o in sets[:n])}
+    for ratio in (1.05, 1.5, 4.0):
+        monkeypatch.setattr(line_dedup, "SIZE_BAND", ratio)
+        assert want and {r["doc_id"] for r in line_dedup.remove_lines(frame(spark, texts)).filter("n_removed > 0").collect()} == want
+    monkeypatch.setattr(line_dedup, "SIZE_BAND", 1.5)
+    postings = spark.createDataFrame([(7, 0, n) for n in (32, 39, 80)], "key int, at int, size int")
+    keys = {}
+    for r in line_dedup.banded(postings).collect():
+        keys.setdefault(r["size"], set()).add(r["key"])
+    assert len(keys[32]) == 2 and keys[32] & keys[39] and not (keys[32] | keys[39]) & keys[80]

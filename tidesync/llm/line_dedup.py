@@ -1,8 +1,8 @@
 """Line dedup by an exact set-similarity join.
 
 A line is the set of its words. Lines of equal sets are first brought together (the earliest stands for them).
-The words of a set are ordered by rarity, and only a set's first words (the prefix filter) are joined; pairs
-that meet pass the length filter, the positional filter and a bound on their overlap from 64-bit parity maps of
+The words of a set are ordered by rarity, and only a set's first words (the prefix filter) are joined,
+within bands of sizes; pairs that meet pass the length filter, the positional filter and a bound on their overlap from 64-bit parity maps of
 the words (two for long sets), all inside the join. What is left is verified on the whole sets. A line is removed if an
 earlier line has a Jaccard similarity of at least ``SIMILARITY``; earlier is by doc_id (null first), text hash
 and line number, and it does not matter whether the earlier line is itself removed.
@@ -32,6 +32,7 @@ OTHER_BLANKS = "\t\x0b\x0c\r"
 MAX_BROADCAST_ROWS = 200_000   # document keys (two numbers) sent to every executor at most
 HOT_WORD = 1024
 HOT_STEP = 40                  # floor(4 * log2(HOT_WORD)), as in ``rarity``
+SIZE_BAND = 1.5                # sets that meet have sizes within one band of this ratio, or in neighbouring ones
 LONG_SET = 64                  # sets of more words than one parity map has bits get two
 
 
@@ -128,6 +129,19 @@ def _may_be_similar(a: str, b: str) -> Column:
     return ((p + q) * left >= p * n) & ((p + q) * differ <= (q - p) * n)
 
 
+def _band(size: Column) -> Column:
+    return F.floor(F.log(SIZE_BAND, size)).cast("int")
+
+
+def banded(postings: DataFrame) -> DataFrame:
+    """Cold postings with one key for a word and a band of sizes: each in its set's band, and in those of all larger sets
+    that the set can be similar to if this is their first common word (few words before it leave room for few sizes)."""
+    p, q = SIMILARITY
+    largest = F.floor((q * F.col("size") - (p + q) * F.col("at")) / F.lit(p))
+    bands = F.sequence(_band(F.col("size")), _band(F.greatest(F.col("size"), largest)))
+    return postings.withColumn("band", F.explode(bands)).withColumn("key", F.hash("key", "band")).drop("band")
+
+
 def _pairs(a: DataFrame, b: DataFrame, order: Column) -> DataFrame:
     """(h1, other) of postings ``a`` and ``b`` with a common word that pass the filters."""
     return (a.alias("a").join(b.alias("b"), (F.col("a.key") == F.col("b.key")) & order & _may_be_similar("a", "b"))
@@ -155,9 +169,10 @@ def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     whole = docs.sparkSession.read.parquet(path).hint("merge")
     other = whole.select(F.col("h1").alias("other"), F.col("first").alias("other_first"), F.col("words").alias("other_words"))
     common = F.size(F.array_intersect("words", "other_words"))
-    union = F.size("words") + F.size("other_words") - common
+    words = F.size("words") + F.size("other_words")
     later = F.greatest(F.struct("first", "h1"), F.struct(F.col("other_first").alias("first"), F.col("other").alias("h1")))
-    return (pairs.join(whole, "h1").join(other.hint("merge"), "other").filter(q * common >= p * union)
+    similar = (p + q) * common >= p * words          # q * common >= p * (words - common), with the common words found once
+    return (pairs.join(whole, "h1").join(other.hint("merge"), "other").filter(similar)
             .select(later.alias("later")).select("later.h1", "later.first").distinct())
 
 
@@ -171,8 +186,12 @@ def later_matches(docs: DataFrame, sets: DataFrame) -> DataFrame:
     postings = sets.select(F.posexplode("prefix").alias("at", "key"), "h1", "size", "b1", "b2")
     is_hot = F.shiftrightunsigned("key", 56) >= HOT_STEP
     # a word of rarity 0 is alone in its cell: it stands once in all documents and can meet nothing
-    cold = postings.filter(~is_hot & (F.shiftrightunsigned("key", 56) > 0)).withColumn("key", _short(F.col("key")))
-    pairs = _pairs(cold, cold, F.col("a.h1") < F.col("b.h1"))
+    cold = banded(postings.filter(~is_hot & (F.shiftrightunsigned("key", 56) > 0)).withColumn("key", _short(F.col("key"))))
+    # the smaller set meets the larger, in whose band it is, too
+    size, other = F.col("a.size"), F.col("b.size")
+    smaller = (size <= other) & ((size < other) | (F.col("a.h1") < F.col("b.h1"))) & (F.col("a.h1") != F.col("b.h1"))
+    pairs = _pairs(cold, cold, smaller) \
+        .select(F.least("h1", "other").alias("h1"), F.greatest("h1", "other").alias("other"))
     hot = saved(sets.select(F.posexplode("prefix").alias("at", "key"), "h1", "size", "b1", "b2", "first").filter(is_hot))
     if hot.isEmpty():
         return verified(docs, sets, saved(pairs))
