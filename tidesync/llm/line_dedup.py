@@ -2,8 +2,8 @@
 
 A line is the set of its words. Lines of equal sets are first brought together (the earliest stands for them).
 The words of a set are ordered by rarity, and only a set's first words (the prefix filter) are joined,
-within bands of sizes; pairs that meet pass the length filter, the positional filter and a bound on their overlap from 64-bit parity maps of
-the words (two for long sets), all inside the join. What is left is verified on the whole sets. A line is removed if an
+within bands of sizes; pairs that meet pass the length filter, the positional filter and a bound on their overlap
+from 64-bit parity maps of the words (two for long sets), all inside the join. What is left is verified on the whole sets. A line is removed if an
 earlier line has a Jaccard similarity of at least ``SIMILARITY``; earlier is by doc_id (null first), text hash
 and line number, and it does not matter whether the earlier line is itself removed.
 
@@ -116,15 +116,29 @@ def _short(key: Column) -> Column:
     return F.hash(key)
 
 
+def placed(postings: DataFrame) -> DataFrame:
+    """Size and place of the word in one number, which takes less room in the shuffle."""
+    place = F.shiftleft(F.col("size").cast("long"), 32).bitwiseOR(F.col("at").cast("long"))
+    return postings.withColumn("place", place).drop("size", "at")
+
+
+def _size(side: str) -> Column:
+    return F.shiftright(F.col(f"{side}.place"), 32)
+
+
+def _at(side: str) -> Column:
+    return F.col(f"{side}.place").bitwiseAND(F.lit((1 << 32) - 1))
+
+
 def _may_be_similar(a: str, b: str) -> Column:
     """Length, position and overlap filters of two postings with a common word, in whole numbers: similar sets of ``n``
     words together have at least p / (p + q) * n in common, so at most (q - p) / (p + q) * n in one set alone."""
     p, q = SIMILARITY
-    n = F.col(f"{a}.size") + F.col(f"{b}.size")
+    n = _size(a) + _size(b)
     # the first common word leaves at most this many common words
-    left = F.least(F.col(f"{a}.size") - F.col(f"{a}.at"), F.col(f"{b}.size") - F.col(f"{b}.at"))
+    left = F.least(_size(a) - _at(a), _size(b) - _at(b))
     every, half = (F.col(f"{a}.{m}").bitwiseXOR(F.col(f"{b}.{m}")) for m in ("b1", "b2"))
-    differ = F.when((F.col(f"{a}.size") > LONG_SET) & (F.col(f"{b}.size") > LONG_SET),
+    differ = F.when((_size(a) > LONG_SET) & (_size(b) > LONG_SET),
                     F.bit_count(half) + F.bit_count(every.bitwiseXOR(half))).otherwise(F.bit_count(every))
     return ((p + q) * left >= p * n) & ((p + q) * differ <= (q - p) * n)
 
@@ -186,16 +200,16 @@ def later_matches(docs: DataFrame, sets: DataFrame) -> DataFrame:
     postings = sets.select(F.posexplode("prefix").alias("at", "key"), "h1", "size", "b1", "b2")
     is_hot = F.shiftrightunsigned("key", 56) >= HOT_STEP
     # a word of rarity 0 is alone in its cell: it stands once in all documents and can meet nothing
-    cold = banded(postings.filter(~is_hot & (F.shiftrightunsigned("key", 56) > 0)).withColumn("key", _short(F.col("key"))))
+    cold = postings.filter(~is_hot & (F.shiftrightunsigned("key", 56) > 0)).withColumn("key", _short(F.col("key")))
+    cold = placed(banded(cold))
     # the smaller set meets the larger, in whose band it is, too
-    size, other = F.col("a.size"), F.col("b.size")
-    smaller = (size <= other) & ((size < other) | (F.col("a.h1") < F.col("b.h1"))) & (F.col("a.h1") != F.col("b.h1"))
+    smaller = (_size("a") <= _size("b")) & ((_size("a") < _size("b")) | (F.col("a.h1") < F.col("b.h1"))) & (F.col("a.h1") != F.col("b.h1"))
     pairs = _pairs(cold, cold, smaller) \
         .select(F.least("h1", "other").alias("h1"), F.greatest("h1", "other").alias("other"))
-    hot = saved(sets.select(F.posexplode("prefix").alias("at", "key"), "h1", "size", "b1", "b2", "first").filter(is_hot))
+    hot = saved(placed(sets.select(F.posexplode("prefix").alias("at", "key"), "h1", "size", "b1", "b2", "first").filter(is_hot)))
     if hot.isEmpty():
         return verified(docs, sets, saved(pairs))
-    earliest = hot.groupBy("key").agg(F.min(F.struct("first", "h1", "at", "size", "b1", "b2")).alias("e")).select("key", "e.*")
+    earliest = hot.groupBy("key").agg(F.min(F.struct("first", "h1", "place", "b1", "b2")).alias("e")).select("key", "e.*")
     # judged together with the cold words' pairs, as each judgement reads the texts
     met = _pairs(hot, earliest, F.col("a.first") > F.col("b.first")).select(F.least("h1", "other").alias("h1"), F.greatest("h1", "other").alias("other"))
     found = saved(verified(docs, sets, saved(pairs.unionByName(met).distinct())))
