@@ -415,3 +415,25 @@ def test_stream_keeps_the_shard_log(spark, scratch):
     assert set(lg) == set(want)
     assert all(lg[p]["min_id"] == want[p]["lo"] and lg[p]["max_id"] == want[p]["hi"]
                and lg[p]["min_timestamp"] == want[p]["t0"] for p in want)
+
+
+@pytest.mark.parametrize("orders", [15, 17])                 # odd lines end at a run's cap; within a run
+def test_copied_and_expired_goes_on_past_the_cap_of_a_run(spark, monkeypatch, orders):
+    from tidesync.plans import e2e
+    monkeypatch.setattr(e2e, "SyncTask", lambda **task: SyncTask(**{**task, "batch_size": 5, "max_loop_count": 2}))
+    lines = [(k, n, datetime(2000, 1, 1 + n)) for k in range(orders) for n in range(1, 5)]
+    source = spark.createDataFrame(lines, "k long, n int, ts timestamp_ntz")
+    store, kept = e2e.copied_and_expired(spark, "capped_lines", source, ["k", "n"], source.filter("n % 2 = 1"))
+    assert sorted(tuple(r) for r in store.read().select("k", "n", "ts").collect()) == [r for r in lines if r[1] % 2]
+    assert sorted(tuple(r) for r in kept.read().select("k", "n", "ts").collect()) == [r for r in lines if not r[1] % 2]
+
+
+def test_copied_and_expired_text_keys_past_the_cap(spark, monkeypatch):
+    from tidesync.plans import e2e
+    monkeypatch.setattr(e2e, "SyncTask", lambda **task: SyncTask(**{**task, "batch_size": 5, "max_loop_count": 2}))
+    day = datetime(2000, 1, 1)
+    names = [f"name {i // 2:03d}" for i in range(35)] + [None]          # twice each: ties go with their run's last key
+    people = spark.createDataFrame([(n, day) for n in names], "name string, ts timestamp_ntz")
+    store, kept = e2e.copied_and_expired(spark, "capped_names", people, ["name"], people)
+    assert sorted(r["name"] for r in store.read().collect()) == sorted({n for n in names if n})
+    assert [r["name"] for r in kept.read().collect()] == [None]

@@ -670,8 +670,17 @@ def q_two_tasks_log(spark, sf):
     return two_tasks(spark, sf)[0].read().select("sharding_table_name", "min_id", "max_id", "min_timestamp", "max_timestamp")
 
 
+def run_to_end(spark, task, source, store, log, ledger, as_of):
+    """Runs of ``task()``, each from the watermark of the one before, until one reads less than its cap: the source's end."""
+    while True:
+        run = run_task(spark, this := task(), source, store, log, ledger, as_of=as_of)
+        if run.rows + run.rejected < this.row_cap:
+            return
+
+
 def copied_and_expired(spark, name, source, keys, copied):
-    """Sync ``copied``, a part of ``source`` (columns ``keys`` and ``ts``), then house-keep all of it long after."""
+    """Sync all of ``copied``, a part of ``source`` (columns ``keys`` and ``ts``), in as many runs as the cap asks for,
+    then house-keep all of it long after."""
     root = scratch_path(spark, name)
     store, log, ledger, kept = (TableStore(spark, f"{root}/{n}") for n in ("data", "log", "ledger", "source"))
     kept.commit(source.withColumn("partition_num", F.lit(1).cast("long")))
@@ -679,7 +688,7 @@ def copied_and_expired(spark, name, source, keys, copied):
         source_table_id=4, source_db="src_db", source_table=name, target_db="dw", target_table=f"{name}_t", etl_type=1,
         sync_field=", ".join([*keys, "ts"]), pk_field=", ".join(keys), id_field_name=keys[0], timestamp_field_name="ts",
         batch_size=10_000, max_loop_count=1_500, partition_size=1_000_000_000, if_need_house_keeping=1)
-    run_task(spark, task(), copied, store, log, ledger, as_of="2010-01-01 00:00:00")
+    run_to_end(spark, task, copied, store, log, ledger, "2010-01-01 00:00:00")
     house_keeping(spark, task(), kept, ledger, "2010-02-01 00:00:00", target_store=store)
     return store, kept
 
